@@ -61,3 +61,7 @@ def query(name: str):
         QUERIES[name] = fn
         return fn
     return deco
+
+
+# Operator queries register themselves on import.
+from ledgerline.plans import operator_queries  # noqa: E402,F401

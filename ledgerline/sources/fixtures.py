@@ -59,14 +59,21 @@ class FixtureSources:
         return self.ev.where(cond)
 
     # -- tick tables -------------------------------------------------------
-    def realtime_test_stock_data(self) -> DataFrame:
-        # event_id is kept as the load id; staging drops it.
+    def _ticks(self, *extra: str) -> DataFrame:
         return self.ev.select(
             "symbol", F.col("ts").alias("timestamp"), F.col("d").alias("date"),
             F.date_format("ts", "HH:mm:ss").alias("time"),
             F.col("value").alias("open"), (F.col("value") + 1.0).alias("high"),
             (F.col("value") - 1.0).alias("low"), (F.col("value") + 0.25).alias("close"),
-            F.col("k").alias("volume"), "event_id")
+            F.col("k").alias("volume"), *extra)
+
+    def realtime_test_stock_data(self) -> DataFrame:
+        # event_id is kept as the load id; staging drops it.
+        return self._ticks("event_id")
+
+    def tick_events(self) -> DataFrame:
+        """Ticks with their event id and type (drives the landing fixtures)."""
+        return self._ticks("event_id", "event_type")
 
     def streaming_stock_data(self) -> DataFrame:
         return self.realtime_test_stock_data().drop("date", "time", "event_id")
