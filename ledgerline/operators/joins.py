@@ -1,0 +1,25 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline.session import scratch_root
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The side is first materialised with ``checkpoint()`` in the shared
+    checkpoint folder (so it is computed once, survives executor loss and
+    its lineage is cut), then counted with a bounded ``limit(max_rows + 1)``.
+    Within the bound it is returned with a broadcast hint; beyond it the
+    plain frame is returned and Spark plans a shuffle join (AQE may still
+    broadcast it from runtime sizes).
+    """
+    scratch_root(df.sparkSession)  # ensures a checkpoint folder exists
+    small = df.checkpoint(eager=True)
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(small)
+    return small

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import broadcast_if_small
 from ledgerline.operators.topk import latest_per_key
 from ledgerline.plans.registry import model
 
@@ -19,8 +20,8 @@ def stock_feature_mart(wh):
     ``symbol``, so the three left joins are co-partitioned (no extra
     exchange).  The economic snapshot is at most one row by construction; it
     is attached as a scalar subquery (evaluated once, inlined as a literal)
-    rather than joined, and ``exists`` keeps the rule that an empty snapshot
-    yields an empty mart.
+    rather than joined; a NULL snapshot filters every row out, keeping the rule
+    that an empty snapshot yields an empty mart.
     """
     ticks = wh.ref("stg_test_realtime_stock_data")
     latest = (latest_per_key(ticks, "symbol", "timestamp", ["close", "volume"])
@@ -30,17 +31,18 @@ def stock_feature_mart(wh):
     tech = wh.ref("int_test_technical_indicators")
     sent = wh.ref("int_test_sentiment")
     econ = wh.ref("int_test_economic_indicators")
-    snap = econ.select(F.struct(*ECON_COLS).alias("s")).limit(1)
-    econ_row = snap.scalar()
+    # At most one row: its struct is NULL exactly when the snapshot is empty.
+    econ_row = econ.select(F.struct(*ECON_COLS).alias("s")).limit(1).scalar()
     return (latest.join(fund, "symbol", "left")
             .join(tech, "symbol", "left")
             .join(sent, "symbol", "left")
-            .where(snap.exists())
+            .withColumn("_econ", econ_row)
+            .where(F.col("_econ").isNotNull())
             .select("symbol", "last_close", "last_volume",
                     "avg_eps", "avg_pe_ratio", "avg_market_cap",
                     "avg_ma_10", "avg_ma_50", "avg_rsi", "avg_macd", "avg_bb_lower", "avg_bb_upper",
                     "avg_sentiment_score", "avg_news_volume", "avg_twitter_mentions",
-                    *[econ_row.getField(c).alias(c) for c in ECON_COLS]))
+                    *[F.col("_econ").getField(c).alias(c) for c in ECON_COLS]))
 
 
 def crypto_daily_avg(wh):
@@ -50,13 +52,24 @@ def crypto_daily_avg(wh):
             .agg(F.avg("close").alias("crypto_avg_close")))
 
 
+# One country's rows are at most one per year; the bound is checked before
+# the side is broadcast.
+ECONOMY_MAX_ROWS = 10_000
+
+
 def economy_for_country(wh):
-    """Yearly GDP rows of one country (``economy_country`` parameter)."""
+    """Yearly GDP rows of one country (``economy_country`` parameter).
+
+    It joins the daily rows on ``year(date)``; as a shuffle join that key
+    would put every row of a year into one partition, so the (tiny) economy
+    side is broadcast after a size check instead.
+    """
     country = wh.param("economy_country", "United States")
-    return (wh.source("global_economy_indicators")
+    rows = (wh.source("global_economy_indicators")
             .where(F.col("Country") == F.lit(country))
             .select(F.col("Year").alias("year"),
                     F.col("Gross_Domestic_Product_GDP").alias("gdp_per_capita")))
+    return broadcast_if_small(rows, ECONOMY_MAX_ROWS)
 
 
 @model("marts", materialized="table", enabled=False)
