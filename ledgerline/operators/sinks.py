@@ -110,3 +110,19 @@ def static_load(df: DataFrame, target: str, fmt: str = "parquet",
     if export_root:
         parquet_export(clean, export_root, table_name or target.rstrip("/").rsplit("/", 1)[-1])
     return n
+
+
+def publish_messages(messages: DataFrame, topic: str, fmt: str = "kafka",
+                     options: Mapping[str, str] | None = None) -> int:
+    """Produce keyed messages (``key``, ``value`` columns) to a topic.
+
+    ``fmt="kafka"`` needs ``kafka.bootstrap.servers`` in ``options``; any
+    other format writes the messages as files under ``topic`` (a path), the
+    stand-in used where no broker exists.
+    """
+    counted, obs = _counted(messages.select("key", "value"), "publish")
+    if fmt == "kafka":
+        counted.write.format("kafka").option("topic", topic).options(**dict(options or {})).save()
+    else:
+        counted.write.mode("append").format(fmt).options(**dict(options or {})).save(topic)
+    return int(obs.get.get("rows", 0))
