@@ -1,9 +1,10 @@
 """Declarative data-quality checks: not_null, unique, unique combination.
 
-Each check returns rows ``(test_id, test, model, column_name, failures)``.  All
-not-null checks of one model are evaluated in a single aggregate pass; a
-uniqueness check is a grouped count (partial aggregation on the map side,
-one shuffle on the key) followed by a global count of duplicated keys.
+Each check returns rows ``(test_id, test, model, column_name, failures)``.
+Checks are evaluated per model in as few passes as possible: uniqueness
+checks are a grouped count (partial aggregation on the map side, one shuffle
+on the key) that also yields the NULL counts of the key columns; other
+not-null checks share one global aggregate.
 """
 
 from __future__ import annotations
@@ -51,42 +52,74 @@ CHECKS = (
 )
 
 
-def not_null_counts(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
+def _row(check: Check, failures) -> "F.Column":
+    return F.struct(F.lit(check.test_id).alias("test_id"), F.lit(check.test).alias("test"),
+                    F.lit(check.model).alias("model"),
+                    F.lit(",".join(check.columns)).alias("column_name"),
+                    failures.cast("bigint").alias("failures"))
+
+
+def not_null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """NULL counts for several columns of one model, one scan."""
-    aggs = [F.count_if(F.col(c.columns[0]).isNull()).alias(f"_f{i}") for i, c in enumerate(checks)]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c.test_id).alias("test_id"), F.lit(c.test).alias("test"),
-                     F.lit(model).alias("model"), F.lit(c.columns[0]).alias("column_name"),
-                     F.col(f"_f{i}").cast("bigint").alias("failures"))
-            for i, c in enumerate(checks)]
+    wide = df.agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"_f{i}")
+                    for i, c in enumerate(checks)])
+    return wide.select(F.inline(F.array(*[_row(c, F.col(f"_f{i}")) for i, c in enumerate(checks)])))
+
+
+def keyed_counts(df: DataFrame, keys: tuple[str, ...], unique_checks: list[Check],
+                 null_checks: list[Check]) -> DataFrame:
+    """Uniqueness checks over ``keys`` plus not-null checks of key columns,
+    from one grouped count (partial aggregation, one shuffle on the keys).
+
+    ``unique`` ignores NULL keys; ``unique_combination`` counts every
+    duplicated combination; a key column's NULL count is the size of the
+    groups whose key is NULL.
+    """
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    aggs = []
+    for i, c in enumerate(unique_checks):
+        dup = F.col("_n") > 1
+        if c.test == "unique":
+            dup = dup & F.col(c.columns[0]).isNotNull()
+        aggs.append(F.count_if(dup).alias(f"_u{i}"))
+    for i, c in enumerate(null_checks):
+        aggs.append(F.coalesce(F.sum(F.when(F.col(c.columns[0]).isNull(), F.col("_n"))),
+                               F.lit(0)).alias(f"_n{i}"))
+    wide = groups.agg(*aggs)
+    rows = ([_row(c, F.col(f"_u{i}")) for i, c in enumerate(unique_checks)]
+            + [_row(c, F.col(f"_n{i}")) for i, c in enumerate(null_checks)])
     return wide.select(F.inline(F.array(*rows)))
 
 
 def duplicate_keys(df: DataFrame, check: Check) -> DataFrame:
-    """Number of key values occurring more than once.  ``unique`` ignores
-    NULL keys; ``unique_combination`` counts every combination."""
-    cols = list(check.columns)
-    src = df.select(*cols)
-    if check.test == "unique":
-        src = src.where(F.col(cols[0]).isNotNull())
-    dups = src.groupBy(*cols).count().where(F.col("count") > 1)
-    return dups.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-        F.lit(check.test_id).alias("test_id"), F.lit(check.test).alias("test"),
-        F.lit(check.model).alias("model"), F.lit(",".join(cols)).alias("column_name"),
-        "failures")
+    """Number of key values occurring more than once (one uniqueness check)."""
+    return keyed_counts(df, check.columns, [check], [])
 
 
 def run_checks(wh, checks=CHECKS) -> DataFrame:
-    """Evaluate ``checks`` against the models of ``wh``; one result row each."""
-    parts: list[DataFrame] = []
+    """Evaluate ``checks`` against the models of ``wh``; one result row each.
+
+    Per model: the uniqueness checks sharing a key set and the not-null
+    checks of those key columns take one grouped pass; the remaining
+    not-null checks take one global aggregate pass.
+    """
     by_model: OrderedDict[str, list[Check]] = OrderedDict()
     for c in checks:
-        if c.test == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-        else:
-            parts.append(duplicate_keys(wh.ref(c.model), c))
+        by_model.setdefault(c.model, []).append(c)
+    parts: list[DataFrame] = []
     for model, cs in by_model.items():
-        parts.insert(0, not_null_counts(wh.ref(model), model, cs))
+        df = wh.ref(model)
+        nulls = [c for c in cs if c.test == "not_null"]
+        by_keys: OrderedDict[tuple[str, ...], list[Check]] = OrderedDict()
+        for c in cs:
+            if c.test != "not_null":
+                by_keys.setdefault(c.columns, []).append(c)
+        for keys, uniques in by_keys.items():
+            folded = [c for c in nulls if c.columns[0] in keys]
+            nulls = [c for c in nulls if c not in folded]
+            parts.append(keyed_counts(df, keys, uniques, folded))
+        if nulls:
+            parts.append(not_null_counts(df, nulls))
     return reduce(DataFrame.unionByName, parts)
 
 
