@@ -16,10 +16,16 @@ from ledgerline.operators import quality
 from ledgerline.plans.registry import MODELS
 from ledgerline.sources.catalog import Warehouse
 
+# Tick-grain tables are written partitioned by day so date-range reads prune
+# files.  No repartition by the column first: that shuffle would send a whole
+# day to one task.  File size is bounded by ``max_records_per_file``.
+PARTITION_BY = {"fact_stock_tick": ("date",)}
+
 
 def build(wh: Warehouse, root: str, names: Iterable[str] | None = None,
           fmt: str = "parquet", include_disabled: bool = False,
-          register_views: bool = True) -> dict[str, int | None]:
+          register_views: bool = True,
+          max_records_per_file: int = 20_000_000) -> dict[str, int | None]:
     """Materialise ``names`` (default: every enabled model).
 
     Returns ``{model: rows written}`` for tables and ``{view: None}``.
@@ -30,11 +36,11 @@ def build(wh: Warehouse, root: str, names: Iterable[str] | None = None,
         if include_disabled or m.enabled]
     done: dict[str, int | None] = {}
     for name in wanted:
-        _build_one(wh, name, root.rstrip("/"), fmt, register_views, done)
+        _build_one(wh, name, root.rstrip("/"), fmt, register_views, done, max_records_per_file)
     return done
 
 
-def _build_one(wh, name, root, fmt, register_views, done):
+def _build_one(wh, name, root, fmt, register_views, done, max_records_per_file):
     if name in done:
         return
     from ledgerline.operators.sinks import write_table
@@ -42,7 +48,9 @@ def _build_one(wh, name, root, fmt, register_views, done):
     df = wh.ref(name)
     if m.materialized == "table":
         target = name if fmt == "table" else f"{root}/{name}"
-        done[name] = write_table(df, target, "overwrite", fmt)
+        done[name] = write_table(df, target, "overwrite", fmt,
+                                 {"maxRecordsPerFile": str(max_records_per_file)},
+                                 PARTITION_BY.get(name, ()))
         stored = wh.spark.table(name) if fmt == "table" else wh.spark.read.format(fmt).load(target)
         wh.pin(name, stored)
     else:

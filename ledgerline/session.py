@@ -21,6 +21,15 @@ CORE_CONF = {
 }
 
 
+# Stateful streaming keeps its state in RocksDB (off-heap, spills to local
+# disk, incremental changelog checkpoints) instead of the JVM heap.
+STREAMING_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """Return a session with the core settings applied.
@@ -57,6 +66,27 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_STATE_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+}
+
+
+def apply_streaming_state_conf(spark: SparkSession) -> SparkSession:
+    """Use the RocksDB state store unless the session chose something else.
+
+    A setting still at Spark's default (and not given in the SparkConf) is
+    replaced.  The provider is recorded in a query's checkpoint, so this only
+    affects queries started from a fresh checkpoint.
+    """
+    given = spark.sparkContext.getConf()
+    for k, v in STREAMING_STATE_CONF.items():
+        if not given.contains(k) and spark.conf.get(k, _STATE_DEFAULTS[k]) == _STATE_DEFAULTS[k]:
+            spark.conf.set(k, v)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, sink outputs and stream checkpoints.
 

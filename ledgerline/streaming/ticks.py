@@ -31,6 +31,7 @@ from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_m
 from ledgerline.operators.rollup import tick_order_key
 from ledgerline.operators.topk import newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
+from ledgerline.session import apply_streaming_state_conf
 from ledgerline.sources.files import LANDED_RESPONSE_SCHEMA, MESSAGE_FILE_SCHEMA
 
 REPLAY = {"availableNow": True}
@@ -215,6 +216,7 @@ def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
 
 
 def _changelog(agg: DataFrame, path: str, checkpoint: str, trigger: Mapping) -> StreamingQuery:
+    apply_streaming_state_conf(agg.sparkSession)
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(batch_dir(path, batch_id))
     return _start(agg, checkpoint, trigger, outputMode="update",
