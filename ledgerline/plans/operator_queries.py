@@ -199,7 +199,7 @@ def q_fallback_sink(spark, sf_dir):
     out = fresh_dir(spark, "fallback")
     # The warehouse connector is not installed here, so the primary write
     # fails and the rows go to the CSV fallback.
-    sinks.with_fallback(df, "market.streaming_stock_data", f"{out}/csv", fmt="bigquery",
+    sinks.with_fallback(df, "market.streaming_stock_data", f"{out}/csv", fmt="warehouse",
                         fallback_options=CSV_TS_OPTIONS)
     return spark.read.schema(TICK_SCHEMA).options(**CSV_TS_OPTIONS).csv(f"{out}/csv")
 
