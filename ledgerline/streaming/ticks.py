@@ -57,14 +57,17 @@ def message_stream(spark: SparkSession, location: str, fmt: str = "files",
     return spark.readStream.schema(MESSAGE_FILE_SCHEMA).options(**dict(options or {})).json(location)
 
 
-def response_stream(spark: SparkSession, location: str) -> DataFrame:
+def response_stream(spark: SparkSession, location: str,
+                    options: Mapping[str, str] | None = None) -> DataFrame:
     """Landed API responses (JSON lines) as a stream."""
-    return spark.readStream.schema(LANDED_RESPONSE_SCHEMA).json(location)
+    return spark.readStream.schema(LANDED_RESPONSE_SCHEMA).options(**dict(options or {})).json(location)
 
 
-def tick_file_stream(spark: SparkSession, location: str, schema) -> DataFrame:
-    """Tick rows landed as Parquet files, as a stream."""
-    return spark.readStream.schema(schema).parquet(location)
+def tick_file_stream(spark: SparkSession, location: str, schema,
+                     options: Mapping[str, str] | None = None) -> DataFrame:
+    """Tick rows landed as Parquet files, as a stream.  ``options`` such as
+    ``maxFilesPerTrigger`` bound the size of each micro-batch."""
+    return spark.readStream.schema(schema).options(**dict(options or {})).parquet(location)
 
 
 # -- helpers --------------------------------------------------------------------
