@@ -120,7 +120,7 @@ def run_checks(wh, checks=CHECKS) -> DataFrame:
             parts.append(keyed_counts(df, keys, uniques, folded))
         if nulls:
             parts.append(not_null_counts(df, nulls))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).select(*RESULT_COLS)
 
 
 def assert_passing(results: DataFrame) -> None:

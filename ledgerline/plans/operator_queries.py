@@ -28,7 +28,6 @@ from ledgerline.sources.files import csv_dir_scan, landed_responses, message_fil
 from ledgerline.streaming import ticks as stream
 
 TICK_COLS = ["symbol", "timestamp", "open", "high", "low", "close", "volume"]
-SPLIT_COLS = ["symbol", "timestamp", "date", "time", "open", "high", "low", "close", "volume"]
 
 # Header text of the landed economy CSV, as published datasets spell it.
 ECONOMY_HEADERS = {"Year": " Year", "Country": "Country ",

@@ -22,6 +22,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.schemas import RAW_TABLES
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
@@ -199,8 +201,10 @@ class FixtureSources:
                 .agg(F.max("gdp").alias("Gross_Domestic_Product_GDP")))
 
     # -- resolver ------------------------------------------------------------
+    # Raw tables plus the tick-with-event-type feed used by the landing fixtures.
+    NAMES = (*RAW_TABLES, "tick_events")
+
     def __call__(self, name: str) -> DataFrame:
-        fn = getattr(self, name, None)
-        if fn is None or name.startswith("_") or name in ("table", "ev"):
+        if name not in self.NAMES:
             raise KeyError(f"unknown raw table {name!r}")
-        return fn()
+        return getattr(self, name)()
