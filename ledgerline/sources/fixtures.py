@@ -29,6 +29,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "benchmark", "labels", "conversations")
 
 
+# Base reads of the (read-only) driver tables, per Spark application and
+# path: listing files and reading footers is driver work worth doing once.
+_READ_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
 def _d(x: float) -> Column:
     return F.lit(x).cast("double")
 
@@ -42,7 +47,11 @@ class FixtureSources:
 
     # -- driver tables -----------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _READ_CACHE:
+            _READ_CACHE[key] = self.spark.read.parquet(path)
+        return _READ_CACHE[key]
 
     @cached_property
     def ev(self) -> DataFrame:
