@@ -96,11 +96,10 @@ def batch_dir(root: str, batch_id: int) -> str:
 def idempotent_batch_writer(write: Callable[[DataFrame, int], None]):
     """Wrap a foreachBatch body: persist the batch once, skip empty ones."""
     def run(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        df = df.persist()
+        df = df.persist()  # read the batch from the source once
         try:
-            write(df, batch_id)
+            if not df.isEmpty():
+                write(df, batch_id)
         finally:
             df.unpersist()
     return run
