@@ -77,6 +77,15 @@ class Warehouse:
         """Make ``ref(name)`` return ``df`` (e.g. a materialised table)."""
         self._overrides[name] = df
 
+    def register_views(self, names=None) -> list[str]:
+        """Register models (default: all) as temporary views, so they can be
+        queried with ``spark.sql``; the views stay lazy."""
+        done = []
+        for name in names or self._models:
+            self.ref(name).createOrReplaceTempView(name)
+            done.append(name)
+        return done
+
     @property
     def model_names(self) -> list[str]:
         return list(self._models)

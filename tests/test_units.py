@@ -251,3 +251,12 @@ def test_stream_dead_letters_malformed_messages(spark):
     stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, topic),
                                           f"{out}/table", f"{out}/_ck1"))
     assert spark.read.parquet(f"{out}/table").count() == 1
+
+
+def test_models_queryable_with_sql(spark):
+    wh = fixture_warehouse(spark, SF_SMALL)
+    assert len(wh.register_views()) == 49
+    n = spark.sql("""
+        SELECT count(*) AS n FROM fact_daily_summary s
+        JOIN dim_stock d USING (symbol) WHERE d.sector IS NOT NULL""").first().n
+    assert n == wh.ref("fact_daily_summary").count()
