@@ -19,9 +19,22 @@ def split_date_time(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return df.select(*cols)
 
 
+def naive_epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a naive (TIMESTAMP_NTZ) value,
+    independent of the session time zone.
+
+    Casting a naive value to TIMESTAMP goes through the session zone, where a
+    daylight-saving gap can reorder two wall-clock times; building the count
+    from the calendar day and the time-of-day fields cannot.
+    """
+    return (F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000_000
+            + F.hour(ts).cast("bigint") * 3_600_000_000
+            + F.minute(ts).cast("bigint") * 60_000_000
+            + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
+
+
 def floor_to_interval(ts: Column, minutes: int = 5) -> Column:
-    """Start of the ``minutes``-wide bucket holding ``ts`` (epoch-aligned),
-    keeping the naive timestamp type."""
+    """Start of the ``minutes``-wide bucket holding the naive timestamp
+    ``ts`` (epoch-aligned), keeping its type."""
     width = minutes * 60 * 1_000_000
-    micros = F.unix_micros(ts.cast("timestamp"))
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(width))).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", -F.pmod(naive_epoch_micros(ts), F.lit(width)), ts)

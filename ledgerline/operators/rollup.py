@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.timecols import naive_epoch_micros
+
 # Ordering key used for "first" / "last" within a day.  The ``time`` column is
 # always the HH:mm:ss split of ``timestamp`` and ``date`` its calendar day, so
 # inside one (symbol, date) group ordering by ``time`` equals ordering by
 # ``timestamp``, which also breaks same-second ties.  A LONG key keeps
 # min_by/max_by in HashAggregate (a struct key forces SortAggregate, i.e. a
 # local sort of every raw tick).  Rows without a timestamp sort first, like
-# NULLs in an ascending window order.
+# NULLs in an ascending window order.  Naive timestamps are counted without
+# the session time zone, so the order never depends on it.
 _NULL_FIRST = -(2 ** 63)
 
 
-def tick_order_key(ts_col: str = "timestamp") -> Column:
-    return F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(_NULL_FIRST))
+def tick_order_key(ts_col: str = "timestamp", naive: bool = True) -> Column:
+    ts = F.col(ts_col)
+    micros = naive_epoch_micros(ts) if naive else F.unix_micros(ts)
+    return F.coalesce(micros, F.lit(_NULL_FIRST))
 
 
 def daily_ohlcv(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "date"),
@@ -29,7 +34,8 @@ def daily_ohlcv(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "date"),
     holding a third of all ticks therefore ships only one partial row per
     (date, map task) — the hot key never lands whole in one task.
     """
-    ord_key = tick_order_key(ts_col)
+    naive = ticks.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    ord_key = tick_order_key(ts_col, naive)
     return (ticks.groupBy(*keys)
             .agg(F.min_by("open", ord_key).alias("open"),
                  F.max("high").alias("high"),

@@ -195,7 +195,7 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
     changelog; ``read_changelog(..., ["symbol", "date"])`` gives the table.
     """
     ev = ticks.withColumn("_et", F.col("timestamp").cast("timestamp"))
-    ord_key = tick_order_key("timestamp")
+    ord_key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
     agg = (ev.withWatermark("_et", delay)
            .groupBy("symbol", F.window("_et", "1 day").alias("w"))
            .agg(F.min_by("open", ord_key).alias("open"), F.max("high").alias("high"),

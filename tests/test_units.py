@@ -260,3 +260,17 @@ def test_models_queryable_with_sql(spark):
         SELECT count(*) AS n FROM fact_daily_summary s
         JOIN dim_stock d USING (symbol) WHERE d.sector IS NOT NULL""").first().n
     assert n == wh.ref("fact_daily_summary").count()
+
+
+def test_naive_order_key_ignores_session_time_zone(spark):
+    rows = [("A", T(2024, 3, 10, 2, 30), dt.date(2024, 3, 10), "02:30:00", 1.0, 1.0, 1.0, 1.0, 1),
+            ("A", T(2024, 3, 10, 3, 10), dt.date(2024, 3, 10), "03:10:00", 2.0, 2.0, 2.0, 2.0, 1)]
+    df = spark.createDataFrame(rows, TICK_SPLIT_SCHEMA)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = daily_ohlcv(df).first()
+        b = df.select(floor_to_interval(F.col("timestamp"), 5).alias("b")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.open, r.close) == (1.0, 2.0)  # 02:30 (inside the DST gap) is first
+    assert [x.b for x in b] == [T(2024, 3, 10, 2, 30), T(2024, 3, 10, 3, 10)]
