@@ -83,8 +83,8 @@ def intraday_rejects(parsed: DataFrame, keep: tuple[str, ...] = ("symbol", "requ
 
 def iso_timestamp(ts: Column) -> Column:
     """Naive timestamp -> ISO-8601 text, fraction only when non-zero."""
-    micros = F.unix_micros(ts.cast("timestamp")) % 1_000_000
-    return F.when(micros == 0, F.date_format(ts, ISO_SECONDS)).otherwise(F.date_format(ts, ISO_MICROS))
+    whole_second = F.date_part(F.lit("SECOND"), ts) == F.floor(F.date_part(F.lit("SECOND"), ts))
+    return F.when(whole_second, F.date_format(ts, ISO_SECONDS)).otherwise(F.date_format(ts, ISO_MICROS))
 
 
 def encode_tick_messages(ticks: DataFrame) -> DataFrame:

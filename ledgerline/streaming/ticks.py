@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_messages,
                                              intraday_rejects, intraday_rows,
                                              parse_response_bodies)
+from ledgerline.functions.timecols import naive_epoch_micros
 from ledgerline.operators.rollup import tick_order_key
 from ledgerline.operators.topk import newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
@@ -194,14 +195,20 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
     truth).  Update mode writes the changed groups of each batch to a
     changelog; ``read_changelog(..., ["symbol", "date"])`` gives the table.
     """
-    ev = ticks.withColumn("_et", F.col("timestamp").cast("timestamp"))
-    ord_key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
-    agg = (ev.withWatermark("_et", delay)
+    naive = ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
+    ord_key = tick_order_key("timestamp", naive)
+    # Event time as a TIMESTAMP whose epoch is the naive wall clock, so the
+    # 1-day windows are calendar days whatever the session time zone.
+    event_time = (F.timestamp_micros(naive_epoch_micros(F.col("timestamp"))) if naive
+                  else F.col("timestamp"))
+    day_of = F.date_from_unix_date(
+        F.floor(F.unix_micros(F.col("w.start")) / 86_400_000_000).cast("int"))
+    agg = (ticks.withColumn("_et", event_time).withWatermark("_et", delay)
            .groupBy("symbol", F.window("_et", "1 day").alias("w"))
            .agg(F.min_by("open", ord_key).alias("open"), F.max("high").alias("high"),
                 F.min("low").alias("low"), F.max_by("close", ord_key).alias("close"),
                 F.sum("volume").alias("volume"))
-           .select("symbol", F.to_date(F.col("w.start")).alias("date"),
+           .select("symbol", day_of.alias("date"),
                    "open", "high", "low", "close", "volume"))
     return _changelog(agg, changelog_path, checkpoint, trigger)
 
