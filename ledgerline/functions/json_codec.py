@@ -20,7 +20,7 @@ NOTICE_KEYS = ("Note", "Information", "Error Message")
 
 # Series keys are 'yyyy-MM-dd HH:mm:ss'; an optional fraction is accepted so
 # sub-second bars keep distinct keys.
-SERIES_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+SERIES_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 # ISO form used in tick messages (fraction written only when non-zero).
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -39,25 +39,46 @@ def parse_response_bodies(responses: DataFrame, body_col: str = "body",
     return responses.withColumn("_r", parsed)
 
 
+def series_time(key: Column) -> Column:
+    """Parse a series key into a naive timestamp; NULL when it is not a valid
+    'yyyy-MM-dd HH:mm:ss[.ffffff]' value.
+
+    Built from the fields (one pattern check, fixed-position substrings) so
+    the result never depends on the session time zone and a bad key cannot
+    fail the job.
+    """
+    def part(start: int, length: int | None = None, t: str = "int") -> Column:
+        s = key.substr(F.lit(start), F.lit(length) if length else F.length(key))
+        return s.try_cast(t)
+    ts = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2),
+                                  part(18, None, "decimal(8,6)"))
+    return F.when(key.rlike(SERIES_TS_PATTERN), ts)
+
+
+def _bars(parsed: DataFrame, symbol_col: str, series_key: str, keep=()) -> DataFrame:
+    series = F.col("_r").getField(series_key)
+    return (parsed.where(series.isNotNull())
+            .select(F.col(symbol_col).alias("symbol"), *keep,
+                    F.explode(series).alias("_ts", "_m"))
+            .withColumn("timestamp", series_time(F.col("_ts"))))
+
+
 def intraday_rows(parsed: DataFrame, symbol_col: str = "symbol",
                   series_key: str = SERIES_KEY_1MIN) -> DataFrame:
     """One OHLCV row per series entry of each accepted response.
 
     A missing metric defaults to 0 (as the API client did); every metric is
-    read as a double and the volume truncated to a long.
+    read as a double and the volume truncated to a long.  Entries whose key
+    is not a valid timestamp are left to ``intraday_rejects``.
     """
-    series = F.col("_r").getField(series_key)
-    exploded = (parsed.where(series.isNotNull())
-                .select(F.col(symbol_col).alias("symbol"),
-                        F.explode(series).alias("_ts", "_m")))
+    exploded = _bars(parsed, symbol_col, series_key).where(F.col("timestamp").isNotNull())
 
     def metric(name: str) -> Column:
         raw = F.coalesce(F.try_element_at("_m", F.lit(METRIC_KEYS[name])), F.lit("0"))
         return raw.cast("double")
 
     return exploded.select(
-        "symbol",
-        F.to_timestamp_ntz("_ts", F.lit(SERIES_TS_FORMAT)).alias("timestamp"),
+        "symbol", "timestamp",
         metric("open").alias("open"), metric("high").alias("high"),
         metric("low").alias("low"), metric("close").alias("close"),
         metric("volume").cast("bigint").alias("volume"))
@@ -74,11 +95,17 @@ def reject_reason(series_key: str = SERIES_KEY_1MIN) -> Column:
 
 def intraday_rejects(parsed: DataFrame, keep: tuple[str, ...] = ("symbol", "request_id"),
                      series_key: str = SERIES_KEY_1MIN) -> DataFrame:
-    """Responses without the series key (throttled, error or malformed
-    bodies), with the reason; routed to a dead-letter table, not lost."""
+    """What the parser could not use, routed to a dead-letter table, not
+    lost: responses without the series key (throttled, error or malformed
+    bodies; ``detail`` NULL) and series entries whose key is not a valid
+    timestamp (reason ``bad_timestamp``, ``detail`` = the key)."""
     series = F.col("_r").getField(series_key)
-    return (parsed.where(series.isNull())
-            .select(*keep, reject_reason(series_key).alias("reason")))
+    whole = (parsed.where(series.isNull())
+             .select(*keep, reject_reason(series_key).alias("reason"),
+                     F.lit(None).cast("string").alias("detail")))
+    bars = (_bars(parsed, keep[0], series_key, keep[1:]).where(F.col("timestamp").isNull())
+            .select(*keep, F.lit("bad_timestamp").alias("reason"), F.col("_ts").alias("detail")))
+    return whole.unionByName(bars)
 
 
 def iso_timestamp(ts: Column) -> Column:

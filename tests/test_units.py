@@ -274,3 +274,20 @@ def test_naive_order_key_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (r.open, r.close) == (1.0, 2.0)  # 02:30 (inside the DST gap) is first
     assert [x.b for x in b] == [T(2024, 3, 10, 2, 30), T(2024, 3, 10, 3, 10)]
+
+
+def test_bad_series_keys_go_to_rejects_not_failures(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        body = json.dumps({"Time Series (1min)": {
+            "2024-03-10 02:30:00": {"1. open": "1"},          # inside a DST gap: still valid
+            "2024-02-30 09:30:00": {"1. open": "2"},          # impossible date
+            "yesterday": {"1. open": "3"}}})
+        parsed = _responses(spark, [body])
+        good = intraday_rows(parsed).collect()
+        bad = intraday_rejects(parsed).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r.timestamp, r.open) for r in good] == [(T(2024, 3, 10, 2, 30), 1.0)]
+    assert sorted((r.reason, r.detail) for r in bad) == [
+        ("bad_timestamp", "2024-02-30 09:30:00"), ("bad_timestamp", "yesterday")]
