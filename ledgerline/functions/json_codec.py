@@ -13,6 +13,13 @@ from ledgerline.schemas import TICK_MESSAGE_SCHEMA
 
 # Fixed values of the intraday price API (series key and metric names).
 SERIES_KEY_1MIN = "Time Series (1min)"
+
+
+def series_key(interval: str = "1min") -> str:
+    """Series key of a response for a bar interval (1min, 5min, 15min, ...)."""
+    return f"Time Series ({interval})"
+
+
 METRIC_KEYS = {"open": "1. open", "high": "2. high", "low": "3. low",
                "close": "4. close", "volume": "5. volume"}
 # Top-level keys of a body that carries no series (throttling / errors).
@@ -108,6 +115,17 @@ def intraday_rejects(parsed: DataFrame, keep: tuple[str, ...] = ("symbol", "requ
     return whole.unionByName(bars)
 
 
+def require_series(parsed: DataFrame, series_key: str = SERIES_KEY_1MIN) -> DataFrame:
+    """Strict mode: raise if any response lacks the series (the historical
+    client raised on such a body); otherwise return ``parsed`` unchanged.
+    Costs one short-circuiting scan (stops at the first reject)."""
+    missing = parsed.where(F.col("_r").getField(series_key).isNull())
+    if not missing.isEmpty():
+        first = missing.select(reject_reason(series_key).alias("r")).first()
+        raise ValueError(f"response without {series_key!r} ({first.r})")
+    return parsed
+
+
 def iso_timestamp(ts: Column) -> Column:
     """Naive timestamp -> ISO-8601 text, fraction only when non-zero."""
     whole_second = F.date_part(F.lit("SECOND"), ts) == F.floor(F.date_part(F.lit("SECOND"), ts))

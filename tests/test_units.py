@@ -291,3 +291,22 @@ def test_bad_series_keys_go_to_rejects_not_failures(spark):
     assert [(r.timestamp, r.open) for r in good] == [(T(2024, 3, 10, 2, 30), 1.0)]
     assert sorted((r.reason, r.detail) for r in bad) == [
         ("bad_timestamp", "2024-02-30 09:30:00"), ("bad_timestamp", "yesterday")]
+
+
+def test_dividend_filter_drops_nan_like_the_warehouse(spark):
+    from ledgerline.plans.registry import MODELS
+    rows = [("A", T(2024, 1, 1), 1.5, 0.1), ("A", T(2024, 1, 2), float("nan"), 0.1),
+            ("A", T(2024, 1, 3), 0.0, 0.1), ("A", T(2024, 1, 4), None, 0.1)]
+    df = spark.createDataFrame(rows, "symbol string, date timestamp_ntz, dividend_amount double, dividend_yield double")
+    wh = Warehouse(spark, lambda n: df)
+    assert [r.dividend_amount for r in wh.ref("int_test_dividends").collect()] == [1.5]
+    assert "int_test_dividends" in MODELS
+
+
+def test_strict_mode_raises_on_missing_series(spark):
+    from ledgerline.functions.json_codec import require_series, series_key
+    assert series_key("5min") == "Time Series (5min)"
+    ok = _responses(spark, [json.dumps({"Time Series (1min)": {}})])
+    assert require_series(ok) is ok
+    with pytest.raises(ValueError, match="note"):
+        require_series(_responses(spark, [json.dumps({"Note": "slow down"})]))
