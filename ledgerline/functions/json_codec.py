@@ -31,6 +31,8 @@ SERIES_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 # ISO form used in tick messages (fraction written only when non-zero).
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Accepted on decode: 'T' or a space between date and time, optional fraction.
+ISO_PARSE = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS]"
 
 
 def _response_schema(series_key: str) -> str:
@@ -154,7 +156,7 @@ def decode_tick_messages(messages: DataFrame, value_col: str = "value") -> DataF
     """
     rec = F.from_json(F.col(value_col).cast("string"), TICK_MESSAGE_SCHEMA,
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-                       "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+                       "timestampNTZFormat": ISO_PARSE})
     return messages.select(rec.alias("r")).select("r.*")
 
 

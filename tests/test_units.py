@@ -68,9 +68,12 @@ def test_message_round_trip_and_bad_records(spark):
     assert json.loads(values[1])["timestamp"] == "2024-01-01T09:30:01.000250"
     extra = json.dumps({"symbol": "CCC", "timestamp": "2024-01-01T10:00:00", "open": 1.0,
                         "unexpected": True})
-    allm = msgs.unionByName(spark.createDataFrame([("CCC", extra), ("DDD", "{oops")], "key string, value string"))
+    spaced = json.dumps({"symbol": "EEE", "timestamp": "2024-01-01 10:00:00.5", "volume": 1})
+    allm = msgs.unionByName(spark.createDataFrame(
+        [("CCC", extra), ("DDD", "{oops"), ("EEE", spaced)], "key string, value string"))
     good, bad = split_decoded(decode_tick_messages(allm))
     got = {r.symbol: r for r in good.collect()}
+    assert got["EEE"].timestamp == T(2024, 1, 1, 10, 0, 0, 500000)
     assert got["BBB"].timestamp == T(2024, 1, 1, 9, 30, 1, 250) and got["BBB"].volume == 20
     assert got["CCC"].close is None and got["CCC"].volume is None  # absent -> NULL
     assert [r.raw for r in bad.collect()] == ["{oops"]
