@@ -27,3 +27,23 @@ def test_ingest_command_replays_topic_files(spark):
                      "--dead-letter", f"{out}/dlq", "--replay"]) == 0
     assert spark.read.parquet(f"{out}/table").count() == ticks.count()
     assert spark.read.parquet(f"{out}/dlq").count() == 0
+
+
+def test_recent_and_live_rollup_commands(spark):
+    from ledgerline.streaming import ticks as st
+    wh = fixture_warehouse(spark, SF_SMALL)
+    responses = landing.land_responses(wh.source("tick_events"), fresh_dir(spark, "cli-resp"))
+    out = fresh_dir(spark, "cli-recent")
+    assert cli.main(["recent", responses, f"{out}/table", "--checkpoint", f"{out}/_ck",
+                     "-n", "2", "--replay"]) == 0
+    recent = st.read_batches(spark, f"{out}/table")
+    assert recent.groupBy("symbol").count().where("count > 2").count() == 0
+    assert recent.select("symbol").distinct().count() == 15
+
+    ticks = fresh_dir(spark, "cli-ticks")
+    wh.ref("stg_test_realtime_stock_data").write.mode("overwrite").parquet(ticks)
+    live = fresh_dir(spark, "cli-live")
+    assert cli.main(["live-rollup", ticks, live, "--checkpoint", f"{live}/_ck", "--replay"]) == 0
+    daily = st.read_changelog(spark, f"{live}/daily_ohlcv", ["symbol", "date"])
+    assert daily.count() == wh.ref("int_daily_stock_summary").count()
+    assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
