@@ -7,6 +7,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SF_SMALL = "/root/testdata/sf0.001"
+# Scale factor of the oracle-equivalence tests (LEDGERLINE_ORACLE_SF=/root/testdata/sf0.1 ...).
+SF_CHECK = os.environ.get("LEDGERLINE_ORACLE_SF", SF_SMALL)
 SF_ORACLE = "/root/testdata/sf0.01"
 
 
@@ -25,5 +27,5 @@ def duck():
     from tools.compare import TABLES
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_CHECK}/{t}.parquet')")
     return con

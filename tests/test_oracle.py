@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as se
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK
 from tools.compare import canon
 
 QUERIES = se.queries()
@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_CHECK)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
     res = duck.execute(ORACLE[name])
     want = canon([d[0] for d in res.description], res.fetchall())
