@@ -70,7 +70,11 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("out")
         s.add_argument("--checkpoint", required=True, help="shared checkpoint folder")
         s.add_argument("--replay", action="store_true")
+        s.add_argument("--max-files-per-trigger", type=int,
+                       help="bound each micro-batch when reading files")
         if name == "ingest":
+            s.add_argument("--max-offsets-per-trigger", type=int,
+                           help="bound each micro-batch when reading Kafka")
             s.add_argument("--kafka-servers", help="bootstrap servers; files when omitted")
             s.add_argument("--dead-letter")
         if name == "recent":
@@ -103,24 +107,30 @@ def main(argv: list[str] | None = None) -> int:
         from ledgerline.schemas import TICK_SPLIT_SCHEMA
         from ledgerline.streaming import ticks as st
         trig = _trigger(args)
+        file_opts = ({"maxFilesPerTrigger": str(args.max_files_per_trigger)}
+                     if args.max_files_per_trigger else {})
         queries = []
         if args.cmd == "ingest":
             kafka = {"kafka.bootstrap.servers": args.kafka_servers} if args.kafka_servers else None
+            if kafka and args.max_offsets_per_trigger:
+                kafka["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
             fmt = "kafka" if kafka else "files"
-            queries.append(st.ingest_ticks(st.message_stream(spark, args.source, fmt, kafka),
+            opts = kafka if kafka else file_opts
+            queries.append(st.ingest_ticks(st.message_stream(spark, args.source, fmt, opts),
                                            args.out, f"{args.checkpoint}/ingest", trig))
             if args.dead_letter:
                 queries.append(st.dead_letter_messages(
-                    st.message_stream(spark, args.source, fmt, kafka), args.dead_letter,
+                    st.message_stream(spark, args.source, fmt, opts), args.dead_letter,
                     f"{args.checkpoint}/dead_letter", trig))
         elif args.cmd == "recent":
-            queries.append(st.recent_append(st.response_stream(spark, args.source), args.out,
+            queries.append(st.recent_append(st.response_stream(spark, args.source, file_opts), args.out,
                                             f"{args.checkpoint}/recent", args.n, trig))
         else:
-            ticks = st.tick_file_stream(spark, args.source, TICK_SPLIT_SCHEMA)
+            ticks = st.tick_file_stream(spark, args.source, TICK_SPLIT_SCHEMA, file_opts)
             queries.append(st.daily_ohlcv_stream(ticks, f"{args.out}/daily_ohlcv",
                                                  f"{args.checkpoint}/daily_ohlcv", args.delay, trig))
-            queries.append(st.latest_tick_stream(st.tick_file_stream(spark, args.source, TICK_SPLIT_SCHEMA),
+            queries.append(st.latest_tick_stream(st.tick_file_stream(spark, args.source,
+                                                                     TICK_SPLIT_SCHEMA, file_opts),
                                                  f"{args.out}/latest_tick",
                                                  f"{args.checkpoint}/latest_tick", trig))
         for q in queries:

@@ -24,7 +24,7 @@ def test_ingest_command_replays_topic_files(spark):
     topic = landing.land_messages(ticks, fresh_dir(spark, "cli-topic"))
     out = fresh_dir(spark, "cli-ingest")
     assert cli.main(["ingest", topic, f"{out}/table", "--checkpoint", f"{out}/_ck",
-                     "--dead-letter", f"{out}/dlq", "--replay"]) == 0
+                     "--dead-letter", f"{out}/dlq", "--replay", "--max-files-per-trigger", "1"]) == 0
     assert spark.read.parquet(f"{out}/table").count() == ticks.count()
     assert spark.read.parquet(f"{out}/dlq").count() == 0
 
