@@ -133,8 +133,15 @@ def main(argv: list[str] | None = None) -> int:
                                                                      TICK_SPLIT_SCHEMA, file_opts),
                                                  f"{args.out}/latest_tick",
                                                  f"{args.checkpoint}/latest_tick", trig))
-        for q in queries:
-            st.run_to_end(q)
+        if args.replay:
+            for q in queries:
+                st.run_to_end(q)
+        else:
+            # Live: return (with the error) as soon as any of the queries stops.
+            spark.streams.awaitAnyTermination()
+            for q in queries:
+                if q.exception():
+                    raise q.exception()
     return 0
 
 
