@@ -28,9 +28,6 @@ NOTICE_KEYS = ("Note", "Information", "Error Message")
 # Series keys are 'yyyy-MM-dd HH:mm:ss'; an optional fraction is accepted so
 # sub-second bars keep distinct keys.
 SERIES_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
-# ISO form used in tick messages (fraction written only when non-zero).
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Accepted on decode: 'T' or a space between date and time, optional fraction.
 ISO_PARSE = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS]"
 
@@ -129,9 +126,18 @@ def require_series(parsed: DataFrame, series_key: str = SERIES_KEY_1MIN) -> Data
 
 
 def iso_timestamp(ts: Column) -> Column:
-    """Naive timestamp -> ISO-8601 text, fraction only when non-zero."""
-    whole_second = F.date_part(F.lit("SECOND"), ts) == F.floor(F.date_part(F.lit("SECOND"), ts))
-    return F.when(whole_second, F.date_format(ts, ISO_SECONDS)).otherwise(F.date_format(ts, ISO_MICROS))
+    """Naive timestamp -> ISO-8601 text ('yyyy-MM-ddTHH:mm:ss', plus a
+    6-digit fraction only when non-zero).
+
+    Built from the value's string form, which does not pass through the
+    session time zone (``date_format`` would move a wall-clock time inside a
+    daylight-saving gap).
+    """
+    text = ts.cast("string")
+    micros = (F.date_part(F.lit("SECOND"), ts) * 1_000_000 % 1_000_000).cast("int")
+    fraction = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8),
+                    F.coalesce(fraction, F.lit("")))
 
 
 def encode_tick_messages(ticks: DataFrame) -> DataFrame:

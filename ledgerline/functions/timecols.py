@@ -6,16 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def naive_time_of_day(ts: Column) -> Column:
+    """'HH:mm:ss' of a naive timestamp.  Taken from its string form, which
+    (unlike ``date_format``) does not pass through the session time zone, so
+    a wall-clock time inside a daylight-saving gap is kept as written."""
+    return F.substring(ts.cast("string"), 12, 8)
+
+
 def split_date_time(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """Add ``date`` (calendar day) and ``time`` ('HH:mm:ss') after ``ts_col``."""
+    naive = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    time_of_day = (naive_time_of_day(F.col(ts_col)) if naive
+                   else F.date_format(ts_col, "HH:mm:ss"))
     cols = []
     for c in df.columns:
         if c in ("date", "time"):
             continue
         cols.append(F.col(c))
         if c == ts_col:
-            cols += [F.to_date(ts_col).alias("date"),
-                     F.date_format(ts_col, "HH:mm:ss").alias("time")]
+            cols += [F.to_date(ts_col).alias("date"), time_of_day.alias("time")]
     return df.select(*cols)
 
 

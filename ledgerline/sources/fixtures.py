@@ -22,6 +22,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.timecols import naive_time_of_day
 from ledgerline.schemas import RAW_TABLES
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -73,7 +74,7 @@ class FixtureSources:
     def _ticks(self, *extra: str) -> DataFrame:
         return self.ev.select(
             "symbol", F.col("ts").alias("timestamp"), F.col("d").alias("date"),
-            F.date_format("ts", "HH:mm:ss").alias("time"),
+            naive_time_of_day(F.col("ts")).alias("time"),
             F.col("value").alias("open"), (F.col("value") + 1.0).alias("high"),
             (F.col("value") - 1.0).alias("low"), (F.col("value") + 0.25).alias("close"),
             F.col("k").alias("volume"), *extra)

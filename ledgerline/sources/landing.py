@@ -44,7 +44,8 @@ def response_records(ticks: DataFrame) -> DataFrame:
     metrics = F.when(F.col("event_type") == "view",
                      F.map_filter(metrics, lambda k, v: k != F.lit(METRIC_KEYS["volume"]))
                      ).otherwise(metrics)
-    bar_key = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    # 'yyyy-MM-dd HH:mm:ss[.ffffff]': the naive value's own string form.
+    bar_key = F.col("timestamp").cast("string")
     blocks = (ticks
               .withColumn("request_id", F.floor(F.col("event_id") / RESPONSE_BLOCK).cast("bigint"))
               .groupBy("symbol", "request_id")

@@ -313,3 +313,14 @@ def test_strict_mode_raises_on_missing_series(spark):
     assert require_series(ok) is ok
     with pytest.raises(ValueError, match="note"):
         require_series(_responses(spark, [json.dumps({"Note": "slow down"})]))
+
+
+def test_time_strings_ignore_session_time_zone(spark):
+    from ledgerline.functions.json_codec import iso_timestamp
+    df = spark.createDataFrame([("A", T(2024, 3, 10, 2, 30, 0, 250))], "symbol string, timestamp timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = split_date_time(df).select("*", iso_timestamp(F.col("timestamp")).alias("iso")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.date, r.time, r.iso) == (dt.date(2024, 3, 10), "02:30:00", "2024-03-10T02:30:00.000250")
