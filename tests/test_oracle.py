@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as se
 from tests.conftest import SF_CHECK
-from tools.compare import canon
+from tools.compare import canon, spark_types
 
 QUERIES = se.queries()
 ORACLE = se.oracle_sql()
@@ -23,6 +23,8 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_CHECK)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
+    rel = duck.sql(ORACLE[name])
+    assert spark_types(df) == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(ORACLE[name])
     want = canon([d[0] for d in res.description], res.fetchall())
     assert got[0] == want[0]
