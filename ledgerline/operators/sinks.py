@@ -46,9 +46,19 @@ def append_sink(df: DataFrame, target: str, fmt: str = "parquet",
     return write_table(df, target, "append", fmt, options)
 
 
-def truncate_load(df: DataFrame, target: str, truncate: bool = True, fmt: str = "parquet") -> int:
-    """Replace the table's contents (``truncate=True``) or append to them."""
-    return write_table(df, target, "overwrite" if truncate else "append", fmt)
+def truncate_load(df: DataFrame, target: str, truncate: bool = True, fmt: str = "parquet",
+                  export_root: str | None = None) -> int:
+    """Replace the table's contents (``truncate=True``) or append to them.
+
+    With ``export_root`` the loaded rows are also exported (best effort) as
+    the Parquet dataset ``<export_root>/<table>``, replaced on every load.
+    It is a directory of part files written in parallel, not a single file:
+    one file would mean funnelling the table through one task.
+    """
+    n = write_table(df, target, "overwrite" if truncate else "append", fmt)
+    if export_root:
+        parquet_export(df, export_root, target.rstrip("/").rsplit("/", 1)[-1], mode="overwrite")
+    return n
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

@@ -178,9 +178,10 @@ def q_schema_append(spark, sf_dir):
 def q_truncate_load(spark, sf_dir):
     df = fixture_warehouse(spark, sf_dir).source("test_sentiment")
     target = fresh_dir(spark, "truncate") + "/test_sentiment"
+    export = fresh_dir(spark, "truncate-export")
     sinks.truncate_load(df, target, truncate=True)
-    sinks.truncate_load(df, target, truncate=True)   # replaced, not doubled
-    sinks.truncate_load(df, target, truncate=False)  # appended
+    sinks.truncate_load(df, target, truncate=True, export_root=export)   # replaced, not doubled
+    sinks.truncate_load(df, target, truncate=False)                      # appended
     return spark.read.parquet(target)
 
 

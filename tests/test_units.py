@@ -324,3 +324,16 @@ def test_time_strings_ignore_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (r.date, r.time, r.iso) == (dt.date(2024, 3, 10), "02:30:00", "2024-03-10T02:30:00.000250")
+
+
+def test_truncate_load_replaces_and_exports(spark):
+    from ledgerline.operators import sinks
+    from ledgerline.session import fresh_dir
+    df = fixture_warehouse(spark, SF_SMALL).source("test_vix")
+    root = fresh_dir(spark, "tl")
+    for _ in range(2):
+        assert sinks.truncate_load(df, f"{root}/test_vix", export_root=f"{root}/export") == 30
+    assert spark.read.parquet(f"{root}/test_vix").count() == 30
+    assert spark.read.parquet(f"{root}/export/test_vix").count() == 30
+    sinks.truncate_load(df, f"{root}/test_vix", truncate=False)
+    assert spark.read.parquet(f"{root}/test_vix").count() == 60
