@@ -186,14 +186,20 @@ def recent_append(responses: DataFrame, table_path: str, checkpoint: str, n: int
 
 # -- T-6: live daily OHLCV -------------------------------------------------------
 def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
-                       delay: str = "1 day", trigger: Mapping = REPLAY) -> StreamingQuery:
+                       delay: str = "1 day", trigger: Mapping = REPLAY,
+                       output: str = "changelog") -> StreamingQuery:
     """Daily OHLCV per symbol kept up to date as ticks arrive.
 
     Event time is the tick timestamp; state for a (symbol, day) is dropped
     once the watermark passes the end of the day plus ``delay``, so ticks
     later than that are not counted (the batch model stays the ground
-    truth).  Update mode writes the changed groups of each batch to a
-    changelog; ``read_changelog(..., ["symbol", "date"])`` gives the table.
+    truth).
+
+    ``output="changelog"`` (update mode) writes the changed groups of each
+    batch; ``read_changelog(..., ["symbol", "date"])`` gives the table,
+    including days still open.  ``output="closed"`` (append mode) writes
+    each (symbol, day) exactly once, when the watermark closes it, to an
+    exactly-once Parquet file sink: final bars only, readable directly.
     """
     naive = ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
     ord_key = tick_order_key("timestamp", naive)
@@ -210,6 +216,10 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                 F.sum("volume").alias("volume"))
            .select("symbol", day_of.alias("date"),
                    "open", "high", "low", "close", "volume"))
+    if output == "closed":
+        apply_streaming_state_conf(agg.sparkSession)
+        return _start(agg, checkpoint, trigger, format="parquet", outputMode="append",
+                      path=changelog_path)
     return _changelog(agg, changelog_path, checkpoint, trigger)
 
 

@@ -48,3 +48,25 @@ def test_restart_from_checkpoint_adds_no_duplicates(spark):
     table = st.read_batches(spark, f"{out}/table")
     assert table.count() == ticks.count()
     assert spark.read.json(f"{out}/topic").count() == ticks.count()
+
+
+def test_closed_days_are_emitted_once_in_append_mode(spark):
+    ticks, path = _landed_in_time_slices(spark, 6)
+    # A 40-day delay on 30 days of data: the watermark never closes a day.
+    out = fresh_dir(spark, "closed-days")
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "1"})
+    st.run_to_end(st.daily_ohlcv_stream(src, f"{out}/closed", f"{out}/_ck", delay="40 days",
+                                        output="closed"))
+    # No delay: once the watermark reaches the last tick, every day but the
+    # last is closed and emitted exactly once, equal to the batch model.
+    out2 = fresh_dir(spark, "closed-days-2")
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA)
+    st.run_to_end(st.daily_ohlcv_stream(src, f"{out2}/closed", f"{out2}/_ck", delay="0 seconds",
+                                        output="closed"))
+    closed = spark.read.parquet(f"{out2}/closed")
+    want = fixture_warehouse(spark, SF_SMALL).ref("int_daily_stock_summary")
+    last_day = want.agg({"date": "max"}).first()[0]
+    full = want.where(want.date < last_day)
+    assert closed.count() == full.count()
+    assert closed.exceptAll(full.select(*closed.columns)).count() == 0
+    assert spark.read.parquet(f"{out}/closed").count() == 0
