@@ -81,6 +81,8 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("-n", type=int, default=5)
         if name == "live-rollup":
             s.add_argument("--delay", default="1 day")
+            s.add_argument("--daily-output", choices=("changelog", "closed"), default="changelog",
+                           help="changelog: every update; closed: final bars once per day")
 
     args = p.parse_args(argv)
     spark = build_session(args.master, args.shuffle_partitions)
@@ -128,7 +130,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             ticks = st.tick_file_stream(spark, args.source, TICK_SPLIT_SCHEMA, file_opts)
             queries.append(st.daily_ohlcv_stream(ticks, f"{args.out}/daily_ohlcv",
-                                                 f"{args.checkpoint}/daily_ohlcv", args.delay, trig))
+                                                 f"{args.checkpoint}/daily_ohlcv", args.delay, trig,
+                                                 output=args.daily_output))
             queries.append(st.latest_tick_stream(st.tick_file_stream(spark, args.source,
                                                                      TICK_SPLIT_SCHEMA, file_opts),
                                                  f"{args.out}/latest_tick",
