@@ -58,3 +58,34 @@ def test_daily_ohlcv_matches_brute_force(spark, rows):
         r = got[key]
         assert r.open in opens and r.close in closes
         assert (r.high, r.low, r.volume) == (hi, lo, vol)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.datetimes(min_value=dt.datetime(1960, 1, 1), max_value=dt.datetime(2100, 1, 1)),
+                min_size=1, max_size=40))
+def test_naive_time_functions_match_python_in_any_session_zone(spark, stamps):
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.json_codec import iso_timestamp, series_time
+    from ledgerline.functions.timecols import floor_to_interval, naive_epoch_micros, split_date_time
+    df = spark.createDataFrame([("A", t) for t in stamps], "symbol string, timestamp timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = (split_date_time(df)
+                .select("timestamp", "date", "time",
+                        iso_timestamp(F.col("timestamp")).alias("iso"),
+                        naive_epoch_micros(F.col("timestamp")).alias("micros"),
+                        floor_to_interval(F.col("timestamp"), 5).alias("floor"),
+                        series_time(F.col("timestamp").cast("string")).alias("reparsed"))
+                .collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = dt.datetime(1970, 1, 1)
+    for r in rows:
+        t = r.timestamp
+        micros = (t - epoch) // dt.timedelta(microseconds=1)
+        assert r.iso == t.isoformat()
+        assert r.micros == micros
+        assert r.floor == epoch + dt.timedelta(microseconds=micros - micros % 300_000_000)
+        assert (r.date, r.time) == (t.date(), t.strftime("%H:%M:%S"))
+        assert r.reparsed == t
