@@ -89,3 +89,42 @@ def test_naive_time_functions_match_python_in_any_session_zone(spark, stamps):
         assert r.floor == epoch + dt.timedelta(microseconds=micros - micros % 300_000_000)
         assert (r.date, r.time) == (t.date(), t.strftime("%H:%M:%S"))
         assert r.reparsed == t
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 10_000)),
+                min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1])),
+       st.integers(1, 6))
+def test_newest_per_key_matches_brute_force(spark, rows, n):
+    from ledgerline.operators.topk import latest_per_key, newest_per_key
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(s, base + dt.timedelta(seconds=x), float(x)) for s, x in rows],
+                               "symbol string, timestamp timestamp_ntz, close double")
+    got = sorted((r.symbol, r.close) for r in newest_per_key(df, "symbol", n).collect())
+    want = []
+    for sym in {s for s, _ in rows}:
+        xs = sorted((x for s, x in rows if s == sym), reverse=True)[:n]
+        want += [(sym, float(x)) for x in xs]
+    assert got == sorted(want)
+    latest = {r.symbol: r.close for r in latest_per_key(df, "symbol", "timestamp", ["close"]).collect()}
+    assert latest == {sym: float(max(x for s, x in rows if s == sym)) for sym in {s for s, _ in rows}}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["A", "B", "C"])),
+                          st.one_of(st.none(), st.integers(1, 3))), min_size=1, max_size=30))
+def test_quality_checks_match_brute_force(spark, rows):
+    from collections import Counter
+
+    from ledgerline.operators import quality
+    from ledgerline.sources.catalog import Warehouse
+    df = spark.createDataFrame(rows, "k string, d int")
+    wh = Warehouse(spark, lambda n: df, models={"m": lambda w: df})
+    checks = [quality.Check("n", "not_null", "m", ("k",)), quality.Check("n2", "not_null", "m", ("d",)),
+              quality.Check("u", "unique", "m", ("k",)),
+              quality.Check("c", "unique_combination", "m", ("k", "d"))]
+    got = {r.test_id: r.failures for r in quality.run_checks(wh, checks).collect()}
+    keys = Counter(k for k, _ in rows if k is not None)
+    pairs = Counter(rows)
+    assert got == {"n": sum(k is None for k, _ in rows), "n2": sum(d is None for _, d in rows),
+                   "u": sum(c > 1 for c in keys.values()), "c": sum(c > 1 for c in pairs.values())}
