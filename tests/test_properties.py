@@ -128,3 +128,29 @@ def test_quality_checks_match_brute_force(spark, rows):
     pairs = Counter(rows)
     assert got == {"n": sum(k is None for k, _ in rows), "n2": sum(d is None for _, d in rows),
                    "u": sum(c > 1 for c in keys.values()), "c": sum(c > 1 for c in pairs.values())}
+
+
+_bar = st.fixed_dictionaries({}, optional={
+    "1. open": st.floats(0, 1e4, allow_nan=False).map(lambda x: f"{x:.4f}"),
+    "2. high": st.floats(0, 1e4, allow_nan=False).map(lambda x: f"{x:.4f}"),
+    "3. low": st.floats(0, 1e4, allow_nan=False).map(lambda x: f"{x:.4f}"),
+    "4. close": st.floats(0, 1e4, allow_nan=False).map(lambda x: f"{x:.4f}"),
+    "5. volume": st.integers(0, 10**9).map(str)})
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.datetimes(min_value=dt.datetime(2020, 1, 1), max_value=dt.datetime(2030, 1, 1))
+                       .map(lambda t: t.replace(microsecond=0).strftime("%Y-%m-%d %H:%M:%S")),
+                       _bar, min_size=1, max_size=20))
+def test_intraday_parse_matches_python(spark, series):
+    import json
+
+    from ledgerline.functions.json_codec import intraday_rows, parse_response_bodies
+    body = json.dumps({"Meta Data": {"2. Symbol": "AAA"}, "Time Series (1min)": series})
+    df = spark.createDataFrame([("AAA", 1, body)], "symbol string, request_id bigint, body string")
+    got = sorted(tuple(r) for r in intraday_rows(parse_response_bodies(df)).collect())
+    want = sorted(("AAA", dt.datetime.strptime(k, "%Y-%m-%d %H:%M:%S"),
+                   float(v.get("1. open", 0)), float(v.get("2. high", 0)), float(v.get("3. low", 0)),
+                   float(v.get("4. close", 0)), int(float(v.get("5. volume", 0))))
+                  for k, v in series.items())
+    assert got == want
