@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.schemas import TICK_MESSAGE_SCHEMA
 
-# Fixed values of the intraday price API (series key and metric names).
+# Fixed values of the intraday price API responses (must match the API):
+# the series key of 1-minute bars, the metric keys of a bar, and the
+# top-level keys of a body that carries no series (throttling / errors).
 SERIES_KEY_1MIN = "Time Series (1min)"
+METRIC_KEYS = {"open": "1. open", "high": "2. high", "low": "3. low",
+               "close": "4. close", "volume": "5. volume"}
+NOTICE_KEYS = ("Note", "Information", "Error Message")
 
 
 def series_key(interval: str = "1min") -> str:
@@ -20,11 +25,6 @@ def series_key(interval: str = "1min") -> str:
     return f"Time Series ({interval})"
 
 
-METRIC_KEYS = {"open": "1. open", "high": "2. high", "low": "3. low",
-               "close": "4. close", "volume": "5. volume"}
-# Top-level keys of a body that carries no series (throttling / errors).
-NOTICE_KEYS = ("Note", "Information", "Error Message")
-
 # Series keys are 'yyyy-MM-dd HH:mm:ss'; an optional fraction is accepted so
 # sub-second bars keep distinct keys.
 SERIES_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+# The characters a warehouse identifier may contain; anything
+# else becomes '_', and runs of '_' collapse to one.
 _INVALID = re.compile(r"[^0-9A-Za-z_]")
 _RUNS = re.compile(r"_{2,}")
 

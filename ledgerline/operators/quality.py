@@ -27,7 +27,8 @@ class Check:
     columns: tuple[str, ...]
 
 
-# The declared checks (test id, kind, model, columns).
+# The declared data-quality checks (test id, kind, model,
+# columns), in declaration order.
 CHECKS = (
     Check("D-1", "not_null", "stg_streaming_stock_data", ("symbol",)),
     Check("D-2", "not_null", "stg_streaming_stock_data", ("timestamp",)),
