@@ -133,11 +133,11 @@ def iso_timestamp(ts: Column) -> Column:
     session time zone (``date_format`` would move a wall-clock time inside a
     daylight-saving gap).
     """
+    # The string form is 'yyyy-MM-dd HH:mm:ss[.f]' with trailing zeros of the
+    # fraction trimmed: swap in the 'T' and right-pad a fraction to 6 digits.
     text = ts.cast("string")
-    micros = (F.date_part(F.lit("SECOND"), ts) * 1_000_000 % 1_000_000).cast("int")
-    fraction = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
-    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8),
-                    F.coalesce(fraction, F.lit("")))
+    iso = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 15))
+    return F.when(F.length(text) > 19, F.rpad(iso, 26, "0")).otherwise(iso)
 
 
 def encode_tick_messages(ticks: DataFrame) -> DataFrame:
