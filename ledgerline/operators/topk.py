@@ -19,7 +19,13 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: str | Column,
     with the same comparison, so they pick the same row.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order_c = F.col(order) if isinstance(order, str) else order
+    if isinstance(order, str) and df.schema[order].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        # NULL timestamps rank lowest (DESC ... NULLS LAST), so a key whose
+        # rows all lack a timestamp still yields one of its rows.
+        from ledgerline.operators.rollup import tick_order_key
+        order_c = tick_order_key(order, df.schema[order].dataType.typeName() == "timestamp_ntz")
+    else:
+        order_c = F.col(order) if isinstance(order, str) else order
     return (df.groupBy(*keys)
             .agg(*[F.max_by(c, order_c).alias(c) for c in cols]))
 

@@ -226,8 +226,9 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
 # -- T-7: live latest tick per symbol ------------------------------------------
 def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                        trigger: Mapping = REPLAY) -> StreamingQuery:
-    """Latest close/volume per symbol; state is one row per symbol."""
-    ord_key = F.col("timestamp")
+    """Latest close/volume per symbol; state is one row per symbol.  Ticks
+    without a timestamp rank lowest, as in the batch model."""
+    ord_key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
     agg = (ticks.groupBy("symbol")
            .agg(F.max_by("close", ord_key).alias("last_close"),
                 F.max_by("volume", ord_key).alias("last_volume")))

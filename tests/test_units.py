@@ -356,3 +356,10 @@ def test_models_from_stored_raw_tables_equal_fixture_models(spark):
             got, want = wh.ref(m), fx.ref(m)
             assert got.count() == want.count()
             assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_latest_per_key_ranks_null_timestamps_last(spark):
+    rows = [("A", None, 1.0), ("A", T(2024, 1, 1), 2.0), ("B", None, 3.0)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, close double")
+    got = {r.symbol: r.close for r in latest_per_key(df, "symbol", "timestamp", ["close"]).collect()}
+    assert got == {"A": 2.0, "B": 3.0}
