@@ -11,8 +11,7 @@ Shared derivation ``ev``: ``symbol = 'NATION_' || (user_id % 25)``,
 Scale notes: every aggregate adapter is a map-side partial aggregate followed
 by one shuffle on its grain; the only joins are against ``nation``/``region``
 (25 and 5 rows, planned as broadcast by Catalyst's size estimate) and the
-``orders`` ⋈ ``customer`` join, which pre-aggregates orders per
-(customer, year) before shuffling.
+``orders`` ⋈ ``customer`` join, aggregated to (year, nation) after the join.
 """
 
 from __future__ import annotations
@@ -199,16 +198,19 @@ class FixtureSources:
             F.col("k").alias("Volume"))
 
     def global_economy_indicators(self) -> DataFrame:
-        orders = self.table("orders")
-        # Pre-aggregate orders per (customer, year) before the big join.
-        per_cust = (orders.groupBy("o_custkey", F.year("o_orderdate").alias("oy"))
-                    .agg(F.max("o_totalprice").alias("gdp")))
+        # Join first, then aggregate to (year, nation): orders cross at most
+        # one shuffle (on the customer key, or none when Catalyst broadcasts
+        # a small customer table) and the aggregate's partial step leaves
+        # one row per (year, nation) per task.  Pre-aggregating per
+        # (customer, year) would shuffle twice (once per grouping, once per
+        # join key).
+        orders = self.table("orders").select("o_custkey", "o_orderdate", "o_totalprice")
         cust = self.table("customer").select("c_custkey", "c_nationkey")
         nation = self.table("nation").select("n_nationkey", "n_name")
-        return (per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
+        return (orders.join(cust, orders.o_custkey == cust.c_custkey)
                 .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-                .groupBy((F.col("oy") + 25).alias("Year"), F.col("n_name").alias("Country"))
-                .agg(F.max("gdp").alias("Gross_Domestic_Product_GDP")))
+                .groupBy((F.year("o_orderdate") + 25).alias("Year"), F.col("n_name").alias("Country"))
+                .agg(F.max("o_totalprice").alias("Gross_Domestic_Product_GDP")))
 
     # -- resolver ------------------------------------------------------------
     # Raw tables plus the tick-with-event-type feed used by the landing fixtures.
