@@ -11,7 +11,8 @@ committed batch:
   ``batch_id=<n>`` directory with overwrite, so a replayed batch replaces
   its own output instead of duplicating it;
 * aggregations run in update mode and write a changelog; readers take the
-  newest version of each key (``read_changelog``).
+  newest version of each key (``read_changelog``), and ``compact_changelog``
+  folds the batches so far into a snapshot so reads stay bounded.
 
 Triggers: ``{"availableNow": True}`` drains what is there and stops
 (replays, tests); ``{"processingTime": "5 minutes"}`` is the live cadence.
@@ -19,8 +20,11 @@ Triggers: ``{"availableNow": True}`` drains what is there and stops
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -111,12 +115,66 @@ def read_batches(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(root).drop("batch_id")
 
 
+SNAPSHOTS = "_snapshots"  # leading '_': hidden from the batch_id=<n> listing
+
+
+def _ids_in(spark: SparkSession, path: str, part: str) -> set[int]:
+    """Values of a ``part=<n>`` folder level under ``path``, from the file
+    listing (``inputFiles``: driver-side, no job)."""
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException:
+        return set()
+    return {int(m.group(1)) for f in files if (m := re.search(rf"/{part}=(\d+)/", f))}
+
+
+def _state_rows(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Changelog rows (with ``batch_id``) from the newest snapshot onwards,
+    optionally only up to batch ``upto``."""
+    root = root.rstrip("/")
+    log = spark.read.parquet(root)
+    if upto is not None:
+        log = log.where(F.col("batch_id") <= upto)
+    snaps = [i for i in _ids_in(spark, f"{root}/{SNAPSHOTS}", "upto") if upto is None or i <= upto]
+    if not snaps:
+        return log
+    last = max(snaps)
+    snap = (spark.read.parquet(f"{root}/{SNAPSHOTS}/upto={last}")
+            .withColumn("batch_id", F.lit(last).cast(log.schema["batch_id"].dataType)))
+    return snap.unionByName(log.where(F.col("batch_id") > last))
+
+
+def _current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+
+
 def read_changelog(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Current state of an update-mode changelog: per key, the row of the
-    newest batch (a partial aggregate; one candidate per key per task)."""
-    log = spark.read.parquet(root)
-    values = [c for c in log.columns if c not in (*keys, "batch_id")]
-    return log.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    newest batch (a partial aggregate; one candidate per key per task).
+
+    After ``compact_changelog`` the read starts from the newest snapshot
+    and adds only the batches written after it.
+    """
+    return _current(_state_rows(spark, root), keys)
+
+
+def compact_changelog(spark: SparkSession, root: str, keys: Sequence[str]) -> int | None:
+    """Fold every batch present so far into a snapshot, so readers stop
+    scanning older batches; returns the snapshot's batch id.
+
+    Safe while the stream keeps writing: only batches already listed are
+    folded in, and newer ones are read on top of the snapshot.  Older batch
+    folders can then be expired by storage policy.
+    """
+    root = root.rstrip("/")
+    batches = _ids_in(spark, root, "batch_id")
+    if not batches:
+        return None
+    upto = max(batches)
+    (_current(_state_rows(spark, root, upto), keys)
+     .write.mode("overwrite").parquet(f"{root}/{SNAPSHOTS}/upto={upto}"))
+    return upto
 
 
 def run_to_end(q: StreamingQuery) -> None:

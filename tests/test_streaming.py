@@ -1,5 +1,7 @@
 """Streaming results equal the batch models when data arrives over many
 micro-batches."""
+import re
+
 from ledgerline.plans.queries import fixture_warehouse
 from ledgerline.schemas import TICK_SPLIT_SCHEMA
 from ledgerline.session import fresh_dir
@@ -70,3 +72,20 @@ def test_closed_days_are_emitted_once_in_append_mode(spark):
     assert closed.count() == full.count()
     assert closed.exceptAll(full.select(*closed.columns)).count() == 0
     assert spark.read.parquet(f"{out}/closed").count() == 0
+
+
+def test_changelog_compaction_keeps_the_state(spark):
+    ticks, path = _landed_in_time_slices(spark, 6)
+    out = fresh_dir(spark, "compact")
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "2"})
+    st.run_to_end(st.daily_ohlcv_stream(src, f"{out}/cl", f"{out}/_ck", delay="40 days"))
+    before = st.read_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    upto = st.compact_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    assert upto is not None and upto >= 2
+    after = st.read_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    assert after.count() == before.count()
+    assert after.exceptAll(before.select(*after.columns)).count() == 0
+    # The compacted read scans the snapshot and prunes the older batch folders.
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # the snapshot + the newer batches
+    assert re.search(rf"PartitionFilters: \[[^\]]*batch_id#\d+ > {upto}\)", plan)
