@@ -7,6 +7,7 @@ Commands
   ingest       stream keyed tick messages (Kafka topic or message files) into a table
   recent       stream landed API responses; append the newest N bars per symbol
   live-rollup  keep the daily OHLCV and latest-tick changelogs up to date
+  compact      fold a live-rollup changelog into a snapshot (bounded reads)
 
 Raw tables are read from --raw (``<raw>/<table>`` in --raw-format) or, with
 --fixtures <sf_dir>, derived from the driver tables.  Streams default to the
@@ -64,6 +65,10 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--export-root")
     c.add_argument("--strict", action="store_true")
 
+    k = sub.add_parser("compact")
+    k.add_argument("changelog", help="e.g. <live-rollup out>/daily_ohlcv")
+    k.add_argument("--keys", nargs="+", default=["symbol", "date"])
+
     for name in ("ingest", "recent", "live-rollup"):
         s = sub.add_parser(name)
         s.add_argument("source", help="topic name, or folder of message / response / tick files")
@@ -99,6 +104,9 @@ def main(argv: list[str] | None = None) -> int:
         rows = [r.asDict() for r in res.collect()]  # one row per check
         print(json.dumps(rows))
         return 1 if any(r["failures"] for r in rows) else 0
+    elif args.cmd == "compact":
+        from ledgerline.streaming.ticks import compact_changelog
+        print(json.dumps({"snapshot_upto": compact_changelog(spark, args.changelog, args.keys)}))
     elif args.cmd == "load-csv":
         from ledgerline.operators.sinks import static_load
         from ledgerline.sources.files import csv_dir_scan

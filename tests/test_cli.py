@@ -47,3 +47,5 @@ def test_recent_and_live_rollup_commands(spark):
     daily = st.read_changelog(spark, f"{live}/daily_ohlcv", ["symbol", "date"])
     assert daily.count() == wh.ref("int_daily_stock_summary").count()
     assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
+    assert cli.main(["compact", f"{live}/latest_tick", "--keys", "symbol"]) == 0
+    assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
