@@ -7,7 +7,8 @@ Commands
   ingest       stream keyed tick messages (Kafka topic or message files) into a table
   recent       stream landed API responses; append the newest N bars per symbol
   live-rollup  keep the daily OHLCV and latest-tick changelogs up to date
-  compact      fold a live-rollup changelog into a snapshot (bounded reads)
+  compact      fold a live-rollup changelog into a snapshot, or merge the
+               per-batch folders of a recent / dual-sink table (bounded reads)
 
 Raw tables are read from --raw (``<raw>/<table>`` in --raw-format) or, with
 --fixtures <sf_dir>, derived from the driver tables.  Streams default to the
@@ -66,8 +67,9 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--strict", action="store_true")
 
     k = sub.add_parser("compact")
-    k.add_argument("changelog", help="e.g. <live-rollup out>/daily_ohlcv")
-    k.add_argument("--keys", nargs="+", default=["symbol", "date"])
+    k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
+    k.add_argument("--keys", nargs="+", default=["symbol", "date"], help="changelog keys")
+    k.add_argument("--batches", action="store_true", help="root is an append-only batch table")
 
     for name in ("ingest", "recent", "live-rollup"):
         s = sub.add_parser(name)
@@ -105,8 +107,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(rows))
         return 1 if any(r["failures"] for r in rows) else 0
     elif args.cmd == "compact":
-        from ledgerline.streaming.ticks import compact_changelog
-        print(json.dumps({"snapshot_upto": compact_changelog(spark, args.changelog, args.keys)}))
+        from ledgerline.streaming.ticks import compact_batches, compact_changelog
+        upto = (compact_batches(spark, args.root) if args.batches
+                else compact_changelog(spark, args.root, args.keys))
+        print(json.dumps({"compacted_upto": upto}))
     elif args.cmd == "load-csv":
         from ledgerline.operators.sinks import static_load
         from ledgerline.sources.files import csv_dir_scan

@@ -110,9 +110,49 @@ def idempotent_batch_writer(write: Callable[[DataFrame, int], None]):
     return run
 
 
-def read_batches(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """All rows written by a ``batch_id=<n>`` writer (without the batch id)."""
-    return spark.read.format(fmt).load(root).drop("batch_id")
+COMPACTED = "_compacted"  # leading '_': hidden from the batch_id=<n> listing
+
+
+def _batch_rows(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Rows of the batches (optionally only up to ``upto``), starting from
+    the newest compacted part; older batch folders are pruned by the
+    ``batch_id`` partition filter."""
+    root = root.rstrip("/")
+    rows = spark.read.parquet(root)
+    if upto is not None:
+        rows = rows.where(F.col("batch_id") <= upto)
+    done = [i for i in _ids_in(spark, f"{root}/{COMPACTED}", "upto") if upto is None or i <= upto]
+    if not done:
+        return rows.drop("batch_id")
+    last = max(done)
+    return (spark.read.parquet(f"{root}/{COMPACTED}/upto={last}")
+            .unionByName(rows.where(F.col("batch_id") > last).drop("batch_id")))
+
+
+def read_batches(spark: SparkSession, root: str) -> DataFrame:
+    """All rows written by a ``batch_id=<n>`` writer (without the batch id);
+    after ``compact_batches``, the compacted part plus newer batches."""
+    return _batch_rows(spark, root)
+
+
+def compact_batches(spark: SparkSession, root: str, rows_per_file: int = 5_000_000) -> int | None:
+    """Merge the per-batch folders written so far (and any earlier compacted
+    part) into ``_compacted/upto=<n>`` with fewer, larger files; returns n.
+
+    The stream may keep writing meanwhile: newer batches are read on top of
+    the compacted part.  Older folders can then be expired by storage policy.
+    """
+    root = root.rstrip("/")
+    batches = _ids_in(spark, root, "batch_id")
+    if not batches:
+        return None
+    upto = max(batches)
+    files = len(spark.read.parquet(root).inputFiles())
+    (_batch_rows(spark, root, upto)
+     .coalesce(max(1, files // 8))  # fewer, larger files; no shuffle
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+     .parquet(f"{root.rstrip('/')}/{COMPACTED}/upto={upto}"))
+    return upto
 
 
 SNAPSHOTS = "_snapshots"  # leading '_': hidden from the batch_id=<n> listing

@@ -36,6 +36,7 @@ def test_recent_and_live_rollup_commands(spark):
     out = fresh_dir(spark, "cli-recent")
     assert cli.main(["recent", responses, f"{out}/table", "--checkpoint", f"{out}/_ck",
                      "-n", "2", "--replay"]) == 0
+    assert cli.main(["compact", f"{out}/table", "--batches"]) == 0
     recent = st.read_batches(spark, f"{out}/table")
     assert recent.groupBy("symbol").count().where("count > 2").count() == 0
     assert recent.select("symbol").distinct().count() == 15

@@ -89,3 +89,22 @@ def test_changelog_compaction_keeps_the_state(spark):
     plan = after._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 2  # the snapshot + the newer batches
     assert re.search(rf"PartitionFilters: \[[^\]]*batch_id#\d+ > {upto}\)", plan)
+
+
+def test_batch_compaction_keeps_all_rows_while_stream_continues(spark):
+    ticks, path = _landed_in_time_slices(spark, 6)
+    out = fresh_dir(spark, "compact-batches")
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "2"})
+    st.run_to_end(st.dual_sink(src, f"{out}/topic", f"{out}/table", f"{out}/_ck"))
+    before = st.read_batches(spark, f"{out}/table")
+    upto = st.compact_batches(spark, f"{out}/table")
+    after = st.read_batches(spark, f"{out}/table")
+    assert after.count() == before.count() == ticks.count()
+    assert after.exceptAll(before).count() == 0
+    # More data arrives after compaction: read = compacted part + new batches.
+    ticks.limit(100).write.mode("append").parquet(path)
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "2"})
+    st.run_to_end(st.dual_sink(src, f"{out}/topic", f"{out}/table", f"{out}/_ck"))
+    assert st.read_batches(spark, f"{out}/table").count() == ticks.count() + 100
+    assert st.compact_batches(spark, f"{out}/table") > upto
+    assert st.read_batches(spark, f"{out}/table").count() == ticks.count() + 100
