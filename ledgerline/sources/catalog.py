@@ -86,6 +86,11 @@ class Warehouse:
             done.append(name)
         return done
 
+    @property
+    def resolver(self) -> Resolver:
+        """The raw-table resolver this warehouse reads from."""
+        return self._sources
+
     @property
     def model_names(self) -> list[str]:
         return list(self._models)

@@ -172,7 +172,7 @@ def test_newest_per_key_plans_a_partial_group_limit(spark):
 
 # -- marts: empty economics, join bound ---------------------------------------------------
 def test_empty_economics_gives_empty_mart(spark):
-    src = fixture_warehouse(spark, SF_SMALL)._sources
+    src = fixture_warehouse(spark, SF_SMALL).resolver
 
     def sources(name):
         df = src(name)

@@ -42,7 +42,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     wh = fixture_warehouse(spark, sf)
-    events = wh._sources.table("events").select("event_id", "user_id")
+    events = wh.resolver.table("events").select("event_id", "user_id")
     ticks = (wh.source("realtime_test_stock_data").join(events, "event_id")
              .withColumn("symbol", F.when(F.col("user_id") % 3 == 0, F.lit("HOT"))
                          .otherwise(F.col("symbol")))
