@@ -129,9 +129,24 @@ def _batch_rows(spark: SparkSession, root: str, upto: int | None = None) -> Data
             .unionByName(rows.where(F.col("batch_id") > last).drop("batch_id")))
 
 
-def read_batches(spark: SparkSession, root: str) -> DataFrame:
+def _nothing_yet(spark: SparkSession, root: str, schema) -> DataFrame:
+    """Empty batch output (no non-empty batch written yet)."""
+    if schema is None:
+        raise FileNotFoundError(f"no batch written under {root!r} yet; pass schema= to get an empty table")
+    return spark.createDataFrame([], schema)
+
+
+def _written(spark: SparkSession, root: str) -> bool:
+    return bool(_ids_in(spark, root, "batch_id")) or bool(
+        _ids_in(spark, f"{root.rstrip('/')}/{COMPACTED}", "upto"))
+
+
+def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """All rows written by a ``batch_id=<n>`` writer (without the batch id);
-    after ``compact_batches``, the compacted part plus newer batches."""
+    after ``compact_batches``, the compacted part plus newer batches.  With
+    ``schema``, an empty table is returned while nothing is written yet."""
+    if not _written(spark, root):
+        return _nothing_yet(spark, root, schema)
     return _batch_rows(spark, root)
 
 
@@ -189,13 +204,16 @@ def _current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
-def read_changelog(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+def read_changelog(spark: SparkSession, root: str, keys: Sequence[str], schema=None) -> DataFrame:
     """Current state of an update-mode changelog: per key, the row of the
     newest batch (a partial aggregate; one candidate per key per task).
 
     After ``compact_changelog`` the read starts from the newest snapshot
-    and adds only the batches written after it.
+    and adds only the batches written after it.  With ``schema``, an empty
+    table is returned while nothing is written yet.
     """
+    if not _ids_in(spark, root, "batch_id"):
+        return _nothing_yet(spark, root, schema)
     return _current(_state_rows(spark, root), keys)
 
 
