@@ -10,12 +10,15 @@ from pyspark.sql import SparkSession
 
 # Settings every ledgerline job relies on.  Timestamps are naive wall-clock
 # values, so the session time zone is pinned to UTC; ANSI mode makes bad casts
-# fail instead of turning into NULL; AQE re-plans joins from runtime sizes.
+# fail instead of turning into NULL; AQE re-plans joins from runtime sizes,
+# coalescing post-shuffle partitions to the advisory size (not to maximum
+# parallelism, which on a shared cluster means many tiny tasks).
 CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
 }
