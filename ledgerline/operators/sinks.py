@@ -87,25 +87,29 @@ def parquet_export(df: DataFrame, root: str, table: str, mode: str = "append") -
 
 def with_fallback(df: DataFrame, target: str, fallback_dir: str, fmt: str = "parquet",
                   options: Mapping[str, str] | None = None,
-                  fallback_options: Mapping[str, str] | None = None) -> tuple[int, str]:
+                  fallback_options: Mapping[str, str] | None = None,
+                  cache: bool = False) -> tuple[int, str]:
     """Append to the primary sink; if that fails, append the same rows as
     CSV under ``fallback_dir`` and report 0 rows loaded.
 
-    Returns ``(rows_loaded_to_primary, where_the_rows_went)``.  The frame is
-    persisted (memory and disk) so a failed primary attempt does not force a
-    recomputation for the fallback write.
+    Returns ``(rows_loaded_to_primary, where_the_rows_went)``.  By default
+    the rows are recomputed for the fallback: the primary usually succeeds,
+    and caching a large input just in case would cost memory and disk on
+    every load.  ``cache=True`` persists them first (for expensive inputs
+    whose primary sink fails often).
     """
-    cached = df.persist()
+    rows = df.persist() if cache else df
     try:
-        return append_sink(cached, target, fmt, options), target
+        return append_sink(rows, target, fmt, options), target
     except Exception as e:  # noqa: BLE001 - any sink failure triggers the fallback
         log.error("primary sink %s failed (%s); writing CSV fallback", target,
                   str(e).splitlines()[0] if str(e) else type(e).__name__)
-        (cached.write.mode("append").option("header", True)
+        (rows.write.mode("append").option("header", True)
          .options(**dict(fallback_options or {})).csv(fallback_dir))
         return 0, fallback_dir
     finally:
-        cached.unpersist()
+        if cache:
+            rows.unpersist()
 
 
 def static_load(df: DataFrame, target: str, fmt: str = "parquet",
