@@ -108,12 +108,3 @@ def test_batch_compaction_keeps_all_rows_while_stream_continues(spark):
     assert st.read_batches(spark, f"{out}/table").count() == ticks.count() + 100
     assert st.compact_batches(spark, f"{out}/table") > upto
     assert st.read_batches(spark, f"{out}/table").count() == ticks.count() + 100
-
-
-def test_readers_before_any_batch(spark):
-    import pytest
-    out = fresh_dir(spark, "nothing-yet")
-    with pytest.raises(FileNotFoundError):
-        st.read_changelog(spark, f"{out}/cl", ["symbol"])
-    empty = st.read_batches(spark, f"{out}/table", schema=TICK_SPLIT_SCHEMA)
-    assert empty.count() == 0 and empty.columns == [f.name for f in TICK_SPLIT_SCHEMA.fields]
