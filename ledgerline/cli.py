@@ -38,7 +38,8 @@ def _trigger(args):
 
 
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(prog="ledgerline")
+    p = argparse.ArgumentParser(prog="ledgerline", description=__doc__.split("\n\n")[0],
+                                formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -49,30 +50,33 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--fixtures", help="driver-table folder to derive the raw tables from")
         sp.add_argument("--country", default="United States", help="economy mart country")
 
-    b = sub.add_parser("build")
+    b = sub.add_parser("build", help="materialise the models (tables + views)")
     with_sources(b)
     b.add_argument("--out", required=True)
     b.add_argument("--models", nargs="*")
     b.add_argument("--include-disabled", action="store_true")
     b.add_argument("--test", action="store_true", help="run the data-quality checks afterwards")
 
-    t = sub.add_parser("test")
+    t = sub.add_parser("test", help="run the 20 data-quality checks")
     with_sources(t)
 
-    c = sub.add_parser("load-csv")
+    c = sub.add_parser("load-csv", help="load a CSV directory into a table")
     c.add_argument("path")
     c.add_argument("target")
     c.add_argument("--format", default="parquet")
     c.add_argument("--export-root")
     c.add_argument("--strict", action="store_true")
 
-    k = sub.add_parser("compact")
+    k = sub.add_parser("compact", help="fold a stream's changelog / batch folders")
     k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
     k.add_argument("--keys", nargs="+", default=["symbol", "date"], help="changelog keys")
     k.add_argument("--batches", action="store_true", help="root is an append-only batch table")
 
+    helps = {"ingest": "stream tick messages into a table",
+             "recent": "stream API responses; append the newest N bars per symbol",
+             "live-rollup": "keep the daily OHLCV and latest tick up to date"}
     for name in ("ingest", "recent", "live-rollup"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("source", help="topic name, or folder of message / response / tick files")
         s.add_argument("out")
         s.add_argument("--checkpoint", required=True, help="shared checkpoint folder")
