@@ -363,3 +363,32 @@ def test_latest_per_key_ranks_null_timestamps_last(spark):
     df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, close double")
     got = {r.symbol: r.close for r in latest_per_key(df, "symbol", "timestamp", ["close"]).collect()}
     assert got == {"A": 2.0, "B": 3.0}
+
+
+def test_runner_partitions_tick_facts_by_date(spark):
+    from ledgerline.plans import runner
+    from ledgerline.session import fresh_dir
+    wh = fixture_warehouse(spark, SF_SMALL)
+    root = fresh_dir(spark, "build-part")
+    runner.build(wh, root, names=["fact_stock_tick"])
+    df = spark.read.parquet(f"{root}/fact_stock_tick")
+    assert any("/date=2024-01-" in f for f in df.inputFiles())
+    assert df.count() == 1000
+    # a date filter prunes to that day's folder
+    plan = df.where("date = DATE'2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_state_store_default_respects_an_explicit_choice(spark):
+    from ledgerline.session import apply_streaming_state_conf
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "com.example.CustomStateStoreProvider")
+        apply_streaming_state_conf(spark)
+        assert spark.conf.get(key) == "com.example.CustomStateStoreProvider"
+        spark.conf.unset(key)
+        apply_streaming_state_conf(spark)
+        assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
+    finally:
+        spark.conf.set(key, old)
