@@ -31,8 +31,10 @@ def stock_feature_mart(wh):
     tech = wh.ref("int_test_technical_indicators")
     sent = wh.ref("int_test_sentiment")
     econ = wh.ref("int_test_economic_indicators")
-    # At most one row: its struct is NULL exactly when the snapshot is empty.
-    econ_row = econ.select(F.struct(*ECON_COLS).alias("s")).limit(1).scalar()
+    # At most one row (the latest snapshot); its struct is NULL exactly when
+    # the snapshot is empty.  More than one row would make Spark raise
+    # instead of silently picking one.
+    econ_row = econ.select(F.struct(*ECON_COLS).alias("s")).scalar()
     return (latest.join(fund, "symbol", "left")
             .join(tech, "symbol", "left")
             .join(sent, "symbol", "left")
