@@ -18,6 +18,10 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files (size-checked broadcast sides) once their
+    # DataFrame is garbage-collected, so long-running drivers do not
+    # accumulate them.  Static: applies when ledgerline creates the context.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
