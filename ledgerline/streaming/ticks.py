@@ -9,10 +9,13 @@ committed batch:
 * plain appends use the built-in file sink (exactly-once via its commit log);
 * ``foreachBatch`` writers put each micro-batch in its own
   ``batch_id=<n>`` directory with overwrite, so a replayed batch replaces
-  its own output instead of duplicating it;
+  its own output instead of duplicating it (``read_batches``;
+  ``compact_batches`` merges old batch folders into larger files);
 * aggregations run in update mode and write a changelog; readers take the
   newest version of each key (``read_changelog``), and ``compact_changelog``
-  folds the batches so far into a snapshot so reads stay bounded.
+  folds the batches so far into a snapshot so reads stay bounded; the daily
+  rollup can instead emit closed days once (append mode);
+* aggregation state lives in RocksDB unless the session chose a provider.
 
 Triggers: ``{"availableNow": True}`` drains what is there and stops
 (replays, tests); ``{"processingTime": "5 minutes"}`` is the live cadence.
@@ -24,7 +27,6 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
