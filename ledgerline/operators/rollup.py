@@ -24,6 +24,18 @@ def tick_order_key(ts_col: str = "timestamp", naive: bool = True) -> Column:
     return F.coalesce(micros, F.lit(_NULL_FIRST))
 
 
+def ohlcv_aggregates(ticks: DataFrame, ts_col: str = "timestamp") -> list[Column]:
+    """The five OHLCV aggregates (first open, max high, min low, last close,
+    total volume); shared by the batch rollup and the streaming one."""
+    naive = ticks.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    ord_key = tick_order_key(ts_col, naive)
+    return [F.min_by("open", ord_key).alias("open"),
+            F.max("high").alias("high"),
+            F.min("low").alias("low"),
+            F.max_by("close", ord_key).alias("close"),
+            F.sum("volume").alias("volume")]
+
+
 def daily_ohlcv(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "date"),
                 ts_col: str = "timestamp") -> DataFrame:
     """One row per (symbol, date): first open, max high, min low, last close,
@@ -34,14 +46,7 @@ def daily_ohlcv(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "date"),
     holding a third of all ticks therefore ships only one partial row per
     (date, map task) — the hot key never lands whole in one task.
     """
-    naive = ticks.schema[ts_col].dataType.typeName() == "timestamp_ntz"
-    ord_key = tick_order_key(ts_col, naive)
-    return (ticks.groupBy(*keys)
-            .agg(F.min_by("open", ord_key).alias("open"),
-                 F.max("high").alias("high"),
-                 F.min("low").alias("low"),
-                 F.max_by("close", ord_key).alias("close"),
-                 F.sum("volume").alias("volume")))
+    return ticks.groupBy(*keys).agg(*ohlcv_aggregates(ticks, ts_col))
 
 
 def daily_ohlcv_window(ticks: DataFrame, keys: tuple[str, ...] = ("symbol", "date"),

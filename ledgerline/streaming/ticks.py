@@ -35,8 +35,8 @@ from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_m
                                              intraday_rejects, intraday_rows,
                                              parse_response_bodies)
 from ledgerline.functions.timecols import naive_epoch_micros
-from ledgerline.operators.rollup import tick_order_key
-from ledgerline.operators.topk import newest_per_key
+from ledgerline.operators.rollup import ohlcv_aggregates
+from ledgerline.operators.topk import latest_per_key, newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
 from ledgerline.session import apply_streaming_state_conf
 from ledgerline.sources.files import LANDED_RESPONSE_SCHEMA, MESSAGE_FILE_SCHEMA
@@ -320,7 +320,6 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
     exactly-once Parquet file sink: final bars only, readable directly.
     """
     naive = ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
-    ord_key = tick_order_key("timestamp", naive)
     # Event time as a TIMESTAMP whose epoch is the naive wall clock, so the
     # 1-day windows are calendar days whatever the session time zone.
     event_time = (F.timestamp_micros(naive_epoch_micros(F.col("timestamp"))) if naive
@@ -329,9 +328,7 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
         F.floor(F.unix_micros(F.col("w.start")) / 86_400_000_000).cast("int"))
     agg = (ticks.withColumn("_et", event_time).withWatermark("_et", delay)
            .groupBy("symbol", F.window("_et", "1 day").alias("w"))
-           .agg(F.min_by("open", ord_key).alias("open"), F.max("high").alias("high"),
-                F.min("low").alias("low"), F.max_by("close", ord_key).alias("close"),
-                F.sum("volume").alias("volume"))
+           .agg(*ohlcv_aggregates(ticks))  # the batch rollup's definition
            .select("symbol", day_of.alias("date"),
                    "open", "high", "low", "close", "volume"))
     if output == "closed":
@@ -344,12 +341,11 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
 # -- T-7: live latest tick per symbol ------------------------------------------
 def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                        trigger: Mapping = REPLAY) -> StreamingQuery:
-    """Latest close/volume per symbol; state is one row per symbol.  Ticks
-    without a timestamp rank lowest, as in the batch model."""
-    ord_key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
-    agg = (ticks.groupBy("symbol")
-           .agg(F.max_by("close", ord_key).alias("last_close"),
-                F.max_by("volume", ord_key).alias("last_volume")))
+    """Latest close/volume per symbol; state is one row per symbol.  The
+    batch model's operator (``latest_per_key``) run on the stream."""
+    agg = (latest_per_key(ticks, "symbol", "timestamp", ["close", "volume"])
+           .select("symbol", F.col("close").alias("last_close"),
+                   F.col("volume").alias("last_volume")))
     return _changelog(agg, changelog_path, checkpoint, trigger)
 
 
