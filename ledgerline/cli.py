@@ -52,7 +52,11 @@ def main(argv: list[str] | None = None) -> int:
 
     b = sub.add_parser("build", help="materialise the models (tables + views)")
     with_sources(b)
-    b.add_argument("--out", required=True)
+    b.add_argument("--out", default="", help="folder for file tables (--format parquet)")
+    b.add_argument("--format", default="parquet", help="parquet (files under --out) or table (catalog)")
+    b.add_argument("--database", help="catalog database for --format table")
+    b.add_argument("--buckets", type=int, default=0,
+                   help="bucket the (symbol, date) facts (--format table) for shuffle-free joins")
     b.add_argument("--models", nargs="*")
     b.add_argument("--include-disabled", action="store_true")
     b.add_argument("--test", action="store_true", help="run the data-quality checks afterwards")
@@ -102,7 +106,10 @@ def main(argv: list[str] | None = None) -> int:
         from ledgerline.plans import runner
         wh = _warehouse(spark, args)
         fn = runner.build_and_test if args.test else runner.build
-        out = fn(wh, args.out, names=args.models, include_disabled=args.include_disabled)
+        if args.format != "table" and not args.out:
+            p.error("build needs --out for file tables")
+        out = fn(wh, args.out, names=args.models, include_disabled=args.include_disabled,
+                 fmt=args.format, buckets=args.buckets, database=args.database)
         print(json.dumps(out))
     elif args.cmd == "test":
         from ledgerline.operators import quality

@@ -26,14 +26,26 @@ def _counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 
 def write_table(df: DataFrame, target: str, mode: str = "append", fmt: str = "parquet",
                 options: Mapping[str, str] | None = None,
-                partition_by: tuple[str, ...] = ()) -> int:
+                partition_by: tuple[str, ...] = (),
+                bucket_by: tuple[int, tuple[str, ...]] | None = None) -> int:
     """Write ``df`` to ``target`` (a path, or a catalog table when
-    ``fmt == "table"``); return the number of rows written."""
+    ``fmt == "table"``); return the number of rows written.
+
+    ``bucket_by=(n, cols)`` (catalog tables only) hash-buckets the table on
+    ``cols`` so later joins / aggregations on them between tables with the
+    same bucketing need no shuffle.  The rows are repartitioned on the same
+    keys first, so each task writes one file per bucket it owns.
+    """
+    if bucket_by:
+        n, cols = bucket_by
+        df = df.repartition(n, *cols)
     counted, obs = _counted(df, "write")
     writer = counted.write.mode(mode).options(**dict(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "table":
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
         writer.saveAsTable(target)
     else:
         writer.format(fmt).save(target)

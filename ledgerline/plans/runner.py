@@ -21,14 +21,23 @@ from ledgerline.sources.catalog import Warehouse
 # day to one task.  File size is bounded by ``max_records_per_file``.
 PARTITION_BY = {"fact_stock_tick": ("date",)}
 
+# (symbol, date)-grain facts are bucketed on their key when written to the
+# catalog, so joining them to each other needs no shuffle.
+BUCKET_BY = {"fact_daily_summary": ("symbol", "date"),
+             "fact_daily_features": ("symbol", "date")}
+
 
 def build(wh: Warehouse, root: str, names: Iterable[str] | None = None,
           fmt: str = "parquet", include_disabled: bool = False,
           register_views: bool = True,
-          max_records_per_file: int = 20_000_000) -> dict[str, int | None]:
+          max_records_per_file: int = 20_000_000,
+          buckets: int = 0, database: str | None = None) -> dict[str, int | None]:
     """Materialise ``names`` (default: every enabled model).
 
-    Returns ``{model: rows written}`` for tables and ``{view: None}``.
+    ``fmt="table"`` saves catalog tables (in ``database`` if given); with
+    ``buckets`` > 0 the (symbol, date)-grain facts are bucketed into that
+    many buckets.  Returns ``{model: rows written}`` for tables and
+    ``{view: None}``.
     """
     rank = {"staging": 0, "intermediate": 1, "facts": 2, "dimensions": 3, "marts": 4}
     wanted = list(names) if names is not None else [
@@ -36,22 +45,27 @@ def build(wh: Warehouse, root: str, names: Iterable[str] | None = None,
         if include_disabled or m.enabled]
     done: dict[str, int | None] = {}
     for name in wanted:
-        _build_one(wh, name, root.rstrip("/"), fmt, register_views, done, max_records_per_file)
+        _build_one(wh, name, root.rstrip("/"), fmt, register_views, done, max_records_per_file,
+                   buckets, database)
     return done
 
 
-def _build_one(wh, name, root, fmt, register_views, done, max_records_per_file):
+def _build_one(wh, name, root, fmt, register_views, done, max_records_per_file,
+               buckets=0, database=None):
     if name in done:
         return
     from ledgerline.operators.sinks import write_table
     m = MODELS[name]
     df = wh.ref(name)
     if m.materialized == "table":
-        target = name if fmt == "table" else f"{root}/{name}"
+        table = f"{database}.{name}" if database else name
+        target = table if fmt == "table" else f"{root}/{name}"
+        bucket = ((buckets, BUCKET_BY[name]) if fmt == "table" and buckets and name in BUCKET_BY
+                  else None)
         done[name] = write_table(df, target, "overwrite", fmt,
                                  {"maxRecordsPerFile": str(max_records_per_file)},
-                                 PARTITION_BY.get(name, ()))
-        stored = wh.spark.table(name) if fmt == "table" else wh.spark.read.format(fmt).load(target)
+                                 PARTITION_BY.get(name, ()), bucket)
+        stored = wh.spark.table(table) if fmt == "table" else wh.spark.read.format(fmt).load(target)
         wh.pin(name, stored)
     else:
         if register_views:

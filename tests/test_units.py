@@ -392,3 +392,27 @@ def test_state_store_default_respects_an_explicit_choice(spark):
         assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
     finally:
         spark.conf.set(key, old)
+
+
+def test_bucketed_facts_join_without_shuffle(spark):
+    import uuid
+
+    from ledgerline.plans import runner
+    from ledgerline.session import fresh_dir
+    db = f"ll_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{fresh_dir(spark, 'db')}'")
+    wh = fixture_warehouse(spark, SF_SMALL)
+    runner.build(wh, "", names=["fact_daily_summary", "fact_daily_features"], fmt="table",
+                 buckets=4, database=db, register_views=False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force a sort-merge join
+    try:
+        joined = spark.table(f"{db}.fact_daily_summary").join(
+            spark.table(f"{db}.fact_daily_features"), ["symbol", "date"])
+        n = joined.count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert n == fixture_warehouse(spark, SF_SMALL).ref("fact_daily_summary").join(
+        fixture_warehouse(spark, SF_SMALL).ref("fact_daily_features"), ["symbol", "date"]).count()
