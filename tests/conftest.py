@@ -14,8 +14,13 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from ledgerline.session import build_session
-    s = build_session("local[4]", 4, extra={"spark.ui.showConsoleProgress": "false"})
+    s = build_session("local[4]", 4, extra={
+        "spark.ui.showConsoleProgress": "false",
+        # catalog tables of the tests go to a fresh folder, not the cwd
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
