@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--out", default="", help="folder for file tables (--format parquet)")
     b.add_argument("--format", default="parquet", help="parquet (files under --out) or table (catalog)")
     b.add_argument("--database", help="catalog database for --format table")
+    b.add_argument("--since", help="YYYY-MM-DD: rebuild date-partitioned tick facts from this day on")
     b.add_argument("--buckets", type=int, default=0,
                    help="bucket the (symbol, date) facts (--format table) for shuffle-free joins")
     b.add_argument("--models", nargs="*")
@@ -109,7 +110,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.format != "table" and not args.out:
             p.error("build needs --out for file tables")
         out = fn(wh, args.out, names=args.models, include_disabled=args.include_disabled,
-                 fmt=args.format, buckets=args.buckets, database=args.database)
+                 fmt=args.format, buckets=args.buckets, database=args.database,
+                 since=args.since)
         print(json.dumps(out))
     elif args.cmd == "test":
         from ledgerline.operators import quality
