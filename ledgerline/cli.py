@@ -70,7 +70,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("target")
     c.add_argument("--format", default="parquet")
     c.add_argument("--export-root")
-    c.add_argument("--strict", action="store_true")
+    c.add_argument("--strict", action="store_true", help="check every file's header")
+    c.add_argument("--schema", help="DDL schema (e.g. 'Date date, Close double'); skips the inference pass")
 
     k = sub.add_parser("compact", help="fold a stream's changelog / batch folders")
     k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
@@ -127,7 +128,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "load-csv":
         from ledgerline.operators.sinks import static_load
         from ledgerline.sources.files import csv_dir_scan
-        n = static_load(csv_dir_scan(spark, args.path, strict=args.strict), args.target,
+        n = static_load(csv_dir_scan(spark, args.path, schema=args.schema, strict=args.strict), args.target,
                         args.format, export_root=args.export_root)
         print(json.dumps({"rows": n, "target": args.target}))
     else:

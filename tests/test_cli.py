@@ -17,6 +17,11 @@ def test_load_csv_command(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["rows"] == raw.count()
     assert spark.read.parquet(target).columns == ["Year", "Country", "Gross_Domestic_Product_GDP"]
+    # with a schema there is no inference pass, and the header names still sanitise
+    typed = fresh_dir(spark, "cli-load-typed") + "/economy"
+    assert cli.main(["load-csv", src, typed, "--schema",
+                     "`Year` int, `Country` string, `Gross Domestic Product (GDP)` double"]) == 0
+    assert spark.read.parquet(typed).schema == spark.read.parquet(target).schema
 
 
 def test_ingest_command_replays_topic_files(spark):
