@@ -37,6 +37,12 @@ def response_records(ticks: DataFrame) -> DataFrame:
     * a response whose first tick is an ``error`` event lands as an error
       body, one whose first tick is a ``signup`` event as a throttling note;
     * ``view`` ticks omit the volume metric (parsed as 0).
+
+    Bar keys are the full-precision timestamps, so they are unique within a
+    response as long as a symbol has no two ticks with the same timestamp
+    (true of the driver data; a real API keys its bars uniquely).  A
+    duplicate fails the job (Spark's map-key policy) rather than silently
+    dropping a bar.
     """
     metrics = F.map_from_arrays(
         F.array(*[F.lit(METRIC_KEYS[m]) for m in ("open", "high", "low", "close", "volume")]),
