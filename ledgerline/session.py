@@ -94,12 +94,16 @@ def apply_streaming_state_conf(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, sink outputs and stream checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) is a private folder created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local-mode session
+    without one (tests) gets a private folder; on a cluster a machine-local
+    folder would be invisible to the executors, so the setting is required.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(HDFS / object store) for this cluster session")
         root = tempfile.mkdtemp(prefix="ledgerline-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
