@@ -42,7 +42,8 @@ def csv_dir_scan(spark: SparkSession, path: str, schema: StructType | str | None
             raise FileNotFoundError(f"no CSV files found under {path!r}")
         return df
     except AnalysisException as e:
-        if any(s in str(e) for s in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND", "Unable to infer")):
+        condition = e.getCondition() if hasattr(e, "getCondition") else e.getErrorClass()
+        if condition in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND") or "Unable to infer" in str(e):
             raise FileNotFoundError(f"no CSV files found under {path!r}") from e
         raise
 
