@@ -117,3 +117,18 @@ def test_readers_before_any_batch(spark):
         st.read_changelog(spark, f"{out}/cl", ["symbol"])
     empty = st.read_batches(spark, f"{out}/table", schema=TICK_SPLIT_SCHEMA)
     assert empty.count() == 0 and empty.columns == [f.name for f in TICK_SPLIT_SCHEMA.fields]
+
+
+def test_streaming_rollup_aggregates_partially_before_the_state_store(spark, capsys):
+    ticks, path = _landed_in_time_slices(spark, 2)
+    out = fresh_dir(spark, "stream-plan")
+    q = st.daily_ohlcv_stream(st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA),
+                              f"{out}/cl", f"{out}/_ck")
+    st.run_to_end(q)
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "StateStoreSave" in plan and "StateStoreRestore" in plan
+    assert "partial_min_by" in plan and "partial_max_by" in plan  # map-side combine
+    assert plan.index("partial_min_by") > plan.index("StateStoreRestore")  # below it in the tree
+    assert "SortAggregate" not in plan
