@@ -276,7 +276,11 @@ def dual_sink(ticks: DataFrame, topic_path: str, table_path: str, checkpoint: st
     """Write each micro-batch both as keyed messages and as table rows.
 
     With ``topic_format="kafka"``, ``topic_path`` is the topic name and the
-    batch is produced with the Kafka batch writer.
+    batch is produced with the Kafka batch writer.  The table side is
+    idempotent per batch (overwrite of ``batch_id=<n>``); a Kafka topic is
+    at-least-once: a batch replayed after a failure produces its messages
+    again, so consumers should treat (symbol, timestamp) as the message key
+    for de-duplication.  File topics are overwritten per batch like the table.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         msgs = encode_tick_messages(df)
