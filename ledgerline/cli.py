@@ -116,9 +116,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(out))
     elif args.cmd == "test":
         from ledgerline.operators import quality
-        res = quality.run_checks(_warehouse(spark, args))
-        rows = [r.asDict() for r in res.collect()]  # one row per check
-        print(json.dumps(rows))
+        wh = _warehouse(spark, args)
+        rows = [r.asDict() for r in quality.run_checks(wh).collect()]  # one row per check
+        warnings = [r.asDict() for r in quality.run_checks(wh, quality.WARNINGS).collect()]
+        print(json.dumps({"checks": rows, "warnings": warnings}))
         return 1 if any(r["failures"] for r in rows) else 0
     elif args.cmd == "compact":
         from ledgerline.streaming.ticks import compact_batches, compact_changelog

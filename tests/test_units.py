@@ -441,3 +441,18 @@ def test_incremental_rebuild_replaces_only_recent_days(spark):
     plan = (wh2.ref("fact_stock_tick").where(F.col("timestamp") >= F.lit("2024-01-29").cast("date")
             .cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString())
     assert "GreaterThanOrEqual(ts," in plan
+
+
+def test_warning_checks_are_reported_not_raised(spark):
+    from ledgerline.plans import runner
+    from ledgerline.session import fresh_dir
+    dup = fixture_warehouse(spark, SF_SMALL).source("sandp500_data")
+    src = fixture_warehouse(spark, SF_SMALL).resolver
+
+    def sources(name):  # the S&P feed delivered twice: a fan-out risk, not an error
+        return dup.unionByName(dup) if name == "sandp500_data" else src(name)
+
+    wh = Warehouse(spark, sources, params={"economy_country": "NATION_0"})
+    got = {r.test_id: r.failures for r in quality.run_checks(wh, quality.WARNINGS).collect()}
+    assert got == {"W-sp500": 30}
+    runner.build_and_test(wh, fresh_dir(spark, "warn"), names=["dim_stock"])  # does not raise
