@@ -55,3 +55,10 @@ def test_recent_and_live_rollup_commands(spark):
     assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
     assert cli.main(["compact", f"{live}/latest_tick", "--keys", "symbol"]) == 0
     assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
+
+
+def test_test_command_reports_checks_and_warnings(spark, capsys):
+    assert cli.main(["test", "--fixtures", SF_SMALL, "--country", "NATION_0"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(out["checks"]) == 20 and all(r["failures"] == 0 for r in out["checks"])
+    assert [r["test_id"] for r in out["warnings"]] == ["W-sp500"]
