@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """NaN -> NULL in floating columns, so ``x > 0`` / ``x IS NOT NULL``
-    filters treat a missing value the way the warehouse does."""
-    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    """NaN -> NULL in floating columns (keeping each column's type), for
+    inputs where NaN means "missing": comparisons and ``IS NOT NULL`` then
+    skip it, and aggregates ignore it instead of returning NaN."""
+    floating = {f.name: f.dataType for f in df.schema.fields
+                if f.dataType.typeName() in ("double", "float")}
     targets = [c for c in (cols or df.columns) if c in floating]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in targets})
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(floating[c])) for c in targets})
 
 
 def earnings_surprise(est: Column, actual: Column) -> Column:
