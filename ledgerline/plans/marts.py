@@ -76,15 +76,21 @@ def economy_for_country(wh):
 
 @model("marts", materialized="table", enabled=False)
 def daily_stock_signals(wh):
-    s = wh.ref("int_daily_stock_summary").alias("s")
-    sp = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("sp")
-    c = crypto_daily_avg(wh).alias("c")
-    e = economy_for_country(wh).alias("e")
-    return (s.join(sp, F.col("s.date") == F.col("sp.date"), "left")
-            .join(c, F.col("s.date") == F.col("c.date"), "left")
-            .join(e, F.year(F.col("s.date")) == F.col("e.year"), "left")
-            .select("s.symbol", "s.date", "s.open", "s.high", "s.low", "s.close", "s.volume",
-                    "sp.sp500_close", "c.crypto_avg_close", "e.gdp_per_capita"))
+    """Daily summary with the S&P close, the crypto daily average and the
+    year's GDP of one country (left joins from the daily rows)."""
+    day = wh.ref("int_daily_stock_summary").alias("day")
+    idx = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("idx")
+    cry = crypto_daily_avg(wh).alias("cry")
+    gdp = economy_for_country(wh).alias("gdp")
+    on_day = lambda o: F.col("day.date") == F.col(f"{o}.date")
+    return (day.join(idx, on_day("idx"), "left")
+            .join(cry, on_day("cry"), "left")
+            .join(gdp, F.year(F.col("day.date")) == F.col("gdp.year"), "left")
+            .select(*[F.col(f"day.{c}") for c in DAILY_COLS],
+                    "idx.sp500_close", "cry.crypto_avg_close", "gdp.gdp_per_capita"))
+
+
+DAILY_COLS = ("symbol", "date", "open", "high", "low", "close", "volume")
 
 
 @model("marts", materialized="table", enabled=False)
@@ -96,31 +102,32 @@ def daily_stock_signals_enriched(wh):
     the data is still hash-partitioned on (symbol, date) by the rollup, and
     the small date/year-keyed sides last (AQE broadcasts them when small).
     """
-    s = wh.ref("int_daily_stock_summary").alias("s")
-    f = wh.ref("stg_test_fundamentals").select(
-        "symbol", "date", "eps", "pe_ratio", "market_cap", "sector").alias("f")
-    t = wh.ref("stg_test_technical_indicators").select(
-        "symbol", "date", "ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper").alias("t")
-    se = wh.ref("stg_test_sentiment").select(
-        "symbol", "date", "sentiment_score", "news_volume", "twitter_mentions").alias("se")
-    sp = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("sp")
-    c = crypto_daily_avg(wh).alias("c")
-    er = economy_for_country(wh).alias("er")
-    es = wh.ref("stg_test_economic_indicators").select("date", *ECON_COLS).alias("es")
-
-    def on_sd(x):
-        return (F.col("s.symbol") == F.col(f"{x}.symbol")) & (F.col("s.date") == F.col(f"{x}.date"))
-
-    return (s.join(f, on_sd("f"), "left")
-            .join(t, on_sd("t"), "left")
-            .join(se, on_sd("se"), "left")
-            .join(sp, F.col("s.date") == F.col("sp.date"), "left")
-            .join(c, F.col("s.date") == F.col("c.date"), "left")
-            .join(er, F.year(F.col("s.date")) == F.col("er.year"), "left")
-            .join(es, F.col("s.date") == F.col("es.date"), "left")
-            .select("s.symbol", "s.date", "s.open", "s.high", "s.low", "s.close", "s.volume",
-                    "sp.sp500_close", "c.crypto_avg_close", "er.gdp_per_capita",
-                    "f.eps", "f.pe_ratio", "f.market_cap", "f.sector",
-                    "t.ma_10", "t.ma_50", "t.rsi", "t.macd", "t.bb_lower", "t.bb_upper",
-                    "se.sentiment_score", "se.news_volume", "se.twitter_mentions",
-                    "es.inflation_rate", "es.unemployment_rate", "es.gdp_growth", "es.interest_rate"))
+    day = wh.ref("int_daily_stock_summary").alias("day")
+    fnd = wh.ref("stg_test_fundamentals").select(
+        "symbol", "date", "eps", "pe_ratio", "market_cap", "sector").alias("fnd")
+    tec = wh.ref("stg_test_technical_indicators").select(
+        "symbol", "date", "ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper").alias("tec")
+    snt = wh.ref("stg_test_sentiment").select(
+        "symbol", "date", "sentiment_score", "news_volume", "twitter_mentions").alias("snt")
+    idx = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("idx")
+    cry = crypto_daily_avg(wh).alias("cry")
+    gdp = economy_for_country(wh).alias("gdp")
+    mac = wh.ref("stg_test_economic_indicators").select("date", *ECON_COLS).alias("mac")
+
+    def on_day(o, with_symbol=False):
+        cond = F.col("day.date") == F.col(f"{o}.date")
+        return cond & (F.col("day.symbol") == F.col(f"{o}.symbol")) if with_symbol else cond
+
+    return (day.join(fnd, on_day("fnd", True), "left")
+            .join(tec, on_day("tec", True), "left")
+            .join(snt, on_day("snt", True), "left")
+            .join(idx, on_day("idx"), "left")
+            .join(cry, on_day("cry"), "left")
+            .join(gdp, F.year(F.col("day.date")) == F.col("gdp.year"), "left")
+            .join(mac, on_day("mac"), "left")
+            .select(*[F.col(f"day.{c}") for c in DAILY_COLS],
+                    "idx.sp500_close", "cry.crypto_avg_close", "gdp.gdp_per_capita",
+                    "fnd.eps", "fnd.pe_ratio", "fnd.market_cap", "fnd.sector",
+                    "tec.ma_10", "tec.ma_50", "tec.rsi", "tec.macd", "tec.bb_lower", "tec.bb_upper",
+                    "snt.sentiment_score", "snt.news_volume", "snt.twitter_mentions",
+                    *[F.col(f"mac.{c}") for c in ECON_COLS]))
