@@ -36,19 +36,20 @@ def fact_stock_tick(wh):
 def fact_daily_features(wh):
     """Fundamentals ⟕ technical ⟕ sentiment on (symbol, date), ⟕ economics on date.
 
-    The two (symbol, date) joins are co-partitioned: each side is already
-    hash-partitioned on (symbol, date) by its own aggregation, so they add no
-    exchange.  The date-keyed economics side has one row per date; AQE turns
-    that join into a broadcast once the runtime size is known, and falls back
-    to a sort-merge join when it is not small.
+    The (symbol, date) joins shuffle each side once on (symbol, date), or
+    broadcast a side that Catalyst estimates small; after that all three
+    share the partitioning, so the chain adds no further exchange.  The
+    date-keyed economics side has one row per date; AQE turns that join into
+    a broadcast once the runtime size is known, and falls back to a
+    sort-merge join when it is not small.
     """
-    f = wh.ref("stg_test_fundamentals")
-    t = wh.ref("stg_test_technical_indicators")
-    s = wh.ref("stg_test_sentiment")
-    e = wh.ref("stg_test_economic_indicators")
-    return (f.join(t, ["symbol", "date"], "left")
-            .join(s, ["symbol", "date"], "left")
-            .join(e, ["date"], "left")
+    fundamentals = wh.ref("stg_test_fundamentals")
+    technical = wh.ref("stg_test_technical_indicators")
+    sentiment = wh.ref("stg_test_sentiment")
+    macro = wh.ref("stg_test_economic_indicators")
+    return (fundamentals.join(technical, ["symbol", "date"], "left")
+            .join(sentiment, ["symbol", "date"], "left")
+            .join(macro, ["date"], "left")
             .select("symbol", "date", "eps", "pe_ratio", "market_cap", "sector",
                     "ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper",
                     "sentiment_score", "news_volume", "twitter_mentions",

@@ -24,20 +24,20 @@ def stock_feature_mart(wh):
     that an empty snapshot yields an empty mart.
     """
     ticks = wh.ref("stg_test_realtime_stock_data")
-    latest = (latest_per_key(ticks, "symbol", "timestamp", ["close", "volume"])
-              .select("symbol", F.col("close").alias("last_close"),
-                      F.col("volume").alias("last_volume")))
-    fund = wh.ref("int_test_fundamentals")
-    tech = wh.ref("int_test_technical_indicators")
-    sent = wh.ref("int_test_sentiment")
-    econ = wh.ref("int_test_economic_indicators")
+    last_tick = (latest_per_key(ticks, "symbol", "timestamp", ["close", "volume"])
+                 .select("symbol", F.col("close").alias("last_close"),
+                         F.col("volume").alias("last_volume")))
+    per_symbol = [wh.ref("int_test_fundamentals"), wh.ref("int_test_technical_indicators"),
+                  wh.ref("int_test_sentiment")]
+    snapshot = wh.ref("int_test_economic_indicators")
     # At most one row (the latest snapshot); its struct is NULL exactly when
     # the snapshot is empty.  More than one row would make Spark raise
     # instead of silently picking one.
-    econ_row = econ.select(F.struct(*ECON_COLS).alias("s")).scalar()
-    return (latest.join(fund, "symbol", "left")
-            .join(tech, "symbol", "left")
-            .join(sent, "symbol", "left")
+    econ_row = snapshot.select(F.struct(*ECON_COLS).alias("s")).scalar()
+    joined = last_tick
+    for averages in per_symbol:
+        joined = joined.join(averages, "symbol", "left")
+    return (joined
             .withColumn("_econ", econ_row)
             .where(F.col("_econ").isNotNull())
             .select("symbol", "last_close", "last_volume",
