@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans.registry import MODELS, Model, model
 
+# Fact tables that select from one model (fact, parent, columns).
 PASS_THROUGH = (
     ("fact_commodity_prices", "int_test_commodity_prices", "commodity date price"),
     ("fact_fx_rates", "int_test_fx_rates", "currency_pair date rate"),

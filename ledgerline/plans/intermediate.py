@@ -9,7 +9,7 @@ from ledgerline.operators.rollup import daily_ohlcv
 from ledgerline.operators.topk import latest_snapshot
 from ledgerline.plans.registry import MODELS, Model, model
 
-# Identity views over a staging model.
+# Identity views over a staging model (model, parent, columns).
 PASS_THROUGH = (
     ("int_test_commodity_prices", "stg_test_commodity_prices", "commodity date price"),
     ("int_test_fx_rates", "stg_test_fx_rates", "currency_pair date rate"),

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans.registry import MODELS, Model
 
-# (model, raw table, columns, columns cast with date(), enabled)
-# A column entry "a:b" selects raw column ``a`` as ``b``.
+# The staging models (model, raw table, columns, columns cast
+# with date(), enabled), in the warehouse's naming.  A column entry "a:b"
+# selects raw column ``a`` as ``b``.
 STAGING = (
     ("stg_test_realtime_stock_data", "realtime_test_stock_data",
      "symbol timestamp date time open high low close volume", (), True),
