@@ -16,7 +16,7 @@ _INVALID = re.compile(r"[^0-9A-Za-z_]")
 _RUNS = re.compile(r"_{2,}")
 
 
-def sane_name(name: str) -> str:
+def warehouse_identifier(name: str) -> str:
     """Trim; map every character outside [0-9A-Za-z_] to '_'; squeeze runs of
     '_'; drop '_' at both ends; prefix '_' before a leading digit; '_' if
     nothing is left."""
@@ -27,7 +27,7 @@ def sane_name(name: str) -> str:
 
 
 def sanitize_columns(df: DataFrame, on_collision: str = "raise") -> DataFrame:
-    """Rename every column with ``sane_name`` in one projection.
+    """Rename every column with ``warehouse_identifier`` in one projection.
 
     Two names that sanitise to the same identifier (compared
     case-insensitively, as Spark resolves names) raise unless
@@ -35,7 +35,7 @@ def sanitize_columns(df: DataFrame, on_collision: str = "raise") -> DataFrame:
     """
     new, seen = [], {}
     for old in df.columns:
-        name = sane_name(old)
+        name = warehouse_identifier(old)
         key = name.lower()
         if key in seen:
             if on_collision != "suffix":

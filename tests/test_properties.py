@@ -5,7 +5,7 @@ import re
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerline.functions.names import sane_name
+from ledgerline.functions.names import warehouse_identifier
 from ledgerline.operators.rollup import daily_ohlcv
 from ledgerline.schemas import TICK_SPLIT_SCHEMA
 
@@ -13,10 +13,10 @@ IDENT = re.compile(r"^[A-Za-z_][0-9A-Za-z_]*$")
 
 
 @given(st.text(max_size=40))
-def test_sane_name_is_a_valid_idempotent_identifier(name):
-    out = sane_name(name)
+def test_warehouse_identifier_is_a_valid_idempotent_identifier(name):
+    out = warehouse_identifier(name)
     assert IDENT.match(out)
-    assert sane_name(out) == out
+    assert warehouse_identifier(out) == out
     assert "__" not in out.lstrip("_")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_messages,
                                              intraday_rejects, intraday_rows,
                                              parse_response_bodies, split_decoded)
-from ledgerline.functions.names import sane_name, sanitize_columns
+from ledgerline.functions.names import warehouse_identifier, sanitize_columns
 from ledgerline.functions.numeric import earnings_surprise, nan_to_null
 from ledgerline.functions.timecols import floor_to_interval, split_date_time
 from ledgerline.operators import quality
@@ -83,8 +83,8 @@ def test_message_round_trip_and_bad_records(spark):
 @pytest.mark.parametrize("raw,clean", [
     ("  Gross Domestic Product (GDP) ", "Gross_Domestic_Product_GDP"),
     ("2019 value", "_2019_value"), ("%%%", "_"), ("a--b__c", "a_b_c"), ("_x_", "x")])
-def test_sane_name(raw, clean):
-    assert sane_name(raw) == clean
+def test_warehouse_identifier(raw, clean):
+    assert warehouse_identifier(raw) == clean
 
 
 def test_sanitize_collision_raises(spark):
