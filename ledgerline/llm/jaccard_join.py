@@ -31,7 +31,10 @@ from ledgerline.llm.components import connected_components
 from ledgerline.llm.tables import spill
 from ledgerline.llm.textscan import NOT_SPACE, Words, list_column, mix, pieces, shingles, utf8
 
-SKETCH_BITS = 20
+#: Shingles whose hash ends in this many zero bits are counted exactly.
+COUNTED_BITS = 2
+#: Buckets (one byte each, 16 MB) that tell how common a counted shingle is.
+LEVEL_BITS = 24
 
 
 def _sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -60,23 +63,35 @@ def _signature(values: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _count(bits: int, k: int):
+def _counted(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64((1 << COUNTED_BITS) - 1)) == 0
+
+
+def _emit_counted(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.int64)
         for b in pieces(batches):
             data, offsets = utf8(b.column(0), lower=True)
             words = Words(data, offsets, NOT_SPACE)
             grams, _ = shingles(words.hashes(), words.first, k)
-            counts += np.bincount(sketch.bucket(grams, bits), minlength=1 << bits)
-        yield from sketch.to_rows(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[_counted(grams)].view(np.int64))], ["token"])
 
     return run
 
 
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Logarithmic count of the shared tokens of a task, by bucket."""
+    levels = np.zeros(1 << LEVEL_BITS, dtype=np.uint8)
+    for b in batches:
+        tokens = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        level = np.minimum(255, 4 * np.log2(b.column(1).to_numpy(zero_copy_only=False))).astype(np.uint8)
+        np.maximum.at(levels, sketch.bucket(tokens, LEVEL_BITS), level)
+    yield from sketch.to_rows(levels)
+
+
 PREFIX_SCHEMA = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
 
 
-def _prefixes(shared, bits: int, k: int, percent: int):
+def _prefixes(shared, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
         for b in pieces(batches):
@@ -85,8 +100,9 @@ def _prefixes(shared, bits: int, k: int, percent: int):
             heads = []
             for s in sets:
                 need = len(s) + (-percent * len(s) // 100) + 1 if len(s) else 0  # n - ceil(percent * n / 100) + 1
-                c = common[sketch.bucket(s, bits)]
-                heads.append(s[np.lexsort((s, c))[:need]])
+                # counted shingles first, of these the rare ones first: one order for all documents
+                rank = np.where(_counted(s), common[sketch.bucket(s, LEVEL_BITS)].astype(np.int64), 256)
+                heads.append(s[np.lexsort((s, rank))[:need]])
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in heads])])
             flat = np.concatenate(heads) if heads else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -148,9 +164,11 @@ def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    common = sketch.collect_sketch(docs.select("text").mapInArrow(_count(SKETCH_BITS, k), sketch.SCHEMA), SKETCH_BITS)
-    shared = spark.sparkContext.broadcast(common)  # 2^SKETCH_BITS counters, whatever the corpus
-    signed = spill(docs.mapInArrow(_prefixes(shared, SKETCH_BITS, k, percent), PREFIX_SCHEMA), "jaccard-prefixes")
+    tokens = docs.select("text").mapInArrow(_emit_counted(k), "token long")
+    shared_tokens = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    common = sketch.collect_sketch(shared_tokens.mapInArrow(_levels, sketch.SCHEMA), LEVEL_BITS, "max")
+    shared = spark.sparkContext.broadcast(common.astype(np.uint8))  # 2^LEVEL_BITS bytes, whatever the corpus
+    signed = spill(docs.mapInArrow(_prefixes(shared, k, percent), PREFIX_SCHEMA), "jaccard-prefixes")
     classes = spill(signed.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("id")).where("id is not null"), "jaccard-classes")
     heads = signed.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["s1", "s2", "doc_id"], "left_semi")
     tokens = heads.select(F.col("doc_id").alias("id"), F.explode("prefix").alias("token"))

@@ -27,19 +27,24 @@ def to_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([packed], pa.binary())], ["chunk", "counts"])
 
 
-def _merge(key: tuple, rows: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, dtype=np.uint64)
-    for packed in rows.column("counts").to_pylist():
-        part = np.frombuffer(zlib.decompress(packed), dtype="<u4")
-        total[: len(part)] += part
-    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()),
-                     "counts": pa.array([zlib.compress(np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes(), 1)], pa.binary())})
+def _merge(how: str):
+    join = np.maximum if how == "max" else np.add
 
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(CHUNK, dtype=np.uint64)
+        for packed in rows.column("counts").to_pylist():
+            part = np.frombuffer(zlib.decompress(packed), dtype="<u4")
+            join(total[: len(part)], part, out=total[: len(part)])
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()),
+                         "counts": pa.array([zlib.compress(np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes(), 1)], pa.binary())})
 
-def collect_sketch(rows: DataFrame, bits: int) -> np.ndarray:
-    """Sum the tasks' sketches; the result has exactly 2^bits counters (4 bytes each)."""
+    return run
+
+
+def collect_sketch(rows: DataFrame, bits: int, how: str = "sum") -> np.ndarray:
+    """Join the tasks' sketches ("sum" or "max"); the result has exactly 2^bits counters."""
     out = np.zeros(1 << bits, dtype=np.uint32)
-    for r in rows.groupBy("chunk").applyInArrow(_merge, SCHEMA).collect():
+    for r in rows.groupBy("chunk").applyInArrow(_merge(how), SCHEMA).collect():
         part = np.frombuffer(zlib.decompress(r["counts"]), dtype="<u4")
         at = r["chunk"] * CHUNK
         out[at : at + CHUNK] = part[: len(out) - at]
