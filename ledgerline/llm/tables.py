@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.session import fresh_dir
 
 
-def spill(df: DataFrame, label: str) -> DataFrame:
+def spill(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
 
     Cuts the lineage and gives the optimiser true sizes; nothing is cached on
     an executor, so a lost one costs only its running tasks.
     """
     path = f"{fresh_dir(df.sparkSession, label)}/table"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

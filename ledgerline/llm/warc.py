@@ -73,7 +73,7 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     the same for everything that follows.
     """
     rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(payload_col).cast("binary"))
-    return spill(rows.mapInArrow(_chunks(chunk_bytes), CHUNK_SCHEMA), "warc-chunks")
+    return spill(rows.mapInArrow(_chunks(chunk_bytes), CHUNK_SCHEMA), "warc-chunks", "zstd")
 
 
 def decide_revisits(chunks: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
