@@ -93,7 +93,8 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("--max-offsets-per-trigger", type=int,
                            help="bound each micro-batch when reading Kafka")
             s.add_argument("--kafka-servers", help="bootstrap servers; files when omitted")
-            s.add_argument("--dead-letter")
+        if name in ("ingest", "recent"):
+            s.add_argument("--dead-letter", help="table of what could not be read")
         if name == "recent":
             s.add_argument("-n", type=int, default=5)
         if name == "live-rollup":
@@ -124,7 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "compact":
         from ledgerline.streaming.ticks import compact_batches, compact_changelog
         upto = (compact_batches(spark, args.root) if args.batches
-                else compact_changelog(spark, args.root, args.keys))
+                else compact_changelog(spark, args.root))
         print(json.dumps({"compacted_upto": upto}))
     elif args.cmd == "load-csv":
         from ledgerline.operators.sinks import static_load
@@ -154,6 +155,10 @@ def main(argv: list[str] | None = None) -> int:
         elif args.cmd == "recent":
             queries.append(st.recent_append(st.response_stream(spark, args.source, file_opts), args.out,
                                             f"{args.checkpoint}/recent", args.n, trig))
+            if args.dead_letter:
+                queries.append(st.dead_letter_responses(
+                    st.response_stream(spark, args.source, file_opts), args.dead_letter,
+                    f"{args.checkpoint}/dead_letter", trig))
         else:
             ticks = st.tick_file_stream(spark, args.source, TICK_SPLIT_SCHEMA, file_opts)
             queries.append(st.daily_ohlcv_stream(ticks, f"{args.out}/daily_ohlcv",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerline.schemas import TICK_MESSAGE_SCHEMA
 
@@ -29,7 +30,7 @@ def series_key(interval: str = "1min") -> str:
 # sub-second bars keep distinct keys.
 SERIES_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 # Accepted on decode: 'T' or a space between date and time, optional fraction.
-ISO_PARSE = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS]"
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 
 
 def _response_schema(series_key: str) -> str:
@@ -69,25 +70,38 @@ def _bars(parsed: DataFrame, symbol_col: str, series_key: str, keep=()) -> DataF
             .withColumn("timestamp", series_time(F.col("_ts"))))
 
 
+def _metric(name: str) -> Column:
+    """A metric as a double: missing is 0, unreadable is NULL."""
+    return F.coalesce(F.try_element_at("_m", F.lit(METRIC_KEYS[name])), F.lit("0")).try_cast("double")
+
+
+def _volume() -> Column:
+    """The volume truncated to a long; NULL where it is no number or does not fit."""
+    v = _metric("volume")
+    return F.when(~F.isnan(v), v).try_cast("bigint")
+
+
+def _readable() -> Column:
+    """Whether every metric of a bar can be read."""
+    ok = _volume().isNotNull()
+    for name in ("open", "high", "low", "close"):
+        ok = ok & _metric(name).isNotNull()
+    return ok
+
+
 def intraday_rows(parsed: DataFrame, symbol_col: str = "symbol",
-                  series_key: str = SERIES_KEY_1MIN) -> DataFrame:
+                  series_key: str = SERIES_KEY_1MIN, keep: tuple[str, ...] = ()) -> DataFrame:
     """One OHLCV row per series entry of each accepted response.
 
     A missing metric defaults to 0 (as the API client did); every metric is
     read as a double and the volume truncated to a long.  Entries whose key
-    is not a valid timestamp are left to ``intraday_rejects``.
+    is not a valid timestamp or whose metrics cannot be read are left to
+    ``intraday_rejects``.  ``keep`` carries columns of the response along.
     """
-    exploded = _bars(parsed, symbol_col, series_key).where(F.col("timestamp").isNotNull())
-
-    def metric(name: str) -> Column:
-        raw = F.coalesce(F.try_element_at("_m", F.lit(METRIC_KEYS[name])), F.lit("0"))
-        return raw.cast("double")
-
+    exploded = _bars(parsed, symbol_col, series_key, keep).where(F.col("timestamp").isNotNull() & _readable())
     return exploded.select(
-        "symbol", "timestamp",
-        metric("open").alias("open"), metric("high").alias("high"),
-        metric("low").alias("low"), metric("close").alias("close"),
-        metric("volume").cast("bigint").alias("volume"))
+        "symbol", *keep, "timestamp",
+        *[_metric(m).alias(m) for m in ("open", "high", "low", "close")], _volume().alias("volume"))
 
 
 def reject_reason(series_key: str = SERIES_KEY_1MIN) -> Column:
@@ -103,14 +117,16 @@ def intraday_rejects(parsed: DataFrame, keep: tuple[str, ...] = ("symbol", "requ
                      series_key: str = SERIES_KEY_1MIN) -> DataFrame:
     """What the parser could not use, routed to a dead-letter table, not
     lost: responses without the series key (throttled, error or malformed
-    bodies; ``detail`` NULL) and series entries whose key is not a valid
-    timestamp (reason ``bad_timestamp``, ``detail`` = the key)."""
+    bodies; ``detail`` NULL), series entries whose key is not a valid
+    timestamp (reason ``bad_timestamp``) and entries with a metric that is no
+    number (``bad_metric``); ``detail`` is the entry's key."""
     series = F.col("_r").getField(series_key)
     whole = (parsed.where(series.isNull())
              .select(*keep, reject_reason(series_key).alias("reason"),
                      F.lit(None).cast("string").alias("detail")))
-    bars = (_bars(parsed, keep[0], series_key, keep[1:]).where(F.col("timestamp").isNull())
-            .select(*keep, F.lit("bad_timestamp").alias("reason"), F.col("_ts").alias("detail")))
+    why = F.when(F.col("timestamp").isNull(), "bad_timestamp").when(~_readable(), "bad_metric")
+    bars = (_bars(parsed, keep[0], series_key, keep[1:]).withColumn("reason", why).where(F.col("reason").isNotNull())
+            .select(*keep, "reason", F.col("_ts").alias("detail")))
     return whole.unionByName(bars)
 
 
@@ -157,13 +173,27 @@ def decode_tick_messages(messages: DataFrame, value_col: str = "value") -> DataF
     """Keyed messages -> typed 7-column ticks plus ``_corrupt``.
 
     Only the seven table fields are declared, so extra fields are ignored
-    and absent ones become NULL; text that is not JSON lands in ``_corrupt``
-    (the row's other fields are NULL) so callers can split it off.
+    and absent ones become NULL.  A volume may be written as a float (it is
+    truncated) and a timestamp may end in ``Z``.  Text that is not JSON, and
+    messages without a symbol or timestamp (tombstones, ``{}``), land in
+    ``_corrupt`` (the row's other fields are NULL; a NULL value as the empty
+    string) so callers can split them off.
     """
-    rec = F.from_json(F.col(value_col).cast("string"), TICK_MESSAGE_SCHEMA,
-                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-                       "timestampNTZFormat": ISO_PARSE})
-    return messages.select(rec.alias("r")).select("r.*")
+    text = F.col(value_col).cast("string")
+    loose = StructType([StructField(f.name, DoubleType() if f.name == "volume" else StringType() if f.name == "timestamp" else f.dataType)
+                        for f in TICK_MESSAGE_SCHEMA.fields])
+    rec = F.from_json(text, loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    stamp = F.regexp_replace(F.col("r.timestamp"), r"(?:Z|[+]00:?00)$", "")
+    stamp = F.when(stamp.rlike(ISO_PATTERN), F.regexp_replace(stamp, "T", " ").try_cast("timestamp_ntz"))
+    volume = F.when(~F.isnan("r.volume"), F.col("r.volume")).try_cast("bigint")
+    read = messages.select(text.alias("_text"), rec.alias("r")).withColumn("_stamp", stamp).withColumn("_volume", volume)
+    bad = (F.col("r._corrupt").isNotNull() | F.col("r.symbol").isNull() | F.col("_stamp").isNull()
+           | (F.col("r.volume").isNotNull() & F.col("_volume").isNull()))
+    bad = F.coalesce(bad, F.lit(True))
+    value = {"timestamp": F.col("_stamp"), "volume": F.col("_volume")}
+    return read.select(*[F.when(~bad, value.get(f.name, F.col(f"r.{f.name}"))).alias(f.name)
+                         for f in TICK_MESSAGE_SCHEMA.fields if f.name != "_corrupt"],
+                       F.when(bad, F.coalesce("_text", F.lit(""))).alias("_corrupt"))
 
 
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,20 +10,17 @@ import re
 
 from pyspark.sql import DataFrame
 
-# The characters a warehouse identifier may contain; anything
-# else becomes '_', and runs of '_' collapse to one.
-_INVALID = re.compile(r"[^0-9A-Za-z_]")
-_RUNS = re.compile(r"_{2,}")
+# The characters a warehouse identifier is made of.
+_RUN = re.compile("[0-9A-Za-z]+")
 
 
 def warehouse_identifier(name: str) -> str:
-    """Trim; map every character outside [0-9A-Za-z_] to '_'; squeeze runs of
-    '_'; drop '_' at both ends; prefix '_' before a leading digit; '_' if
-    nothing is left."""
-    out = _RUNS.sub("_", _INVALID.sub("_", name.strip())).strip("_")
-    if out[:1].isdigit():
-        out = "_" + out
-    return out or "_"
+    """The name's runs of letters and digits, joined by single underscores; an
+    underscore before a leading digit, and alone where nothing is left."""
+    runs = _RUN.findall(name)
+    if not runs or runs[0][0].isdigit():
+        runs.insert(0, "")
+    return "_".join(runs) or "_"
 
 
 def sanitize_columns(df: DataFrame, on_collision: str = "raise") -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import broadcast_if_small
 from ledgerline.operators.topk import latest_per_key
 from ledgerline.plans.registry import model
 
@@ -54,80 +56,63 @@ def crypto_daily_avg(wh):
             .agg(F.avg("close").alias("crypto_avg_close")))
 
 
-# One country's rows are at most one per year; the bound is checked before
-# the side is broadcast.
-ECONOMY_MAX_ROWS = 10_000
-
-
 def economy_for_country(wh):
-    """Yearly GDP rows of one country (``economy_country`` parameter).
-
-    It joins the daily rows on ``year(date)``; as a shuffle join that key
-    would put every row of a year into one partition, so the (tiny) economy
-    side is broadcast after a size check instead.
-    """
+    """Yearly GDP rows of one country (``economy_country`` parameter)."""
     country = wh.param("economy_country", "United States")
-    rows = (wh.source("global_economy_indicators")
+    return (wh.source("global_economy_indicators")
             .where(F.col("Country") == F.lit(country))
             .select(F.col("Year").alias("year"),
                     F.col("Gross_Domestic_Product_GDP").alias("gdp_per_capita")))
-    return broadcast_if_small(rows, ECONOMY_MAX_ROWS)
+
+
+@dataclass(frozen=True)
+class Side:
+    """Columns that a daily mart takes from another table, and the keys that find its row."""
+
+    rows: Callable
+    keys: tuple[str, ...]
+    columns: tuple[str, ...]
+
+
+def _table(name: str, **renamed: str) -> Callable:
+    return lambda wh: wh.ref(name).withColumnsRenamed(renamed)
+
+
+# In the order that the joins run.  Keys come from the daily row alone, so the
+# order is free: the (symbol, date) sides go first, while the rows are still
+# hash-partitioned on these keys by the rollup, then the small date and year
+# sides, which AQE broadcasts by their size.
+FEATURES = (
+    Side(_table("stg_test_fundamentals"), ("symbol", "date"), ("eps", "pe_ratio", "market_cap", "sector")),
+    Side(_table("stg_test_technical_indicators"), ("symbol", "date"), ("ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper")),
+    Side(_table("stg_test_sentiment"), ("symbol", "date"), ("sentiment_score", "news_volume", "twitter_mentions")),
+)
+MARKET = (
+    Side(_table("stg_sandp500_data", close="sp500_close"), ("date",), ("sp500_close",)),
+    Side(crypto_daily_avg, ("date",), ("crypto_avg_close",)),
+    Side(economy_for_country, ("year",), ("gdp_per_capita",)),
+)
+MACRO = (Side(_table("stg_test_economic_indicators"), ("date",), ECON_COLS),)
+
+
+def _with_sides(wh, joins: tuple[Side, ...], columns: tuple[Side, ...]):
+    """Every daily row with the sides' columns (NULL where a side has no row)."""
+    daily = wh.ref("int_daily_stock_summary")
+    shown = [*daily.columns, *[c for side in columns for c in side.columns]]
+    rows = daily.withColumn("year", F.year("date"))
+    for side in joins:
+        rows = rows.join(side.rows(wh).select(*side.keys, *side.columns), list(side.keys), "left")
+    return rows.select(*shown)
 
 
 @model("marts", materialized="table", enabled=False)
 def daily_stock_signals(wh):
     """Daily summary with the S&P close, the crypto daily average and the
-    year's GDP of one country (left joins from the daily rows)."""
-    day = wh.ref("int_daily_stock_summary").alias("day")
-    idx = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("idx")
-    cry = crypto_daily_avg(wh).alias("cry")
-    gdp = economy_for_country(wh).alias("gdp")
-    on_day = lambda o: F.col("day.date") == F.col(f"{o}.date")
-    return (day.join(idx, on_day("idx"), "left")
-            .join(cry, on_day("cry"), "left")
-            .join(gdp, F.year(F.col("day.date")) == F.col("gdp.year"), "left")
-            .select(*[F.col(f"day.{c}") for c in DAILY_COLS],
-                    "idx.sp500_close", "cry.crypto_avg_close", "gdp.gdp_per_capita"))
-
-
-DAILY_COLS = ("symbol", "date", "open", "high", "low", "close", "volume")
+    year's GDP of one country."""
+    return _with_sides(wh, MARKET, MARKET)
 
 
 @model("marts", materialized="table", enabled=False)
 def daily_stock_signals_enriched(wh):
-    """Daily summary with market, macro and per-(symbol, date) features.
-
-    Every join is a left join from the daily summary with keys taken only
-    from it, so the joins commute; the (symbol, date) joins run first, while
-    the data is still hash-partitioned on (symbol, date) by the rollup, and
-    the small date/year-keyed sides last (AQE broadcasts them when small).
-    """
-    day = wh.ref("int_daily_stock_summary").alias("day")
-    fnd = wh.ref("stg_test_fundamentals").select(
-        "symbol", "date", "eps", "pe_ratio", "market_cap", "sector").alias("fnd")
-    tec = wh.ref("stg_test_technical_indicators").select(
-        "symbol", "date", "ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper").alias("tec")
-    snt = wh.ref("stg_test_sentiment").select(
-        "symbol", "date", "sentiment_score", "news_volume", "twitter_mentions").alias("snt")
-    idx = wh.ref("stg_sandp500_data").select("date", F.col("close").alias("sp500_close")).alias("idx")
-    cry = crypto_daily_avg(wh).alias("cry")
-    gdp = economy_for_country(wh).alias("gdp")
-    mac = wh.ref("stg_test_economic_indicators").select("date", *ECON_COLS).alias("mac")
-
-    def on_day(o, with_symbol=False):
-        cond = F.col("day.date") == F.col(f"{o}.date")
-        return cond & (F.col("day.symbol") == F.col(f"{o}.symbol")) if with_symbol else cond
-
-    return (day.join(fnd, on_day("fnd", True), "left")
-            .join(tec, on_day("tec", True), "left")
-            .join(snt, on_day("snt", True), "left")
-            .join(idx, on_day("idx"), "left")
-            .join(cry, on_day("cry"), "left")
-            .join(gdp, F.year(F.col("day.date")) == F.col("gdp.year"), "left")
-            .join(mac, on_day("mac"), "left")
-            .select(*[F.col(f"day.{c}") for c in DAILY_COLS],
-                    "idx.sp500_close", "cry.crypto_avg_close", "gdp.gdp_per_capita",
-                    "fnd.eps", "fnd.pe_ratio", "fnd.market_cap", "fnd.sector",
-                    "tec.ma_10", "tec.ma_50", "tec.rsi", "tec.macd", "tec.bb_lower", "tec.bb_upper",
-                    "snt.sentiment_score", "snt.news_volume", "snt.twitter_mentions",
-                    *[F.col(f"mac.{c}") for c in ECON_COLS]))
+    """Daily summary with market, per-(symbol, date) and macro features."""
+    return _with_sides(wh, FEATURES + MARKET + MACRO, MARKET + FEATURES + MACRO)

@@ -24,6 +24,7 @@ from ledgerline.plans.queries import ROUNDED, fixture_warehouse, query, rounded
 from ledgerline.schemas import TICK_SCHEMA, TICK_SPLIT_SCHEMA
 from ledgerline.session import fresh_dir
 from ledgerline.sources import landing
+from ledgerline.sources.feeds import append_rows
 from ledgerline.sources.files import csv_dir_scan, landed_responses, message_files
 from ledgerline.streaming import ticks as stream
 
@@ -219,7 +220,7 @@ def q_stream_tick_ingest(spark, sf_dir):
     out = fresh_dir(spark, "stream-ingest")
     stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, topic),
                                           f"{out}/table", f"{out}/_checkpoint"))
-    return spark.read.parquet(f"{out}/table")
+    return stream.read_batches(spark, f"{out}/table")
 
 
 @query("stream_dual_sink")
@@ -255,7 +256,7 @@ def q_stream_daily_ohlcv(spark, sf_dir):
     src = stream.tick_file_stream(spark, _landed_tick_files(spark, sf_dir), TICK_SPLIT_SCHEMA)
     out = fresh_dir(spark, "stream-ohlcv")
     stream.run_to_end(stream.daily_ohlcv_stream(src, f"{out}/changelog", f"{out}/_checkpoint"))
-    return stream.read_changelog(spark, f"{out}/changelog", ["symbol", "date"])
+    return stream.read_daily(spark, f"{out}/changelog")
 
 
 @query("stream_latest_tick")
@@ -263,7 +264,55 @@ def q_stream_latest_tick(spark, sf_dir):
     src = stream.tick_file_stream(spark, _landed_tick_files(spark, sf_dir), TICK_SPLIT_SCHEMA)
     out = fresh_dir(spark, "stream-latest")
     stream.run_to_end(stream.latest_tick_stream(src, f"{out}/changelog", f"{out}/_checkpoint"))
-    return stream.read_changelog(spark, f"{out}/changelog", ["symbol"])
+    return stream.read_latest(spark, f"{out}/changelog")
+
+
+# One file per micro-batch, in no order of time.
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+
+
+def _shuffled_tick_files(spark, sf_dir) -> str:
+    ticks = fixture_warehouse(spark, sf_dir).ref("stg_test_realtime_stock_data")
+    path = fresh_dir(spark, "tick-files")
+    ticks.repartition(8).write.mode("overwrite").parquet(path)
+    return path
+
+
+@query("stream_compacted_table")
+def q_stream_compacted_table(spark, sf_dir):
+    """A table written one file per batch, compacted twice, read from the compacted part alone."""
+    src = stream.tick_file_stream(spark, _shuffled_tick_files(spark, sf_dir), TICK_SPLIT_SCHEMA, ONE_FILE)
+    out = fresh_dir(spark, "stream-compacted")
+    stream.run_to_end(stream.dual_sink(src, f"{out}/topic", f"{out}/table", f"{out}/_checkpoint"))
+    stream.compact_batches(spark, f"{out}/table")
+    stream.compact_batches(spark, f"{out}/table")
+    return stream.read_batches(spark, f"{out}/table")
+
+
+@query("stream_changelog_compacted")
+def q_stream_changelog_compacted(spark, sf_dir):
+    """The daily rollup over shuffled files, one per batch, compacted."""
+    src = stream.tick_file_stream(spark, _shuffled_tick_files(spark, sf_dir), TICK_SPLIT_SCHEMA, ONE_FILE)
+    out = fresh_dir(spark, "stream-ohlcv-compacted")
+    stream.run_to_end(stream.daily_ohlcv_stream(src, f"{out}/changelog", f"{out}/_checkpoint"))
+    stream.compact_changelog(spark, f"{out}/changelog")
+    return stream.read_daily(spark, f"{out}/changelog")
+
+
+@query("shared_tick_table")
+def q_shared_tick_table(spark, sf_dir):
+    """Three writers, one table: the topic consumer, the recent-bars poller and a batch append."""
+    wh = fixture_warehouse(spark, sf_dir)
+    topic = landing.land_messages(wh.ref("stg_test_realtime_stock_data"), fresh_dir(spark, "topic"))
+    landed = landing.land_responses(wh.source("tick_events"), fresh_dir(spark, "responses"))
+    out = fresh_dir(spark, "shared")
+    table = f"{out}/table"
+    stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, topic), table, f"{out}/_ingest"))
+    stream.run_to_end(stream.recent_append(stream.response_stream(spark, landed), table, f"{out}/_recent", n=5))
+    stream.compact_batches(spark, table)
+    bars = intraday_rows(parse_response_bodies(landed_responses(spark, landed)))
+    append_rows(latest_per_key(bars, "symbol", "timestamp", TICK_COLS[1:]).to(TICK_SCHEMA), table)
+    return stream.read_batches(spark, table)
 
 
 # -- data quality -------------------------------------------------------------------

@@ -6,11 +6,14 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.feeds import is_feed_table, read_batches
+
 Resolver = Callable[[str], DataFrame]
 
 
 class TableSources:
-    """Raw tables stored as ``<root>/<name>`` in a file format (default parquet)."""
+    """Raw tables stored as ``<root>/<name>`` in a file format (default parquet);
+    a feed table's folders are read together, whoever wrote them."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet",
                  options: Mapping[str, str] | None = None):
@@ -18,8 +21,10 @@ class TableSources:
         self.options = dict(options or {})
 
     def __call__(self, name: str) -> DataFrame:
-        return (self.spark.read.format(self.fmt).options(**self.options)
-                .load(f"{self.root}/{name}"))
+        path = f"{self.root}/{name}"
+        if self.fmt == "parquet" and is_feed_table(self.spark, path):
+            return read_batches(self.spark, path)
+        return self.spark.read.format(self.fmt).options(**self.options).load(path)
 
 
 class CatalogSources:

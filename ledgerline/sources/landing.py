@@ -34,8 +34,9 @@ def response_records(ticks: DataFrame) -> DataFrame:
 
     Fixture rules, so that every parser branch sees data:
 
-    * a response whose first tick is an ``error`` event lands as an error
-      body, one whose first tick is a ``signup`` event as a throttling note;
+    * beside a response whose first tick is an ``error`` event lands an error
+      body, beside one whose first tick is a ``signup`` event a throttling
+      note (records of their own, so that every tick is parsed);
     * ``view`` ticks omit the volume metric (parsed as 0).
 
     Bar keys are the full-precision timestamps, so they are unique within a
@@ -62,10 +63,9 @@ def response_records(ticks: DataFrame) -> DataFrame:
         F.col("series").alias(SERIES_KEY_1MIN)))
     error_body = F.to_json(F.struct(F.lit("Invalid API call for this symbol.").alias("Error Message")))
     note_body = F.to_json(F.struct(F.lit("Call frequency limit reached; retry later.").alias("Note")))
-    body = (F.when(F.col("first_type") == "error", error_body)
-            .when(F.col("first_type") == "signup", note_body)
-            .otherwise(good))
-    return blocks.select("symbol", "request_id", body.alias("body"))
+    notice = F.when(F.col("first_type") == "error", error_body).when(F.col("first_type") == "signup", note_body)
+    bodies = F.filter(F.array(good, notice), lambda b: b.isNotNull())
+    return blocks.select("symbol", "request_id", F.explode(bodies).alias("body"))
 
 
 def land_responses(ticks: DataFrame, path: str) -> str:

@@ -6,16 +6,14 @@ Every query is checkpointed under a caller-supplied location on shared
 storage, so a restarted driver or lost executor resumes from the last
 committed batch:
 
-* plain appends use the built-in file sink (exactly-once via its commit log);
-* ``foreachBatch`` writers put each micro-batch in its own
-  ``batch_id=<n>`` directory with overwrite, so a replayed batch replaces
-  its own output instead of duplicating it (``read_batches``;
-  ``compact_batches`` merges old batch folders into larger files);
-* aggregations run in update mode and write a changelog; readers take the
-  newest version of each key (``read_changelog``), and ``compact_changelog``
-  folds the batches so far into a snapshot so reads stay bounded; the daily
-  rollup can instead emit closed days once (append mode);
-* aggregation state lives in RocksDB unless the session chose a provider.
+* every writer puts each micro-batch in a folder of its own with overwrite
+  (``sources.feeds``), so a replayed batch replaces its own output, several
+  writers share one table, and compaction keeps reads bounded;
+* the daily rollup and the latest tick are written as mergeable partial rows
+  per micro-batch: first / last values carry their order key, so a late tick
+  changes its day whenever it arrives and the result does not depend on how
+  the stream was cut into batches (``read_daily``, ``read_latest``).  The
+  daily rollup can instead emit closed days once (append mode, watermark).
 
 Triggers: ``{"availableNow": True}`` drains what is there and stops
 (replays, tests); ``{"processingTime": "5 minutes"}`` is the live cadence.
@@ -23,10 +21,8 @@ Triggers: ``{"availableNow": True}`` drains what is there and stops
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,10 +31,11 @@ from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_m
                                              intraday_rejects, intraday_rows,
                                              parse_response_bodies)
 from ledgerline.functions.timecols import naive_epoch_micros
-from ledgerline.operators.rollup import ohlcv_aggregates
-from ledgerline.operators.topk import latest_per_key, newest_per_key
+from ledgerline.operators.rollup import ohlcv_aggregates, tick_order_key
+from ledgerline.operators.topk import newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
 from ledgerline.session import apply_streaming_state_conf
+from ledgerline.sources.feeds import batch_dir, compact, is_feed_table, read_batches
 from ledgerline.sources.files import LANDED_RESPONSE_SCHEMA, MESSAGE_FILE_SCHEMA
 
 REPLAY = {"availableNow": True}
@@ -96,145 +93,19 @@ def _start(df: DataFrame, checkpoint: str, trigger: Mapping, name: str | None =
     return w.start(path) if path else w.start()
 
 
-def batch_dir(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_id={batch_id}"
-
-
-def idempotent_batch_writer(write: Callable[[DataFrame, int], None]):
-    """Wrap a foreachBatch body: persist the batch once, skip empty ones."""
+def _each_batch(write: Callable[[DataFrame, int], None]):
+    """A foreachBatch body that reads its batch several times: keep it meanwhile."""
     def run(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()  # read the batch from the source once
+        df = df.persist()
         try:
-            if not df.isEmpty():
-                write(df, batch_id)
+            write(df, batch_id)
         finally:
             df.unpersist()
     return run
 
 
-COMPACTED = "_compacted"  # leading '_': hidden from the batch_id=<n> listing
-
-
-def _batch_rows(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Rows of the batches (optionally only up to ``upto``), starting from
-    the newest compacted part; older batch folders are pruned by the
-    ``batch_id`` partition filter."""
-    root = root.rstrip("/")
-    rows = spark.read.parquet(root)
-    if upto is not None:
-        rows = rows.where(F.col("batch_id") <= upto)
-    done = [i for i in _ids_in(spark, f"{root}/{COMPACTED}", "upto") if upto is None or i <= upto]
-    if not done:
-        return rows.drop("batch_id")
-    last = max(done)
-    return (spark.read.parquet(f"{root}/{COMPACTED}/upto={last}")
-            .unionByName(rows.where(F.col("batch_id") > last).drop("batch_id")))
-
-
-def _nothing_yet(spark: SparkSession, root: str, schema) -> DataFrame:
-    """Empty batch output (no non-empty batch written yet)."""
-    if schema is None:
-        raise FileNotFoundError(f"no batch written under {root!r} yet; pass schema= to get an empty table")
-    return spark.createDataFrame([], schema)
-
-
-def _written(spark: SparkSession, root: str) -> bool:
-    return bool(_ids_in(spark, root, "batch_id")) or bool(
-        _ids_in(spark, f"{root.rstrip('/')}/{COMPACTED}", "upto"))
-
-
-def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """All rows written by a ``batch_id=<n>`` writer (without the batch id);
-    after ``compact_batches``, the compacted part plus newer batches.  With
-    ``schema``, an empty table is returned while nothing is written yet."""
-    if not _written(spark, root):
-        return _nothing_yet(spark, root, schema)
-    return _batch_rows(spark, root)
-
-
-def compact_batches(spark: SparkSession, root: str, rows_per_file: int = 5_000_000) -> int | None:
-    """Merge the per-batch folders written so far (and any earlier compacted
-    part) into ``_compacted/upto=<n>`` with fewer, larger files; returns n.
-
-    The stream may keep writing meanwhile: newer batches are read on top of
-    the compacted part.  Older folders can then be expired by storage policy.
-    """
-    root = root.rstrip("/")
-    batches = _ids_in(spark, root, "batch_id")
-    if not batches:
-        return None
-    upto = max(batches)
-    files = len(spark.read.parquet(root).inputFiles())
-    (_batch_rows(spark, root, upto)
-     .coalesce(max(1, files // 8))  # fewer, larger files; no shuffle
-     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-     .parquet(f"{root.rstrip('/')}/{COMPACTED}/upto={upto}"))
-    return upto
-
-
-SNAPSHOTS = "_snapshots"  # leading '_': hidden from the batch_id=<n> listing
-
-
-def _ids_in(spark: SparkSession, path: str, part: str) -> set[int]:
-    """Values of a ``part=<n>`` folder level under ``path``, from the file
-    listing (``inputFiles``: driver-side, no job)."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except AnalysisException:
-        return set()
-    return {int(m.group(1)) for f in files if (m := re.search(rf"/{part}=(\d+)/", f))}
-
-
-def _state_rows(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Changelog rows (with ``batch_id``) from the newest snapshot onwards,
-    optionally only up to batch ``upto``."""
-    root = root.rstrip("/")
-    log = spark.read.parquet(root)
-    if upto is not None:
-        log = log.where(F.col("batch_id") <= upto)
-    snaps = [i for i in _ids_in(spark, f"{root}/{SNAPSHOTS}", "upto") if upto is None or i <= upto]
-    if not snaps:
-        return log
-    last = max(snaps)
-    snap = (spark.read.parquet(f"{root}/{SNAPSHOTS}/upto={last}")
-            .withColumn("batch_id", F.lit(last).cast(log.schema["batch_id"].dataType)))
-    return snap.unionByName(log.where(F.col("batch_id") > last))
-
-
-def _current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
-
-
-def read_changelog(spark: SparkSession, root: str, keys: Sequence[str], schema=None) -> DataFrame:
-    """Current state of an update-mode changelog: per key, the row of the
-    newest batch (a partial aggregate; one candidate per key per task).
-
-    After ``compact_changelog`` the read starts from the newest snapshot
-    and adds only the batches written after it.  With ``schema``, an empty
-    table is returned while nothing is written yet.
-    """
-    if not _ids_in(spark, root, "batch_id"):
-        return _nothing_yet(spark, root, schema)
-    return _current(_state_rows(spark, root), keys)
-
-
-def compact_changelog(spark: SparkSession, root: str, keys: Sequence[str]) -> int | None:
-    """Fold every batch present so far into a snapshot, so readers stop
-    scanning older batches; returns the snapshot's batch id.
-
-    Safe while the stream keeps writing: only batches already listed are
-    folded in, and newer ones are read on top of the snapshot.  Older batch
-    folders can then be expired by storage policy.
-    """
-    root = root.rstrip("/")
-    batches = _ids_in(spark, root, "batch_id")
-    if not batches:
-        return None
-    upto = max(batches)
-    (_current(_state_rows(spark, root, upto), keys)
-     .write.mode("overwrite").parquet(f"{root}/{SNAPSHOTS}/upto={upto}"))
-    return upto
+def _write_batch(df: DataFrame, root: str, batch_id: int, feed: str = "batch") -> None:
+    df.write.mode("overwrite").parquet(batch_dir(root, batch_id, feed))
 
 
 def run_to_end(q: StreamingQuery) -> None:
@@ -247,11 +118,12 @@ def run_to_end(q: StreamingQuery) -> None:
 # -- T-1: topic -> typed ticks -> table --------------------------------------
 def ingest_ticks(messages: DataFrame, table_path: str, checkpoint: str,
                  trigger: Mapping = REPLAY) -> StreamingQuery:
-    """Decode keyed JSON messages and append the good ones (exactly-once
-    file sink).  Malformed messages are excluded here and routed by
-    ``dead_letter_messages``."""
+    """Decode keyed JSON messages and append the good ones to a feed table
+    (feed ``ingest``; a replayed batch replaces itself).  Malformed messages
+    are excluded here and routed by ``dead_letter_messages``."""
     good = decode_tick_messages(messages).where(F.col("_corrupt").isNull()).drop("_corrupt")
-    return _start(good, checkpoint, trigger, format="parquet", outputMode="append", path=table_path)
+    return _start(good, checkpoint, trigger,
+                  foreachBatch=lambda df, n: _write_batch(df, table_path, n, "ingest"))
 
 
 # -- T-4: bad records -> dead-letter table -------------------------------------
@@ -289,21 +161,27 @@ def dual_sink(ticks: DataFrame, topic_path: str, table_path: str, checkpoint: st
              .options(**dict(topic_options or {})).save())
         else:
             msgs.write.mode("overwrite").format(topic_format).save(batch_dir(topic_path, batch_id))
-        df.write.mode("overwrite").parquet(batch_dir(table_path, batch_id))
-    return _start(ticks, checkpoint, trigger, foreachBatch=idempotent_batch_writer(write))
+        _write_batch(df, table_path, batch_id)
+    return _start(ticks, checkpoint, trigger, foreachBatch=_each_batch(write))
 
 
-# -- T-3: newest N bars per symbol of each poll -> table -----------------------
+# -- T-3: newest N bars of each response -> table ------------------------------
 def recent_append(responses: DataFrame, table_path: str, checkpoint: str, n: int = 5,
                   trigger: Mapping = REPLAY) -> StreamingQuery:
-    """Per micro-batch of landed responses: parse, keep the ``n`` newest bars
-    of every symbol, conform to the tick schema and append.  (A row_number
-    is not allowed on a streaming frame, so it runs inside the batch.)"""
+    """Parse landed responses, keep the ``n`` newest bars of every response
+    (symbol, request_id), conform to the tick schema and append (feed
+    ``recent``).  The ranking is inside a response, so it does not depend on
+    which responses share a micro-batch.  (A row_number is not allowed on a
+    streaming frame, so it runs inside the batch.)"""
     def write(df: DataFrame, batch_id: int) -> None:
-        bars = intraday_rows(parse_response_bodies(df))
-        recent = newest_per_key(bars, "symbol", n, "timestamp")
-        recent.to(TICK_SCHEMA).write.mode("overwrite").parquet(batch_dir(table_path, batch_id))
-    return _start(responses, checkpoint, trigger, foreachBatch=idempotent_batch_writer(write))
+        _write_batch(recent_per_response(parse_response_bodies(df), n), table_path, batch_id, "recent")
+    return _start(responses, checkpoint, trigger, foreachBatch=write)
+
+
+def recent_per_response(parsed: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest bars of each parsed response, in the tick schema."""
+    bars = intraday_rows(parsed, keep=("request_id",))
+    return newest_per_key(bars, ("symbol", "request_id"), n, "timestamp").drop("request_id").to(TICK_SCHEMA)
 
 
 # -- T-6: live daily OHLCV -------------------------------------------------------
@@ -312,17 +190,18 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                        output: str = "changelog") -> StreamingQuery:
     """Daily OHLCV per symbol kept up to date as ticks arrive.
 
-    Event time is the tick timestamp; state for a (symbol, day) is dropped
-    once the watermark passes the end of the day plus ``delay``, so ticks
-    later than that are not counted (the batch model stays the ground
-    truth).
+    ``output="changelog"`` writes one mergeable partial row per (symbol, day)
+    and micro-batch; ``read_daily`` gives the table, including days still
+    open.  There is no watermark: a tick counts whenever it arrives.
 
-    ``output="changelog"`` (update mode) writes the changed groups of each
-    batch; ``read_changelog(..., ["symbol", "date"])`` gives the table,
-    including days still open.  ``output="closed"`` (append mode) writes
-    each (symbol, day) exactly once, when the watermark closes it, to an
-    exactly-once Parquet file sink: final bars only, readable directly.
+    ``output="closed"`` (append mode) writes each (symbol, day) exactly once,
+    when the watermark passes the end of the day plus ``delay``, to an
+    exactly-once Parquet file sink: final bars only, readable directly.  Ticks
+    later than that are in the changelog form alone.
     """
+    if output == "changelog":
+        return _start(ticks, checkpoint, trigger,
+                      foreachBatch=lambda df, n: _write_batch(daily_partials(df), changelog_path, n))
     naive = ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
     # Event time as a TIMESTAMP whose epoch is the naive wall clock, so the
     # 1-day windows are calendar days whatever the session time zone.
@@ -335,27 +214,63 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
            .agg(*ohlcv_aggregates(ticks))  # the batch rollup's definition
            .select("symbol", day_of.alias("date"),
                    "open", "high", "low", "close", "volume"))
-    if output == "closed":
-        apply_streaming_state_conf(agg.sparkSession)
-        return _start(agg, checkpoint, trigger, format="parquet", outputMode="append",
-                      path=changelog_path)
-    return _changelog(agg, changelog_path, checkpoint, trigger)
+    apply_streaming_state_conf(agg.sparkSession)
+    return _start(agg, checkpoint, trigger, format="parquet", outputMode="append", path=changelog_path)
+
+
+def daily_partials(ticks: DataFrame) -> DataFrame:
+    """Mergeable daily bars: the open and close carry the order key of their tick."""
+    key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
+    day = F.col("date") if "date" in ticks.columns else F.to_date("timestamp")
+    rows = ticks.select("symbol", day.alias("date"), key.alias("first_key"), key.alias("last_key"),
+                        "open", "high", "low", "close", "volume")
+    return merge_daily(rows)
+
+
+def merge_daily(partials: DataFrame) -> DataFrame:
+    """Combine partial bars of the same (symbol, date); associative, so any grouping gives the same bars."""
+    return partials.groupBy("symbol", "date").agg(
+        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"),
+        F.min_by("open", "first_key").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "last_key").alias("close"), F.sum("volume").alias("volume"))
+
+
+def read_daily(spark: SparkSession, root: str) -> DataFrame:
+    """Daily OHLCV from all partial rows written so far."""
+    return merge_daily(read_batches(spark, root)).select("symbol", "date", "open", "high", "low", "close", "volume")
 
 
 # -- T-7: live latest tick per symbol ------------------------------------------
 def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                        trigger: Mapping = REPLAY) -> StreamingQuery:
-    """Latest close/volume per symbol; state is one row per symbol.  The
-    batch model's operator (``latest_per_key``) run on the stream."""
-    agg = (latest_per_key(ticks, "symbol", "timestamp", ["close", "volume"])
-           .select("symbol", F.col("close").alias("last_close"),
-                   F.col("volume").alias("last_volume")))
-    return _changelog(agg, changelog_path, checkpoint, trigger)
+    """Latest close/volume per symbol: one partial row per symbol and
+    micro-batch, with the order key of its tick (``read_latest``)."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        key = tick_order_key("timestamp", df.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
+        rows = df.select("symbol", key.alias("last_key"), F.col("close").alias("last_close"),
+                         F.col("volume").alias("last_volume"))
+        _write_batch(merge_latest(rows), changelog_path, batch_id)
+    return _start(ticks, checkpoint, trigger, foreachBatch=write)
 
 
-def _changelog(agg: DataFrame, path: str, checkpoint: str, trigger: Mapping) -> StreamingQuery:
-    apply_streaming_state_conf(agg.sparkSession)
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(batch_dir(path, batch_id))
-    return _start(agg, checkpoint, trigger, outputMode="update",
-                  foreachBatch=idempotent_batch_writer(write))
+def merge_latest(partials: DataFrame) -> DataFrame:
+    """The row of the greatest order key of each symbol."""
+    return partials.groupBy("symbol").agg(
+        F.max("last_key").alias("last_key"), F.max_by("last_close", "last_key").alias("last_close"),
+        F.max_by("last_volume", "last_key").alias("last_volume"))
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """Latest tick per symbol from all partial rows written so far."""
+    return merge_latest(read_batches(spark, root)).select("symbol", "last_close", "last_volume")
+
+
+def compact_changelog(spark: SparkSession, root: str) -> int | None:
+    """Fold the partial rows of the batches so far (see ``feeds.compact``)."""
+    daily = "first_key" in read_batches(spark, root).columns if is_feed_table(spark, root) else False
+    return compact(spark, root, merge_daily if daily else merge_latest)
+
+
+def compact_batches(spark: SparkSession, root: str) -> int | None:
+    """Fold the batches so far into larger files (see ``feeds.compact``)."""
+    return compact(spark, root)

@@ -3,9 +3,9 @@
 Each query is a final SELECT over named CTEs; ``compose`` prepends the CTEs
 it (transitively) mentions.  The raw-table CTEs mirror
 ``ledgerline.sources.fixtures`` and the model CTEs restate each model in
-plain DuckDB SQL of its own: first/last rows as ``arg_min``/``arg_max`` over
-the full (time, timestamp) order the models define, latest snapshots as
-``ORDER BY ... LIMIT``.
+plain DuckDB SQL of another shape than the engine's: first/last rows as
+windows, the daily marts' side values as one lookup per key, latest snapshots
+as ``ORDER BY ... LIMIT``.
 
 Oracle rules: integer sums are cast to BIGINT (DuckDB returns HUGEINT);
 averages are rounded to 6 places on both sides; DuckDB's dayofweek is
@@ -171,14 +171,15 @@ CTE["int_test_technical_indicators"] = """
   SELECT symbol, avg(ma_10) AS avg_ma_10, avg(ma_50) AS avg_ma_50, avg(rsi) AS avg_rsi,
          avg(macd) AS avg_macd, avg(bb_lower) AS avg_bb_lower, avg(bb_upper) AS avg_bb_upper
   FROM stg_test_technical_indicators GROUP BY symbol"""
-# First / last of a day by (time, timestamp) with NULLs first: the leading
-# "IS NOT NULL" fields order NULLs before values inside the row key.
-TICK_ORDER = "(time IS NOT NULL, time, timestamp IS NOT NULL, timestamp)"
-CTE["int_daily_stock_summary"] = f"""
-  SELECT symbol, date, arg_min(open, {TICK_ORDER}) AS open, max(high) AS high, min(low) AS low,
-         arg_max(close, {TICK_ORDER}) AS close, CAST(sum(volume) AS BIGINT) AS volume
+# First / last of a day by (time, timestamp) with NULLs first, in window form.
+CTE["int_daily_stock_summary"] = """
+  SELECT DISTINCT symbol, date,
+         first_value(open) OVER in_order AS open, max(high) OVER whole AS high, min(low) OVER whole AS low,
+         last_value(close) OVER in_order AS close, CAST(sum(volume) OVER whole AS BIGINT) AS volume
   FROM stg_test_realtime_stock_data
-  GROUP BY symbol, date"""
+  WINDOW whole AS (PARTITION BY symbol, date),
+         in_order AS (PARTITION BY symbol, date ORDER BY time NULLS FIRST, timestamp NULLS FIRST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
 CTE["int_test_economic_indicators"] = """
   SELECT inflation_rate, unemployment_rate, gdp_growth, interest_rate
   FROM stg_test_economic_indicators
@@ -226,10 +227,9 @@ CTE["dim_stock"] = """
 # marts
 # Latest tick per symbol: greatest timestamp, NULL timestamps lowest.
 CTE["latest_ticks"] = """
-  SELECT symbol, max(timestamp) AS timestamp,
-         arg_max(close, (timestamp IS NOT NULL, timestamp)) AS last_close,
-         arg_max(volume, (timestamp IS NOT NULL, timestamp)) AS last_volume
-  FROM stg_test_realtime_stock_data GROUP BY symbol"""
+  SELECT symbol, timestamp, close AS last_close, volume AS last_volume
+  FROM stg_test_realtime_stock_data
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC NULLS LAST) = 1"""
 CTE["stock_feature_mart"] = """
   SELECT l.symbol, l.last_close, l.last_volume,
          f.avg_eps, f.avg_pe_ratio, f.avg_market_cap,
@@ -247,27 +247,25 @@ CTE["crypto_daily_avg"] = """
 CTE["economy_fixture"] = """
   SELECT "Year" AS year, "Gross_Domestic_Product_GDP" AS gdp_per_capita
   FROM global_economy_indicators WHERE "Country" = 'NATION_0'"""
-DAILY = "day.symbol, day.date, day.open, day.high, day.low, day.close, day.volume"
-CTE["daily_stock_signals"] = f"""
-  SELECT {DAILY}, idx.close AS sp500_close, cry.crypto_avg_close, gdp.gdp_per_capita
-  FROM int_daily_stock_summary day
-  LEFT JOIN economy_fixture gdp ON gdp.year = CAST(year(day.date) AS INTEGER)
-  LEFT JOIN crypto_daily_avg cry ON cry.date = day.date
-  LEFT JOIN stg_sandp500_data idx ON idx.date = day.date"""
+
+
+def _lookups(table: str, cols: str, *keys: str) -> str:
+    """One scalar lookup per column: its value in ``table`` at the daily row's keys."""
+    at = " AND ".join(f"x.{k} = day.{k}" for k in keys)
+    return ", ".join(f"(SELECT x.{c.strip()} FROM {table} x WHERE {at}) AS {c.strip()}" for c in cols.split(","))
+
+
+_MARKET = """(SELECT x.close FROM stg_sandp500_data x WHERE x.date = day.date) AS sp500_close,
+         (SELECT x.crypto_avg_close FROM crypto_daily_avg x WHERE x.date = day.date) AS crypto_avg_close,
+         (SELECT x.gdp_per_capita FROM economy_fixture x WHERE x.year = CAST(year(day.date) AS INTEGER)) AS gdp_per_capita"""
+CTE["daily_stock_signals"] = f"SELECT day.*, {_MARKET} FROM int_daily_stock_summary day"
 CTE["daily_stock_signals_enriched"] = f"""
-  SELECT {DAILY}, idx.close AS sp500_close, cry.crypto_avg_close, gdp.gdp_per_capita,
-         fnd.eps, fnd.pe_ratio, fnd.market_cap, fnd.sector,
-         tec.ma_10, tec.ma_50, tec.rsi, tec.macd, tec.bb_lower, tec.bb_upper,
-         snt.sentiment_score, snt.news_volume, snt.twitter_mentions,
-         mac.inflation_rate, mac.unemployment_rate, mac.gdp_growth, mac.interest_rate
-  FROM int_daily_stock_summary day
-  LEFT JOIN stg_test_economic_indicators mac ON mac.date = day.date
-  LEFT JOIN stg_test_sentiment snt ON (snt.symbol, snt.date) = (day.symbol, day.date)
-  LEFT JOIN stg_test_technical_indicators tec ON (tec.symbol, tec.date) = (day.symbol, day.date)
-  LEFT JOIN stg_test_fundamentals fnd ON (fnd.symbol, fnd.date) = (day.symbol, day.date)
-  LEFT JOIN economy_fixture gdp ON gdp.year = CAST(year(day.date) AS INTEGER)
-  LEFT JOIN crypto_daily_avg cry ON cry.date = day.date
-  LEFT JOIN stg_sandp500_data idx ON idx.date = day.date"""
+  SELECT day.*, {_MARKET},
+         {_lookups("stg_test_fundamentals", "eps, pe_ratio, market_cap, sector", "symbol", "date")},
+         {_lookups("stg_test_technical_indicators", "ma_10, ma_50, rsi, macd, bb_lower, bb_upper", "symbol", "date")},
+         {_lookups("stg_test_sentiment", "sentiment_score, news_volume, twitter_mentions", "symbol", "date")},
+         {_lookups("stg_test_economic_indicators", "inflation_rate, unemployment_rate, gdp_growth, interest_rate", "date")}
+  FROM int_daily_stock_summary day"""
 
 # Columns holding floating-point averages: rounded to 6 places on both sides.
 from ledgerline.plans.queries import ROUNDED  # noqa: E402
@@ -334,9 +332,13 @@ CTE["response_blocks"] = """
 CTE["json_bars"] = """
   SELECT t.symbol, t.timestamp, t.open, t.high, t.low, t.close,
          CASE WHEN t.event_type = 'view' THEN CAST(0 AS BIGINT) ELSE t.volume END AS volume
-  FROM tick_events t
-  JOIN response_blocks b ON t.symbol = b.symbol AND t.event_id // 64 = b.request_id
-  WHERE b.first_type NOT IN ('error', 'signup')"""
+  FROM tick_events t"""
+# The newest five bars of each response.
+CTE["json_recent_by_response"] = """
+  SELECT symbol, timestamp, open, high, low, close,
+         CASE WHEN event_type = 'view' THEN CAST(0 AS BIGINT) ELSE volume END AS volume
+  FROM tick_events
+  QUALIFY row_number() OVER (PARTITION BY symbol, event_id // 64 ORDER BY timestamp DESC NULLS LAST) <= 5"""
 CTE["json_rejects"] = """
   SELECT symbol, request_id,
          CASE first_type WHEN 'error' THEN 'error_message' ELSE 'note' END AS reason,
@@ -364,7 +366,9 @@ FINAL["recent_ticks"] = """
   SELECT * FROM json_bars ORDER BY timestamp DESC NULLS LAST, symbol ASC LIMIT 5"""
 FINAL["recent_ticks_per_symbol"] = "SELECT * FROM json_recent5"
 FINAL["schema_append"] = "SELECT * FROM json_recent5"
-FINAL["stream_recent_append"] = "SELECT * FROM json_recent5"
+FINAL["stream_recent_append"] = "SELECT * FROM json_recent_by_response"
+FINAL["shared_tick_table"] = """
+  SELECT * FROM streaming_stock_data UNION ALL SELECT * FROM json_recent_by_response UNION ALL SELECT * FROM json_latest"""
 FINAL["latest_tick_per_symbol"] = """
   SELECT symbol, timestamp, last_close AS close, last_volume AS volume FROM latest_ticks"""
 FINAL["kafka_record_encode"] = """
@@ -398,6 +402,8 @@ FINAL["earnings_surprise"] = """
 FINAL["crypto_daily_avg"] = model_select("crypto_daily_avg")
 FINAL["truncate_load"] = "SELECT * FROM test_sentiment UNION ALL SELECT * FROM test_sentiment"
 FINAL["parquet_export"] = "SELECT * FROM fact_daily_summary"
+FINAL["stream_compacted_table"] = FINAL["split_date_time"]
+FINAL["stream_changelog_compacted"] = "SELECT * FROM int_daily_stock_summary"
 FINAL["stream_daily_ohlcv"] = "SELECT * FROM int_daily_stock_summary"
 FINAL["stream_latest_tick"] = "SELECT symbol, last_close, last_volume FROM latest_ticks"
 

@@ -50,11 +50,11 @@ def test_recent_and_live_rollup_commands(spark):
     wh.ref("stg_test_realtime_stock_data").write.mode("overwrite").parquet(ticks)
     live = fresh_dir(spark, "cli-live")
     assert cli.main(["live-rollup", ticks, live, "--checkpoint", f"{live}/_ck", "--replay"]) == 0
-    daily = st.read_changelog(spark, f"{live}/daily_ohlcv", ["symbol", "date"])
+    daily = st.read_daily(spark, f"{live}/daily_ohlcv")
     assert daily.count() == wh.ref("int_daily_stock_summary").count()
-    assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
+    assert st.read_latest(spark, f"{live}/latest_tick").count() == 15
     assert cli.main(["compact", f"{live}/latest_tick", "--keys", "symbol"]) == 0
-    assert st.read_changelog(spark, f"{live}/latest_tick", ["symbol"]).count() == 15
+    assert st.read_latest(spark, f"{live}/latest_tick").count() == 15
 
 
 def test_test_command_reports_checks_and_warnings(spark, capsys):

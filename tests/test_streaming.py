@@ -1,6 +1,5 @@
 """Streaming results equal the batch models when data arrives over many
 micro-batches."""
-import re
 
 from ledgerline.plans.queries import fixture_warehouse
 from ledgerline.schemas import TICK_SPLIT_SCHEMA
@@ -20,10 +19,10 @@ def test_daily_ohlcv_stream_over_many_batches_equals_batch(spark):
     ticks, path = _landed_in_time_slices(spark)
     out = fresh_dir(spark, "multi-ohlcv")
     src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "1"})
-    q = st.daily_ohlcv_stream(src, f"{out}/cl", f"{out}/_ck", delay="40 days")
+    q = st.daily_ohlcv_stream(src, f"{out}/cl", f"{out}/_ck")
     st.run_to_end(q)
     assert q.lastProgress["batchId"] >= 5  # really several micro-batches
-    got = st.read_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    got = st.read_daily(spark, f"{out}/cl")
     want = fixture_warehouse(spark, SF_SMALL).ref("int_daily_stock_summary")
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
@@ -34,7 +33,7 @@ def test_latest_tick_stream_over_many_batches_equals_batch(spark):
     out = fresh_dir(spark, "multi-latest")
     src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "1"})
     st.run_to_end(st.latest_tick_stream(src, f"{out}/cl", f"{out}/_ck"))
-    got = st.read_changelog(spark, f"{out}/cl", ["symbol"])
+    got = st.read_latest(spark, f"{out}/cl")
     mart = fixture_warehouse(spark, SF_SMALL).ref("stock_feature_mart")
     want = mart.select("symbol", "last_close", "last_volume")
     assert got.count() == want.count()
@@ -79,16 +78,16 @@ def test_changelog_compaction_keeps_the_state(spark):
     out = fresh_dir(spark, "compact")
     src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "2"})
     st.run_to_end(st.daily_ohlcv_stream(src, f"{out}/cl", f"{out}/_ck", delay="40 days"))
-    before = st.read_changelog(spark, f"{out}/cl", ["symbol", "date"])
-    upto = st.compact_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    before = st.read_daily(spark, f"{out}/cl")
+    upto = st.compact_changelog(spark, f"{out}/cl")
     assert upto is not None and upto >= 2
-    after = st.read_changelog(spark, f"{out}/cl", ["symbol", "date"])
+    after = st.read_daily(spark, f"{out}/cl")
     assert after.count() == before.count()
     assert after.exceptAll(before.select(*after.columns)).count() == 0
-    # The compacted read scans the snapshot and prunes the older batch folders.
-    plan = after._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 2  # the snapshot + the newer batches
-    assert re.search(rf"PartitionFilters: \[[^\]]*batch_id#\d+ > {upto}\)", plan)
+    # a second run has nothing to fold; the part alone is enough, whatever became of the batches
+    assert st.compact_changelog(spark, f"{out}/cl") == upto
+    files = after.inputFiles()
+    assert files and all("/_compacted/batch_upto=" in f for f in files)
 
 
 def test_batch_compaction_keeps_all_rows_while_stream_continues(spark):
@@ -114,7 +113,7 @@ def test_readers_before_any_batch(spark):
     import pytest
     out = fresh_dir(spark, "nothing-yet")
     with pytest.raises(FileNotFoundError):
-        st.read_changelog(spark, f"{out}/cl", ["symbol"])
+        st.read_latest(spark, f"{out}/cl")
     empty = st.read_batches(spark, f"{out}/table", schema=TICK_SPLIT_SCHEMA)
     assert empty.count() == 0 and empty.columns == [f.name for f in TICK_SPLIT_SCHEMA.fields]
 
@@ -123,7 +122,7 @@ def test_streaming_rollup_aggregates_partially_before_the_state_store(spark, cap
     ticks, path = _landed_in_time_slices(spark, 2)
     out = fresh_dir(spark, "stream-plan")
     q = st.daily_ohlcv_stream(st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA),
-                              f"{out}/cl", f"{out}/_ck")
+                              f"{out}/cl", f"{out}/_ck", output="closed")
     st.run_to_end(q)
     capsys.readouterr()
     q.explain()
@@ -132,3 +131,41 @@ def test_streaming_rollup_aggregates_partially_before_the_state_store(spark, cap
     assert "partial_min_by" in plan and "partial_max_by" in plan  # map-side combine
     assert plan.index("partial_min_by") > plan.index("StateStoreRestore")  # below it in the tree
     assert "SortAggregate" not in plan
+
+
+def test_shuffled_late_files_one_per_batch_equal_the_batch_rollup(spark):
+    ticks = fixture_warehouse(spark, SF_SMALL).ref("stg_test_realtime_stock_data")
+    path, out = fresh_dir(spark, "late"), fresh_dir(spark, "late-out")
+    # newest first: every later file is late
+    for i, part in enumerate(reversed(ticks.randomSplit([1.0] * 4, 7))):
+        part.coalesce(1).write.mode("append").parquet(path)
+    src = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "1", "latestFirst": "true"})
+    st.run_to_end(st.daily_ohlcv_stream(src, f"{out}/cl", f"{out}/_ck"))
+    got = st.read_daily(spark, f"{out}/cl")
+    want = fixture_warehouse(spark, SF_SMALL).ref("int_daily_stock_summary")
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_recent_append_ranks_inside_a_response(spark):
+    import json
+    from ledgerline.functions.json_codec import METRIC_KEYS, SERIES_KEY_1MIN
+    bar = dict.fromkeys(METRIC_KEYS.values(), "1")
+    path = fresh_dir(spark, "responses")
+    for r in range(4):
+        body = {SERIES_KEY_1MIN: {f"2024-01-0{r + 1} 00:00:{i:02d}": bar for i in range(10)}}
+        spark.createDataFrame([("A", r, json.dumps(body))], "symbol string, request_id bigint, body string").coalesce(1).write.mode("append").json(path)
+    for options in ({}, {"maxFilesPerTrigger": "1"}):
+        out = fresh_dir(spark, "recent")
+        st.run_to_end(st.recent_append(st.response_stream(spark, path, options), f"{out}/t", f"{out}/_ck", n=5))
+        assert st.read_batches(spark, f"{out}/t").count() == 20
+
+
+def test_append_after_ingest_is_seen(spark):
+    from ledgerline.sources.feeds import append_rows
+    ticks, path = _landed_in_time_slices(spark, 2)
+    out = fresh_dir(spark, "shared")
+    st.run_to_end(st.dual_sink(st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA), f"{out}/topic", f"{out}/t", f"{out}/_ck"))
+    st.compact_batches(spark, f"{out}/t")
+    append_rows(ticks.limit(7), f"{out}/t", "job-1")
+    append_rows(ticks.limit(7), f"{out}/t", "job-1")  # a repeated job replaces its rows
+    assert st.read_batches(spark, f"{out}/t").count() == ticks.count() + 7

@@ -16,8 +16,7 @@ from ledgerline.functions.names import warehouse_identifier, sanitize_columns
 from ledgerline.functions.numeric import earnings_surprise, nan_to_null
 from ledgerline.functions.timecols import floor_to_interval, split_date_time
 from ledgerline.operators import quality
-from ledgerline.operators.joins import broadcast_if_small
-from ledgerline.operators.rollup import daily_ohlcv, daily_ohlcv_window
+from ledgerline.operators.rollup import daily_ohlcv
 from ledgerline.operators.topk import latest_per_key, newest_per_key
 from ledgerline.plans.queries import fixture_warehouse
 from ledgerline.schemas import TICK_SCHEMA, TICK_SPLIT_SCHEMA
@@ -137,21 +136,13 @@ def test_floor_and_split(spark):
 
 
 # -- rollup, top-k ------------------------------------------------------------------
-def test_ohlcv_aggregate_equals_window_form(spark):
-    ticks = fixture_warehouse(spark, SF_ORACLE).ref("stg_test_realtime_stock_data")
-    a, b = daily_ohlcv(ticks), daily_ohlcv_window(ticks)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_ohlcv_null_time_sorts_first(spark):
     rows = [("A", None, dt.date(2024, 1, 1), None, 5.0, 6.0, 4.0, 5.5, 1),
             ("A", T(2024, 1, 1, 9), dt.date(2024, 1, 1), "09:00:00", 1.0, 2.0, 0.5, 1.5, 2),
             ("A", T(2024, 1, 1, 10), dt.date(2024, 1, 1), "10:00:00", 3.0, 9.0, 3.0, 3.5, 3)]
     df = spark.createDataFrame(rows, TICK_SPLIT_SCHEMA)
     r = daily_ohlcv(df).first()
-    w = daily_ohlcv_window(df).first()
     assert (r.open, r.close, r.high, r.low, r.volume) == (5.0, 3.5, 9.0, 0.5, 6)
-    assert (w.open, w.close) == (r.open, r.close)
 
 
 def test_latest_and_newest_per_key(spark):
@@ -184,13 +175,6 @@ def test_empty_economics_gives_empty_mart(spark):
     assert full.count() == 15
 
 
-def test_broadcast_if_small_respects_bound(spark):
-    df = spark.range(50)
-    assert "ResolvedHint" in broadcast_if_small(df, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
-
-
-# -- quality checks -------------------------------------------------------------------------
 def test_quality_checks_pass_on_models(spark):
     quality.assert_passing(quality.run_checks(fixture_warehouse(spark, SF_SMALL)))
 
@@ -456,3 +440,23 @@ def test_warning_checks_are_reported_not_raised(spark):
     got = {r.test_id: r.failures for r in quality.run_checks(wh, quality.WARNINGS).collect()}
     assert got == {"W-sp500": 30}
     runner.build_and_test(wh, fresh_dir(spark, "warn"), names=["dim_stock"])  # does not raise
+
+
+# -- bad records never stop or pollute a load ------------------------------------
+def test_unreadable_metrics_go_to_rejects(spark):
+    from ledgerline.functions.json_codec import SERIES_KEY_1MIN
+    bars = {"2024-01-01 00:00:01": {"1. open": "None"}, "2024-01-01 00:00:02": {"5. volume": "NaN"},
+            "2024-01-01 00:00:03": {"1. open": "2", "5. volume": "7.9"}}
+    parsed = parse_response_bodies(spark.createDataFrame([("A", 1, json.dumps({SERIES_KEY_1MIN: bars}))],
+                                                         "symbol string, request_id bigint, body string"))
+    assert [(r.open, r.volume) for r in intraday_rows(parsed).collect()] == [(2.0, 7)]
+    assert sorted((r.reason, r.detail[-1]) for r in intraday_rejects(parsed).collect()) == [("bad_metric", "1"), ("bad_metric", "2")]
+
+
+def test_tombstones_and_loose_messages(spark):
+    from ledgerline.functions.json_codec import decode_tick_messages, split_decoded
+    values = [None, "{}", "x", '{"symbol": "A", "timestamp": "2024-01-01T00:00:00Z", "volume": 1000.0}',
+              '{"symbol": "A", "timestamp": "2024-01-01 00:00:00.5", "volume": 3}', '{"symbol": "A", "timestamp": "soon"}']
+    good, bad = split_decoded(decode_tick_messages(spark.createDataFrame([(v,) for v in values], "value string")))
+    assert sorted((r.timestamp, r.volume) for r in good.collect()) == [(T(2024, 1, 1), 1000), (T(2024, 1, 1, 0, 0, 0, 500000), 3)]
+    assert sorted(r.raw for r in bad.collect()) == sorted(["", "{}", "x", values[5]])
