@@ -7,8 +7,8 @@ then decide by the triangle inequality: documents within the threshold link at
 once, pairs whose pivot distances differ by more than the threshold cannot
 link, and what is left open (far documents, and the boundary documents near
 enough to them) joins again around a new pivot of the region, level by level;
-after the last level, the few open pairs within all windows are compared one by
-one.  Nothing is estimated: links are decided by exact set intersections.
+after the last level, the open pairs within all windows whose unshared shingles
+leave room for a link are compared one by one.  Nothing is estimated: links are decided by exact set intersections.
 
 Why not plain nearest-pivot cells: unrelated texts lie at distance 1 from every
 pivot, so windows around globally chosen pivots would copy each document into
@@ -149,7 +149,19 @@ def _distance():
     return 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
 
 
-def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int = 3,
+def _own(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, u): how many shingles of a document no other document in ``held`` has.
+
+    They lie outside every overlap and inside every union, which bounds the
+    similarity of a pair from both sides.  Ids with several sets have no bound.
+    """
+    single = sets.groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k = 1")
+    open_sets = sets.join(held.select("id").distinct(), "id", "left_semi")
+    tokens = open_sets.select("id", F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).where("k = 1")
+    return spill(tokens.groupBy("id").agg(F.count(F.lit(1)).alias("u")).join(single, "id", "left_semi"), "jaccard-own")
+
+
+def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int = 2,
                   id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, classes, links) of the join at Jaccard similarity ``percent`` / 100 or more.
 
@@ -205,14 +217,22 @@ def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int =
             state = spill(held.join(told.select("region", "id", "x"), ["region", "id"])
                           .select("region", "id", "n", "near", F.concat("d", F.array("x")).alias("d")), "jaccard-level")
             continue
-        a = held.where("not near").select("region", "id", F.col("n").alias("na"), F.col("d").alias("da"), F.col("c").alias("ca"))
-        b = held.select("region", F.col("id").alias("other"), F.col("near").alias("nb_near"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("c").alias("cb"))
+        own = _own(held, sets)
+        held = held.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+        a = held.where("not near").select("region", "id", F.col("n").alias("na"), F.col("d").alias("da"), F.col("c").alias("ca"), F.col("u").alias("ua"))
+        b = held.select("region", F.col("id").alias("other"), F.col("near").alias("nb_near"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("c").alias("cb"), F.col("u").alias("ub"))
         in_window = F.forall(F.zip_with("da", "db", lambda x, y: F.abs(x - y)), lambda x: x <= wide)
         near_size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        rest = a.join(b, (a["region"] == b["region"]) & (F.col("ca") != F.col("cb")) & (F.col("nb_near") | (F.col("id") < F.col("other"))) & near_size & in_window)
-        rest = spill(rest.select("id", "other").distinct(), "jaccard-rest")
-        hits = _measure(rest, sets, []).where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b"))
-        links = spill(links.union(hits), "jaccard-links")
+        most = F.least(F.col("na") - F.col("ua"), F.col("nb") - F.col("ub"))
+        can_link = 100 * most >= percent * (most + F.col("ua") + F.col("ub"))
+        # the exact overlap comes last in the condition, so only pairs that nothing excludes are intersected
+        both = F.size(F.array_intersect("ga", "gb"))
+        exact = 100 * both >= percent * (F.col("na") + F.col("nb") - both)
+        a = a.join(sets.select("id", F.col("n").alias("na"), F.col("grams").alias("ga")), ["id", "na"])
+        b = b.join(sets.select(F.col("id").alias("other"), F.col("n").alias("nb"), F.col("grams").alias("gb")), ["other", "nb"])
+        hits = a.join(b, (a["region"] == b["region"]) & (F.col("ca") != F.col("cb")) & (F.col("nb_near") | (F.col("id") < F.col("other")))
+                      & near_size & can_link & in_window & exact)
+        links = spill(links.union(hits.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()), "jaccard-links")
     return signed.drop("prefix"), classes, links
 
 

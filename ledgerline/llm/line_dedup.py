@@ -22,7 +22,7 @@ from ledgerline.llm.components import connected_components
 from ledgerline.llm.tables import spill
 from ledgerline.llm.textscan import mix, pieces, span_hashes
 
-KEY_SCHEMA = "key long, id long, parity long, probe boolean"
+KEY_SCHEMA = "key long, id long, parity long, less int"
 
 
 def segments(length: np.ndarray, edits: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,7 +33,8 @@ def segments(length: np.ndarray, edits: int, i: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(0, i - short), size + (i >= short)
 
 
-def _keys(edits: int):
+def _keys(edits: int, probe: bool):
+    """Index keys of each line, or its probe keys with the length difference ``less`` they ask for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text="line", limit=1 << 20):
             points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="<u4") for t in b.column(1).to_pylist()]
@@ -47,15 +48,17 @@ def _keys(edits: int):
             parity = (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
             out: list[list[np.ndarray]] = [[], [], [], []]
 
-            def emit(rows, start, size, other, i, probe):
+            def emit(rows, start, size, other, i, less):
                 h = span_hashes(data, begin[rows] + start, begin[rows] + start + size)  # noqa: B023
                 key = mix(h ^ mix((other * 64 + i).astype(np.uint64)))
-                for column, v in zip(out, (key.view(np.int64), ids[rows], parity[rows].view(np.int64), np.full(len(rows), probe)), strict=True):  # noqa: B023
+                for column, v in zip(out, (key.view(np.int64), ids[rows], parity[rows].view(np.int64), np.full(len(rows), less, dtype=np.int32)), strict=True):  # noqa: B023
                     column.append(v)
 
             for i in range(edits + 1):
-                start, size = segments(length, edits, i)
-                emit(np.arange(len(points)), start, size, length, i, False)
+                if not probe:
+                    start, size = segments(length, edits, i)
+                    emit(np.arange(len(points)), start, size, length, i, 0)
+                    continue
                 for less in range(edits + 1):  # probes for lines of the same length or shorter ones
                     other = length - less
                     start, size = segments(other, edits, i)
@@ -65,8 +68,8 @@ def _keys(edits: int):
                         at = start + shift
                         rows = np.flatnonzero((at >= low) & (at <= high))
                         if len(rows):
-                            emit(rows, at[rows], size[rows], other[rows], i, True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "id", "parity", "probe"])
+                            emit(rows, at[rows], size[rows], other[rows], i, less)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "id", "parity", "less"])
 
     return run
 
@@ -137,12 +140,13 @@ def _verify(edits: int):
 
 def line_links(lines: DataFrame, edits: int = 2) -> DataFrame:
     """All links (a, b) between distinct ``lines(id, line)`` within ``edits`` edits, a < b."""
-    keys = lines.mapInArrow(_keys(edits), KEY_SCHEMA)
-    index = keys.where(~F.col("probe")).select("key", F.col("id").alias("a"), F.col("parity").alias("pa"))
-    probes = keys.where("probe").select(F.col("key").alias("k"), F.col("id").alias("b"), F.col("parity").alias("pb"))
+    index = lines.mapInArrow(_keys(edits, False), KEY_SCHEMA).select("key", F.col("id").alias("a"), F.col("parity").alias("pa"))
+    probes = lines.mapInArrow(_keys(edits, True), KEY_SCHEMA).select(F.col("key").alias("k"), F.col("id").alias("b"), F.col("parity").alias("pb"), "less")
+    # lines of equal length probe each other; one direction is enough
+    once = ((F.col("less") > 0) & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b"))
     # an edit changes the parity of two letter classes at most
     alike = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits
-    pairs = index.join(probes, (F.col("key") == F.col("k")) & (F.col("a") != F.col("b")) & alike)
+    pairs = index.join(probes, (F.col("key") == F.col("k")) & once & alike)
     pairs = spill(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     wanted = sketch.id_filter(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), "id")
 

@@ -29,8 +29,8 @@ _RARE = np.zeros(256, dtype=bool)
 _RARE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _WIDE_SPACE = {chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 
-SLOT_BITS = 20
-MAX_PIECES = 1 << 20
+SLOT_BITS = 22
+MAX_PIECES = 1 << 21
 
 
 class PieceEncoder:
@@ -47,7 +47,7 @@ class PieceEncoder:
 
     def clear(self) -> None:
         self.keys = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
-        self.piece = np.full(1 << SLOT_BITS, -1, dtype=np.int64)
+        self.piece = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
         self.at = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
@@ -131,7 +131,7 @@ class PieceEncoder:
         end = np.append(start[1:], n)
         h = span_hashes(data, start, end)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        idx = np.where(self.keys[slot] == h, self.piece[slot], -1)
+        idx = np.where(self.keys[slot] == h, self.piece[slot], -1).astype(np.int64)
         missing = np.flatnonzero(idx < 0)
         if len(missing):
             if len(self.at) > MAX_PIECES:
