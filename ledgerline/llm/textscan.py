@@ -27,7 +27,7 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
 
 #: Texts are scanned in pieces of about this many bytes (whole texts only).
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -29,8 +29,8 @@ _RARE = np.zeros(256, dtype=bool)
 _RARE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _WIDE_SPACE = {chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 
-SLOT_BITS = 22
-MAX_PIECES = 1 << 21
+SLOT_BITS = 21
+MAX_PIECES = 1 << 20
 
 
 class PieceEncoder:
