@@ -7,7 +7,7 @@ two / one ids, with a confidence) and order 0 (adaptive counts of all ids).  How
 much of the range the first two get is itself adaptive: it follows how often
 they were right at the same pair of confidences.  The mixed distribution drives
 a 64-bit range coder with carries that emits 32-bit words.  Model and coder
-start afresh in each block, which carries its own CRC-32.
+start afresh in each block, which carries CRC-32s of its ids and of its bytes.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ CONTEXT_BITS = 18
 _U32 = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 _MIN_RANGE = np.uint64(1 << 32)
-_HEAD = struct.Struct("<4sIIII")
+_HEAD = struct.Struct("<4sIIIII")
 
 
 class _Model:
@@ -148,14 +148,18 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     at += 2
     body = at.astype("<u4").tobytes() + words[np.arange(steps + 2) < at[:, None]].astype("<u4").tobytes()
     raw = ids.astype("<u4").tobytes()
-    return _HEAD.pack(MAGIC, n, lanes, vocabulary, zlib.crc32(raw)) + body
+    fields = (n, lanes, vocabulary, zlib.crc32(raw))
+    return _HEAD.pack(MAGIC, *fields, zlib.crc32(body, zlib.crc32(repr(fields).encode()))) + body
 
 
 def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; a damaged block raises ValueError."""
-    magic, n, lanes, vocabulary, check = _HEAD.unpack_from(block)
-    if magic != MAGIC or not lanes or not n:
+    if len(block) < _HEAD.size or block[:4] != MAGIC:
         raise ValueError("not a block of the token file format")
+    _, *fields, whole = _HEAD.unpack_from(block)
+    if zlib.crc32(memoryview(block)[_HEAD.size:], zlib.crc32(repr(tuple(fields)).encode())) != whole:
+        raise ValueError("block damaged")
+    n, lanes, vocabulary, check = fields
     counts = np.frombuffer(block, "<u4", lanes, _HEAD.size).astype(np.int64)
     words = np.frombuffer(block, "<u4", offset=_HEAD.size + 4 * lanes)
     if int(counts.sum()) != len(words) or counts.min() < 2:

@@ -32,9 +32,8 @@ def test_range_coder_compresses_and_detects_damage():
     for i in (0, 9, 30, len(block) // 2, len(block) - 1):
         broken = bytearray(block)
         broken[i] ^= 0x55
-        with pytest.raises((ValueError, IndexError)):
-            assert (range_coder.decode_block(bytes(broken)) != ids).any()
-            raise ValueError  # differs: would be caught by the header it carries
+        with pytest.raises(ValueError):
+            range_coder.decode_block(bytes(broken))
     with pytest.raises(ValueError):
         range_coder.decode_block(block[:-4])
 
