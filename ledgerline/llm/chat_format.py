@@ -77,9 +77,9 @@ class IncrementalRenderer:
         new = self.template([*self.turns, (role, text)])
         rewrites = not new.startswith(self.output)
         same = len(commonprefix([new, self.output])) if rewrites else len(self.output)
-        mark = ""
+        mark = "\ue000\ue001"
         while mark in self.output or mark in role:
-            mark += ""
+            mark += "\ue001"
         probe = self.template([*self.turns, (role, mark)])
         at = probe.rfind(mark)
         found = at >= same and probe[:at] == new[:at] and new.startswith(text, at) and probe[at + len(mark) :] == new[at + len(text) :]
