@@ -7,8 +7,9 @@ then decide by the triangle inequality: documents within the threshold link at
 once, pairs whose pivot distances differ by more than the threshold cannot
 link, and what is left open (far documents, and the boundary documents near
 enough to them) joins again around a new pivot of the region, level by level;
-after the last level, the open pairs within all windows whose unshared shingles
-leave room for a link are compared one by one.  Nothing is estimated: links are decided by exact set intersections.
+after the last level, the open pairs within all windows that share a token of
+their prefixes, now in order of exact counts among the open documents, are
+compared.  Nothing is estimated: links are decided by exact set intersections.
 
 Why not plain nearest-pivot cells: unrelated texts lie at distance 1 from every
 pivot, so windows around globally chosen pivots would copy each document into
@@ -149,31 +150,34 @@ def _distance():
     return 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
 
 
-def _own(held: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, u): how many shingles of a document no other document in ``held`` has.
+def _rare_first(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, n, u, token, pos): the necessary prefixes of ``held`` documents, by exact counts among them.
 
-    They lie outside every overlap and inside every union, which bounds the
-    similarity of a pair from both sides.  Ids with several sets have no bound.
-    """
-    single = sets.groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k = 1")
-    open_sets = sets.join(held.select("id").distinct(), "id", "left_semi")
-    tokens = open_sets.select("id", F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).where("k = 1")
-    return spill(tokens.groupBy("id").agg(F.count(F.lit(1)).alias("u")).join(single, "id", "left_semi"), "jaccard-own")
-
-
-def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int = 2,
-                  id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, classes, links) of the join at Jaccard similarity ``percent`` / 100 or more.
-
-    documents: doc_id, n (set size), s1, s2 (set signature), one row per input
-    row.  classes: s1, s2, id; documents with equal sets are one class under
-    its smallest id, so copies never meet pairwise.  links: (a, b) between
-    class ids, enough of them that reachability equals that of all links.
-
-    Rows that share an id are one document.  Null ids take part in no link;
-    null, empty and word-less texts have the empty set, which links with
-    nothing.  Other columns are ignored.
+    Shingles that no other held set has come first; there are ``u`` of them and
+    they match nothing, so only the rest of a prefix (from position ``u`` on)
+    has rows.  Two sets within the threshold share one of these tokens.
     """
+    held_sets = sets.join(held.select("id").distinct(), "id", "left_semi").withColumn("set", F.xxhash64("id", "grams"))
+    tokens = held_sets.select("id", "set", "n", F.explode("grams").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    ranked = (tokens.join(shared, "token").groupBy("id", "set", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("ranked")))
+    need = F.expr(f"cast(n - ceil({percent} * n / 100) + 1 as int)")
+    ranked = ranked.withColumn("u", (F.col("n") - F.size("ranked")).cast("int")).where(need > F.col("u"))
+    heads = ranked.select("id", "n", "u", F.posexplode(F.slice("ranked", F.lit(1), need - F.col("u"))).alias("i", "head"))
+    return heads.select("id", "n", "u", F.col("head.token").alias("token"), (F.col("u") + F.col("i")).alias("pos"))
+
+
+def _extend(links: DataFrame, found: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add ``fresh`` links; the components found so far stand for the links before."""
+    if fresh.isEmpty():
+        return links, found
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return links.union(fresh), spill(connected_components(stars.union(fresh)), "jaccard-found")
+
+
+def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """`jaccard_links`, and the components (id, component) of its links."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tokens = docs.select("text").mapInArrow(_emit_counted(k), "token long")
@@ -195,9 +199,9 @@ def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int =
     state = spill(_measure(members.withColumnRenamed("region", "other"), sets, [])
                   .select(F.col("other").alias("region"), "id", "n", _linked(percent).alias("near"), F.array(_distance()).alias("d")), "jaccard-level")
     links = state.where("near").select(F.col("region").alias("a"), F.col("id").alias("b"))
+    found = spill(connected_components(links), "jaccard-found")
     done = None
     for level in range(levels + 1):
-        found = spill(connected_components(links), "jaccard-found")
         held = state.join(found.withColumnRenamed("component", "_c"), "id", "left").withColumn("c", F.coalesce("_c", "id")).drop("_c")
         if done is not None:
             held = held.join(done, ["region", "id"], "left_anti")
@@ -211,29 +215,41 @@ def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int =
         if level < levels:
             asked = held.where("id != pivot").select("region", "id", F.col("pivot").alias("other"))
             told = spill(_measure(asked, sets, ["region"]).select("region", "id", F.col("other").alias("pivot"), _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
-            links = spill(links.union(told.where("hit").select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "jaccard-links")
+            links, found = _extend(links, found, told.where("hit").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
             gone = open_regions.select("region", F.col("pivot").alias("id"))
             done = gone if done is None else done.union(gone)
             state = spill(held.join(told.select("region", "id", "x"), ["region", "id"])
                           .select("region", "id", "n", "near", F.concat("d", F.array("x")).alias("d")), "jaccard-level")
             continue
-        own = _own(held, sets)
-        held = held.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-        a = held.where("not near").select("region", "id", F.col("n").alias("na"), F.col("d").alias("da"), F.col("c").alias("ca"), F.col("u").alias("ua"))
-        b = held.select("region", F.col("id").alias("other"), F.col("near").alias("nb_near"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("c").alias("cb"), F.col("u").alias("ub"))
-        in_window = F.forall(F.zip_with("da", "db", lambda x, y: F.abs(x - y)), lambda x: x <= wide)
-        near_size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        most = F.least(F.col("na") - F.col("ua"), F.col("nb") - F.col("ub"))
-        can_link = 100 * most >= percent * (most + F.col("ua") + F.col("ub"))
-        # the exact overlap comes last in the condition, so only pairs that nothing excludes are intersected
-        both = F.size(F.array_intersect("ga", "gb"))
-        exact = 100 * both >= percent * (F.col("na") + F.col("nb") - both)
-        a = a.join(sets.select("id", F.col("n").alias("na"), F.col("grams").alias("ga")), ["id", "na"])
-        b = b.join(sets.select(F.col("id").alias("other"), F.col("n").alias("nb"), F.col("grams").alias("gb")), ["other", "nb"])
-        hits = a.join(b, (a["region"] == b["region"]) & (F.col("ca") != F.col("cb")) & (F.col("nb_near") | (F.col("id") < F.col("other")))
-                      & near_size & can_link & in_window & exact)
-        links = spill(links.union(hits.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()), "jaccard-links")
-    return signed.drop("prefix"), classes, links
+        heads = spill(held.join(_rare_first(held, sets, percent), ["id", "n"]), "jaccard-heads")
+        side = lambda x: [F.col(c).alias(c + x) for c in ("id", "n", "near", "d", "c", "u", "pos")]
+        a = heads.where("not near").select("region", "token", *side("_a"))
+        b = heads.select("region", "token", *side("_b"))
+        in_window = F.forall(F.zip_with("d_a", "d_b", lambda x, y: F.abs(x - y)), lambda x: x <= wide)
+        # what the two can share at most: neither's own shingles, and nothing before their first shared token
+        most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+        can_link = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
+        pairs = a.join(b, ["region", "token"]).where((F.col("c_a") != F.col("c_b")) & (F.col("near_b") | (F.col("id_a") < F.col("id_b"))) & can_link & in_window)
+        pairs = spill(pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other")).distinct(), "jaccard-pairs")
+        fresh = spill(_measure(pairs, sets, []).where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
+        links, found = _extend(links, found, fresh)
+    return signed.drop("prefix"), classes, links, found
+
+
+def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int = 2,
+                  id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, classes, links) of the join at Jaccard similarity ``percent`` / 100 or more.
+
+    documents: doc_id, n (set size), s1, s2 (set signature), one row per input
+    row.  classes: s1, s2, id; documents with equal sets are one class under
+    its smallest id, so copies never meet pairwise.  links: (a, b) between
+    class ids, enough of them that reachability equals that of all links.
+
+    Rows that share an id are one document.  Null ids take part in no link;
+    null, empty and word-less texts have the empty set, which links with
+    nothing.  Other columns are ignored.
+    """
+    return _join(docs, percent, k, levels, id_col, text_col)[:3]
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,8 +258,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, k: int = 3, id_col: s
     A document without a set is its own component.  A null id has the
     component of its class, or null if no row of the class has an id.
     """
-    documents, classes, links = jaccard_links(docs, percent, k, id_col=id_col, text_col=text_col)
-    found = spill(connected_components(links), "jaccard-components")
+    documents, classes, _, found = _join(docs, percent, k, 2, id_col, text_col)
     named = spill(classes.join(found, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component")), "jaccard-names")
     return (documents.join(named, ["s1", "s2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
