@@ -37,6 +37,7 @@ class _Model:
     def __init__(self, vocabulary: int, lanes: int):
         self.vocabulary = vocabulary
         self.counts = np.zeros(vocabulary, dtype=np.int64)
+        self.fresh: list[np.ndarray] = []  # ids since the last refresh
         self.slots = np.zeros(1, dtype=np.uint32)
         # predicted id * 4 + confidence, by context
         self.one = np.zeros(vocabulary, dtype=np.uint32)
@@ -50,6 +51,9 @@ class _Model:
 
     def refresh(self, decoder: bool) -> None:
         """Rescale the order-0 counts: every id keeps one unit, the rest is shared."""
+        if self.fresh:
+            self.counts += np.bincount(np.concatenate(self.fresh), minlength=self.vocabulary)
+            self.fresh = []
         spare = (1 << SCALE_BITS) - self.vocabulary
         total = max(1, int(self.counts.sum()))
         units = 1 + self.counts * spare // total
@@ -81,7 +85,7 @@ class _Model:
         self.right[:, 2] += n2
         self.right[:, 1] += n1
         self.right[:, 0] += n - n2 - n1
-        self.counts += np.bincount(ids, minlength=self.vocabulary)
+        self.fresh.append(ids)
         same1 = self.p1 == ids
         for table, key, entry, same in ((self.two, self.key2, self.e2, hit2), (self.one, self.prev1, self.e1, same1)):
             sure = entry & 3

@@ -53,26 +53,32 @@ class PieceEncoder:
         self.ids = np.zeros(0, dtype=np.uint32)
 
     def encode_whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, raw: list[bytes]) -> list[np.ndarray]:
-        """Ids of distinct pieces.  Simple ones go joined by newlines, whose id they can't hold."""
-        out: list = [None] * len(raw)
+    def _encode_pieces(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, number, ids) of distinct pieces.  Simple ones go joined by newlines, whose id they can't hold."""
+        at, size = np.zeros(len(raw), dtype=np.int64), np.zeros(len(raw), dtype=np.int64)
         texts = [r.decode("utf-8", "replace") for r in raw]
-        simple = [i for i, t in enumerate(texts) if t.strip() and not any(c.isspace() for c in t[1:]) and (t[0] == " " or not t[0].isspace())]
-        joins, groups = [], []
-        for k in range(0, len(simple), 256):
-            groups.append(simple[k : k + 256])
-            joins.append("".join("\n" + texts[i] for i in groups[-1]))
-        for group, ids in zip(groups, self.encode_whole(joins), strict=True):
-            parts = np.split(ids, np.flatnonzero(ids == self.newline[0])[1:]) if len(self.newline) == 1 else []
-            if len(parts) == len(group):
-                for i, p in zip(group, parts, strict=True):
-                    out[i] = p[1:]
-        rest = [i for i, x in enumerate(out) if x is None]
+        simple, rest = [], []
+        for i, t in enumerate(texts):
+            word = t.split()  # one word, after a blank at most
+            (simple if len(word) == 1 and t in (word[0], " " + word[0]) and len(self.newline) == 1 else rest).append(i)
+        groups = [simple[k : k + 256] for k in range(0, len(simple), 256)]
+        flat, base = [], 0
+        for group, ids in zip(groups, self.encode_whole(["".join("\n" + texts[i] for i in g) for g in groups]), strict=True):
+            marks = np.flatnonzero(ids == self.newline[0])
+            if len(marks) != len(group):
+                rest += group
+                continue
+            at[group] = base + marks + 1
+            size[group] = np.diff(marks, append=len(ids)) - 1
+            flat.append(ids)
+            base += len(ids)
         for i, ids in zip(rest, self.encode_whole([texts[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+            at[i], size[i] = base, len(ids)
+            flat.append(ids)
+            base += len(ids)
+        return at, size, np.concatenate(flat)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, bounds of each text)."""
@@ -140,12 +146,11 @@ class PieceEncoder:
                 idx[:] = -1
             fresh, first, back = np.unique(h[missing], return_index=True, return_inverse=True)
             spans = missing[first]
-            got = self._encode_pieces([data[a:b].tobytes() for a, b in zip(start[spans], end[spans], strict=True)])
-            sizes = np.array([len(g) for g in got], dtype=np.int64)
+            places, sizes, ids = self._encode_pieces([data[a:b].tobytes() for a, b in zip(start[spans], end[spans], strict=True)])
             base = len(self.at)
-            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.at = np.concatenate([self.at, len(self.ids) + places])
             self.size = np.concatenate([self.size, sizes])
-            self.ids = np.concatenate([self.ids, *got])
+            self.ids = np.concatenate([self.ids, ids])
             idx[missing] = base + back.reshape(-1)
             slots = (fresh >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
             # of new pieces that share a slot the first is held
