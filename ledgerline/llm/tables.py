@@ -27,12 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch.  Rows alone bound nothing: 10,000 long texts are a batch held by the JVM and by the worker.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once a session.
+    """Give the Python workers this package, once a session, and batches of bounded bytes.
 
-    Not needed where they inherit a PYTHONPATH or ``--py-files`` with it; in a
+    The batch bound is set only where the session has none.  The package is
+    not needed where they inherit a PYTHONPATH or ``--py-files`` with it; in a
     session that only the driver's ``sys.path`` knows about, it is.
     """
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if getattr(sc, "_ledgerline_shipped", False) or top in os.environ.get("PYTHONPATH", "").split(os.pathsep):
