@@ -111,6 +111,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     padded = np.zeros(lanes * steps, dtype=np.uint32)
     padded[:n] = ids
     by_step = np.ascontiguousarray(padded.reshape(lanes, steps).T)
+    del padded
     model = _Model(vocabulary, lanes)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
     words = np.zeros((lanes, steps + 2), dtype=np.uint32)
@@ -150,9 +151,9 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     words[rows, at] = low >> _U32
     words[rows, at + 1] = low & _LOW
     at += 2
-    body = at.astype("<u4").tobytes() + words[np.arange(steps + 2) < at[:, None]].astype("<u4").tobytes()
-    raw = ids.astype("<u4").tobytes()
-    fields = (n, lanes, vocabulary, zlib.crc32(raw))
+    body = at.astype("<u4").tobytes() + words[np.arange(steps + 2) < at[:, None]].astype("<u4", copy=False).tobytes()
+    del by_step
+    fields = (n, lanes, vocabulary, zlib.crc32(np.ascontiguousarray(ids, dtype="<u4")))
     return _HEAD.pack(MAGIC, *fields, zlib.crc32(body, zlib.crc32(repr(fields).encode()))) + body
 
 
@@ -201,6 +202,6 @@ def decode_block(block: bytes) -> np.ndarray:
         by_step[t] = now
         model.learn(now, hit2, hit1)
     ids = np.ascontiguousarray(by_step.T).reshape(-1)[:n]
-    if zlib.crc32(ids.astype("<u4").tobytes()) != check:
+    if zlib.crc32(np.ascontiguousarray(ids, dtype="<u4")) != check:
         raise ValueError("block checksum differs")
     return ids

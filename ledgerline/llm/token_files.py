@@ -52,7 +52,7 @@ class BlockWriter:
 
     def __init__(self, out, vocabulary: int, block_ids: int):
         self.out, self.vocabulary, self.block_ids = out, vocabulary, block_ids
-        self.ids: list[np.ndarray] = []
+        self.ids = np.empty(0, dtype=np.uint32)  # grows to a block's ids, then serves all blocks
         self.table: list[tuple[int, int, int]] = []
         self.held = 0
         out.write(MAGIC)
@@ -63,7 +63,11 @@ class BlockWriter:
             take = min(len(ids) - at, self.block_ids - self.held)
             last = at + take == len(ids)
             self.table.append((doc, take, flags | (LAST if last else 0)))
-            self.ids.append(ids[at : at + take])
+            if self.held + take > len(self.ids):
+                grown = np.empty(min(self.block_ids, max(1 << 16, 2 * (self.held + take))), dtype=np.uint32)
+                grown[: self.held] = self.ids[: self.held]
+                self.ids = grown
+            self.ids[self.held : self.held + take] = ids[at : at + take]
             self.held += take
             at += take
             flags &= ~FIRST
@@ -75,12 +79,12 @@ class BlockWriter:
     def flush(self) -> None:
         if not self.held:
             return
-        coded = range_coder.encode_block(np.concatenate(self.ids), self.vocabulary)
+        coded = range_coder.encode_block(self.ids[: self.held], self.vocabulary)
         table = np.array(self.table, dtype=_PIECE).tobytes()
         self.out.write(_BLOCK.pack(_BLOCK_MAGIC, self.held, len(self.table), len(coded), zlib.crc32(table)))
         self.out.write(table)
         self.out.write(coded)
-        self.ids, self.table, self.held = [], [], 0
+        self.table, self.held = [], 0
 
 
 def read_blocks(source) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -146,7 +150,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ordinal, start, n, crc = 0, 0, 0, 0
             with reading(path) as source:
                 for table, ids in read_blocks(source):
-                    raw, at = ids.astype("<u4").tobytes(), 0
+                    raw, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
                     out: list[list] = [[], [], [], [], []]
                     for doc, size, flags in table.tolist():
                         if flags & FIRST:
