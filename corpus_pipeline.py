@@ -22,18 +22,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(rows, keep=["_row"]).where("kept").select("_row.*")
 
 
+#: The stage's own threshold; op6's contract (3 words, 90) binds that query only.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one whose id names the group.
+    """One document of each near-duplicate group: the one with the smallest id.
 
-    Rows that share an id are one document, and the first by text hash stays;
-    rows without an id stay, as nothing can name them.
+    Rows of one id and equal texts are one document; rows of one id with other
+    texts are documents of their own and go only as near copies.  Of equal ids
+    in a group the first by text hash stays; rows without an id stay, as
+    nothing can name them.
     """
     ship(spark)
-    components = spill(jaccard_join.jaccard_components(docs), "pipeline-components")
-    gone = components.where("component_id < doc_id").select("doc_id").distinct()
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    # a node for each id and text, as rows of one id need not be near each other
+    named = docs.where("doc_id is not null").withColumn("_node", F.xxhash64("doc_id", "text"))
+    found = jaccard_join.jaccard_components(named, percent=NEAR_PERCENT, k=NEAR_WORDS, id_col="_node")
+    found = spill(found.select(F.col("doc_id").alias("_node"), "component_id").distinct(), "pipeline-components")
+    ids = named.select("_node", "doc_id").distinct()
+    stays = found.join(ids, "_node").groupBy("component_id").agg(F.min(F.struct("doc_id", "_node")).alias("_m")).select("_m._node")
+    once = W.partitionBy("_node").orderBy("doc_id")
+    kept = named.join(stays, "_node", "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1")
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

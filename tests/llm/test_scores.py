@@ -202,3 +202,29 @@ def test_pipeline_stages(spark):
     copies = {r.doc_id: r.copies for r in mixing.mix_sources(small).collect()}
     assert four.columns == docs.columns and Counter(r.doc_id for r in four.collect()) == Counter({k: v for k, v in copies.items() if v})
     assert corpus_pipeline.tokens(spark, four, SF).count() == sum(copies.values())
+
+
+def test_pipeline_near_copies_of_scattered_words_and_shared_ids(spark):
+    """Five words and 80 percent: copies that three words and 90 percent keep; an id's other texts stay."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    words = lambda i, n=100: [f"d{i}w{j}" for j in range(n)]
+    texts, rnd = [], random.Random(4)
+    for i in range(12):
+        scattered = words(i)
+        scattered[20 + i], scattered[60 + i] = "new", "other"  # similarity 86 / 106 of five words, 92 / 104 of three
+        texts += [(i, words(i)), (100 + i, scattered), (200 + i, words(i) + [f"more{i}x{j}" for j in range(15)])]  # 96 / 111
+        three = words(i)
+        three[10], three[40], three[70] = "a", "b", "c"  # 81 / 111: under the threshold
+        texts.append((300 + i, three))
+    texts += [(500, words(0)), (500, words(50)), (500, words(51)), (500, words(51)), (501, words(50))]
+    rnd.shuffle(texts)
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in texts], schema)
+    sets = [(i, frozenset(zip(*(t[k:] for k in range(5)), strict=False)), " ".join(t)) for i, t in sorted(texts)]
+    group = {x: x for x in sets}
+    for _ in sets:  # spread the smallest name along links
+        for a in sets:
+            group[a] = min((group[b] for b in sets if 100 * len(a[1] & b[1]) >= 80 * len(a[1] | b[1])), key=lambda x: (x[0], x[2]))
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert [i for i, _ in got] == sorted({(g[0], g[2]): g[0] for g in group.values()}.values())
+    assert [t for i, t in got if i == 500] in ([" ".join(words(50)), " ".join(words(51))], [" ".join(words(51)), " ".join(words(50))])
+    assert {i for i, _ in got} == {*range(12), *range(300, 312), 500}
