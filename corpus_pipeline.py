@@ -57,16 +57,26 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as its source's target asks (or not at all)."""
+    """The mix: each document as often as its source's target asks (or not at all), in training order."""
     rows = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
     mixed = mixing.mix_sources(rows, keep=["_row"])
-    return mixed.select("_row", F.explode("positions")).select("_row.*")
+    return mixing.training_order(mixed.select("doc_id", "_row", "positions")).select("_row.*")
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """``docs`` with its order as columns, and their names: the order of the files' rows, or else of the frame's."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():  # not files as they were written
+        return docs.withColumn("_at", F.monotonically_increasing_id()), ("_at",)
+    number = lambda pattern: F.coalesce(F.regexp_extract("_metadata.file_name", pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    return (docs.select("*", number(r"^part-(\d+)").alias("_part"), number(r"-c(\d+)\.").alias("_chunk"), F.col("_metadata.row_index").alias("_at")),
+            ("_part", "_chunk", "_at"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each copy."""
+    """Token files of the mix in its training order, read back: doc_id, start, n_tokens, ids_crc32 of each copy."""
     ship(spark)
-    rows = token_files.token_table(docs, public_tokenizers.path(TOKENIZER))
+    docs, order = _numbered(docs)
+    rows = token_files.token_table(docs, public_tokenizers.path(TOKENIZER), order_cols=order)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

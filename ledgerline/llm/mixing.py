@@ -123,6 +123,6 @@ def mix_sources(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per copy, range-sorted by training position (ties by id)."""
-    return (mixed.withColumn("position", F.explode("positions")).drop("positions")
+    """One row per copy (``copy`` counts a document's from 0), range-sorted by training position (ties by id)."""
+    return (mixed.select("*", F.posexplode("positions").alias("copy", "position")).drop("positions")
             .repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id"))

@@ -56,8 +56,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_position"))
+    mixed = spill(mixing.mix_sources(table(spark, sf_dir, "documents")), "mix")
+    ordered = spill(mixing.training_order(mixed), "mix-order")
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    placed = ordered.where("copy = 0").select(*columns, F.col("position").alias("first_position"))
+    return placed.unionByName(mixed.where("copies = 0").select(*columns, F.lit(None).cast("double").alias("first_position")))
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ pieces, bytes of the coded ids, CRC-32 of the piece table), the piece table
 (doc id, ids, flags) and the coded ids (`range_coder`, with its own CRC-32).  A
 document may run over several blocks; flags mark its first and last piece and a
 null id.  A block needs nothing from other blocks.  Files follow the order of
-doc_id, so do documents inside a file.
+doc_id or of the caller's columns, so do documents inside a file.
 """
 
 from __future__ import annotations
@@ -126,8 +126,9 @@ def _write(root: str, tokenizer: str, vocabulary: int, end_id: int, block_ids: i
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, vocabulary: int = VOCABULARY, end_id: int = 0,
-                      block_ids: int = range_coder.BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> list[tuple]:
-    """Encode every whole text, ``end_id`` after each, into files in ascending id order.
+                      block_ids: int = range_coder.BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text",
+                      order_cols: tuple[str, ...] = ()) -> list[tuple]:
+    """Encode every whole text, ``end_id`` after each, into files in ascending id order, or first by ``order_cols``.
 
     Returns (part, path, documents, ids) of each file, in order; one row per
     task, however many documents.  Null texts are empty; null ids come first;
@@ -136,10 +137,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, vocabulary: int = VOCABUL
     """
     spark = docs.sparkSession
     root = fresh_dir(spark, "tokens")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    keys = [*[F.col(f"_o{i}").asc_nulls_first() for i in range(len(order_cols))], F.col("doc_id").asc_nulls_first()]
     # the text's hash decides ties without making the text a sort key
-    rows = (rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(F.col("doc_id").asc_nulls_first())
-            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h").select("doc_id", "text"))
+    rows = (rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(*keys)
+            .sortWithinPartitions(*keys, "_h").select("doc_id", "text"))
     files = rows.mapInArrow(_write(root, tokenizer, vocabulary, end_id, block_ids), FILE_SCHEMA)
     return sorted(tuple(r) for r in files.collect())
 

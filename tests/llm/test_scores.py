@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from ledgerline.llm import mixing, quality_rules, queries, toxicity, url_model
+from ledgerline.llm.tables import spill
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -228,3 +229,26 @@ def test_pipeline_near_copies_of_scattered_words_and_shared_ids(spark):
     assert [i for i, _ in got] == sorted({(g[0], g[2]): g[0] for g in group.values()}.values())
     assert [t for i, t in got if i == 500] in ([" ".join(words(50)), " ".join(words(51))], [" ".join(words(51)), " ".join(words(50))])
     assert {i for i, _ in got} == {*range(12), *range(300, 312), 500}
+
+
+def test_mix_is_written_in_training_order(spark):
+    """The token files hold the copies by training position, from written files and from a frame."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rnd = random.Random(9)
+    docs = spark.createDataFrame([(i, f"text{i} " * rnd.randint(1, 20), "en", rnd.choice("abc"), 1) for i in range(120)], schema).repartition(5)
+    want = [i for _, i in sorted((p, r.doc_id) for r in mixing.mix_sources(docs).collect() for p in r.positions)]
+    assert want != sorted(want)
+    four = corpus_pipeline.mix(spark, docs, SF)
+    assert [r.doc_id for r in four.collect()] == want
+    path = spill(four.repartitionByRange(7, F.monotonically_increasing_id()), "several")
+    for frame in (four, path):
+        got = sorted((r.start, r.doc_id) for r in corpus_pipeline.tokens(spark, frame, SF).collect())
+        assert [i for _, i in got] == want
+
+
+def test_op7_takes_first_positions_from_the_sorted_copies(spark, monkeypatch):
+    used, real = [], mixing.training_order
+    monkeypatch.setattr(mixing, "training_order", lambda m: used.append(m) or real(m))
+    got = Counter(map(tuple, queries.op7_mixing(spark, SF).collect()))
+    rows = mixing.mix_sources(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert used and got == Counter((r.doc_id, r.size, r.source_size, r.target, r.taken, min(r.positions, default=None)) for r in rows)
