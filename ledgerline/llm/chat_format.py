@@ -60,17 +60,16 @@ def parse_chatml(text: str) -> list[tuple[str, str]]:
 class IncrementalRenderer:
     """Feeds a conversation to a template turn by turn.
 
-    Only the turns since the last cut are rendered again.  After ``window``
-    turns the history is cut to its last turn if the output so far ends with
-    that turn's own rendering, i.e. the template is seen to be separable there;
-    otherwise the history is kept and the next try comes at twice the length.
+    The template sees every turn so far: outputs cannot show that it ignores
+    older ones.  Only where the caller declares it ``separable`` (each turn's
+    rendering depends on that turn alone) is the history cut to its last turn
+    every ``window`` turns.
     """
 
-    def __init__(self, template: Template, window: int = 16):
-        self.template, self.window = template, window
+    def __init__(self, template: Template, window: int = 16, separable: bool = False):
+        self.template, self.window, self.separable = template, window, separable
         self.turns: list[tuple[str, str]] = []
         self.output = ""
-        self.limit = window
 
     def add(self, role: str, text: str) -> tuple[int, str, int | None, int | None, bool]:
         """(characters dropped from the end of the output so far, span, content start and end in it, rewrites)."""
@@ -86,16 +85,13 @@ class IncrementalRenderer:
         dropped, span = len(self.output) - same, new[same:]
         self.turns.append((role, text))
         self.output = new
-        if len(self.turns) >= self.limit:
-            tail = self.template(self.turns[-1:])
-            if new.endswith(tail):
-                self.turns, self.output, self.limit = self.turns[-1:], tail, self.window
-            else:
-                self.limit *= 2
+        if self.separable and len(self.turns) >= self.window:
+            self.turns = self.turns[-1:]
+            self.output = self.template(self.turns)
         return dropped, span, at - same if found else None, at - same + len(text) if found else None, rewrites
 
 
-def _format(template: Template, loss_roles: tuple[str, ...], window: int):
+def _format(template: Template, loss_roles: tuple[str, ...], window: int, separable: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "seq", "kept_before", "piece", "content_start", "content_end", "loss", "rewrites"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
@@ -104,7 +100,7 @@ def _format(template: Template, loss_roles: tuple[str, ...], window: int):
             rows = []
             for conv_id, role, text in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                 if conv_id != conv or renderer is None:
-                    conv, renderer, seq, length = conv_id, IncrementalRenderer(template, window), 0, 0
+                    conv, renderer, seq, length = conv_id, IncrementalRenderer(template, window, separable), 0, 0
                 role, text = role or "", text or ""
                 dropped, span, a, z, rewrites = renderer.add(escape_role(role), escape(text))
                 length -= dropped
@@ -118,7 +114,8 @@ def _format(template: Template, loss_roles: tuple[str, ...], window: int):
 
 
 def format_conversations(turns: DataFrame, template: Template = chatml, loss_roles: tuple[str, ...] = ("assistant",), window: int = 16,
-                         conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+                         conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
+                         separable: bool | None = None) -> DataFrame:
     """One row per turn, in order ``seq`` of its conversation.
 
     ``piece`` is the turn's span; the conversation's text is, turn by turn, the
@@ -131,12 +128,14 @@ def format_conversations(turns: DataFrame, template: Template = chatml, loss_rol
     Turns are ordered by turn (nulls first), then role, then text.  Null roles
     and texts are empty; null conversation ids form one conversation; repeated
     rows are turns of their own; other columns are ignored; no rows, no rows.
-    Turns stream through sorted partitions, so a conversation is never held
-    whole, however long.
+    Turns stream through sorted partitions.  A ``separable`` template, as the
+    production one is, sees the last turns only, so its conversations are never
+    held whole; any other sees the whole conversation so far at each turn.
     """
+    separable = template is chatml if separable is None else separable
     rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("_turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "_turn", "role", "text").select("conv_id", "role", "text")
-    return rows.mapInArrow(_format(template, loss_roles, window), TURN_SCHEMA)
+    return rows.mapInArrow(_format(template, loss_roles, window, separable), TURN_SCHEMA)
 
 
 DIGEST_SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean"

@@ -157,6 +157,23 @@ def test_black_box_templates(spark, name):
             assert r.content_start is None or r.piece[r.content_start:r.content_end] == rows[r.seq][3]
 
 
+def test_sliding_window_templates_are_seen_to_rewrite(spark):
+    def sliding(turns):  # forgets all but the last 20 turns
+        return chat.chatml(turns[-20:])
+
+    def noticing(turns):  # changes the first turn once there are 25
+        return ("late" if len(turns) >= 25 else "early") + chat.chatml(turns)
+
+    rows = [(1, i, "assistant" if i % 2 else "user", f"text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for template, first in ((sliding, 20), (noticing, 24)):
+        got = sorted(chat.format_conversations(df, template).collect(), key=lambda r: r.seq)
+        for n in range(1, 51):
+            assert rebuilt(got[:n]) == template([(r, t) for _, _, r, t in rows[:n]])
+        assert min(r.seq for r in got if r.rewrites) == first
+        assert [r.piece[r.content_start:r.content_end] for r in got] == [t for *_, t in rows]
+
+
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df)).collect() == []
