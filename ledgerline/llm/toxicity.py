@@ -164,26 +164,30 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float
     return float(theta[0]), (float(theta[1]), float(theta[2]))
 
 
-FEATURE_SCHEMA = "toxic int, x double, y double, hits array<string>"
+FEATURE_SCHEMA = "toxic int, x double, y double, hits array<string>, rates array<double>"
 
 
-def _features(shared):
+def _features(shared, rates=None):
+    """Measures of each text, and with ``rates`` (clean share of each term's documents) the phrases around its hits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         machine = model.automaton()
         for b in pieces(batches):
             rows = []
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                phrases = []
-                if machine is not None and text and not toxic:
+                phrases: dict[str, float] = {}
+                if rates is not None and text:
                     words = fold(text).split()
                     for i, w in enumerate(words):
-                        if any(w[:n] in model.terms for n in range(3, len(w) + 1)):
-                            phrases += [" ".join(words[i - 1 : i + 1])] * (i > 0) + [" ".join(words[i : i + 2])] * (i + 1 < len(words))
-                rows.append((toxic, *model.measure(machine, text or ""), phrases))
+                        rate = max((rates.value[w[:n]] for n in range(3, len(w) + 1) if w[:n] in rates.value), default=None)
+                        if rate is not None:
+                            for phrase in [" ".join(words[i - 1 : i + 1])] * (i > 0) + [" ".join(words[i : i + 2])] * (i + 1 < len(words)):
+                                phrases[phrase] = max(rate, phrases.get(phrase, 0.0))
+                rows.append((toxic, *model.measure(machine, text or ""), list(phrases), list(phrases.values())))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()),
-                 pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.list_(pa.string()))], ["toxic", "x", "y", "hits"])
+                 pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.list_(pa.string())),
+                 pa.array([r[4] for r in rows], pa.list_(pa.float64()))], ["toxic", "x", "y", "hits", "rates"])
 
     return run
 
@@ -197,8 +201,10 @@ def fit(labelled: DataFrame, max_docs: int = 24_000, max_terms: int = 20_000, ev
     ``evidence`` nats against the base rate of toxic documents (its surprise as
     a binomial) and at most one clean document in ten.  ``max_terms`` is the
     model's capacity and bounds what reaches the driver.  Phrases of a term and
-    a neighbour that three clean documents hold become exceptions, beside the
-    given ones.  Without toxic documents every score is the base rate.
+    a neighbour become exceptions, beside the given ones, if three or more clean
+    documents hold them, at most one toxic document in ten does, and they have
+    the same ``evidence`` against the clean share of the term's documents.
+    Without toxic documents every score is the base rate.
     """
     labelled = labelled.where("toxic is not null").withColumn("_h", F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
     total = labelled.count()
@@ -210,6 +216,7 @@ def fit(labelled: DataFrame, max_docs: int = 24_000, max_terms: int = 20_000, ev
     sizes = {r["toxic"]: r["n"] for r in teach.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     terms: dict[str, float] = {}
+    rates: dict[str, float] = {}
     if toxic and clean:
         base = toxic / (toxic + clean)
         n, t = F.col("a") + F.col("b"), F.col("a")
@@ -219,14 +226,21 @@ def fit(labelled: DataFrame, max_docs: int = 24_000, max_terms: int = 20_000, ev
                    .groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("b"))
                    .where((t > 0) & (p > base) & (p >= 0.9)).withColumn("s", surprise).where(F.col("s") >= evidence)
                    .orderBy(F.desc("s"), "term").limit(max_terms))
-        terms = _choose([(r["term"], r["a"], r["b"]) for r in counted.collect()], toxic, clean)
+        chosen = [(r["term"], r["a"], r["b"]) for r in counted.collect()]
+        terms = _choose(chosen, toxic, clean)
+        rates = {t: (b + 0.5) / (a + b + 1) for t, a, b in chosen if t in terms}
     model = ToxicModel(terms, tuple(fold(e).strip() for e in exceptions))
     check = sample.where(F.pmod(F.floor(F.col("_h") / 7), F.lit(3)) == 0).select("text", "toxic")
-    shared = sample.sparkSession.sparkContext.broadcast(model)  # at most max_terms terms
-    seen = teach.select("text", "toxic").mapInArrow(_features(shared), FEATURE_SCHEMA).select(F.explode(F.array_distinct("hits")).alias("phrase"))
-    learned = [r["phrase"] for r in seen.groupBy("phrase").count().where("count >= 3").orderBy("phrase").limit(max_terms).collect()]
+    sc = sample.sparkSession.sparkContext
+    shared, shared_rates = sc.broadcast(model), sc.broadcast(rates)  # at most max_terms terms
+    seen = teach.select("text", "toxic").mapInArrow(_features(shared, shared_rates), FEATURE_SCHEMA).select("toxic", F.explode(F.arrays_zip("hits", "rates")).alias("_p"))
+    phrases = seen.groupBy(F.col("_p.hits").alias("phrase")).agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"), F.max("_p.rates").alias("rate"))
+    a, n = F.col("a"), F.col("a") + F.col("b")
+    proof = F.col("b") * F.log(F.col("b") / n / F.col("rate")) + F.when(a > 0, a * F.log(a / n / (1 - F.col("rate")))).otherwise(0.0)
+    phrases = phrases.where((F.col("b") >= 3) & (F.col("b") >= 0.9 * n)).withColumn("s", proof).where(F.col("s") >= evidence)
+    learned = sorted(r["phrase"] for r in phrases.orderBy(F.desc("s"), "phrase").limit(max_terms).collect())
     model.exceptions = tuple(dict.fromkeys([*model.exceptions, *learned]))
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = sc.broadcast(model)
     rows = check.mapInArrow(_features(shared), FEATURE_SCHEMA).select("toxic", "x", "y").orderBy("toxic", "x", "y").collect()  # at most a third of max_docs
     if not rows:
         return model

@@ -103,6 +103,28 @@ def test_toxicity_on_held_out_rows(spark):
     assert 0 <= toxicity.score_toxicity(df.limit(1), nothing, "id").first().score < 0.3
 
 
+def test_exceptions_need_clean_evidence(spark):
+    """Mislabelled clean rows make no exception of a toxic phrase; a phrase of clean rows alone is one."""
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 7)))
+    rows = []
+    for i in range(3000):
+        words, toxic = [word() for _ in range(rnd.randint(5, 40))], i % 4 == 0
+        at = rnd.randrange(len(words))
+        if toxic:
+            words[at:at] = ["you", "zorkum"]
+        elif i % 100 == 1:
+            words[at:at] = ["zorkum", "museum"]
+        rows.append((i, " ".join(words), int(toxic and i % 100 != 0)))  # every 25th toxic row is labelled clean
+    df = spark.createDataFrame(rows, "id long, text string, toxic int")
+    model = toxicity.fit(df)
+    assert any(toxicity.fold("zorkum").startswith(t) for t in model.terms)
+    assert toxicity.fold("you zorkum") not in model.exceptions and toxicity.fold("zorkum museum") in model.exceptions
+    new = spark.createDataFrame([(1, "well you zorkum go on"), (2, "the zorkum museum is open"), (3, "nothing at all")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(new, model).collect()}
+    assert got[1] >= 0.3 > got[2] == got[3]
+
+
 def test_mixing_targets_and_limits(spark):
     rnd = random.Random(5)
     rows = [(i, "w " * rnd.randint(0, 30), rnd.choice(["a", "b", "B", None, "é", "tiny"][: 5 if i else 6])) for i in range(400)]
