@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.tables import spill
 
-#: The model's alphabet: letters, one class for digits, these marks, `~` for
-#: the rest and `^` for the start.  It bounds the tables of the model.
-MARKS = "/.-_:?=&%"
-ALPHABET = 26 + 1 + len(MARKS) + 2
-ORDERS = 3
+#: Longest gram: five characters of context.  Characters are those of the URL.
+ORDERS = 6
+#: Stands before a URL, as the context of its first characters.
+START = "\u0002"
 
 
 @dataclass(frozen=True)
@@ -72,65 +71,61 @@ def apply_rules(df: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
 
 
 def symbols(url: Column) -> Column:
-    """URL in the model's alphabet, with the start marks of the longest context."""
-    x = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), "[0-9]+", "0")
-    return F.concat(F.lit("^" * (ORDERS - 1)), F.regexp_replace(x, r"[^a-z0/.\-_:?=&%]", "~"))
+    """The URL's characters, with the start marks of the longest context."""
+    return F.concat(F.lit(START * (ORDERS - 1)), F.coalesce(url, F.lit("")))
 
 
 def _grams(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per character, with its 1- to 3-gram ending there."""
-    df = df.withColumn("_at", F.explode(F.when(F.length("s") >= ORDERS, F.sequence(F.lit(ORDERS), F.length("s"))).otherwise(F.array(F.lit(0)))))
-    return df.select(*keys, "_at", *[F.when(F.col("_at") > 0, F.substring("s", F.col("_at") - k + 1, k)).alias(f"g{k}") for k in range(1, ORDERS + 1)])
+    """One row per character, with the longest gram ending there."""
+    df = df.where(F.length("s") >= ORDERS).withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("s") - ORDERS + 1)))
+    return df.select(*keys, F.substring("s", F.col("_at"), ORDERS).alias("g"))
 
 
-def train(urls: DataFrame, discount: float = 0.75) -> list[DataFrame]:
-    """Log-ratio tables (gram, ratio), one per order, from ``urls(s, accepted)``.
+def train(urls: DataFrame, discount: float = 0.75) -> DataFrame:
+    """(g, ratio): the log-ratio of each longest gram in ``urls(s, accepted, times)``.
 
-    Counts cover every training URL and combine map-side to at most
-    ``ALPHABET``^order rows a class.  Each order is smoothed by absolute
-    discounting into the order below it, down to a uniform alphabet, so every
-    gram seen in either class has a finite ratio.
+    URLs with null ``accepted`` teach nothing and only name grams to rate.
+    Counts cover every other URL, as often as ``times`` says, and combine
+    map-side; the tables grow with the distinct grams and stay tables, joined
+    by gram.  Each order is smoothed by absolute discounting into the order
+    below it, down to a uniform alphabet.  A gram seen in neither class has
+    the ratio of its tail, and 0 below the last.
     """
-    grams = _grams(urls, ["accepted"]).where(F.col("_at") > 0)
-    counted = spill(grams.groupBy("accepted", "g3").agg(F.count(F.lit(1)).alias("n")), "url-grams")
+    taught = lambda v: F.sum(F.when(F.col("accepted") == v, F.col("times")).otherwise(0))
+    counted = _grams(urls, ["accepted", "times"]).groupBy("g").agg(taught(True).alias("na"), taught(False).alias("nr"))
+    orders = [spill(counted, f"url-grams{ORDERS}")]
+    for k in range(ORDERS - 1, 0, -1):
+        shorter = orders[0].groupBy(F.substring("g", 2, k).alias("g")).agg(F.sum("na").alias("na"), F.sum("nr").alias("nr"))
+        orders.insert(0, spill(shorter, f"url-grams{k}"))
     below = None
-    tables = []
-    for k in range(1, ORDERS + 1):
-        c = (counted.groupBy(F.substring("g3", ORDERS - k + 1, k).alias("g"))
-             .agg(*[F.coalesce(F.sum(F.when(F.col("accepted") == v, F.col("n"))), F.lit(0)).alias(a) for v, a in ((True, "na"), (False, "nr"))]))
+    for k, c in enumerate(orders, 1):
         c = c.withColumn("context", F.substring("g", 1, k - 1)).withColumn("tail", F.substring("g", 2, k - 1))
-        totals = c.groupBy("context").agg(*[x for a in ("a", "r") for x in (
-            F.sum(f"n{a}").alias(f"t{a}"), F.sum((F.col(f"n{a}") > 0).cast("int")).alias(f"d{a}"))])
-        c = c.join(F.broadcast(totals), "context")  # at most ALPHABET^(k-1) rows
+        totals = [x for a in ("a", "r") for x in (F.sum(f"n{a}").alias(f"t{a}"), F.sum((F.col(f"n{a}") > 0).cast("int")).alias(f"d{a}"))]
         if below is None:
-            c = c.withColumn("pa0", F.lit(1.0 / ALPHABET)).withColumn("pr0", F.lit(1.0 / ALPHABET))
+            uniform = 1 / (F.col("seen") + 1)
+            totals = c.agg(*totals, F.count_if((F.col("na") > 0) | (F.col("nr") > 0)).alias("seen"))
+            c = c.crossJoin(F.broadcast(totals))  # one row
+            c = c.withColumn("pa0", uniform).withColumn("pr0", uniform).withColumn("r0", F.lit(0.0))
         else:
-            c = c.join(F.broadcast(below), "tail")  # at most ALPHABET^(k-1) rows
+            c = c.join(c.groupBy("context").agg(*totals), "context").join(below, "tail")
         for a in ("a", "r"):
             n, t, d = F.col(f"n{a}"), F.col(f"t{a}"), F.col(f"d{a}")
             smoothed = (F.greatest(n - discount, F.lit(0.0)) + discount * d * F.col(f"p{a}0")) / F.greatest(t, F.lit(1))
             c = c.withColumn(f"p{a}", F.when(t > 0, smoothed).otherwise(F.col(f"p{a}0")))
-        c = spill(c.select("g", "pa", "pr", F.log(F.col("pa") / F.col("pr")).alias(f"r{k}")), f"url-order{k}")
-        tables.append(c.select(F.col("g").alias(f"g{k}"), f"r{k}"))
-        below = c.select(F.col("g").alias("tail"), F.col("pa").alias("pa0"), F.col("pr").alias("pr0"))
-    return tables
+        ratio = F.when((F.col("na") > 0) | (F.col("nr") > 0), F.log(F.col("pa") / F.col("pr"))).otherwise(F.col("r0"))
+        c = spill(c.select("g", "pa", "pr", ratio.alias("ratio")), f"url-order{k}")
+        below = c.select(F.col("g").alias("tail"), F.col("pa").alias("pa0"), F.col("pr").alias("pr0"), F.col("ratio").alias("r0"))
+    return c.select("g", "ratio")
 
 
-def score(urls: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Mean log-ratio per character of each distinct ``keys`` row, and how often the row occurs.
+def score(urls: DataFrame, ratios: DataFrame, key: str) -> DataFrame:
+    """Mean log-ratio per character of each ``key`` of ``urls(key, s)``; none for URLs without characters.
 
-    The tables have at most ``ALPHABET``^3 (about 55,000) rows, a bound of the
-    alphabet and not of the data, so they are broadcast; characters are summed
-    map-side before the one shuffle.
+    ``ratios`` grows with the corpus, so characters are joined to it by gram.
     """
-    grams = _grams(urls, keys)
-    for k in range(ORDERS, 0, -1):
-        grams = grams.join(F.broadcast(tables[k - 1]), f"g{k}", "left")
-    ratio = F.coalesce(*[F.col(f"r{k}") for k in range(ORDERS, 0, -1)], F.lit(0.0))
-    first = F.when(F.col("_at").isin(0, ORDERS), 1)
+    grams = _grams(urls, [key]).join(ratios, "g")
     # whole numbers add up alike in any order, so reruns agree
-    return grams.groupBy(*keys).agg((F.sum(F.round(ratio * 1e9).cast("long")) / F.count(F.lit(1)) / 1e9).alias("score"),
-                                    F.count(first).alias("_times"))
+    return grams.groupBy(key).agg((F.sum(F.round(F.col("ratio") * 1e9).cast("long")) / F.count(F.lit(1)) / 1e9).alias("score"))
 
 
 def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -145,12 +140,14 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str
     """
     df = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     host, path = split_url(F.col("url"))
-    df = apply_rules(df.withColumn("host", host).withColumn("path", path), rules).withColumn("s", symbols(F.col("url")))
+    df = apply_rules(df.withColumn("host", host).withColumn("path", path), rules)
     df = spill(df, "urls")
-    decided = df.where("rule_verdict is not null and url is not null").select("url", "s", (F.col("rule_verdict") == "allow").alias("accepted"))
     held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(4)) == 0
-    tables = train(decided.where(~held))
-    scored = spill(score(df, tables, ["page_id", "url", "host", "path", "rule", "rule_verdict"]), "url-scores")
+    each = df.where("url is not null").groupBy("url", "rule_verdict").agg(F.count(F.lit(1)).alias("times"))
+    each = spill(each.withColumn("_u", F.monotonically_increasing_id()), "url-each")
+    rows = each.select("_u", "times", symbols(F.col("url")).alias("s"), F.when(~held, F.col("rule_verdict") == "allow").alias("accepted"))
+    scores = each.select("_u", "url").join(score(rows, train(rows), "_u"), "_u").select("url", "score")
+    scored = spill(df.join(scores, "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "url-scores")
     held_out = scored.where("rule_verdict is not null and url is not null").where(held)
     v = F.col("score")
     stats = {r["rule_verdict"]: r for r in held_out.groupBy("rule_verdict").agg(
@@ -161,6 +158,5 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str
         cut = (a["m"] * r["s"] + r["m"] * a["s"]) / (a["s"] + r["s"]) if a["s"] + r["s"] > 0 else (a["m"] + r["m"]) / 2
         cut = round(cut, 6)
     verdict = F.coalesce("rule_verdict", F.when(v >= cut, "allow").otherwise("block"))
-    return (scored.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-            .select(F.col("page_id").alias(id_col), "url", "host", "path", "rule", "score", F.lit(cut).alias("threshold"), verdict.alias("verdict")))
+    return scored.select(F.col("page_id").alias(id_col), "url", "host", "path", "rule", "score", F.lit(cut).alias("threshold"), verdict.alias("verdict"))
 

@@ -205,6 +205,22 @@ def test_url_model_separates_what_rules_teach(spark):
     assert sum(got[u] == v for u, v in new) >= 38
 
 
+def test_url_model_tells_scripts_digits_and_long_contexts(spark):
+    """What one symbol for foreign letters and for digit runs, and two characters of context, cannot tell."""
+    rnd = random.Random(10)
+    pick = lambda letters, n=8: "".join(rnd.choice(letters) for _ in range(n))
+    # both orders of the parts have the same trigrams inside, as every part ends and begins alike
+    parts = {"good": ("xyaxy", "xybxy"), "bad": ("xybxy", "xyaxy")}
+    kinds = [(lambda good: pick("αβγδ" if good else "жзик")), (lambda good: pick("1357" if good else "2468")),
+             (lambda good: "xy".join(parts["good" if good else "bad"] * 3) + "a" * rnd.randint(0, 1))]
+    for kind in kinds:
+        taught = [f"http://h{i}.org/fr/{kind(True)}" for i in range(80)] + [f"http://h{i}.net/fr/{kind(False)}" for i in range(80)]
+        new = [(f"http://h{i}.info/fr/{kind(i % 2 == 0)}", "allow" if i % 2 == 0 else "block") for i in range(40)]
+        df = spark.createDataFrame(list(enumerate([*taught, *[u for u, _ in new]])), "page_id long, url string")
+        got = {r.url: r.verdict for r in url_model.judge_urls(df).collect()}
+        assert sum(got[u] == v for u, v in new) >= 36
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input, against plain Python."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
