@@ -104,4 +104,31 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM d LEFT JOIN p USING (r) LEFT JOIN m USING (r)
 """
 
-ORACLE = {"op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}
+_PHRASES = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, CAST(len(ws) - k + 2 AS BIGINT)), lambda i: array_to_string(list_slice(ws, i, i + k - 1), ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS ks(k) WHERE len(ws) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+e AS (
+  SELECT lang, phrase, k, a, cut, array_to_string(list_slice(ws, 1, cut), ' ') AS head, array_to_string(list_slice(ws, cut + 1, k), ' ') AS tail
+  FROM f JOIN (VALUES (1), (2)) AS cs(cut) ON cut < k),
+c AS (
+  SELECT e.lang, e.phrase, e.k, e.a, cut, x.a AS l, y.a AS r,
+         CAST(1000000 * CAST(e.a AS HUGEINT) * e.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM e JOIN f AS x ON x.lang = e.lang AND x.phrase = e.head JOIN f AS y ON y.lang = e.lang AND y.phrase = e.tail),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM f WHERE k = 3) GROUP BY lang, part),
+d AS (
+  SELECT b.* FROM b LEFT JOIN o ON b.k = 2 AND o.lang = b.lang AND o.part = b.phrase WHERE NOT coalesce(100 * most >= 50 * b.a, false))
+SELECT d.lang, row_number() OVER (PARTITION BY d.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, t.n, score
+FROM d JOIN t ON t.lang = d.lang QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op13_phrases": _PHRASES, "op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_format, decontamination, jaccard_join, line_dedup, mixing, quality_rules, token_files,
+from ledgerline.llm import (chat_format, decontamination, jaccard_join, line_dedup, mixing, phrases, quality_rules, token_files,
                             toxicity, url_model, warc)
 from ledgerline.llm.tables import ship, spill, table
 
@@ -83,6 +83,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = phrases.mine_collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_warc, op4_line_dedup, op5_token_ids, op6_jaccard_join,
-                            op7_mixing, op8_chat_format, op9_url_filter, op10_decontamination)}
+                            op7_mixing, op8_chat_format, op9_url_filter, op10_decontamination, op13_phrases)}

@@ -70,3 +70,40 @@ def id_filter(ids: DataFrame, column: str, bits: int = 23) -> Callable[[np.ndarr
         return (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
     return test
+
+
+def _any_bit(key: tuple, rows: pa.Table) -> pa.Table:
+    total = np.zeros(CHUNK, dtype=np.uint8)
+    for packed in rows.column("counts").to_pylist():
+        total |= np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def bit_filter(ids: DataFrame, column: str, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """As `id_filter`, over packed bits all the way, for larger filters (2^bits / 8 bytes a task and on the driver)."""
+    from ledgerline.llm.textscan import mix
+
+    def at(v: np.ndarray) -> np.ndarray:
+        return bucket(mix(v.view(np.uint64)), bits)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for b in batches:
+            where = at(b.column(0).drop_null().to_numpy(zero_copy_only=False))
+            np.bitwise_or.at(seen, where >> 3, (np.uint8(128) >> (where & 7).astype(np.uint8)))
+        for c in range(0, len(seen), CHUNK):
+            part = seen[c : c + CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                                                 ["chunk", "counts"])
+
+    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for r in ids.select(column).mapInArrow(fill, SCHEMA).groupBy("chunk").applyInArrow(_any_bit, SCHEMA).toLocalIterator():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(out)
+
+    def test(v: np.ndarray) -> np.ndarray:
+        where = at(v)
+        return (shared.value[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1 > 0
+
+    return test
