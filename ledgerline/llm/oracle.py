@@ -7,6 +7,8 @@ distance), op5 (byte-pair encoding), op9 (learned language models).
 
 from __future__ import annotations
 
+from ledgerline.llm.license_rules import CONFIDENCE, signatures
+
 _WARC = r"""
 WITH p AS (SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT r, page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
@@ -131,4 +133,40 @@ SELECT d.lang, row_number() OVER (PARTITION BY d.lang ORDER BY score DESC, a DES
 FROM d JOIN t ON t.lang = d.lang QUALIFY rank <= 2000
 """
 
-ORACLE = {"op13_phrases": _PHRASES, "op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}
+_LICENSES = r"""
+WITH rules(no, label, tier, sure, keywords, regex, base) AS (VALUES {rules}),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+k AS (
+  SELECT DISTINCT r, no FROM (SELECT r, unnest(list_distinct(ws)) AS w FROM d) JOIN (SELECT no, unnest(keywords) AS w FROM rules) USING (w)),
+m AS (
+  SELECT k.r, rules.*, string_split(regexp_replace(array_to_string(list_transform(ws, lambda w: ' ' || w || ' '), ''), regex,
+         ' ' || chr(1) || '\1' || chr(2) || ' ', 'g'), '  ') AS marked
+  FROM k JOIN d ON d.r = k.r JOIN rules ON rules.no = k.no),
+z AS (
+  SELECT r, no, label, tier, sure, base, unnest(list_zip(
+    list_filter(list_transform(marked, lambda w, i: CASE WHEN contains(w, chr(1)) THEN i - 1 END), lambda i: i IS NOT NULL),
+    list_filter(list_transform(marked, lambda w, i: CASE WHEN contains(w, chr(2)) THEN i - 1 END), lambda i: i IS NOT NULL))) AS x FROM m),
+h AS (SELECT r, no, label, tier, sure, base, x[1] AS a, x[2] AS b FROM z),
+s AS (
+  SELECT * FROM h WHERE NOT EXISTS (
+    SELECT 1 FROM h AS o WHERE o.r = h.r AND o.a <= h.a AND o.b >= h.b AND o.tier <= h.tier
+      AND (o.tier < h.tier OR o.b - o.a > h.b - h.a OR o.no < h.no))),
+e AS (SELECT r, label FROM s UNION SELECT r, label FROM h WHERE base),
+b AS (SELECT r, count(*) AS n, min(a) AS low, max(a) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS ls FROM h WHERE base GROUP BY r),
+l AS (SELECT r, string_agg(label, ',' ORDER BY label) AS ls FROM e GROUP BY r),
+c AS (SELECT r, max(sure) AS score FROM s GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, CAST(low AS BIGINT) AS first_word, CAST(high AS BIGINT) AS last_word,
+       coalesce(b.ls, '') AS base_labels, coalesce(l.ls, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN c USING (r)
+"""
+
+
+def _rules_sql() -> str:
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({n}, {q(r.label)}, {r.tier}, {CONFIDENCE[r.tier]}::DOUBLE, [{', '.join(q(k) for k in r.keyword.split('|'))}], {q(r.regex)}, {r.base})"
+                     for n, r in enumerate(signatures()))
+
+
+ORACLE = {"op12_licenses": _LICENSES.replace("{rules}", _rules_sql()), "op13_phrases": _PHRASES, "op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}
