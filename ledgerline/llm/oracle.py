@@ -169,4 +169,59 @@ def _rules_sql() -> str:
                      for n, r in enumerate(signatures()))
 
 
-ORACLE = {"op12_licenses": _LICENSES.replace("{rules}", _rules_sql()), "op13_phrases": _PHRASES, "op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}
+_REPAIR = r"""
+WITH RECURSIVE k AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+-- crc32 bit by bit: each byte enters with the first of its eight steps
+h AS (
+  SELECT *, xor(4294967295, list_reduce([4294967295] || list_transform(range(8 * length(key)),
+         lambda i: CASE WHEN i % 8 = 0 THEN ascii(key[i // 8 + 1]) ELSE 0 END),
+         lambda x, v: xor(xor(x, v) >> 1, 3988292384 * (xor(x, v) & 1)))) % 20 AS m FROM k),
+d AS (
+  SELECT c, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN m = 1 THEN '' WHEN m = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN m = 3 THEN 2 ELSE 1 END)) AS n
+  FROM h WHERE m <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS again, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
+  FROM o),
+f AS (
+  SELECT *, CASE WHEN t = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS previous FROM r),
+g AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (previous || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY c),
+ins(s, letters, paid, said, q) AS (VALUES
+  (0, '', 0, CAST([] AS VARCHAR[]), 0), (0, 'I', 3, ['user:'], 2), (0, 'II', 6, ['user:', 'assistant:'], 3),
+  (1, '', 0, [], 1), (1, 'I', 3, ['user:'], 2), (1, 'II', 6, ['user:', 'assistant:'], 3),
+  (2, '', 0, [], 2), (2, 'I', 3, ['assistant:'], 3), (3, '', 0, [], 3), (3, 'I', 3, ['user:'], 2), (3, 'II', 6, ['user:', 'assistant:'], 3)),
+-- what a turn may do in state q: its initial (null: any), letter, cost, state after, role given
+act(q, initial, letter, paid, z, gives) AS (VALUES
+  (0, NULL, 'D', 4, 0, NULL), (1, NULL, 'D', 4, 1, NULL), (2, NULL, 'D', 4, 2, NULL), (3, NULL, 'D', 4, 3, NULL),
+  (0, 's', 'K', 0, 1, NULL), (0, 'u', 'K', 0, 2, NULL), (1, 'u', 'K', 0, 2, NULL), (2, 'a', 'K', 0, 3, NULL), (3, 'u', 'K', 0, 2, NULL),
+  (0, NULL, 'R', 3, 2, 'user'), (1, NULL, 'R', 3, 2, 'user'), (2, NULL, 'R', 3, 3, 'assistant'), (3, NULL, 'R', 3, 2, 'user')),
+step AS (
+  SELECT ins.s, ins.letters || act.letter AS letters, ins.paid + act.paid AS paid, ins.said, act.initial, act.letter, act.z, act.gives FROM ins JOIN act USING (q)),
+w AS (
+  SELECT c, CAST(0 AS BIGINT) AS i, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM g
+  UNION ALL
+  SELECT c, i, z, cost, audit, said FROM (
+    SELECT f.c, f.i, step.z, w.cost + step.paid + CASE WHEN f.fault = 'truncated' AND step.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+           w.audit || step.letters AS audit,
+           w.said || step.said || CASE WHEN step.letter = 'D' THEN [] ELSE [coalesce(step.gives, f.role) || ':' || f.text] END AS said
+    FROM w JOIN f ON f.c = w.c AND f.i = w.i + 1 JOIN step ON step.s = w.s AND (step.initial IS NULL OR step.initial = f.initial)
+    WHERE step.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  QUALIFY row_number() OVER (PARTITION BY c, z ORDER BY cost, audit) = 1),
+e AS (
+  SELECT g.c, cost + paid AS cost, audit || letters AS audit, w.said || ins.said AS said
+  FROM w JOIN g ON g.c = w.c AND g.n = w.i JOIN ins ON ins.s = w.s AND (ins.q = 3 OR ins.q = 0)
+  QUALIFY row_number() OVER (PARTITION BY g.c ORDER BY cost + paid, audit || letters) = 1)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM k) LEFT JOIN g USING (c) LEFT JOIN e USING (c)
+"""
+
+ORACLE = {"op11_repair": _REPAIR, "op12_licenses": _LICENSES.replace("{rules}", _rules_sql()), "op13_phrases": _PHRASES, "op3_warc": _WARC, "op6_jaccard_join": _JACCARD, "op7_mixing": _MIXING, "op8_chat_format": _CHAT, "op10_decontamination": _LEAKS}

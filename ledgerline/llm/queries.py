@@ -1,4 +1,4 @@
-"""The ten registered queries: each operator over its whole table, reduced to its contract's columns."""
+"""The registered queries: each operator over its whole table, reduced to its contract's columns."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (chat_format, decontamination, jaccard_join, licenses, line_dedup, mixing, phrases, quality_rules,
-                            token_files, toxicity, url_model, warc)
+                            repair, token_files, toxicity, url_model, warc)
 from ledgerline.llm.tables import ship, spill, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -83,6 +83,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_all(repair.damage(turns), turns).drop("n_repaired")
+
+
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -95,4 +101,4 @@ def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_warc, op4_line_dedup, op5_token_ids, op6_jaccard_join,
-                            op7_mixing, op8_chat_format, op9_url_filter, op10_decontamination, op12_licenses, op13_phrases)}
+                            op7_mixing, op8_chat_format, op9_url_filter, op10_decontamination, op11_repair, op12_licenses, op13_phrases)}
