@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm import sketch
-from ledgerline.llm.tables import spill
+from ledgerline.llm.tables import drop, settle, spill
 from ledgerline.llm.textscan import Words, mix, pieces, shingles, span_hashes, utf8
 
 #: Pieces end at `[.,;:!?\x0A-\x0D]`.
@@ -34,10 +34,12 @@ CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 IN_WORD = ~CUT
 IN_WORD[[0x20, 0x09]] = False
 
-#: Grams that a task holds before it counts them.
-HELD = 2 << 20
-#: Bits of the filter of frequent phrases (4 MB): false positives cost work, never results.
-FILTER_BITS = 25
+#: Grams that a task holds before it counts them, and bytes of text that it scans at once.
+HELD, SCANNED = 2 << 20, 1 << 20
+#: Least and most bits of a filter of frequent phrases (64 MB at most): false positives cost work, never results.
+FILTER_BITS = (20, 29)
+#: A language is ranked in this many parts first, so that its last ranking sees ``top`` phrases of each.
+RANKED_PARTS = 16
 
 
 class _Scan:
@@ -76,7 +78,7 @@ def _mine(k: int, known: Callable[[np.ndarray], np.ndarray] | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
-        for b in pieces(batches):
+        for b in pieces(batches, limit=SCANNED):
             scan = _Scan(b)
             keys, at = scan.keys(k)
             if known is not None and len(keys):
@@ -116,7 +118,7 @@ def _count(filters: list[Callable[[np.ndarray], np.ndarray]]):
     """Exact counts, by the words themselves, of all phrases that ``filters`` (by length) let through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
+        for b in pieces(batches, limit=SCANNED):
             scan = _Scan(b)
             w = scan.words
             if not len(w.start):
@@ -168,11 +170,17 @@ def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = 3, shard
             # ceil(support * words / n): if no shard reaches its own, the sum stays below support
             ceiling = F.expr(f"(cast({support} as decimal(10,0)) * cast(words as decimal(19,0)) + n - 1) div n")
             least = spill(shares.join(totals, "lang").select("lang", "shard", ceiling.alias("least")), "phrases-least")
-        found = local.join(least, ["lang", "shard"]).where("n >= least").select("key")
-        filters.append(sketch.bit_filter(found, "key", FILTER_BITS))
+        found = spill(local.join(least, ["lang", "shard"]).where("n >= least").select("key"), "phrases-local")
+        bits = (16 * found.count()).bit_length()  # 16 bits a key or more, up to the bound
+        filters.append(sketch.bit_filter(found, "key", min(max(bits, FILTER_BITS[0]), FILTER_BITS[1])))
+        drop(found, local)
+        del local, found, mined
+        settle(docs.sparkSession)
     counted = rows.mapInArrow(_count(filters), "lang string, phrase string, k int, n long")
     counted = counted.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    return spill(counted, "phrases-frequent"), totals
+    counted = spill(counted, "phrases-frequent")
+    settle(docs.sparkSession)
+    return counted, totals
 
 
 def score_collocations(phrases: DataFrame, inside_percent: int = 50) -> DataFrame:
@@ -213,6 +221,9 @@ def mine_collocations(docs: DataFrame, support: int = 10, longest: int = 3, top:
     order.  No documents, or none with a frequent phrase: no rows.
     """
     phrases, totals = frequent_phrases(docs, support, longest, shards, text_col, lang_col)
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = score_collocations(phrases).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)).alias("_part")
+    scored = score_collocations(phrases).select("*", part)
+    near = scored.withColumn("_rank", F.row_number().over(W.partitionBy("lang", "_part").orderBy(*order))).where(F.col("_rank") <= top)
+    ranked = near.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "k", "a", "l", "r", "n", "score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -19,7 +20,28 @@ def spill(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """
     path = f"{fresh_dir(df.sparkSession, label)}/table"
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.spilled_to = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete spilled tables that nothing will read any more; other frames are left alone."""
+    for t in tables:
+        if getattr(t, "spilled_to", None):
+            path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.spilled_to)
+            path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs.
+
+    Its cleaner acts once the driver has collected the jobs' plans, by itself
+    after half an hour (spark.cleaner.periodicGC.interval); an operator of many
+    steps would hold all their shuffles on disk until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
