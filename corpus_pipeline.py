@@ -35,13 +35,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nothing can name them.
     """
     ship(spark)
-    # a node for each id and text, as rows of one id need not be near each other
-    named = docs.where("doc_id is not null").withColumn("_node", F.xxhash64("doc_id", "text"))
-    found = jaccard_join.jaccard_components(named, percent=NEAR_PERCENT, k=NEAR_WORDS, id_col="_node")
+    k1, k2 = decontamination.row_key(F.col("doc_id").cast("long"), F.col("text"))
+    keyed = docs.where("doc_id is not null").select("*", k1.alias("_k1"), k2.alias("_k2"))
+    # a node for each id and text, as rows of one id need not be near each other; texts that only share half a key get a node of their own
+    halves = keyed.groupBy("_k1").agg(F.min("_k2").alias("_low"), F.max("_k2").alias("_high")).where("_low < _high")
+    halves = spill(halves.select(F.col("_k1").alias("_half"), "_low"), "pipeline-halves")
+    own = F.col("_half").isNull() | (F.col("_k2") == F.col("_low"))
+    named = keyed.join(halves, F.col("_k1") == F.col("_half"), "left").withColumn("_node", F.when(own, F.col("_k1")).otherwise(F.xxhash64("_k1", "_k2")))
+    found = jaccard_join.jaccard_components(named.select("_node", "text"), percent=NEAR_PERCENT, k=NEAR_WORDS, id_col="_node")
     found = spill(found.select(F.col("doc_id").alias("_node"), "component_id").distinct(), "pipeline-components")
     ids = named.select("_node", "doc_id").distinct()
     stays = found.join(ids, "_node").groupBy("component_id").agg(F.min(F.struct("doc_id", "_node")).alias("_m")).select("_m._node")
-    once = W.partitionBy("_node").orderBy("doc_id")
+    once = W.partitionBy("_node", "_k2").orderBy("doc_id")
     kept = named.join(stays, "_node", "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 

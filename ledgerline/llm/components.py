@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.tables import spill
+from ledgerline.llm.tables import drop, spill
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -33,12 +33,15 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = (both.where(F.col("b") > F.col("a")).join(least, "a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         large = spill(large, "large")
+        drop(least)
         # small star: the smaller neighbours of u, and u itself, move to the least of them
         least = spill(large.groupBy("a").agg(F.min("b").alias("m")), "star")
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b")))
                  .where(F.col("a") > F.col("b")).distinct())
-        edges = spill(small, "links")
+        small = spill(small, "links")
+        drop(edges, least, large)
+        edges = small
         after = _state(edges)
         if after == before:
             break

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import sketch
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.tables import spill
+from ledgerline.llm.tables import drop, settle, spill
 from ledgerline.llm.textscan import NOT_SPACE, Words, list_column, mix, pieces, shingles, utf8
 
 #: Shingles whose hash ends in this many zero bits are counted exactly.
@@ -92,6 +92,16 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PREFIX_SCHEMA = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
 
 
+def _only(wanted, at: int):
+    """Rows whose column ``at`` passes the filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(wanted(b.column(at).to_numpy(zero_copy_only=False))))
+
+    return run
+
+
 def _prefixes(shared, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
@@ -120,7 +130,7 @@ SET_SCHEMA = "id long, n long, s1 long, s2 long, grams array<long>"
 def _full_sets(wanted, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            b = b.filter(pa.array(wanted(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
+            b = b.filter(pa.array(wanted(b.column(0).fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False))))
             if not b.num_rows:
                 continue
             sets = _sets(b.column(1), k)
@@ -134,16 +144,27 @@ def _full_sets(wanted, k: int):
     return run
 
 
-def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str]) -> DataFrame:
-    """Add the exact overlap of ``id`` and ``other`` and both sizes."""
-    a = sets.select("id", F.col("n").alias("n"), F.col("grams").alias("_ga"))
-    b = sets.select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("grams").alias("_gb"))
-    return (pairs.join(a, "id").join(b, "other")
-            .select("id", "other", *keep, "n", "m", F.size(F.array_intersect("_ga", "_gb")).cast("long").alias("both")))
+def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str], percent: int) -> DataFrame:
+    """Add the exact overlap of ``id`` and ``other`` and both sizes; null where the sizes alone rule a link out.
+
+    Only the sets of pairs still in question move: once to their pair, and the
+    others' to the result.
+    """
+    size = sets.select("id", "n")
+    sized = pairs.join(size, "id").join(size.select(F.col("id").alias("other"), F.col("n").alias("m")), "other")
+    open_pair = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    asked = sized.where(open_pair).select("id", "n", "other", "m", *keep)
+    held = lambda c: sets.join(asked.select(F.col(c).alias("id")).distinct(), "id", "left_semi")
+    a = held("id").select("id", "n", F.col("grams").alias("_ga"))
+    b = held("other").select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("grams").alias("_gb"))
+    told = asked.join(a, ["id", "n"]).join(b, ["other", "m"])
+    both = F.size(F.array_intersect("_ga", "_gb")).cast("long").alias("both")
+    return told.select("id", "other", *keep, "n", "m", both).unionByName(
+        sized.where(~open_pair).select("id", "other", *keep, "n", "m", F.lit(None).cast("long").alias("both")))
 
 
 def _linked(percent: int):
-    return 100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))
+    return F.coalesce(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both")), F.lit(False))
 
 
 def _distance():
@@ -184,22 +205,38 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
     shared_tokens = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = sketch.collect_sketch(shared_tokens.mapInArrow(_levels, sketch.SCHEMA), LEVEL_BITS, "max")
     shared = spark.sparkContext.broadcast(common.astype(np.uint8))  # 2^LEVEL_BITS bytes, whatever the corpus
-    signed = spill(docs.mapInArrow(_prefixes(shared, k, percent), PREFIX_SCHEMA), "jaccard-prefixes")
+    headed = spill(docs.mapInArrow(_prefixes(shared, k, percent), PREFIX_SCHEMA), "jaccard-prefixes")
+    signed = spill(headed.drop("prefix"), "jaccard-documents")
     classes = spill(signed.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("id")).where("id is not null"), "jaccard-classes")
-    heads = signed.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["s1", "s2", "doc_id"], "left_semi")
+    settle(spark)
+    heads = headed.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["s1", "s2", "doc_id"], "left_semi")
     tokens = heads.select(F.col("doc_id").alias("id"), F.explode("prefix").alias("token"))
     elected = spill(tokens.groupBy("token").agg(F.min("id").alias("region"), F.max("id").alias("last"))
                     .where("last > region").drop("last"), "jaccard-pivots")
+    settle(spark)
+    # most tokens are one document's own: they stay behind before the second shuffle
+    shared_token = sketch.bit_filter(elected, "token", 26)
+    tokens = tokens.mapInArrow(_only(shared_token, 1), "id long, token long")
     members = spill(tokens.join(elected, "token").where("id != region").select("region", "id").distinct(), "jaccard-regions")
+    drop(headed, elected)
+    settle(spark)
     nodes = members.select("id").union(members.select("region")).distinct()
-    sets = docs.mapInArrow(_full_sets(sketch.id_filter(nodes, "id"), k), SET_SCHEMA)
-    sets = spill(sets.join(classes, ["s1", "s2", "id"], "left_semi").dropDuplicates(["id", "s1", "s2"]).select("id", "n", "grams"), "jaccard-sets")
+    sets = docs.mapInArrow(_full_sets(sketch.bit_filter(nodes, "id", 26), k), SET_SCHEMA)
+    sets = spill(sets.join(classes, ["s1", "s2", "id"], "left_semi"), "jaccard-sets")
+    several = sets.groupBy("id", "s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not several.isEmpty():  # repeated rows: each set once
+        once = spill(sets.dropDuplicates(["id", "s1", "s2"]), "jaccard-sets")
+        drop(sets)
+        sets = once
+    whole, sets = sets, sets.select("id", "n", "grams")
+    settle(spark)
 
     wide = (100 - percent) / 100 + 1e-9
-    state = spill(_measure(members.withColumnRenamed("region", "other"), sets, [])
+    state = spill(_measure(members.withColumnRenamed("region", "other"), sets, [], percent)
                   .select(F.col("other").alias("region"), "id", "n", _linked(percent).alias("near"), F.array(_distance()).alias("d")), "jaccard-level")
     links = state.where("near").select(F.col("region").alias("a"), F.col("id").alias("b"))
     found = spill(connected_components(links), "jaccard-found")
+    settle(spark)
     done = None
     for level in range(levels + 1):
         held = state.join(found.withColumnRenamed("component", "_c"), "id", "left").withColumn("c", F.coalesce("_c", "id")).drop("_c")
@@ -214,26 +251,30 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
         held = held.join(open_regions, "region")
         if level < levels:
             asked = held.where("id != pivot").select("region", "id", F.col("pivot").alias("other"))
-            told = spill(_measure(asked, sets, ["region"]).select("region", "id", F.col("other").alias("pivot"), _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
+            told = spill(_measure(asked, sets, ["region"], percent).select("region", "id", F.col("other").alias("pivot"), _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
             links, found = _extend(links, found, told.where("hit").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
             gone = open_regions.select("region", F.col("pivot").alias("id"))
             done = gone if done is None else done.union(gone)
             state = spill(held.join(told.select("region", "id", "x"), ["region", "id"])
                           .select("region", "id", "n", "near", F.concat("d", F.array("x")).alias("d")), "jaccard-level")
+            settle(spark)
             continue
         heads = spill(held.join(_rare_first(held, sets, percent), ["id", "n"]), "jaccard-heads")
         side = lambda x: [F.col(c).alias(c + x) for c in ("id", "n", "near", "d", "c", "u", "pos")]
         a = heads.where("not near").select("region", "token", *side("_a"))
         b = heads.select("region", "token", *side("_b"))
-        in_window = F.forall(F.zip_with("d_a", "d_b", lambda x, y: F.abs(x - y)), lambda x: x <= wide)
+        in_window = F.forall(F.zip_with("d_a", "d_b", lambda x, y: F.abs(x - y)), lambda x: F.coalesce(x <= wide, F.lit(True)))
         # what the two can share at most: neither's own shingles, and nothing before their first shared token
         most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
         can_link = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
         pairs = a.join(b, ["region", "token"]).where((F.col("c_a") != F.col("c_b")) & (F.col("near_b") | (F.col("id_a") < F.col("id_b"))) & can_link & in_window)
         pairs = spill(pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other")).distinct(), "jaccard-pairs")
-        fresh = spill(_measure(pairs, sets, []).where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
+        settle(spark)
+        fresh = spill(_measure(pairs, sets, [], percent).where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
         links, found = _extend(links, found, fresh)
-    return signed.drop("prefix"), classes, links, found
+    drop(whole)
+    settle(spark)
+    return signed, classes, links, found
 
 
 def jaccard_links(docs: DataFrame, percent: int = 90, k: int = 3, levels: int = 2,
