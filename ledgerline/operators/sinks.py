@@ -54,7 +54,10 @@ def write_table(df: DataFrame, target: str, mode: str = "append", fmt: str = "pa
 
 def append_sink(df: DataFrame, target: str, fmt: str = "parquet",
                 options: Mapping[str, str] | None = None) -> int:
-    """Append rows to a table (warehouse connector, Parquet, ...)."""
+    """Append rows to a table (warehouse connector, Parquet, ...).
+
+    Files that lie beside the folders of a feed table are read with them.
+    """
     return write_table(df, target, "append", fmt, options)
 
 

@@ -301,17 +301,26 @@ def q_stream_changelog_compacted(spark, sf_dir):
 
 @query("shared_tick_table")
 def q_shared_tick_table(spark, sf_dir):
-    """Three writers, one table: the topic consumer, the recent-bars poller and a batch append."""
+    """One table, many writers: consumers of two topics, one of them again from a fresh checkpoint after
+    a compaction, the recent-bars poller, a batch append and a plain append."""
     wh = fixture_warehouse(spark, sf_dir)
-    topic = landing.land_messages(wh.ref("stg_test_realtime_stock_data"), fresh_dir(spark, "topic"))
+    ticks = wh.ref("stg_test_realtime_stock_data")
+    # two topics that hold every tick once between them
+    second = F.pmod(F.crc32(F.col("symbol").cast("binary")), F.lit(2)) == 1
+    topic = landing.land_messages(ticks.where(~second), fresh_dir(spark, "topic"))
+    other = landing.land_messages(ticks.where(second), fresh_dir(spark, "topic"))
     landed = landing.land_responses(wh.source("tick_events"), fresh_dir(spark, "responses"))
     out = fresh_dir(spark, "shared")
     table = f"{out}/table"
     stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, topic), table, f"{out}/_ingest"))
+    stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, other), table, f"{out}/_ingest_other"))
     stream.run_to_end(stream.recent_append(stream.response_stream(spark, landed), table, f"{out}/_recent", n=5))
     stream.compact_batches(spark, table)
     bars = intraday_rows(parse_response_bodies(landed_responses(spark, landed)))
-    append_rows(latest_per_key(bars, "symbol", "timestamp", TICK_COLS[1:]).to(TICK_SCHEMA), table)
+    latest = latest_per_key(bars, "symbol", "timestamp", TICK_COLS[1:]).to(TICK_SCHEMA)
+    append_rows(latest, table)
+    stream.run_to_end(stream.ingest_ticks(stream.message_stream(spark, topic), table, f"{out}/_ingest_again"))
+    sinks.append_sink(latest, table)
     return stream.read_batches(spark, table)
 
 

@@ -2,17 +2,24 @@
 
 Layout under the table's root:
 
-* ``<feed>_id=<n>/``: micro-batch ``n`` of a stream writer; a replayed batch
-  replaces its own folder;
+* ``<feed>_id=<n>-<writer>/``: micro-batch ``n`` of one stream writer; a
+  replayed batch replaces its own folder;
 * ``append=<name>/``: one batch append;
-* ``_compacted/<feed>_upto=<n>/``: the feed's batches after the previous part
-  up to ``n``, in larger files.
-
-A folder counts once its ``_SUCCESS`` file is there.  Readers name the folders
-they read, so they need neither partition discovery nor a stream's file log,
-see every writer's rows, and work when compacted batches have been expired.
-A compaction only ever writes a new folder, from the batches that no part
-covers yet; with nothing new it does nothing.
+* ``_compacted/<feed>_upto=<n>-<writer>/``: the writer's batches after its
+  previous part up to ``n``, in larger files;
+* ``_log/<folder>``: an empty entry for each complete folder;
+* Parquet files right under the root: rows of a plain append.
+
+The writer's name is drawn once per checkpoint and kept in it, so two queries
+of one kind, or one restarted from a fresh checkpoint, never share a folder,
+and a late writer's batches are not taken for compacted ones.
+
+A folder counts once the log has it, whatever markers the committer leaves
+(folders of tables without a log count by their ``_SUCCESS`` file).  Readers
+name the folders they read, so they need neither partition discovery nor a
+stream's file log, see every writer's rows, and work when compacted batches
+have been expired.  A compaction only ever writes a new folder, from the
+batches that no part covers yet; with nothing new it does nothing.
 """
 
 from __future__ import annotations
@@ -23,13 +30,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-COMPACTED = "_compacted"
+COMPACTED, LOG = "_compacted", "_log"
+#: Name of the file in a checkpoint that holds its writer's name.
+WRITER_FILE = "ledgerline_writer"
 #: Size that compacted files aim at.
 FILE_BYTES = 256 << 20
 
+#: A stream writer of a table: its feed and its name ("" in tables of before writers had names).
+Writer = tuple[str, str]
 
-def batch_dir(root: str, batch_id: int, feed: str = "batch") -> str:
-    return f"{root.rstrip('/')}/{feed}_id={batch_id}"
+
+def _folder(writer: Writer, kind: str, n: int) -> str:
+    feed, name = writer
+    return f"{feed}_{kind}={n}" + (f"-{name}" if name else "")
+
+
+def batch_dir(root: str, batch_id: int, feed: str = "batch", writer: str = "") -> str:
+    return f"{root.rstrip('/')}/{_folder((feed, writer), 'id', batch_id)}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -37,40 +54,86 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _complete(spark: SparkSession, path: str) -> list[str]:
-    """Names of the complete folders right under ``path`` (one listing, no file names)."""
-    fs, p = _file_system(spark, path)
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the writer that ``checkpoint`` belongs to, drawn at its first use."""
+    fs, p = _file_system(spark, f"{checkpoint.rstrip('/')}/{WRITER_FILE}")
     if not fs.exists(p):
-        return []
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return [s.getPath().getName() for s in fs.listStatus(p)
-            if s.isDirectory() and fs.exists(done(s.getPath(), "_SUCCESS"))]
+        out = fs.create(p, False)  # fails if another driver was faster
+        out.writeUTF(uuid.uuid4().hex[:16])
+        out.close()
+    source = fs.open(p)
+    try:
+        return source.readUTF()
+    finally:
+        source.close()
+
+
+def _entries(spark: SparkSession, path: str) -> list:
+    fs, p = _file_system(spark, path)
+    return list(fs.listStatus(p)) if fs.exists(p) else []
+
 
+def _entry(spark: SparkSession, root: str, name: str):
+    return _file_system(spark, f"{root.rstrip('/')}/{LOG}/{name}")
 
-def folders(spark: SparkSession, root: str) -> tuple[dict[str, list[int]], dict[str, list[int]], list[str]]:
-    """(ends of the compacted parts by feed, uncovered batch ids by feed, append folders)."""
+
+def _complete(spark: SparkSession, root: str, under: str, logged: set[str]) -> list[str]:
+    """Names of the complete folders right under ``under`` (one listing, no file names)."""
+    names = []
+    for s in _entries(spark, under):
+        name = s.getPath().getName()
+        if s.isDirectory() and not name.startswith(("_", ".")):
+            fs, marker = _file_system(spark, f"{under}/{name}/_SUCCESS")
+            if name in logged or fs.exists(marker):
+                names.append(name)
+    return names
+
+
+def folders(spark: SparkSession, root: str) -> tuple[dict[Writer, list[int]], dict[Writer, list[int]], list[str]]:
+    """(ends of the compacted parts by writer, uncovered batch ids by writer, append folders)."""
     root = root.rstrip("/")
-    parts: dict[str, list[int]] = {}
-    for name in _complete(spark, f"{root}/{COMPACTED}"):
-        if m := re.fullmatch(r"(\w+)_upto=(\d+)", name):
-            parts.setdefault(m[1], []).append(int(m[2]))
-    batches: dict[str, list[int]] = {}
+    logged = {s.getPath().getName() for s in _entries(spark, f"{root}/{LOG}")}
+    parts: dict[Writer, list[int]] = {}
+    for name in _complete(spark, root, f"{root}/{COMPACTED}", logged):
+        if m := re.fullmatch(r"(\w+)_upto=(\d+)(?:-(\w+))?", name):
+            parts.setdefault((m[1], m[3] or ""), []).append(int(m[2]))
+    batches: dict[Writer, list[int]] = {}
     appends = []
-    for name in _complete(spark, root):
-        if m := re.fullmatch(r"(\w+)_id=(\d+)", name):
-            if int(m[2]) > max(parts.get(m[1], [-1])):
-                batches.setdefault(m[1], []).append(int(m[2]))
+    for name in _complete(spark, root, root, logged):
+        if m := re.fullmatch(r"(\w+)_id=(\d+)(?:-(\w+))?", name):
+            writer = (m[1], m[3] or "")
+            if int(m[2]) > max(parts.get(writer, [-1])):
+                batches.setdefault(writer, []).append(int(m[2]))
         elif name.startswith("append="):
             appends.append(name)
     return {k: sorted(v) for k, v in parts.items()}, {k: sorted(v) for k, v in batches.items()}, sorted(appends)
 
 
 def _paths(spark: SparkSession, root: str) -> list[str]:
+    """What a reader reads: folders, and the files of plain appends beside them."""
     root = root.rstrip("/")
     parts, batches, appends = folders(spark, root)
-    return ([f"{root}/{COMPACTED}/{feed}_upto={n}" for feed, ends in parts.items() for n in ends]
-            + [batch_dir(root, n, feed) for feed, ids in batches.items() for n in ids]
-            + [f"{root}/{name}" for name in appends])
+    found = ([f"{root}/{COMPACTED}/{_folder(w, 'upto', n)}" for w, ends in parts.items() for n in ends]
+             + [f"{root}/{_folder(w, 'id', n)}" for w, ids in batches.items() for n in ids]
+             + [f"{root}/{name}" for name in appends])
+    if not found:
+        return []
+    names = [s.getPath().getName() for s in _entries(spark, root) if s.isFile()]
+    return found + [f"{root}/{name}" for name in names if name.endswith(".parquet") and not name.startswith(("_", "."))]
+
+
+def _write(df: DataFrame, root: str, folder: str) -> None:
+    """Replace one folder and log it; readers do not see it meanwhile."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    fs, entry = _entry(df.sparkSession, root, name)
+    fs.delete(entry, False)
+    df.write.mode("overwrite").parquet(folder)
+    fs.create(entry, True).close()
+
+
+def write_batch(df: DataFrame, root: str, batch_id: int, feed: str = "batch", writer: str = "") -> None:
+    """A stream writer's micro-batch; a replayed one replaces itself."""
+    _write(df, root, batch_dir(root, batch_id, feed, writer))
 
 
 def is_feed_table(spark: SparkSession, root: str) -> bool:
@@ -90,29 +153,29 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
 def append_rows(df: DataFrame, root: str, name: str | None = None) -> str:
     """Append a batch job's rows; a repeated ``name`` replaces its own rows."""
     path = f"{root.rstrip('/')}/append={name or uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    _write(df, root, path)
     return path
 
 
 def compact(spark: SparkSession, root: str, merge: Callable[[DataFrame], DataFrame] | None = None,
             file_bytes: int = FILE_BYTES) -> int | None:
-    """Fold each feed's uncovered batches into a new part; the largest end, None without batches.
+    """Fold each writer's uncovered batches into a new part; the largest end, None without batches.
 
     Earlier parts stay as they are, so a run costs what arrived since the last
     one.  ``merge`` combines the rows of the folded batches (partial
     aggregates).  The files' number follows the bytes folded.  A run that was
-    cut short left no ``_SUCCESS`` and is written again.
+    cut short is not in the log and is written again.
     """
     root = root.rstrip("/")
     parts, batches, _ = folders(spark, root)
-    for feed, ids in batches.items():
-        paths = [batch_dir(root, n, feed) for n in ids]
+    for writer, ids in batches.items():
+        paths = [f"{root}/{_folder(writer, 'id', n)}" for n in ids]
         size = 0
         for path in paths:
             fs, p = _file_system(spark, path)
             size += fs.getContentSummary(p).getLength()
         rows = spark.read.parquet(*paths)
         rows = merge(rows) if merge else rows
-        rows.coalesce(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(f"{root}/{COMPACTED}/{feed}_upto={ids[-1]}")
+        _write(rows.coalesce(max(1, -(-size // file_bytes))), root, f"{root}/{COMPACTED}/{_folder(writer, 'upto', ids[-1])}")
     ends = [n for ids in [*parts.values(), *batches.values()] for n in ids]
     return max(ends) if ends else None

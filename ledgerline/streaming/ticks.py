@@ -35,7 +35,7 @@ from ledgerline.operators.rollup import ohlcv_aggregates, tick_order_key
 from ledgerline.operators.topk import newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
 from ledgerline.session import apply_streaming_state_conf
-from ledgerline.sources.feeds import batch_dir, compact, is_feed_table, read_batches
+from ledgerline.sources.feeds import batch_dir, compact, is_feed_table, read_batches, write_batch, writer_of
 from ledgerline.sources.files import LANDED_RESPONSE_SCHEMA, MESSAGE_FILE_SCHEMA
 
 REPLAY = {"availableNow": True}
@@ -104,8 +104,11 @@ def _each_batch(write: Callable[[DataFrame, int], None]):
     return run
 
 
-def _write_batch(df: DataFrame, root: str, batch_id: int, feed: str = "batch") -> None:
-    df.write.mode("overwrite").parquet(batch_dir(root, batch_id, feed))
+def _to_table(root: str, checkpoint: str, feed: str, rows: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """A foreachBatch body that adds ``rows`` of each batch to a feed table as the checkpoint's writer."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_batch(rows(df), root, batch_id, feed, writer_of(df.sparkSession, checkpoint))
+    return write
 
 
 def run_to_end(q: StreamingQuery) -> None:
@@ -123,7 +126,7 @@ def ingest_ticks(messages: DataFrame, table_path: str, checkpoint: str,
     are excluded here and routed by ``dead_letter_messages``."""
     good = decode_tick_messages(messages).where(F.col("_corrupt").isNull()).drop("_corrupt")
     return _start(good, checkpoint, trigger,
-                  foreachBatch=lambda df, n: _write_batch(df, table_path, n, "ingest"))
+                  foreachBatch=_to_table(table_path, checkpoint, "ingest"))
 
 
 # -- T-4: bad records -> dead-letter table -------------------------------------
@@ -149,7 +152,7 @@ def dual_sink(ticks: DataFrame, topic_path: str, table_path: str, checkpoint: st
 
     With ``topic_format="kafka"``, ``topic_path`` is the topic name and the
     batch is produced with the Kafka batch writer.  The table side is
-    idempotent per batch (overwrite of ``batch_id=<n>``); a Kafka topic is
+    idempotent per batch (it overwrites its own folder); a Kafka topic is
     at-least-once: a batch replayed after a failure produces its messages
     again, so consumers should treat (symbol, timestamp) as the message key
     for de-duplication.  File topics are overwritten per batch like the table.
@@ -160,8 +163,9 @@ def dual_sink(ticks: DataFrame, topic_path: str, table_path: str, checkpoint: st
             (msgs.write.format("kafka").option("topic", topic_path)
              .options(**dict(topic_options or {})).save())
         else:
-            msgs.write.mode("overwrite").format(topic_format).save(batch_dir(topic_path, batch_id))
-        _write_batch(df, table_path, batch_id)
+            msgs.write.mode("overwrite").format(topic_format).save(batch_dir(topic_path, batch_id, writer=writer_of(df.sparkSession, checkpoint)))
+        to_table(df, batch_id)
+    to_table = _to_table(table_path, checkpoint, "batch")
     return _start(ticks, checkpoint, trigger, foreachBatch=_each_batch(write))
 
 
@@ -173,8 +177,7 @@ def recent_append(responses: DataFrame, table_path: str, checkpoint: str, n: int
     ``recent``).  The ranking is inside a response, so it does not depend on
     which responses share a micro-batch.  (A row_number is not allowed on a
     streaming frame, so it runs inside the batch.)"""
-    def write(df: DataFrame, batch_id: int) -> None:
-        _write_batch(recent_per_response(parse_response_bodies(df), n), table_path, batch_id, "recent")
+    write = _to_table(table_path, checkpoint, "recent", lambda df: recent_per_response(parse_response_bodies(df), n))
     return _start(responses, checkpoint, trigger, foreachBatch=write)
 
 
@@ -201,7 +204,7 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
     """
     if output == "changelog":
         return _start(ticks, checkpoint, trigger,
-                      foreachBatch=lambda df, n: _write_batch(daily_partials(df), changelog_path, n))
+                      foreachBatch=_to_table(changelog_path, checkpoint, "batch", daily_partials))
     naive = ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
     # Event time as a TIMESTAMP whose epoch is the naive wall clock, so the
     # 1-day windows are calendar days whatever the session time zone.
@@ -245,12 +248,12 @@ def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
                        trigger: Mapping = REPLAY) -> StreamingQuery:
     """Latest close/volume per symbol: one partial row per symbol and
     micro-batch, with the order key of its tick (``read_latest``)."""
-    def write(df: DataFrame, batch_id: int) -> None:
+    def partials(df: DataFrame) -> DataFrame:
         key = tick_order_key("timestamp", df.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
         rows = df.select("symbol", key.alias("last_key"), F.col("close").alias("last_close"),
                          F.col("volume").alias("last_volume"))
-        _write_batch(merge_latest(rows), changelog_path, batch_id)
-    return _start(ticks, checkpoint, trigger, foreachBatch=write)
+        return merge_latest(rows)
+    return _start(ticks, checkpoint, trigger, foreachBatch=_to_table(changelog_path, checkpoint, "batch", partials))
 
 
 def merge_latest(partials: DataFrame) -> DataFrame:

@@ -368,7 +368,12 @@ FINAL["recent_ticks_per_symbol"] = "SELECT * FROM json_recent5"
 FINAL["schema_append"] = "SELECT * FROM json_recent5"
 FINAL["stream_recent_append"] = "SELECT * FROM json_recent_by_response"
 FINAL["shared_tick_table"] = """
-  SELECT * FROM streaming_stock_data UNION ALL SELECT * FROM json_recent_by_response UNION ALL SELECT * FROM json_latest"""
+  SELECT * FROM streaming_stock_data UNION ALL SELECT * FROM json_recent_by_response UNION ALL SELECT * FROM json_latest
+  UNION ALL SELECT * FROM json_latest
+  UNION ALL SELECT s.* FROM streaming_stock_data s
+  WHERE xor(4294967295, list_reduce([4294967295] || list_transform(range(8 * length(symbol)),
+              lambda i: CASE WHEN i % 8 = 0 THEN ascii(symbol[i // 8 + 1]) ELSE 0 END),
+              lambda x, v: xor(xor(x, v) >> 1, 3988292384 * (xor(x, v) & 1)))) % 2 = 0"""
 FINAL["latest_tick_per_symbol"] = """
   SELECT symbol, timestamp, last_close AS close, last_volume AS volume FROM latest_ticks"""
 FINAL["kafka_record_encode"] = """

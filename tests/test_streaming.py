@@ -169,3 +169,42 @@ def test_append_after_ingest_is_seen(spark):
     append_rows(ticks.limit(7), f"{out}/t", "job-1")
     append_rows(ticks.limit(7), f"{out}/t", "job-1")  # a repeated job replaces its rows
     assert st.read_batches(spark, f"{out}/t").count() == ticks.count() + 7
+
+
+def test_two_consumers_share_a_table(spark):
+    """Queries of one kind under their own checkpoints keep every row, also one that starts after a compaction."""
+    ticks, path = _landed_in_time_slices(spark, 2)
+    n = ticks.count()
+    out = fresh_dir(spark, "shared-writers")
+    for k in range(3):
+        source = st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA, {"maxFilesPerTrigger": "1"})
+        st.run_to_end(st.dual_sink(source, f"{out}/topic", f"{out}/t", f"{out}/_ck{k}"))
+        assert st.read_batches(spark, f"{out}/t").count() == n * (k + 1)
+        st.compact_batches(spark, f"{out}/t")
+        assert st.read_batches(spark, f"{out}/t").count() == n * (k + 1)
+
+
+def test_restart_keeps_its_writer_and_a_fresh_checkpoint_gets_another(spark):
+    from ledgerline.sources.feeds import folders
+    ticks, path = _landed_in_time_slices(spark, 2)
+    out = fresh_dir(spark, "writers")
+    for checkpoint in ("_a", "_a", "_b"):
+        st.run_to_end(st.dual_sink(st.tick_file_stream(spark, path, TICK_SPLIT_SCHEMA), f"{out}/topic", f"{out}/t", f"{out}/{checkpoint}"))
+    _, batches, _ = folders(spark, f"{out}/t")
+    assert len(batches) == 2
+    assert st.read_batches(spark, f"{out}/t").count() == 2 * ticks.count()
+
+
+def test_feed_table_without_success_markers_and_with_plain_appends(spark):
+    from ledgerline.operators.sinks import append_sink
+    from ledgerline.sources.feeds import append_rows
+    key = "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(key.removeprefix("spark.hadoop."), "false")
+    try:
+        root = f"{fresh_dir(spark, 'markers')}/t"
+        append_rows(spark.range(5), root, "one")
+        append_sink(spark.range(3), root)
+        assert st.read_batches(spark, root).count() == 8
+    finally:
+        conf.unset(key.removeprefix("spark.hadoop."))
