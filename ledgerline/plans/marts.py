@@ -78,10 +78,10 @@ def _table(name: str, **renamed: str) -> Callable:
     return lambda wh: wh.ref(name).withColumnsRenamed(renamed)
 
 
-# In the order that the joins run.  Keys come from the daily row alone, so the
-# order is free: the (symbol, date) sides go first, while the rows are still
-# hash-partitioned on these keys by the rollup, then the small date and year
-# sides, which AQE broadcasts by their size.
+# The (symbol, date) sides join the daily rows while these are still
+# hash-partitioned on their keys by the rollup.  All others depend on the date
+# alone: they are gathered per distinct date first, so the daily rows have one
+# more join, on the date, whatever the number of such sides.
 FEATURES = (
     Side(_table("stg_test_fundamentals"), ("symbol", "date"), ("eps", "pe_ratio", "market_cap", "sector")),
     Side(_table("stg_test_technical_indicators"), ("symbol", "date"), ("ma_10", "ma_50", "rsi", "macd", "bb_lower", "bb_upper")),
@@ -95,14 +95,34 @@ MARKET = (
 MACRO = (Side(_table("stg_test_economic_indicators"), ("date",), ECON_COLS),)
 
 
+def _calendar(wh, daily, sides: list[Side]):
+    """The sides' columns for every date of the daily rows (several rows where a side has several).
+
+    The yearly side meets the distinct dates, which are broadcast: there are no
+    more of them than days in the calendar (four bytes each), however many
+    rows the daily table has.  Nothing is ever shuffled by year.
+    """
+    dates = daily.where(F.col("date").isNotNull()).select("date").distinct()
+    rows = dates
+    for side in sides:
+        found = side.rows(wh).select(*side.keys, *side.columns)
+        if side.keys == ("year",):
+            on = F.year("date") == F.col("year")
+            found = F.broadcast(dates).join(found, on).select("date", *side.columns)
+        rows = rows.join(found, "date", "left")
+    return rows
+
+
 def _with_sides(wh, joins: tuple[Side, ...], columns: tuple[Side, ...]):
     """Every daily row with the sides' columns (NULL where a side has no row)."""
     daily = wh.ref("int_daily_stock_summary")
     shown = [*daily.columns, *[c for side in columns for c in side.columns]]
-    rows = daily.withColumn("year", F.year("date"))
+    rows = daily
     for side in joins:
-        rows = rows.join(side.rows(wh).select(*side.keys, *side.columns), list(side.keys), "left")
-    return rows.select(*shown)
+        if "symbol" in side.keys:
+            rows = rows.join(side.rows(wh).select(*side.keys, *side.columns), list(side.keys), "left")
+    dated = [side for side in joins if "symbol" not in side.keys]
+    return rows.join(_calendar(wh, daily, dated), "date", "left").select(*shown)
 
 
 @model("marts", materialized="table", enabled=False)
