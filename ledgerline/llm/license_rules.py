@@ -121,7 +121,7 @@ NAMED = (
     ("curl", "curl", f"curl {_LICENSE}", "curl"),
     ("ijg", "jpeg|ijg", f"independent jpeg group {_LICENSE}", "ijg"),
     ("ftl", "freetype|ftl", f"freetype ~project {_LICENSE}", "ftl"),
-    ("qpl-1", "qpl", f"q public {_LICENSE} ~version ~v?1 ~0", "qpl 1 0"),
+    ("qpl-1", "q", f"q public {_LICENSE} ~version ~v?1 ~0", "qpl 1 0"),
     ("rpl-1.5", "reciprocal", f"reciprocal public {_LICENSE} ~version v?1 5", "rpl 1 5"),
     ("sissl", "sun", f"sun industry standards source {_LICENSE}", "sissl"),
     ("spl-1", "sun", f"sun public {_LICENSE} ~version ~v?1 ~0", "spl 1 0"),

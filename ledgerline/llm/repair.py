@@ -169,33 +169,37 @@ def symbol_of(role: str, fault: str) -> str:
 CHUNKS = "conv_id long, part int, chunk int, turns array<long>, roles array<string>, texts array<string>, again array<boolean>"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut rows in order (conv_id, turn, role, text) into chunks."""
+def _chunks(most: int):
+    """Cut rows in order (conv_id, turn, role, text) into chunks of at most ``most`` turns."""
     schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("chunk", pa.int32()), ("turns", pa.list_(pa.int64())),
                         ("roles", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), ("again", pa.list_(pa.bool_()))])
-    ready, held, size, count, last = [], None, 0, 0, None
-    for b in batches:
-        for conv, part, turn, role, text, again in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-            if held is None or held["conv_id"] != conv or len(held["turns"]) >= CHUNK_TURNS or size > CHUNK_BYTES:
-                if held is not None:
-                    ready.append(held)
-                    count += size
-                    if len(ready) >= 2000 or count > CHUNK_BYTES:
-                        yield pa.RecordBatch.from_pylist(ready, schema)
-                        ready, count = [], 0
-                number = held["chunk"] + 1 if held is not None else 0
-                held, size = {"conv_id": conv, "part": part, "chunk": number, "turns": [], "roles": [], "texts": [], "again": []}, 0
-            held["turns"].append(turn)
-            held["roles"].append(role)
-            held["texts"].append(text)
-            # equal rows are neighbours: all but the first are repeated, whatever the turn
-            held["again"].append(again or last == (conv, turn, role, text))
-            last = (conv, turn, role, text)
-            size += 3 * len(text) + 64
-    if held is not None:
-        ready.append(held)
-    if ready:
-        yield pa.RecordBatch.from_pylist(ready, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, held, size, count, last = [], None, 0, 0, None
+        for b in batches:
+            for conv, part, turn, role, text, again in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+                if held is None or held["conv_id"] != conv or len(held["turns"]) >= most or size > CHUNK_BYTES:
+                    if held is not None:
+                        ready.append(held)
+                        count += size
+                        if len(ready) >= 2000 or count > CHUNK_BYTES:
+                            yield pa.RecordBatch.from_pylist(ready, schema)
+                            ready, count = [], 0
+                    number = held["chunk"] + 1 if held is not None else 0
+                    held, size = {"conv_id": conv, "part": part, "chunk": number, "turns": [], "roles": [], "texts": [], "again": []}, 0
+                held["turns"].append(turn)
+                held["roles"].append(role)
+                held["texts"].append(text)
+                # equal rows are neighbours: all but the first are repeated, whatever the turn
+                held["again"].append(again or last == (conv, turn, role, text))
+                last = (conv, turn, role, text)
+                size += 3 * len(text) + 64
+        if held is not None:
+            ready.append(held)
+        if ready:
+            yield pa.RecordBatch.from_pylist(ready, schema)
+
+    return run
 
 
 def _symbols(chunk: dict) -> tuple[list[str], list[str]]:
@@ -328,7 +332,7 @@ def _repairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(ready, _RESULT)
 
 
-def repair_conversations(turns: DataFrame) -> DataFrame:
+def repair_conversations(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
     """One row per conversation of ``turns(conv_id, turn, role, text)``; see `RESULT`.
 
     Turns are taken in the order (turn with nulls first, role, text).  A null
@@ -351,7 +355,7 @@ def repair_conversations(turns: DataFrame) -> DataFrame:
                            F.substring("text", 1, 64).alias("_head"))
     # one order of all turns, dealt in ranges: a large conversation lies in many of them
     dealt = marked.repartitionByRange("conv_id", "turn", "role", "_head").sortWithinPartitions("conv_id", "turn", "role", "text")
-    cut = dealt.select("conv_id", F.spark_partition_id().alias("part"), "turn", "role", "text", "again").mapInArrow(_chunks, CHUNKS)
+    cut = dealt.select("conv_id", F.spark_partition_id().alias("part"), "turn", "role", "text", "again").mapInArrow(_chunks(chunk_turns), CHUNKS)
     chunks = spill(cut, "repair-chunks")
     spans = chunks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("conv_id").alias("_c"))
     spans = spill(spans, "repair-spans")  # conversations of several chunks: few, and each is large or lies on a border
