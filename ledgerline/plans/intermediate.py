@@ -42,9 +42,11 @@ def int_test_dividends(wh):
 
 @model("intermediate")
 def int_test_earnings(wh):
+    # a NaN is a missing figure of the loaded file, not an event
+    actual = F.col("actual_eps")
     return (wh.ref("stg_test_earnings")
             .select("symbol", "date", "est_eps", "actual_eps", "surprise_pct")
-            .where(F.col("actual_eps").isNotNull()))
+            .where(actual.isNotNull() & ~F.isnan(actual)))
 
 
 @model("intermediate")
