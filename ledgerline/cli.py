@@ -146,12 +146,11 @@ def main(argv: list[str] | None = None) -> int:
                 kafka["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
             fmt = "kafka" if kafka else "files"
             opts = kafka if kafka else file_opts
-            queries.append(st.ingest_ticks(st.message_stream(spark, args.source, fmt, opts),
-                                           args.out, f"{args.checkpoint}/ingest", trig))
+            messages = st.message_stream(spark, args.source, fmt, opts)
             if args.dead_letter:
-                queries.append(st.dead_letter_messages(
-                    st.message_stream(spark, args.source, fmt, opts), args.dead_letter,
-                    f"{args.checkpoint}/dead_letter", trig))
+                queries.append(st.ingest_and_reject(messages, args.out, args.dead_letter, f"{args.checkpoint}/ingest", trig))
+            else:
+                queries.append(st.ingest_ticks(messages, args.out, f"{args.checkpoint}/ingest", trig))
         elif args.cmd == "recent":
             queries.append(st.recent_append(st.response_stream(spark, args.source, file_opts), args.out,
                                             f"{args.checkpoint}/recent", args.n, trig))

@@ -19,6 +19,7 @@ from ledgerline.functions.numeric import earnings_surprise
 from ledgerline.functions.timecols import floor_to_interval, split_date_time
 from ledgerline.operators import quality, sinks
 from ledgerline.operators.topk import latest_per_key, newest_per_key, newest_rows
+from ledgerline.plans import runner
 from ledgerline.plans.marts import crypto_daily_avg
 from ledgerline.plans.queries import ROUNDED, fixture_warehouse, query, rounded
 from ledgerline.schemas import TICK_SCHEMA, TICK_SPLIT_SCHEMA
@@ -324,6 +325,30 @@ def q_shared_tick_table(spark, sf_dir):
     return stream.read_batches(spark, table)
 
 
+@query("message_rejects")
+def q_message_rejects(spark, sf_dir):
+    """Rejects of a topic in which four of ten minutes hold bad messages, and the number of ticks stored beside them."""
+    ticks = fixture_warehouse(spark, sf_dir).ref("stg_test_realtime_stock_data")
+    minute = F.minute("timestamp") % 10
+    many = F.concat(F.lit('{"symbol":"'), F.col("symbol"), F.lit('","timestamp":"2024-01-01T00:00:00","volume":"many"}'))
+    bad = (F.when(minute == 1, F.lit("{}")).when(minute == 2, F.concat(F.lit("not json "), F.col("symbol")))
+           .when(minute == 3, many))  # and no value at all in the first minute
+    planted = ticks.where(minute <= 3).select(F.col("symbol").alias("key"), bad.alias("value"))
+    topic, out = fresh_dir(spark, "topic"), fresh_dir(spark, "rejects")
+    encode_tick_messages(ticks.where(minute > 3)).unionByName(planted).write.mode("overwrite").json(topic)
+    stream.run_to_end(stream.ingest_and_reject(stream.message_stream(spark, topic), f"{out}/table", f"{out}/rejects", f"{out}/_checkpoint"))
+    stored = stream.read_batches(spark, f"{out}/table").agg(F.count(F.lit(1)).cast("string").alias("raw"), F.lit("stored").alias("reason"))
+    return stream.read_batches(spark, f"{out}/rejects").select("raw", "reason").unionByName(stored)
+
+
+@query("built_tick_fact")
+def q_built_tick_fact(spark, sf_dir):
+    """The tick fact as the runner stores it (by day, rebalanced), read back."""
+    out = fresh_dir(spark, "built")
+    runner.build(fixture_warehouse(spark, sf_dir), out, names=["fact_stock_tick"])
+    return spark.read.parquet(f"{out}/fact_stock_tick")
+
+
 # -- data quality -------------------------------------------------------------------
 def _checks(kind: str | None):
     return [c for c in quality.CHECKS if kind is None or c.test == kind]

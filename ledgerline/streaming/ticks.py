@@ -29,7 +29,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_messages,
                                              intraday_rejects, intraday_rows,
-                                             parse_response_bodies)
+                                             parse_response_bodies,
+                                             split_decoded)
 from ledgerline.functions.timecols import naive_epoch_micros
 from ledgerline.operators.rollup import ohlcv_aggregates, tick_order_key
 from ledgerline.operators.topk import newest_per_key
@@ -129,6 +130,20 @@ def ingest_ticks(messages: DataFrame, table_path: str, checkpoint: str,
                   foreachBatch=_to_table(table_path, checkpoint, "ingest"))
 
 
+def ingest_and_reject(messages: DataFrame, table_path: str, reject_path: str, checkpoint: str,
+                      trigger: Mapping = REPLAY) -> StreamingQuery:
+    """As ``ingest_ticks``, and the malformed messages of the same micro-batch to a feed table of
+    rejects (raw, reason): the topic is read once, under one checkpoint, and a replayed batch
+    replaces both its sides."""
+    good_side = _to_table(table_path, checkpoint, "ingest", lambda df: split_decoded(df)[0])
+    bad_side = _to_table(reject_path, checkpoint, "reject", lambda df: split_decoded(df)[1])
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        good_side(df, batch_id)
+        bad_side(df, batch_id)
+    return _start(decode_tick_messages(messages), checkpoint, trigger, foreachBatch=_each_batch(write))
+
+
 # -- T-4: bad records -> dead-letter table -------------------------------------
 def dead_letter_messages(messages: DataFrame, path: str, checkpoint: str,
                          trigger: Mapping = REPLAY) -> StreamingQuery:

@@ -208,3 +208,25 @@ def test_feed_table_without_success_markers_and_with_plain_appends(spark):
         assert st.read_batches(spark, root).count() == 8
     finally:
         conf.unset(key.removeprefix("spark.hadoop."))
+
+
+def test_one_pass_rejects_survive_a_replayed_batch(spark):
+    """Good rows and rejects of a batch replace themselves when the batch runs again."""
+    import os
+    import shutil
+    topic, out = fresh_dir(spark, "rejects-topic"), fresh_dir(spark, "rejects")
+    rows = [("A", '{"symbol":"A","timestamp":"2024-01-01T00:00:00","volume":1}'), ("A", "{}"), ("A", None), ("A", "no json")]
+    spark.createDataFrame(rows, "key string, value string").coalesce(1).write.mode("overwrite").json(topic)
+    for _ in range(2):
+        st.run_to_end(st.ingest_and_reject(st.message_stream(spark, topic), f"{out}/t", f"{out}/r", f"{out}/_ck"))
+        assert st.read_batches(spark, f"{out}/t").count() == 1
+        assert sorted(r["raw"] for r in st.read_batches(spark, f"{out}/r").collect()) == ["", "no json", "{}"]
+        shutil.rmtree(os.path.join(f"{out}/_ck".replace("file:", "", 1), "commits"))  # as if the driver was lost before the commit
+
+
+def test_nan_earnings_are_no_events(spark):
+    from ledgerline.sources import Warehouse
+    rows = spark.createDataFrame([("A", None, 1.0, float("nan"), 0.0), ("B", None, 1.0, 2.0, 0.0), ("C", None, 1.0, None, 0.0)],
+                                 "symbol string, date date, est_eps double, actual_eps double, surprise_pct double")
+    got = Warehouse(spark, lambda name: rows).ref("int_test_earnings").collect()
+    assert [r["symbol"] for r in got] == ["B"]
