@@ -192,15 +192,16 @@ def _features(shared, rates=None):
     return run
 
 
-def fit(labelled: DataFrame, max_docs: int = 24_000, max_terms: int = 20_000, evidence: float = 12.0,
+def fit(labelled: DataFrame, max_docs: int = 24_000, evidence: float = 12.0,
         shortest: int = 4, longest: int = 14, exceptions: tuple[str, ...] = ()) -> ToxicModel:
     """Learn a model from ``labelled(id, text, toxic)``.
 
     At most about ``max_docs`` documents, an even sample by hash of their id,
     are read; two thirds teach terms, the rest calibrates.  A term needs
     ``evidence`` nats against the base rate of toxic documents (its surprise as
-    a binomial) and at most one clean document in ten.  ``max_terms`` is the
-    model's capacity and bounds what reaches the driver.  Phrases of a term and
+    a binomial) and at most one clean document in ten.  All terms and phrases
+    with that evidence are kept: the sample alone bounds the model and what
+    reaches the driver.  Phrases of a term and
     a neighbour become exceptions, beside the given ones, if three or more clean
     documents hold them, at most one toxic document in ten does, and they have
     the same ``evidence`` against the clean share of the term's documents.
@@ -224,24 +225,25 @@ def fit(labelled: DataFrame, max_docs: int = 24_000, max_terms: int = 20_000, ev
         surprise = t * F.log(p / base) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - p) / (1 - base))).otherwise(0.0)
         counted = (teach.select("text", "toxic").mapInArrow(_count_terms(shortest, longest), "term string, toxic int, n long")
                    .groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("b"))
-                   .where((t > 0) & (p > base) & (p >= 0.9)).withColumn("s", surprise).where(F.col("s") >= evidence)
-                   .orderBy(F.desc("s"), "term").limit(max_terms))
-        chosen = [(r["term"], r["a"], r["b"]) for r in counted.collect()]
+                   .where((t > 0) & (p > base) & (p >= 0.9)).withColumn("s", surprise).where(F.col("s") >= evidence))
+        chosen = [(r["term"], r["a"], r["b"]) for r in sorted(counted.collect(), key=lambda r: (-r["s"], r["term"].encode()))]
         terms = _choose(chosen, toxic, clean)
         rates = {t: (b + 0.5) / (a + b + 1) for t, a, b in chosen if t in terms}
     model = ToxicModel(terms, tuple(fold(e).strip() for e in exceptions))
     check = sample.where(F.pmod(F.floor(F.col("_h") / 7), F.lit(3)) == 0).select("text", "toxic")
     sc = sample.sparkSession.sparkContext
-    shared, shared_rates = sc.broadcast(model), sc.broadcast(rates)  # at most max_terms terms
+    shared, shared_rates = sc.broadcast(model), sc.broadcast(rates)  # the terms of at most max_docs documents
     seen = teach.select("text", "toxic").mapInArrow(_features(shared, shared_rates), FEATURE_SCHEMA).select("toxic", F.explode(F.arrays_zip("hits", "rates")).alias("_p"))
     phrases = seen.groupBy(F.col("_p.hits").alias("phrase")).agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"), F.max("_p.rates").alias("rate"))
     a, n = F.col("a"), F.col("a") + F.col("b")
     proof = F.col("b") * F.log(F.col("b") / n / F.col("rate")) + F.when(a > 0, a * F.log(a / n / (1 - F.col("rate")))).otherwise(0.0)
     phrases = phrases.where((F.col("b") >= 3) & (F.col("b") >= 0.9 * n)).withColumn("s", proof).where(F.col("s") >= evidence)
-    learned = sorted(r["phrase"] for r in phrases.orderBy(F.desc("s"), "phrase").limit(max_terms).collect())
+    learned = sorted(r["phrase"] for r in phrases.select("phrase").collect())
     model.exceptions = tuple(dict.fromkeys([*model.exceptions, *learned]))
     shared = sc.broadcast(model)
-    rows = check.mapInArrow(_features(shared), FEATURE_SCHEMA).select("toxic", "x", "y").orderBy("toxic", "x", "y").collect()  # at most a third of max_docs
+    # equal measures are counted, so no value gathers in one task; at most a third of max_docs rows
+    counts = check.mapInArrow(_features(shared), FEATURE_SCHEMA).groupBy("toxic", "x", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = [r for r in sorted(counts, key=lambda r: (r["toxic"], r["x"], r["y"])) for _ in range(r["n"])]
     if not rows:
         return model
     model.bias, model.slopes = _calibrate(np.array([(r["x"], r["y"]) for r in rows]), np.array([float(r["toxic"]) for r in rows]))
