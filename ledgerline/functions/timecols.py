@@ -33,13 +33,14 @@ def naive_epoch_micros(ts: Column) -> Column:
     independent of the session time zone.
 
     Casting a naive value to TIMESTAMP goes through the session zone, where a
-    daylight-saving gap can reorder two wall-clock times; building the count
-    from the calendar day and the time-of-day fields cannot.
+    daylight-saving gap can reorder two wall-clock times; the count of days
+    and the interval since midnight do not.  (The interval becomes a number
+    as whole seconds of a million times itself, all in 64-bit integers.)
     """
-    return (F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000_000
-            + F.hour(ts).cast("bigint") * 3_600_000_000
-            + F.minute(ts).cast("bigint") * 60_000_000
-            + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
+    day = F.to_date(ts)
+    since_midnight = (ts - day.cast("timestamp_ntz")) * F.lit(1_000_000)
+    return (F.unix_date(day).cast("bigint") * 86_400_000_000
+            + since_midnight.cast("interval second").cast("bigint"))
 
 
 def floor_to_interval(ts: Column, minutes: int = 5) -> Column:

@@ -8,8 +8,10 @@ load executes its plan once (no second ``count()`` pass).
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,18 +63,34 @@ def append_sink(df: DataFrame, target: str, fmt: str = "parquet",
     return write_table(df, target, "append", fmt, options)
 
 
+@contextmanager
+def _kept(df: DataFrame, wanted: bool) -> Iterator[DataFrame]:
+    """``df`` evaluated once although two writes read it: kept on the executors' disks meanwhile
+    (a lost executor's share is evaluated again)."""
+    if not wanted:
+        yield df
+        return
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def truncate_load(df: DataFrame, target: str, truncate: bool = True, fmt: str = "parquet",
-                  export_root: str | None = None) -> int:
-    """Replace the table's contents (``truncate=True``) or append to them.
+                  export_root: str | None = None, options: Mapping[str, str] | None = None) -> int:
+    """Replace the table's contents (``truncate=True``) or append to them;
+    ``options`` go to the writer of the table.
 
     With ``export_root`` the loaded rows are also exported (best effort) as
     the Parquet dataset ``<export_root>/<table>``, replaced on every load.
     It is a directory of part files written in parallel, not a single file:
     one file would mean funnelling the table through one task.
     """
-    n = write_table(df, target, "overwrite" if truncate else "append", fmt)
-    if export_root:
-        parquet_export(df, export_root, target.rstrip("/").rsplit("/", 1)[-1], mode="overwrite")
+    with _kept(df, bool(export_root)) as rows:
+        n = write_table(rows, target, "overwrite" if truncate else "append", fmt, options)
+        if export_root:
+            parquet_export(rows, export_root, target.rstrip("/").rsplit("/", 1)[-1], mode="overwrite")
     return n
 
 
@@ -128,16 +146,18 @@ def with_fallback(df: DataFrame, target: str, fallback_dir: str, fmt: str = "par
 
 
 def static_load(df: DataFrame, target: str, fmt: str = "parquet",
-                export_root: str | None = None, table_name: str | None = None) -> int:
-    """Sanitise column names, append, and optionally export to Parquet.
+                export_root: str | None = None, table_name: str | None = None,
+                options: Mapping[str, str] | None = None) -> int:
+    """Sanitise column names, append, and optionally export to Parquet;
+    ``options`` go to the writer of the table.
 
     The count is observed during the append; the export is a separate
-    best-effort write.
+    best-effort write of the same rows, which are evaluated once.
     """
-    clean = sanitize_columns(df)
-    n = append_sink(clean, target, fmt)
-    if export_root:
-        parquet_export(clean, export_root, table_name or target.rstrip("/").rsplit("/", 1)[-1])
+    with _kept(sanitize_columns(df), bool(export_root)) as clean:
+        n = append_sink(clean, target, fmt, options)
+        if export_root:
+            parquet_export(clean, export_root, table_name or target.rstrip("/").rsplit("/", 1)[-1])
     return n
 
 
