@@ -5,7 +5,7 @@ Commands
   test         evaluate the 20 data-quality checks; non-zero exit on failure
   load-csv     load a directory of CSV files into a table (sanitised names)
   ingest       stream keyed tick messages (Kafka topic or message files) into a table
-  recent       stream landed API responses; append the newest N bars per symbol
+  recent       stream landed API responses; append the newest N bars of each response
   live-rollup  keep the daily OHLCV and latest-tick changelogs up to date
   compact      fold a live-rollup changelog into a snapshot, or merge the
                per-batch folders of a recent / dual-sink table (bounded reads)
@@ -29,7 +29,8 @@ def _warehouse(spark, args):
     from ledgerline.sources.fixtures import FixtureSources
     src = (FixtureSources(spark, args.fixtures) if args.fixtures
            else TableSources(spark, args.raw, args.raw_format))
-    return Warehouse(spark, src, params={"economy_country": args.country})
+    from ledgerline.sources.typed import TypedSources
+    return Warehouse(spark, TypedSources(src), params={"economy_country": args.country})
 
 
 def _trigger(args):
@@ -75,11 +76,10 @@ def main(argv: list[str] | None = None) -> int:
 
     k = sub.add_parser("compact", help="fold a stream's changelog / batch folders")
     k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
-    k.add_argument("--keys", nargs="+", default=["symbol", "date"], help="changelog keys")
     k.add_argument("--batches", action="store_true", help="root is an append-only batch table")
 
     helps = {"ingest": "stream tick messages into a table",
-             "recent": "stream API responses; append the newest N bars per symbol",
+             "recent": "stream API responses; append the newest N bars of each response",
              "live-rollup": "keep the daily OHLCV and latest tick up to date"}
     for name in ("ingest", "recent", "live-rollup"):
         s = sub.add_parser(name, help=helps[name])
@@ -97,6 +97,7 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("--dead-letter", help="table of what could not be read")
         if name == "recent":
             s.add_argument("-n", type=int, default=5)
+            s.add_argument("--fallback", help="folder for CSV files of micro-batches that the table does not take")
         if name == "live-rollup":
             s.add_argument("--delay", default="1 day")
             s.add_argument("--daily-output", choices=("changelog", "closed"), default="changelog",
@@ -153,7 +154,7 @@ def main(argv: list[str] | None = None) -> int:
                 queries.append(st.ingest_ticks(messages, args.out, f"{args.checkpoint}/ingest", trig))
         elif args.cmd == "recent":
             queries.append(st.recent_append(st.response_stream(spark, args.source, file_opts), args.out,
-                                            f"{args.checkpoint}/recent", args.n, trig))
+                                            f"{args.checkpoint}/recent", args.n, trig, args.fallback))
             if args.dead_letter:
                 queries.append(st.dead_letter_responses(
                     st.response_stream(spark, args.source, file_opts), args.dead_letter,

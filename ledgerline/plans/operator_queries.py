@@ -8,6 +8,8 @@ and return the read-back table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_m
                                              parse_response_bodies, split_decoded)
 from ledgerline.functions.names import sanitize_columns
 from ledgerline.functions.numeric import earnings_surprise
-from ledgerline.functions.timecols import floor_to_interval, split_date_time
+from ledgerline.functions.timecols import floor_to_interval, naive_epoch_micros, split_date_time
 from ledgerline.operators import quality, sinks
+from ledgerline.operators.rollup import daily_ohlcv
 from ledgerline.operators.topk import latest_per_key, newest_per_key, newest_rows
 from ledgerline.plans import runner
 from ledgerline.plans.marts import crypto_daily_avg
@@ -25,8 +28,11 @@ from ledgerline.plans.queries import ROUNDED, fixture_warehouse, query, rounded
 from ledgerline.schemas import TICK_SCHEMA, TICK_SPLIT_SCHEMA
 from ledgerline.session import fresh_dir
 from ledgerline.sources import landing
+from ledgerline.sources.catalog import Warehouse
 from ledgerline.sources.feeds import append_rows
-from ledgerline.sources.files import csv_dir_scan, landed_responses, message_files
+from ledgerline.sources.files import csv_by_header, csv_dir_scan, landed_responses, message_files
+from ledgerline.sources.typed import TypedSources
+from ledgerline.streaming import fallback
 from ledgerline.streaming import ticks as stream
 
 TICK_COLS = ["symbol", "timestamp", "open", "high", "low", "close", "volume"]
@@ -94,7 +100,7 @@ def q_recent_ticks(spark, sf_dir):
 
 @query("recent_ticks_per_symbol")
 def q_recent_ticks_per_symbol(spark, sf_dir):
-    return newest_per_key(_json_bars(spark, sf_dir), "symbol", 5, "timestamp")
+    return newest_per_key(_json_bars(spark, sf_dir), "symbol", 5, "timestamp", tie=TICK_COLS[2:])
 
 
 @query("latest_tick_per_symbol")
@@ -206,6 +212,55 @@ def q_fallback_sink(spark, sf_dir):
     return spark.read.schema(TICK_SCHEMA).options(**CSV_TS_OPTIONS).csv(f"{out}/csv")
 
 
+@query("load_counts")
+def q_load_counts(spark, sf_dir):
+    """Rows that loads report, beside those that are stored and exported."""
+    wh = fixture_warehouse(spark, sf_dir)
+    out = fresh_dir(spark, "load-counts")
+    economy, sentiment = f"{out}/global_economy_indicators", f"{out}/test_sentiment"
+    loads = [("static", sinks.static_load(wh.source("global_economy_indicators"), economy, export_root=f"{out}/export"), economy),
+             ("truncate", sinks.truncate_load(wh.source("test_sentiment"), sentiment, export_root=f"{out}/export"), sentiment)]
+    def counted(name, column, path):
+        return spark.read.parquet(path).select(F.lit(name).alias("load"), F.lit(column).alias("kind"))
+
+    reported = spark.createDataFrame([(name, n) for name, n, _ in loads], "load string, observed bigint")
+    kept = [counted(name, kind, path) for name, _, table in loads
+            for kind, path in (("stored", table), ("exported", f"{out}/export/{table.rsplit('/', 1)[-1]}"))]
+    counts = (reduce(DataFrame.unionByName, kept).groupBy("load")
+              .agg(F.count_if(F.col("kind") == "stored").alias("stored"), F.count_if(F.col("kind") == "exported").alias("exported")))
+    return reported.join(counts, "load", "left").select("load", "observed", "stored", "exported")
+
+
+@query("csv_by_header")
+def q_csv_by_header(spark, sf_dir):
+    """CSV files whose columns stand in two orders, one kind with a column more and one less."""
+    index = fixture_warehouse(spark, sf_dir).source("sandp500_data")
+    out = fresh_dir(spark, "csv-headers")
+    odd = F.dayofmonth("Date") % 2 == 1
+    landing.land_csv(index.where(~odd), f"{out}/even")
+    landing.land_csv(index.where(odd).select("Volume", "Close", F.lit("x, y").alias("Note"), "Low", "High", "Date"), f"{out}/odd")
+    return csv_by_header(spark, out, "Date date, Open double, High double, Low double, Close double, Volume bigint")
+
+
+@query("typed_raw_load")
+def q_typed_raw_load(spark, sf_dir):
+    """Earnings events of a file of text, in which a missing figure is NaN, through the declared types."""
+    raw = fixture_warehouse(spark, sf_dir).source("test_earnings")
+    text = raw.select("symbol", F.concat(F.col("date").cast("string"), F.lit(" ")).alias("date"),
+                      *[F.coalesce(F.col(c).cast("string"), F.lit("NaN")).alias(c) for c in ("est_eps", "actual_eps", "surprise_pct")])
+    path = landing.land_csv(text, fresh_dir(spark, "csv-earnings"))
+    files = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in text.columns)).csv(path)
+    return Warehouse(spark, TypedSources(lambda name: files)).ref("int_test_earnings")
+
+
+@query("daily_ohlcv_tied")
+def q_daily_ohlcv_tied(spark, sf_dir):
+    """The daily rollup over ticks whose times were cut to seconds, ties by the load id."""
+    ticks = fixture_warehouse(spark, sf_dir).source("realtime_test_stock_data")
+    seconds = F.timestamp_add("MICROSECOND", -F.pmod(naive_epoch_micros(F.col("timestamp")), F.lit(1_000_000)), F.col("timestamp"))
+    return daily_ohlcv(ticks.withColumn("timestamp", seconds), tie="event_id")
+
+
 # -- streaming ------------------------------------------------------------------
 def _landed_tick_files(spark, sf_dir) -> str:
     ticks = fixture_warehouse(spark, sf_dir).ref("stg_test_realtime_stock_data")
@@ -341,6 +396,34 @@ def q_message_rejects(spark, sf_dir):
     return stream.read_batches(spark, f"{out}/rejects").select("raw", "reason").unionByName(stored)
 
 
+@query("stream_fallback")
+def q_stream_fallback(spark, sf_dir):
+    """A table that every other micro-batch cannot be loaded into, and the batches in its fallback."""
+    src = stream.tick_file_stream(spark, _shuffled_tick_files(spark, sf_dir), TICK_SPLIT_SCHEMA, ONE_FILE)
+    out = fresh_dir(spark, "stream-fallback")
+    load, undo = fallback.feed_primary(f"{out}/table")
+    broken, _ = fallback.connector_primary("market.streaming_stock_data", "warehouse")  # not installed here
+
+    def alternating(df, n, writer):
+        (broken if n % 2 else load)(df, n, writer)
+    stream.run_to_end(fallback.routed_append(src.select(*TICK_COLS), (alternating, undo), f"{out}/fallback", f"{out}/_checkpoint",
+                                             stream.REPLAY, CSV_TS_OPTIONS))
+    return (stream.read_batches(spark, f"{out}/table")
+            .unionByName(fallback.read_fallback(spark, f"{out}/fallback", TICK_SCHEMA, CSV_TS_OPTIONS)))
+
+
+@query("publish_messages")
+def q_publish_messages(spark, sf_dir):
+    """A batch produced twice, as after a lost producer; the consumer reads each message once."""
+    messages = encode_tick_messages(fixture_warehouse(spark, sf_dir).ref("stg_test_realtime_stock_data"))
+    topic, out = fresh_dir(spark, "topic"), fresh_dir(spark, "published")
+    for _ in range(2):
+        sinks.publish_messages(messages, topic, "json")
+    unique = stream.unique_messages(stream.message_stream(spark, topic, arrival=True))
+    stream.run_to_end(stream.ingest_ticks(unique, f"{out}/table", f"{out}/_checkpoint"))
+    return stream.read_batches(spark, f"{out}/table")
+
+
 @query("built_tick_fact")
 def q_built_tick_fact(spark, sf_dir):
     """The tick fact as the runner stores it (by day, rebalanced), read back."""
@@ -354,6 +437,11 @@ def _checks(kind: str | None):
     return [c for c in quality.CHECKS if kind is None or c.test == kind]
 
 
+@query("dq_results_stored")
+def q_dq_results_stored(spark, sf_dir):
+    return quality.run_checks_stored(fixture_warehouse(spark, sf_dir), fresh_dir(spark, "checked"))
+
+
 for _name, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
                      ("dq_unique_combination", "unique_combination"), ("dq_results", None)):
     query(_name)((lambda k: lambda spark, sf_dir: quality.run_checks(

@@ -42,3 +42,24 @@ RAW_TABLES = (
     "test_commodity_prices", "sandp500_data", "crypto_price_history",
     "global_economy_indicators",
 )
+
+_DAY, _NUM, _INT, _STR = TimestampNTZType(), DoubleType(), LongType(), StringType()
+
+# Declared types of the loaded tables whose loaders give text, NaN or whole
+# timestamps (see ``sources.typed``).
+RAW_TYPES = {
+    "test_fundamentals": _struct(("symbol", _STR), ("date", _DAY), ("eps", _NUM), ("pe_ratio", _NUM),
+                                 ("market_cap", _INT), ("sector", _STR)),
+    "test_technical_indicators": _struct(("symbol", _STR), ("date", _DAY), ("ma_10", _NUM), ("ma_50", _NUM),
+                                         ("rsi", _NUM), ("macd", _NUM), ("bb_lower", _NUM), ("bb_upper", _NUM)),
+    "test_sentiment": _struct(("symbol", _STR), ("date", _DAY), ("sentiment_score", _NUM),
+                              ("news_volume", _INT), ("twitter_mentions", _INT)),
+    "test_economic_indicators": _struct(("date", _DAY), ("inflation_rate", _NUM), ("unemployment_rate", _NUM),
+                                        ("gdp_growth", _NUM), ("interest_rate", _NUM)),
+    "test_dividends": _struct(("symbol", _STR), ("date", _DAY), ("dividend_amount", _NUM), ("dividend_yield", _NUM)),
+    "test_splits": _struct(("symbol", _STR), ("date", _DAY), ("split_ratio", _NUM)),
+    "test_earnings": _struct(("symbol", _STR), ("date", _DAY), ("est_eps", _NUM), ("actual_eps", _NUM),
+                             ("surprise_pct", _NUM)),
+    "sandp500_data": _struct(("Date", DateType()), ("Open", _NUM), ("High", _NUM), ("Low", _NUM), ("Close", _NUM),
+                             ("Volume", _INT)),
+}

@@ -136,6 +136,15 @@ def write_batch(df: DataFrame, root: str, batch_id: int, feed: str = "batch", wr
     _write(df, root, batch_dir(root, batch_id, feed, writer))
 
 
+def drop_batch(spark: SparkSession, root: str, batch_id: int, feed: str = "batch", writer: str = "") -> None:
+    """Take back a micro-batch that no part covers yet: its log entry, then its folder."""
+    path = batch_dir(root, batch_id, feed, writer)
+    fs, entry = _entry(spark, root, path.rsplit("/", 1)[-1])
+    fs.delete(entry, False)
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def is_feed_table(spark: SparkSession, root: str) -> bool:
     return bool(_paths(spark, root))
 

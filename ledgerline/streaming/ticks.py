@@ -32,12 +32,13 @@ from ledgerline.functions.json_codec import (decode_tick_messages, encode_tick_m
                                              parse_response_bodies,
                                              split_decoded)
 from ledgerline.functions.timecols import naive_epoch_micros
-from ledgerline.operators.rollup import ohlcv_aggregates, tick_order_key
+from ledgerline.operators.rollup import ohlcv_aggregates, ohlcv_order_key, row_tie, tick_order_key
 from ledgerline.operators.topk import newest_per_key
 from ledgerline.schemas import TICK_SCHEMA
 from ledgerline.session import apply_streaming_state_conf
 from ledgerline.sources.feeds import batch_dir, compact, is_feed_table, read_batches, write_batch, writer_of
 from ledgerline.sources.files import LANDED_RESPONSE_SCHEMA, MESSAGE_FILE_SCHEMA
+from ledgerline.streaming.fallback import feed_primary, routed_writer
 
 REPLAY = {"availableNow": True}
 LIVE = {"processingTime": "5 minutes"}
@@ -45,8 +46,10 @@ LIVE = {"processingTime": "5 minutes"}
 
 # -- sources ----------------------------------------------------------------
 def message_stream(spark: SparkSession, location: str, fmt: str = "files",
-                   options: Mapping[str, str] | None = None) -> DataFrame:
-    """Keyed tick messages as a stream with ``key``/``value`` columns.
+                   options: Mapping[str, str] | None = None, arrival: bool = False) -> DataFrame:
+    """Keyed tick messages as a stream with ``key``/``value`` columns, with
+    ``arrival`` also ``arrived``: when the topic took the message (for files:
+    when the file was written).
 
     ``fmt="kafka"``: ``location`` is the topic, ``options`` must carry
     ``kafka.bootstrap.servers``; reading starts at the earliest offset.
@@ -58,8 +61,25 @@ def message_stream(spark: SparkSession, location: str, fmt: str = "files",
                 .option("startingOffsets", "earliest")
                 .options(**dict(options or {}))
                 .load()
-                .select(F.col("key").cast("string"), F.col("value").cast("string")))
-    return spark.readStream.schema(MESSAGE_FILE_SCHEMA).options(**dict(options or {})).json(location)
+                .select(F.col("key").cast("string"), F.col("value").cast("string"),
+                        *([F.col("timestamp").alias("arrived")] if arrival else [])))
+    messages = spark.readStream.schema(MESSAGE_FILE_SCHEMA).options(**dict(options or {})).json(location)
+    if not arrival:
+        return messages
+    return messages.select("key", "value", F.col("_metadata.file_modification_time").alias("arrived"))
+
+
+def unique_messages(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Messages without the copies that a replayed producer batch leaves in the topic.
+
+    ``messages`` has ``key``, ``value`` and ``arrived``.  Of messages with
+    equal key and value that arrive within ``delay`` one stays.  The watermark
+    runs on the arrival, not on the tick's own time: a late tick is never
+    late here, so nothing but copies is dropped, and the state holds the
+    messages of about one ``delay`` (in RocksDB).
+    """
+    apply_streaming_state_conf(messages.sparkSession)
+    return messages.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["key", "value"]).select("key", "value")
 
 
 def response_stream(spark: SparkSession, location: str,
@@ -186,13 +206,19 @@ def dual_sink(ticks: DataFrame, topic_path: str, table_path: str, checkpoint: st
 
 # -- T-3: newest N bars of each response -> table ------------------------------
 def recent_append(responses: DataFrame, table_path: str, checkpoint: str, n: int = 5,
-                  trigger: Mapping = REPLAY) -> StreamingQuery:
+                  trigger: Mapping = REPLAY, fallback_root: str | None = None) -> StreamingQuery:
     """Parse landed responses, keep the ``n`` newest bars of every response
     (symbol, request_id), conform to the tick schema and append (feed
-    ``recent``).  The ranking is inside a response, so it does not depend on
+    ``recent``).  With ``fallback_root`` a micro-batch that the table does not
+    take goes there as CSV files (``streaming.fallback``).  The ranking is inside a response, so it does not depend on
     which responses share a micro-batch.  (A row_number is not allowed on a
     streaming frame, so it runs inside the batch.)"""
-    write = _to_table(table_path, checkpoint, "recent", lambda df: recent_per_response(parse_response_bodies(df), n))
+    def rows(df: DataFrame) -> DataFrame:
+        return recent_per_response(parse_response_bodies(df), n)
+    if fallback_root:
+        write = routed_writer(feed_primary(table_path, "recent"), fallback_root, checkpoint, rows)
+    else:
+        write = _to_table(table_path, checkpoint, "recent", rows)
     return _start(responses, checkpoint, trigger, foreachBatch=write)
 
 
@@ -238,7 +264,7 @@ def daily_ohlcv_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
 
 def daily_partials(ticks: DataFrame) -> DataFrame:
     """Mergeable daily bars: the open and close carry the order key of their tick."""
-    key = tick_order_key("timestamp", ticks.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
+    key = ohlcv_order_key(ticks)
     day = F.col("date") if "date" in ticks.columns else F.to_date("timestamp")
     rows = ticks.select("symbol", day.alias("date"), key.alias("first_key"), key.alias("last_key"),
                         "open", "high", "low", "close", "volume")
@@ -264,7 +290,7 @@ def latest_tick_stream(ticks: DataFrame, changelog_path: str, checkpoint: str,
     """Latest close/volume per symbol: one partial row per symbol and
     micro-batch, with the order key of its tick (``read_latest``)."""
     def partials(df: DataFrame) -> DataFrame:
-        key = tick_order_key("timestamp", df.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
+        key = tick_order_key(row_tie("close", "volume"), "timestamp", df.schema["timestamp"].dataType.typeName() == "timestamp_ntz")
         rows = df.select("symbol", key.alias("last_key"), F.col("close").alias("last_close"),
                          F.col("volume").alias("last_volume"))
         return merge_latest(rows)

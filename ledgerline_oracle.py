@@ -396,6 +396,18 @@ FINAL["message_rejects"] = """
            ELSE '{"symbol":"' || symbol || '","timestamp":"2024-01-01T00:00:00","volume":"many"}' END AS raw, 'malformed' AS reason
   FROM stg_test_realtime_stock_data WHERE minute(timestamp) % 10 <= 3
   UNION ALL SELECT CAST(count(*) AS VARCHAR), 'stored' FROM stg_test_realtime_stock_data WHERE minute(timestamp) % 10 > 3"""
+FINAL["stream_fallback"] = "SELECT * FROM streaming_stock_data"
+FINAL["publish_messages"] = "SELECT * FROM streaming_stock_data"
+FINAL["load_counts"] = """
+  SELECT 'static' AS load, count(*) AS observed, count(*) AS stored, count(*) AS exported FROM global_economy_indicators
+  UNION ALL SELECT 'truncate', count(*), count(*), count(*) FROM test_sentiment"""
+FINAL["csv_by_header"] = """
+  SELECT "Date", CASE WHEN day("Date") % 2 = 0 THEN "Open" END AS "Open", "High", "Low", "Close", "Volume" FROM sandp500_data"""
+FINAL["typed_raw_load"] = "SELECT * FROM int_test_earnings"
+FINAL["daily_ohlcv_tied"] = """
+  SELECT symbol, date, arg_min(open, (epoch_us(timestamp) // 1000000, event_id)) AS open, max(high) AS high, min(low) AS low,
+         arg_max(close, (epoch_us(timestamp) // 1000000, event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume
+  FROM realtime_test_stock_data GROUP BY symbol, date"""
 FINAL["built_tick_fact"] = "SELECT * FROM fact_stock_tick"
 FINAL["stream_dual_sink"] = FINAL["split_date_time"]
 FINAL["union_tick_feeds"] = """
@@ -442,3 +454,4 @@ FINAL["dq_not_null"] = _dq_sql("not_null")
 FINAL["dq_unique"] = _dq_sql("unique")
 FINAL["dq_unique_combination"] = _dq_sql("unique_combination")
 FINAL["dq_results"] = _dq_sql(None)
+FINAL["dq_results_stored"] = _dq_sql(None)
