@@ -76,6 +76,7 @@ def main(argv: list[str] | None = None) -> int:
 
     k = sub.add_parser("compact", help="fold a stream's changelog / batch folders")
     k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
+    k.add_argument("--keys", nargs="+", help=argparse.SUPPRESS)  # of older scripts; the changelog knows its keys
     k.add_argument("--batches", action="store_true", help="root is an append-only batch table")
 
     helps = {"ingest": "stream tick messages into a table",
