@@ -22,6 +22,13 @@ from ledgerline.llm.components import connected_components
 from ledgerline.llm.tables import spill
 from ledgerline.llm.textscan import mix, pieces, span_hashes
 
+#: (least code points, edits) by ascending length: the tolerance of a pair is its shorter line's.
+Classes = tuple[tuple[int, int], ...]
+
+#: Tolerance of lines below 24 code points: one edit from 8 on.  In a still shorter line one edit is over
+#: an eighth of it, another item or number and no near copy.
+SHORTER: Classes = ((8, 1),)
+
 KEY_SCHEMA = "key long, id long, parity long, less int"
 
 
@@ -33,8 +40,17 @@ def segments(length: np.ndarray, edits: int, i: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(0, i - short), size + (i >= short)
 
 
-def _keys(edits: int, probe: bool):
-    """Index keys of each line, or its probe keys with the length difference ``less`` they ask for."""
+def _ranges(classes: Classes) -> list[tuple[int, int, int]]:
+    """(least length, length before which the class ends, edits)."""
+    ends = [least for least, _ in classes[1:]] + [1 << 62]
+    return [(least, end, edits) for (least, edits), end in zip(classes, ends, strict=True)]
+
+
+def _keys(classes: Classes, probe: bool):
+    """Index keys of each line, or its probe keys with the length difference ``less`` they ask for.
+
+    A key holds the length of the indexed line, so keys of two classes never meet.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text="line", limit=1 << 20):
             points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="<u4") for t in b.column(1).to_pylist()]
@@ -54,19 +70,21 @@ def _keys(edits: int, probe: bool):
                 for column, v in zip(out, (key.view(np.int64), ids[rows], parity[rows].view(np.int64), np.full(len(rows), less, dtype=np.int32)), strict=True):  # noqa: B023
                     column.append(v)
 
-            for i in range(edits + 1):
+            for least, end, edits, i in ((*c, i) for c in _ranges(classes) for i in range(c[2] + 1)):
                 if not probe:
-                    start, size = segments(length, edits, i)
-                    emit(np.arange(len(points)), start, size, length, i, 0)
+                    rows = np.flatnonzero((length >= least) & (length < end))
+                    start, size = segments(length[rows], edits, i)
+                    emit(rows, start, size, length[rows], i, 0)
                     continue
                 for less in range(edits + 1):  # probes for lines of the same length or shorter ones
                     other = length - less
                     start, size = segments(other, edits, i)
                     low = np.maximum(0, np.maximum(start - i, start + less - (edits - i)))
                     high = np.minimum(length - size, np.minimum(start + i, start + less + (edits - i)))
+                    ours = (other >= least) & (other < end)
                     for shift in range(-edits, 2 * edits + 1):
                         at = start + shift
-                        rows = np.flatnonzero((at >= low) & (at <= high))
+                        rows = np.flatnonzero(ours & (at >= low) & (at <= high))
                         if len(rows):
                             emit(rows, at[rows], size[rows], other[rows], i, less)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["key", "id", "parity", "less"])
@@ -117,31 +135,40 @@ def within(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int) -> np.ndarray
     return (ok & (bit == 1))[rank]
 
 
-def _verify(edits: int):
+def _verify(classes: Classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for p in pieces([whole], text="tb", limit=1 << 20):
                 texts = [[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="<u4") for t in p.column(c).to_pylist()] for c in (2, 3)]
                 pairs = list(zip(*texts, strict=True))
                 sizes = np.array([len(x) for _, x in pairs])
+                shorter = np.array([min(len(a), len(b)) for a, b in pairs])
                 good = np.zeros(len(pairs), dtype=bool)
                 order, at = np.argsort(sizes), 0
                 while at < len(order):  # pairs of like length share a step; the tables stay small
                     to = at + 1
                     while to < len(order) and (to + 1 - at) * (sizes[order[to]] + 8) <= 1 << 21:
                         to += 1
-                    some = order[at:to]
-                    good[some] = within([pairs[i] for i in some], edits)
+                    for least, end, edits in _ranges(classes):
+                        some = [i for i in order[at:to] if least <= shorter[i] < end]
+                        if some:
+                            good[some] = within([pairs[i] for i in some], edits)
                     at = to
                 yield pa.RecordBatch.from_arrays([p.column(0), p.column(1)], ["a", "b"]).filter(pa.array(good))
 
     return run
 
 
-def line_links(lines: DataFrame, edits: int = 2) -> DataFrame:
-    """All links (a, b) between distinct ``lines(id, line)`` within ``edits`` edits, a < b."""
-    index = lines.mapInArrow(_keys(edits, False), KEY_SCHEMA).select("key", F.col("id").alias("a"), F.col("parity").alias("pa"))
-    probes = lines.mapInArrow(_keys(edits, True), KEY_SCHEMA).select(F.col("key").alias("k"), F.col("id").alias("b"), F.col("parity").alias("pb"), "less")
+def line_links(lines: DataFrame, classes: Classes = ((3, 2),)) -> DataFrame:
+    """All links (a, b) between distinct ``lines(id, line)``, a < b: within the edits of the shorter line's class.
+
+    A class begins at more code points than its edits; lines below the first class have no links.
+    """
+    if any(least <= edits for least, edits in classes) or list(classes) != sorted(classes):
+        raise ValueError(f"classes by ascending length, each from more than its edits on: {classes}")
+    edits = max(e for _, e in classes)
+    index = lines.mapInArrow(_keys(classes, False), KEY_SCHEMA).select("key", F.col("id").alias("a"), F.col("parity").alias("pa"))
+    probes = lines.mapInArrow(_keys(classes, True), KEY_SCHEMA).select(F.col("key").alias("k"), F.col("id").alias("b"), F.col("parity").alias("pb"), "less")
     # lines of equal length probe each other; one direction is enough
     once = ((F.col("less") > 0) & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b"))
     # an edit changes the parity of two letter classes at most
@@ -157,15 +184,18 @@ def line_links(lines: DataFrame, edits: int = 2) -> DataFrame:
     texts = spill(lines.mapInArrow(keep, "id long, line string"), "line-texts")
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b").select("a", "b", "ta", "tb"))
-    return both.mapInArrow(_verify(edits), "a long, b long")
+    return both.mapInArrow(_verify(classes), "a long, b long")
 
 
-def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24, id_col: str = "doc_id", text_col: str = "text",
+                shorter: Classes = ()) -> DataFrame:
     r"""One row per document: n_lines, n_exact, n_near, dropped.
 
     Lines are the \n-split pieces with a word in them.  Equal lines, and lines
-    of ``min_chars`` code points or more that links of at most ``edits`` edits
-    connect, are one class; its first line in order of (doc_id, row, line
+    that links connect, are one class: two lines link within ``edits`` edits
+    if the shorter has ``min_chars`` code points or more, below that within
+    the edits that the classes ``shorter`` give its length (see ``SHORTER``).
+    A class's first line in order of (doc_id, row, line
     number) stays, the others are dropped: n_exact of them equal an earlier
     line of the corpus or of their document, n_near only resemble one.
     ``dropped`` lists their line numbers (from 0).
@@ -178,9 +208,10 @@ def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24, id_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_l"))
     known = spill(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                               F.transform("_l", lambda x: F.when(line(x), F.xxhash64(x))).alias("ids")), "line-ids")
-    long_lines = rows.select(F.explode("_l").alias("line")).where(F.length("line") >= min_chars).where(line(F.col("line"))).distinct()
+    classes = (*shorter, (min_chars, edits))
+    long_lines = rows.select(F.explode("_l").alias("line")).where(F.length("line") >= classes[0][0]).where(line(F.col("line"))).distinct()
     lines = spill(long_lines.select(F.xxhash64("line").alias("id"), "line"), "lines")
-    links = spill(line_links(lines, edits), "line-links")
+    links = spill(line_links(lines, classes), "line-links")
     found = connected_components(links)
     where = known.select("row", "doc_id", F.posexplode("ids").alias("line_no", "id")).where("id is not null")
     place = F.struct("doc_id", "row", "line_no")

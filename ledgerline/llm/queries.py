@@ -41,7 +41,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), shorter=line_dedup.SHORTER)
 
 
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

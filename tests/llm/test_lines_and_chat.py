@@ -36,7 +36,7 @@ def test_bit_parallel_distance(edits):
 def mutated(rnd, s, most=3):
     s = list(s)
     for _ in range(rnd.randint(0, most)):
-        i = rnd.randrange(len(s))
+        i = rnd.randrange(len(s) or 1)
         s[i:i + rnd.randint(0, 1)] = rnd.choice(["", "x", "é"])
     return "".join(s)
 
@@ -85,6 +85,37 @@ def test_line_dedup_equals_brute_force(spark):
         assert sorted(map(tuple, got.collect()), key=str) == brute_lines(docs, edits, least)
 
 
+def brute_class_lines(docs, classes):
+    """As ``brute_lines`` with the tolerance of the shorter line's class: links through the same union."""
+    tolerance = lambda n: ([-1] + [e for least, e in classes if n >= least])[-1]
+    names = sorted({x for _, t in docs for x in (t or "").split("\n") if x.strip(" \t\n\v\f\r")})
+    links = set()
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            most = tolerance(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most:
+                links.add((a, b))
+    return links
+
+
+@pytest.mark.parametrize("classes", [((2, 1), (24, 2)), ((8, 1), (24, 2)), ((3, 1), (9, 2), (20, 4))])
+def test_line_links_by_length_class(spark, classes):
+    rnd = random.Random(len(classes))
+    bases = ["".join(rnd.choice("abcé") for _ in range(n)) for n in (1, 2, 2, 3, 4, 7, 8, 9, 10, 19, 20, 21, 23, 24, 25, 26, 40)]
+    lines = sorted({mutated(rnd, rnd.choice(bases) + "b", 4) for _ in range(400)} - {""})
+    got = line_dedup.line_links(spark.createDataFrame(list(enumerate(lines)), "id long, line string"), classes).collect()
+    assert {tuple(sorted((lines[r.a], lines[r.b]))) for r in got} == brute_class_lines([(0, "\n".join(lines))], classes)
+    assert len(got) == len(set(map(tuple, got)))
+
+
+def test_short_lines_are_near_copies(spark):
+    docs = spark.createDataFrame([(1, "Read more >>\nab"), (2, "Read more >\nac\nshare it"), (3, "Share it\n1) a")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_near, r.dropped) for r in line_dedup.dedup_lines(docs, shorter=line_dedup.SHORTER).collect()}
+    assert got == {1: (0, []), 2: (1, [0]), 3: (1, [0])}
+    with pytest.raises(ValueError):
+        line_dedup.line_links(docs.selectExpr("doc_id id", "text line"), ((2, 2),))
+
+
 def test_line_dedup_without_rows(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
