@@ -78,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     k.add_argument("root", help="a changelog (e.g. <live-rollup out>/daily_ohlcv) or a batch table")
     k.add_argument("--keys", nargs="+", help=argparse.SUPPRESS)  # of older scripts; the changelog knows its keys
     k.add_argument("--batches", action="store_true", help="root is an append-only batch table")
+    k.add_argument("--expire-hours", type=float, help="then delete folders that a compacted part has covered for so long")
 
     helps = {"ingest": "stream tick messages into a table",
              "recent": "stream API responses; append the newest N bars of each response",
@@ -125,10 +126,14 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"checks": rows, "warnings": warnings}))
         return 1 if any(r["failures"] for r in rows) else 0
     elif args.cmd == "compact":
+        from ledgerline.sources.feeds import expire
         from ledgerline.streaming.ticks import compact_batches, compact_changelog
         upto = (compact_batches(spark, args.root) if args.batches
                 else compact_changelog(spark, args.root))
-        print(json.dumps({"compacted_upto": upto}))
+        done = {"compacted_upto": upto}
+        if args.expire_hours is not None:
+            done["expired"] = expire(spark, args.root, args.expire_hours)
+        print(json.dumps(done))
     elif args.cmd == "load-csv":
         from ledgerline.operators.sinks import static_load
         from ledgerline.sources.files import csv_dir_scan

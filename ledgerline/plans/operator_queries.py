@@ -29,7 +29,7 @@ from ledgerline.schemas import TICK_SCHEMA, TICK_SPLIT_SCHEMA
 from ledgerline.session import fresh_dir
 from ledgerline.sources import landing
 from ledgerline.sources.catalog import Warehouse
-from ledgerline.sources.feeds import append_rows
+from ledgerline.sources.feeds import append_rows, compact, expire, write_batch
 from ledgerline.sources.files import csv_by_header, csv_dir_scan, landed_responses, message_files
 from ledgerline.sources.typed import TypedSources
 from ledgerline.streaming import fallback
@@ -355,6 +355,24 @@ def q_stream_changelog_compacted(spark, sf_dir):
     return stream.read_daily(spark, f"{out}/changelog")
 
 
+@query("levelled_daily_bars")
+def q_levelled_daily_bars(spark, sf_dir):
+    """The daily rollup from partial bars of twelve batches, compacted in levels after each and what is covered
+    expired.  Days are spread over the batches, so bars meet again in parts of every level."""
+    ticks = fixture_warehouse(spark, sf_dir).ref("stg_test_realtime_stock_data")
+    root, batches = f"{fresh_dir(spark, 'levelled')}/bars", 12
+    turn = F.pmod(F.hash("symbol", "timestamp"), F.lit(batches))
+    # one shuffle for all batches: each is a folder of this table
+    slices = fresh_dir(spark, "levelled-slices")
+    ticks.withColumn("_turn", turn).repartition("_turn").write.mode("overwrite").partitionBy("_turn").parquet(slices)
+    for n in range(batches):
+        batch = spark.read.parquet(slices).where(F.col("_turn") == n).drop("_turn")  # prunes to its folder
+        write_batch(stream.daily_partials(batch), root, n, "batch", "bars")
+        compact(spark, root, stream.merge_daily, fanout=3)
+        expire(spark, root, 0)
+    return stream.read_daily(spark, root)
+
+
 @query("shared_tick_table")
 def q_shared_tick_table(spark, sf_dir):
     """One table, many writers: consumers of two topics, one of them again from a fresh checkpoint after

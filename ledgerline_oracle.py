@@ -427,6 +427,7 @@ FINAL["truncate_load"] = "SELECT * FROM test_sentiment UNION ALL SELECT * FROM t
 FINAL["parquet_export"] = "SELECT * FROM fact_daily_summary"
 FINAL["stream_compacted_table"] = FINAL["split_date_time"]
 FINAL["stream_changelog_compacted"] = "SELECT * FROM int_daily_stock_summary"
+FINAL["levelled_daily_bars"] = "SELECT * FROM int_daily_stock_summary"
 FINAL["stream_daily_ohlcv"] = "SELECT * FROM int_daily_stock_summary"
 FINAL["stream_latest_tick"] = "SELECT symbol, last_close, last_volume FROM latest_ticks"
 

@@ -1,6 +1,8 @@
 """Streaming results equal the batch models when data arrives over many
 micro-batches."""
 
+from collections import Counter
+
 from ledgerline.plans.queries import fixture_warehouse
 from ledgerline.schemas import TICK_SPLIT_SCHEMA
 from ledgerline.session import fresh_dir
@@ -230,3 +232,48 @@ def test_nan_earnings_are_no_events(spark):
                                  "symbol string, date date, est_eps double, actual_eps double, surprise_pct double")
     got = Warehouse(spark, lambda name: rows).ref("int_test_earnings").collect()
     assert [r["symbol"] for r in got] == ["B"]
+
+
+def test_levels_bound_the_parts_of_many_batches(spark):
+    """With fan-out 3, thirty runs leave at most two parts on each of four levels, and every row counts once."""
+    from ledgerline.sources.feeds import compact, expire, folders, write_batch
+    root = f"{fresh_dir(spark, 'levels')}/t"
+    for n in range(30):
+        write_batch(spark.range(n * 10, n * 10 + 10, 1, 1), root, n, "batch", "w")
+        assert compact(spark, root, fanout=3) == n
+        parts, batches, _ = folders(spark, root)
+        live = parts["batch", "w"]
+        assert not batches and max(Counter(p.level for p in live).values()) <= 2 and live[-1].end == n
+        assert [p.start for p in live] == [0, *[p.end + 1 for p in live[:-1]]]
+    assert {p.level for p in live} <= {0, 1, 2, 3} and len(live) <= 8
+    got = st.read_batches(spark, root)
+    assert sorted(r.id for r in got.collect()) == list(range(300)) and len(got.inputFiles()) == len(live)
+    # nothing goes before its time; then only what the live parts do not need
+    assert expire(spark, root, hours=1) == 0
+    assert expire(spark, root, hours=0) > 30 and expire(spark, root, hours=0) == 0
+    assert sorted(r.id for r in st.read_batches(spark, root).collect()) == list(range(300))
+    # a batch that is replayed after it was covered and expired does not count again
+    write_batch(spark.range(290, 300), root, 29, "batch", "w")
+    assert st.read_batches(spark, root).count() == 300
+    write_batch(spark.range(300, 305), root, 30, "batch", "w")
+    assert compact(spark, root, fanout=3) == 30 and st.read_batches(spark, root).count() == 305
+
+
+def test_parts_of_older_tables_and_of_two_runs_at_once(spark):
+    """Parts named without their start are folded like others; of nested ranges the larger counts."""
+    from ledgerline.sources.feeds import COMPACTED, _write, compact, folders, write_batch
+    root = f"{fresh_dir(spark, 'older-parts')}/t"
+    for n in (3, 5):
+        _write(spark.range(n), root, f"{root}/{COMPACTED}/batch_upto={n}-w")
+    write_batch(spark.range(100, 101), root, 6, "batch", "w")
+    assert st.read_batches(spark, root).count() == 9
+    assert compact(spark, root, fanout=3) == 6 and st.read_batches(spark, root).count() == 9
+    (only,) = folders(spark, root)[0]["batch", "w"]
+    assert (only.start, only.end, only.level) == (0, 6, 1)
+    # a run that saw batch 7 alone, beside one that saw 7 and 8
+    _write(spark.range(1), root, f"{root}/{COMPACTED}/batch_upto=7_from=7_level=0-w")
+    _write(spark.range(2), root, f"{root}/{COMPACTED}/batch_upto=8_from=7_level=0-w")
+    assert st.read_batches(spark, root).count() == 11
+    # runs that saw one range, one of them with more parts to fold
+    _write(spark.range(2), root, f"{root}/{COMPACTED}/batch_upto=8_from=7_level=1-w")
+    assert st.read_batches(spark, root).count() == 11
