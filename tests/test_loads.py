@@ -180,3 +180,25 @@ def test_stored_checks_find_what_the_lazy_ones_find(spark):
     runs = [f(Warehouse(spark, None, {"m": model}), *a, checks) for f, a in ((quality.run_checks, ()), (quality.run_checks_stored, (fresh_dir(spark, "checks"),)))]
     lazy, stored = (sorted(map(tuple, r.collect())) for r in runs)
     assert lazy == stored and [r[4] for r in stored] == [2, 1, 2, 0]
+
+
+def test_repeated_ticks_land_in_further_responses(spark, tmp_path):
+    """Ticks of one symbol, block and timestamp: every bar is parsed, the newest are ranked over the whole request."""
+    from datetime import datetime
+
+    from ledgerline.plans.queries import QUERIES
+    at = [datetime(2024, 1, 1, 9, 30, s, 250000) for s in range(7)]
+    kinds = ["error", "view", "click", "click", "purchase", "click", "view"]
+    rows = [(i, at[i], user, kinds[i], float(i), f'{{"k": {i}}}') for i in range(7) for user in (1, 26, 26, 2)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    sf = str(tmp_path)
+    bars = sorted((f"NATION_{u % 25}", t, v, 0 if k == "view" else int(v)) for _, t, u, k, v, _ in rows)
+    got = QUERIES["intraday_json_parse"](spark, sf).select("symbol", "timestamp", "open", "volume").collect()
+    assert sorted(map(tuple, got)) == bars
+    rejects = QUERIES["intraday_json_rejects"](spark, sf).collect()
+    assert sorted((r.symbol, r.request_id, r.reason) for r in rejects) == [(f"NATION_{n}", 0, "error_message") for n in (1, 2)]
+    newest = [b for n in (1, 2) for b in sorted((b for b in bars if b[0] == f"NATION_{n}"), key=lambda b: b[1])[-5:]]
+    for name in ("stream_recent_append", "recent_ticks_per_symbol"):
+        got = QUERIES[name](spark, sf).select("symbol", "timestamp", "open", "volume").collect()
+        assert sorted(map(tuple, got)) == sorted(newest), name
