@@ -7,9 +7,9 @@ then decide by the triangle inequality: documents within the threshold link at
 once, pairs whose pivot distances differ by more than the threshold cannot
 link, and what is left open (far documents, and the boundary documents near
 enough to them) joins again around a new pivot of the region, level by level;
-after the last level, the open pairs within all windows that share a token of
-their prefixes, now in order of exact counts among the open documents, are
-compared.  Nothing is estimated: links are decided by exact set intersections.
+after the last level, the open pairs that share a token of their prefixes, now
+in order of exact counts among the open documents, and lie within the windows of
+all regions they share are compared.  Nothing is estimated: links are decided by exact set intersections.
 
 Why not plain nearest-pivot cells: unrelated texts lie at distance 1 from every
 pivot, so windows around globally chosen pivots would copy each document into
@@ -259,16 +259,25 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
                           .select("region", "id", "n", "near", F.concat("d", F.array("x")).alias("d")), "jaccard-level")
             settle(spark)
             continue
-        heads = spill(held.join(_rare_first(held, sets, percent), ["id", "n"]), "jaccard-heads")
-        side = lambda x: [F.col(c).alias(c + x) for c in ("id", "n", "near", "d", "c", "u", "pos")]
-        a = heads.where("not near").select("region", "token", *side("_a"))
-        b = heads.select("region", "token", *side("_b"))
-        in_window = F.forall(F.zip_with("d_a", "d_b", lambda x, y: F.abs(x - y)), lambda x: F.coalesce(x <= wide, F.lit(True)))
+        # a document meets another once a shared token, however many regions hold both; the regions' windows then judge the pair
+        about = held.groupBy("id").agg(F.max("c").alias("c"), F.max(~F.col("near")).alias("far"))
+        heads = spill(_rare_first(held, sets, percent).join(about, "id"), "jaccard-heads")
+        places = spill(held.groupBy("id").agg(F.collect_list(F.struct("region", "d")).alias("places")), "jaccard-places")
+        settle(spark)
+        side = lambda x: [F.col(c).alias(c + x) for c in ("id", "n", "c", "far", "pos")]
         # what the two can share at most: neither's own shingles, and nothing before their first shared token
         most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
         can_link = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-        pairs = a.join(b, ["region", "token"]).where((F.col("c_a") != F.col("c_b")) & (F.col("near_b") | (F.col("id_a") < F.col("id_b"))) & can_link & in_window)
+        pairs = heads.select("token", *side("_a")).join(heads.select("token", *side("_b")), "token")
+        pairs = pairs.where((F.col("c_a") != F.col("c_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("far_a") | F.col("far_b")) & can_link)
         pairs = spill(pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other")).distinct(), "jaccard-pairs")
+        of = lambda c, x: places.select(F.col("id").alias(c), F.col("places").alias(x))
+        at_b = F.map_from_entries("pb")
+        both = F.filter("pa", lambda p: F.map_contains_key(at_b, p["region"]))
+        in_window = F.forall(F.transform(both, lambda p: F.zip_with(p["d"], F.try_element_at(at_b, p["region"]), lambda x, y: F.abs(x - y))),
+                             lambda gaps: F.forall(gaps, lambda x: F.coalesce(x <= wide, F.lit(True))))
+        pairs = pairs.join(of("id", "pa"), "id").join(of("other", "pb"), "other").where((F.size(both) > 0) & in_window).select("id", "other")
+        pairs = spill(pairs, "jaccard-pairs")
         settle(spark)
         fresh = spill(_measure(pairs, sets, [], percent).where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
         links, found = _extend(links, found, fresh)

@@ -98,7 +98,8 @@ def bit_filter(ids: DataFrame, column: str, bits: int) -> Callable[[np.ndarray],
                                                  ["chunk", "counts"])
 
     out = np.zeros(1 << (bits - 3), dtype=np.uint8)
-    for r in ids.select(column).mapInArrow(fill, SCHEMA).groupBy("chunk").applyInArrow(_any_bit, SCHEMA).toLocalIterator():
+    # one job: a local iterator would run one after another for each partition
+    for r in ids.select(column).mapInArrow(fill, SCHEMA).groupBy("chunk").applyInArrow(_any_bit, SCHEMA).collect():
         out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint8)
     shared = ids.sparkSession.sparkContext.broadcast(out)
 

@@ -130,3 +130,52 @@ def test_decontamination_without_rows(spark):
     b = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert leak_rows(decontamination.find_contamination(d, b.where("false"))) == [(1, 3, 0, [], False)]
     assert leak_rows(decontamination.find_contamination(d.where("false"), b)) == []
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    from ledgerline.llm import components
+    written = []
+    real = components.spill
+    monkeypatch.setattr(components, "spill", lambda df, label: written.append(label) or real(df, label))
+    links = spark.createDataFrame([(1, i) for i in range(2, 30)] + [(40, 41)], "a long, b long")
+    got = {r.id: r.component for r in components.connected_components(links).collect()}
+    assert got == {**dict.fromkeys(range(1, 30), 1), 40: 40, 41: 40} and written == ["links"]
+
+
+def test_bit_filter_is_one_job(spark):
+    from ledgerline.llm import sketch
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("bit-filter", "bit filter")
+    try:
+        held = sketch.bit_filter(spark.range(0, 5000, 5, 4), "id", 20)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    import numpy as np
+    assert held(np.arange(0, 5000, 5)).all() and held(np.arange(1, 5000, 5)).mean() < 0.1
+    assert len(tracker.getJobIdsForGroup("bit-filter")) <= 2  # the shuffle's and the result's, however many partitions
+
+
+def test_jaccard_rest_has_a_document_once_a_token(spark, monkeypatch):
+    """Copies with scattered edits of one text share many regions; the last comparison does not repeat them by region."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for p in rnd.sample(range(80), i % 9):
+            words[p] = f"x{i}_{p}"
+        rows.append((i, " ".join(words)))
+    heads = []
+    real = jaccard_join.spill
+
+    def spill(df, label, *rest):
+        table = real(df, label, *rest)
+        if label == "jaccard-heads":
+            heads.append((table.count(), table.select("id", "token").distinct().count()))
+        return table
+    monkeypatch.setattr(jaccard_join, "spill", spill)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 70):
+        got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=percent).collect())
+        assert got == brute_components(rows, percent)
+    assert heads and all(n == distinct > 0 for n, distinct in heads)
