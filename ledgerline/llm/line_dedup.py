@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import sketch
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.tables import spill
+from ledgerline.llm.tables import drop, settle, spill
 from ledgerline.llm.textscan import mix, pieces, span_hashes
 
 #: (least code points, edits) by ascending length: the tolerance of a pair is its shorter line's.
@@ -175,6 +175,7 @@ def line_links(lines: DataFrame, classes: Classes = ((3, 2),)) -> DataFrame:
     alike = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits
     pairs = index.join(probes, (F.col("key") == F.col("k")) & once & alike)
     pairs = spill(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    settle(lines.sparkSession)
     wanted = sketch.id_filter(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), "id")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +212,11 @@ def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24, id_col: st
     classes = (*shorter, (min_chars, edits))
     long_lines = rows.select(F.explode("_l").alias("line")).where(F.length("line") >= classes[0][0]).where(line(F.col("line"))).distinct()
     lines = spill(long_lines.select(F.xxhash64("line").alias("id"), "line"), "lines")
+    # the shuffles of the lines, then of their keys, go before the next ones come
+    settle(docs.sparkSession)
     links = spill(line_links(lines, classes), "line-links")
+    drop(lines)
+    settle(docs.sparkSession)
     found = connected_components(links)
     where = known.select("row", "doc_id", F.posexplode("ids").alias("line_no", "id")).where("id is not null")
     place = F.struct("doc_id", "row", "line_no")

@@ -208,3 +208,23 @@ def test_sliding_window_templates_are_seen_to_rewrite(spark):
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df)).collect() == []
+
+
+def test_line_dedup_frees_its_lines(spark, monkeypatch):
+    """What later steps do not read leaves the disk: the table of the lines, which is as long as the texts."""
+    import os
+
+    from ledgerline.llm import line_dedup
+    paths = {}
+    real = line_dedup.spill
+
+    def spill(df, label):
+        table = real(df, label)
+        paths[label] = table.spilled_to
+        return table
+    monkeypatch.setattr(line_dedup, "spill", spill)
+    line = "a line of a text with more than twenty-four letters"
+    docs = spark.createDataFrame([(1, line), (2, line + "s"), (3, line + "\nx"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_exact, r.n_near) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (1, 0, 0), 2: (1, 0, 1), 3: (2, 1, 0), 4: (0, 0, 0)}
+    assert not os.path.exists(paths["lines"].removeprefix("file:"))
