@@ -42,8 +42,10 @@ class _Model:
         # predicted id * 4 + confidence, by context
         self.one = np.zeros(vocabulary, dtype=np.uint32)
         self.two = np.zeros(1 << CONTEXT_BITS, dtype=np.uint32)
-        self.prev1 = np.zeros(lanes, dtype=np.uint32)
-        self.key2 = np.zeros(lanes, dtype=np.uint32)
+        # contexts are held as indices, so that no look-up converts them
+        self.prev1 = np.zeros(lanes, dtype=np.intp)
+        self.key2 = np.zeros(lanes, dtype=np.intp)
+        self.last = np.zeros(lanes, dtype=np.uint32)  # the ids of ``prev1``
         self.right = np.ones((16, 3), dtype=np.float64)
         self.right[:, 0] = 4
         self.step = 0
@@ -71,30 +73,26 @@ class _Model:
             self.refresh_at = max(1, min(self.step * 2, self.step + 32))
         self.e2, self.e1 = self.two[self.key2], self.one[self.prev1]
         self.p2, self.p1 = self.e2 >> 2, self.e1 >> 2
-        self.mixed = ((self.e2 & 3) << 2) | (self.e1 & 3)
+        self.mixed = (((self.e2 & 3) << 2) | (self.e1 & 3)).astype(np.intp)
         base = (1 << SCALE_BITS) / self.right[:, 0]
         share = np.minimum(self.right * base[:, None], 60 << SCALE_BITS).astype(np.uint64) + np.uint64(1)
-        self.m2 = share[:, 2][self.mixed]
-        self.m1 = share[:, 1][self.mixed]
+        self.m2 = share[:, 2].take(self.mixed)
+        self.m1 = share[:, 1].take(self.mixed)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """Take in the ids of a step (``hit1`` where order 1 alone was right)."""
-        n = np.bincount(self.mixed, minlength=16)
-        n2 = np.bincount(self.mixed[hit2], minlength=16)
-        n1 = np.bincount(self.mixed[hit1], minlength=16)
-        self.right[:, 2] += n2
-        self.right[:, 1] += n1
-        self.right[:, 0] += n - n2 - n1
+        # neither, order 1 or order 2 right, by pair of confidences
+        self.right += np.bincount(3 * self.mixed + hit1 + 2 * hit2, minlength=48).reshape(16, 3)
         self.fresh.append(ids)
         same1 = self.p1 == ids
         for table, key, entry, same in ((self.two, self.key2, self.e2, hit2), (self.one, self.prev1, self.e1, same1)):
             sure = entry & 3
             # right: surer; wrong: less sure, or replaced at no confidence (last lane wins)
-            kept = entry + (sure < 3) * np.uint32(1)
+            kept = entry + (sure < 3)
             lost = np.where(sure > 0, entry - np.uint32(1), ids << np.uint32(2))
             table[key] = np.where(same, kept, lost)
-        self.key2 = (self.prev1 * np.uint32(0x9E3779B1) + ids * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CONTEXT_BITS)
-        self.prev1 = ids
+        self.key2 = ((self.last * np.uint32(0x9E3779B1) + ids * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CONTEXT_BITS)).astype(np.intp)
+        self.last, self.prev1 = ids, ids.astype(np.intp)
         self.step += 1
 
 

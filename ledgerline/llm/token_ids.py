@@ -27,6 +27,9 @@ _MARK[[c for c in range(0x21, 0x7F) if not _ALNUM[c] and c != 0x27]] = True
 #: First bytes of white space beyond ASCII, in UTF-8.
 _RARE = np.zeros(256, dtype=bool)
 _RARE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+#: Bytes that are, or may begin, white space of any kind, the separators 1C to 1F among them.
+_NOT_PLAIN = _SPACE | _RARE
+_NOT_PLAIN[0x1C:0x20] = True
 _WIDE_SPACE = {chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 
 SLOT_BITS = 21
@@ -55,26 +58,42 @@ class PieceEncoder:
     def encode_whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, number, ids) of distinct pieces.  Simple ones go joined by newlines, whose id they can't hold."""
-        at, size = np.zeros(len(raw), dtype=np.int64), np.zeros(len(raw), dtype=np.int64)
-        texts = [r.decode("utf-8", "replace") for r in raw]
-        simple, rest = [], []
-        for i, t in enumerate(texts):
-            word = t.split()  # one word, after a blank at most
-            (simple if len(word) == 1 and t in (word[0], " " + word[0]) and len(self.newline) == 1 else rest).append(i)
+        at, size = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+        # simple: one word, after a blank at most; no other byte that is or may begin white space
+        length = end - start
+        before = np.cumsum(length) - length
+        raw = data[np.repeat(start - before, length) + np.arange(int(length.sum()))]
+        blank = data[start] == 0x20
+        odd = np.concatenate([[0], np.cumsum(_NOT_PLAIN[raw])])
+        plain = (odd[before + length] - odd[before] == blank) & (length > blank)
+        text = lambda i: data[start[i] : end[i]].tobytes().decode("utf-8", "replace")
+        rare = np.concatenate([[0], np.cumsum(_RARE[raw])])
+        for i in np.flatnonzero(rare[before + length] > rare[before]):  # perhaps no white space after all
+            t = text(i)
+            word = t.split()
+            plain[i] = len(word) == 1 and t in (word[0], " " + word[0])
+        if len(self.newline) != 1:
+            plain[:] = False
+        simple, rest = np.flatnonzero(plain), np.flatnonzero(~plain).tolist()
+        # a newline before each simple piece
+        lead = np.repeat(plain, length)
+        joined = np.insert(raw[lead], np.cumsum(length[simple]) - length[simple], 0x0A)
+        bounds = np.concatenate([[0], np.cumsum(length[simple] + 1)])
         groups = [simple[k : k + 256] for k in range(0, len(simple), 256)]
+        parts = [joined[bounds[k] : bounds[min(k + 256, len(simple))]].tobytes().decode("utf-8", "replace") for k in range(0, len(simple), 256)]
         flat, base = [], 0
-        for group, ids in zip(groups, self.encode_whole(["".join("\n" + texts[i] for i in g) for g in groups]), strict=True):
+        for group, ids in zip(groups, self.encode_whole(parts), strict=True):
             marks = np.flatnonzero(ids == self.newline[0])
             if len(marks) != len(group):
-                rest += group
+                rest += group.tolist()
                 continue
             at[group] = base + marks + 1
             size[group] = np.diff(marks, append=len(ids)) - 1
             flat.append(ids)
             base += len(ids)
-        for i, ids in zip(rest, self.encode_whole([texts[i] for i in rest]), strict=True):
+        for i, ids in zip(rest, self.encode_whole([text(i) for i in rest]), strict=True):
             at[i], size[i] = base, len(ids)
             flat.append(ids)
             base += len(ids)
@@ -146,7 +165,7 @@ class PieceEncoder:
                 idx[:] = -1
             fresh, first, back = np.unique(h[missing], return_index=True, return_inverse=True)
             spans = missing[first]
-            places, sizes, ids = self._encode_pieces([data[a:b].tobytes() for a, b in zip(start[spans], end[spans], strict=True)])
+            places, sizes, ids = self._encode_pieces(data, start[spans], end[spans])
             base = len(self.at)
             self.at = np.concatenate([self.at, len(self.ids) + places])
             self.size = np.concatenate([self.size, sizes])

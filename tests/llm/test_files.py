@@ -140,3 +140,15 @@ def test_damaged_archive_is_noticed():
 
 def test_no_pages(spark):
     assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_pieces_with_bytes_that_may_begin_white_space():
+    """Quotation marks, kana and separators beside real white space of more bytes than one."""
+    import public_tokenizers
+    import pyarrow as pa
+    from ledgerline.llm.token_ids import PieceEncoder
+    encoder = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["it\u2019s \u201cso\u201d \u3042\u3044 \u00a9x", "a\x1cb \x1f c\x1d", "\x1c", " \u00a0", "one\u2003two \u3000 \u00a0x", "\u00c2 \u00e1\u00e2", " ", ""]
+    ids, bounds = encoder.encode(pa.array(texts))
+    for i, whole in enumerate(encoder.encode_whole(texts)):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == whole.tolist(), texts[i]
