@@ -207,12 +207,12 @@ def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24, id_col: st
     """
     line = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_l"))
-    known = spill(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id",
-                              F.transform("_l", lambda x: F.when(line(x), F.xxhash64(x))).alias("ids")), "line-ids")
     classes = (*shorter, (min_chars, edits))
     long_lines = rows.select(F.explode("_l").alias("line")).where(F.length("line") >= classes[0][0]).where(line(F.col("line"))).distinct()
     lines = spill(long_lines.select(F.xxhash64("line").alias("id"), "line"), "lines")
-    # the shuffles of the lines, then of their keys, go before the next ones come
+    known = spill(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+                              F.transform("_l", lambda x: F.when(line(x), F.xxhash64(x))).alias("ids")), "line-ids")
+    # the shuffles of the lines, then of their keys, go before the next ones come; a job later, when nothing holds their plan
     settle(docs.sparkSession)
     links = spill(line_links(lines, classes), "line-links")
     drop(lines)
