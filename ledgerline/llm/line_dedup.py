@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import sketch
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.tables import drop, settle, spill
-from ledgerline.llm.textscan import mix, pieces, span_hashes
+from ledgerline.llm.textscan import mix, pieces, span_hashes, utf8
 
 #: (least code points, edits) by ascending length: the tolerance of a pair is its shorter line's.
 Classes = tuple[tuple[int, int], ...]
@@ -52,15 +52,18 @@ def _keys(classes: Classes, probe: bool):
     A key holds the length of the indexed line, so keys of two classes never meet.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letter_class = (mix(np.arange(0x110000, dtype=np.uint64)) >> np.uint64(58)).astype(np.int64)
         for b in pieces(batches, text="line", limit=1 << 20):
-            points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="<u4") for t in b.column(1).to_pylist()]
+            raw, bounds = utf8(b.column(1))
+            data = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), dtype="<u4")
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            length = np.array([len(p) for p in points], dtype=np.int64)
+            n = len(ids)
+            # code points: bytes that continue none
+            before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            length = np.diff(before[bounds])
             begin = np.cumsum(length) - length
-            data = np.concatenate(points)
             # parity of the count of each letter class, one bit a class
-            cls = (mix(data.astype(np.uint64)) >> np.uint64(58)).astype(np.int64)
-            odd = np.bincount(np.repeat(np.arange(len(points)), length) * 64 + cls, minlength=64 * len(points)).reshape(-1, 64) & 1
+            odd = np.bincount(np.repeat(np.arange(n) * 64, length) + letter_class[data], minlength=64 * n).reshape(-1, 64) & 1
             parity = (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
             out: list[list[np.ndarray]] = [[], [], [], []]
 
