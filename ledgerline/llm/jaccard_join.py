@@ -6,10 +6,14 @@ prefix elects a pivot document; documents that share the pivot form its region
 then decide by the triangle inequality: documents within the threshold link at
 once, pairs whose pivot distances differ by more than the threshold cannot
 link, and what is left open (far documents, and the boundary documents near
-enough to them) joins again around a new pivot of the region, level by level;
-after the last level, the open pairs that share a token of their prefixes, now
-in order of exact counts among the open documents, and lie within the windows of
-all regions they share are compared.  Nothing is estimated: links are decided by exact set intersections.
+enough to them) joins again around a new pivot of the region, the document with
+the commonest shingles first, level by level; after the last level, the open
+pairs that share a token of their prefixes, now in order of exact counts among
+the open documents, and lie within the windows of all regions they share are
+compared.  Documents around one pivot meet there only over shingles that the
+pivot lacks, or where what they share with it is enough for a link: members of
+a large group differ by few such shingles, and each meets few others.  Nothing
+is estimated: links are decided by exact set intersections.
 
 Why not plain nearest-pivot cells: unrelated texts lie at distance 1 from every
 pivot, so windows around globally chosen pivots would copy each document into
@@ -171,22 +175,77 @@ def _distance():
     return 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
 
 
-def _rare_first(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, n, u, token, pos): the necessary prefixes of ``held`` documents, by exact counts among them.
+def _typical(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, typical): how many of the ``held`` documents have a shingle of this one, on average; highest in the middle of a group."""
+    tokens = sets.join(held.select("id").distinct(), "id", "left_semi").select("id", F.explode("grams").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    return tokens.join(shared, "token").groupBy("id").agg(F.avg("k").alias("typical"))
 
-    Shingles that no other held set has come first; there are ``u`` of them and
-    they match nothing, so only the rest of a prefix (from position ``u`` on)
-    has rows.  Two sets within the threshold share one of these tokens.
+
+def _homes(seen: list[DataFrame], single: DataFrame) -> DataFrame:
+    """(id, home, o): the pivot that shares most with all documents measured against it, half of the own set if any does.
+
+    ``seen`` (id, pivot, both) are the measured overlaps; documents with several sets have no home and are none.
     """
-    held_sets = sets.join(held.select("id").distinct(), "id", "left_semi").withColumn("set", F.xxhash64("id", "grams"))
-    tokens = held_sets.select("id", "set", "n", F.explode("grams").alias("token"))
+    asked = seen[0]
+    for t in seen[1:]:
+        asked = asked.unionByName(t)
+    asked = asked.where("both is not null and id != pivot").join(single.select("id", "n"), "id").join(single.select(F.col("id").alias("pivot")), "pivot")
+    asked = asked.select("id", "pivot", "n", "both").distinct()
+    known = asked.groupBy("pivot").agg(F.sum("both").alias("shared"))
+    best = F.max(F.struct(F.col("both") * 2 >= F.col("n"), "shared", "pivot", "both")).alias("m")
+    return asked.join(known, "pivot").groupBy("id").agg(best).select("id", F.col("m.pivot").alias("home"), F.col("m.both").alias("o"))
+
+
+def _rare_first(held: DataFrame, homes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, n, home, o, u, ranked): the shingles of each set of ``held`` documents by exact counts among them and their homes.
+
+    Shingles that no other such set has come first; there are ``u`` of them and
+    they match nothing, so only the rest is listed, as (k, token, inside): how
+    many sets have it, and whether the home is one.
+    """
+    ids = held.select("id").distinct()
+    middles = homes.join(ids, "id", "left_semi").select(F.col("home").alias("id")).distinct()
+    counted_sets = sets.join(ids.union(middles).distinct(), "id", "left_semi").withColumn("set", F.xxhash64("id", "grams"))
+    tokens = counted_sets.select("id", "set", "n", F.explode("grams").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    ranked = (tokens.join(shared, "token").groupBy("id", "set", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("ranked")))
+    inside = tokens.join(middles, "id", "left_semi").select(F.col("id").alias("home"), "token", F.lit(True).alias("_in"))
+    ranked = (tokens.join(ids, "id", "left_semi").join(homes, "id", "left").join(shared, "token").join(inside, ["home", "token"], "left")
+              .groupBy("id", "set", "n", "home", "o")
+              .agg(F.array_sort(F.collect_list(F.struct("k", "token", F.coalesce("_in", F.lit(False)).alias("inside")))).alias("ranked")))
+    return ranked.withColumn("u", (F.col("n") - F.size("ranked")).cast("int"))
+
+
+def _open_pairs(ranked: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """(id, other): the pairs of two components, one document far from a pivot at least, that may be within the threshold.
+
+    Such a pair shares a token of both necessary prefixes.  If both have one
+    home and share no shingle outside it, they share at most the lesser of
+    their overlaps with it; if they share one, then also one of the first of
+    those outside, as many of them as the overlaps leave missing.
+    """
+    ranked = ranked.join(about, "id")
     need = F.expr(f"cast(n - ceil({percent} * n / 100) + 1 as int)")
-    ranked = ranked.withColumn("u", (F.col("n") - F.size("ranked")).cast("int")).where(need > F.col("u"))
-    heads = ranked.select("id", "n", "u", F.posexplode(F.slice("ranked", F.lit(1), need - F.col("u"))).alias("i", "head"))
-    return heads.select("id", "n", "u", F.col("head.token").alias("token"), (F.col("u") + F.col("i")).alias("pos"))
+    heads = ranked.where(need > F.col("u")).select("id", "n", "c", "far", "home", "o", "u", F.posexplode(F.slice("ranked", F.lit(1), need - F.col("u"))).alias("i", "head"))
+    heads = spill(heads.select("id", "n", "c", "far", "home", "o", F.col("head.token").alias("token"), "head.inside", (F.col("u") + F.col("i")).alias("pos")), "jaccard-heads")
+    outer = ranked.where("home is not null").withColumn("outer", F.filter("ranked", lambda x: ~x["inside"])).withColumn("m", F.size("outer"))
+    few = F.expr(f"cast(least(m, m - (ceil({percent} * n / 100) - o) + 1) as int)")
+    outer = outer.where(few > 0).select("id", "n", "c", "far", "home", "o", "m", F.posexplode(F.slice("outer", F.lit(1), few)).alias("at", "head"))
+    outer = spill(outer.select("id", "n", "c", "far", "home", "o", F.col("head.token").alias("token"), (F.col("m") - F.col("at")).alias("left")), "jaccard-outer")
+    settle(ranked.sparkSession)
+    side = lambda x, *more: [F.col(c).alias(c + x) for c in ("id", "n", "c", "far", "o", *more)]
+    apart = (F.col("c_a") != F.col("c_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("far_a") | F.col("far_b"))
+    enough = lambda both: (100 + percent) * both >= percent * (F.col("n_a") + F.col("n_b"))
+    # what the two can share at most: neither's own shingles, and nothing before their first shared token
+    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    middle = F.least("o_a", "o_b")
+    same = F.coalesce(F.col("home_a") == F.col("home_b"), F.lit(False))
+    first = heads.select("token", *side("_a", "pos", "home", "inside")).join(heads.select("token", *side("_b", "pos", "home")), "token")
+    first = first.where(apart & enough(most) & (~same | (F.col("inside_a") & enough(middle))))
+    second = outer.select("token", "home", *side("_a", "left")).join(outer.select("token", "home", *side("_b", "left")), ["home", "token"])
+    second = second.where(apart & enough(middle + F.least("left_a", "left_b")))
+    pair = [F.col("id_a").alias("id"), F.col("id_b").alias("other")]
+    return first.select(*pair).union(second.select(*pair)).distinct()
 
 
 def _extend(links: DataFrame, found: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -229,31 +288,39 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
         drop(sets)
         sets = once
     whole, sets = sets, sets.select("id", "n", "grams")
+    single = spill(sets.groupBy("id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("several")).where("several = 1").drop("several"), "jaccard-single")
     settle(spark)
 
     wide = (100 - percent) / 100 + 1e-9
     state = spill(_measure(members.withColumnRenamed("region", "other"), sets, [], percent)
-                  .select(F.col("other").alias("region"), "id", "n", _linked(percent).alias("near"), F.array(_distance()).alias("d")), "jaccard-level")
+                  .select(F.col("other").alias("region"), "id", "n", "both", _linked(percent).alias("near"), F.array(_distance()).alias("d")), "jaccard-level")
+    seen = [state.select("id", F.col("region").alias("pivot"), "both")]
+    state = state.drop("both")
     links = state.where("near").select(F.col("region").alias("a"), F.col("id").alias("b"))
     found = spill(connected_components(links), "jaccard-found")
     settle(spark)
-    done = None
+    done = typical = None
     for level in range(levels + 1):
         held = state.join(found.withColumnRenamed("component", "_c"), "id", "left").withColumn("c", F.coalesce("_c", "id")).drop("_c")
         if done is not None:
             held = held.join(done, ["region", "id"], "left_anti")
         # regions that still hold far documents and two components are open
-        open_regions = held.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("near").alias("all_near"),
-                                                  F.min_by("id", F.when(~F.col("near"), F.xxhash64("id"))).alias("pivot"))
-        open_regions = spill(open_regions.where("lo < hi and not all_near").select("region", "pivot"), "jaccard-open")
+        open_regions = held.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("near").alias("all_near"))
+        open_regions = spill(open_regions.where("lo < hi and not all_near").select("region"), "jaccard-open")
         if open_regions.isEmpty():
             break
         held = held.join(open_regions, "region")
+        if typical is None:
+            typical = spill(_typical(held, sets), "jaccard-typical")
         if level < levels:
+            middle = F.when(~F.col("near") | F.lit(level == 0), F.struct("typical", F.xxhash64("id")))
+            pivots = spill(held.join(typical, "id").groupBy("region").agg(F.max_by("id", middle).alias("pivot")).where("pivot is not null"), "jaccard-middles")
+            held = held.join(pivots, "region")
             asked = held.where("id != pivot").select("region", "id", F.col("pivot").alias("other"))
-            told = spill(_measure(asked, sets, ["region"], percent).select("region", "id", F.col("other").alias("pivot"), _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
+            told = spill(_measure(asked, sets, ["region"], percent).select("region", "id", F.col("other").alias("pivot"), "both", _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
+            seen.append(told.select("id", "pivot", "both"))
             links, found = _extend(links, found, told.where("hit").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-            gone = open_regions.select("region", F.col("pivot").alias("id"))
+            gone = pivots.select("region", F.col("pivot").alias("id"))
             done = gone if done is None else done.union(gone)
             state = spill(held.join(told.select("region", "id", "x"), ["region", "id"])
                           .select("region", "id", "n", "near", F.concat("d", F.array("x")).alias("d")), "jaccard-level")
@@ -261,16 +328,12 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
             continue
         # a document meets another once a shared token, however many regions hold both; the regions' windows then judge the pair
         about = held.groupBy("id").agg(F.max("c").alias("c"), F.max(~F.col("near")).alias("far"))
-        heads = spill(_rare_first(held, sets, percent).join(about, "id"), "jaccard-heads")
+        homes = spill(_homes(seen, single), "jaccard-homes")
+        ranked = spill(_rare_first(held, homes, sets), "jaccard-ranked")
         places = spill(held.groupBy("id").agg(F.collect_list(F.struct("region", "d")).alias("places")), "jaccard-places")
         settle(spark)
-        side = lambda x: [F.col(c).alias(c + x) for c in ("id", "n", "c", "far", "pos")]
-        # what the two can share at most: neither's own shingles, and nothing before their first shared token
-        most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-        can_link = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-        pairs = heads.select("token", *side("_a")).join(heads.select("token", *side("_b")), "token")
-        pairs = pairs.where((F.col("c_a") != F.col("c_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("far_a") | F.col("far_b")) & can_link)
-        pairs = spill(pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other")).distinct(), "jaccard-pairs")
+        pairs = spill(_open_pairs(ranked, about, percent), "jaccard-pairs")
+        drop(ranked)
         of = lambda c, x: places.select(F.col("id").alias(c), F.col("places").alias(x))
         at_b = F.map_from_entries("pb")
         both = F.filter("pa", lambda p: F.map_contains_key(at_b, p["region"]))

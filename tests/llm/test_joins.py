@@ -179,3 +179,47 @@ def test_jaccard_rest_has_a_document_once_a_token(spark, monkeypatch):
         got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=percent).collect())
         assert got == brute_components(rows, percent)
     assert heads and all(n == distinct > 0 for n, distinct in heads)
+
+
+def near_group(seed, n):
+    """Copies of one 150-word text with 0 to 12 words replaced, some cut short."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(12 - i % 13):  # the smallest ids are far out
+            words[rnd.randrange(150)] = f"own{i}x{rnd.randrange(10**6)}" if i % 3 else f"word{rnd.randrange(40)}"
+        out.append((i, " ".join(words[: 150 - rnd.choice([0, 0, 0, 12, 40])])))
+    return out
+
+
+def brute_group(rows, percent, k):
+    sets = {i: shingle_set(t, k) for i, t in rows}
+    component = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    for _ in sets:
+        before = dict(component)
+        for a, b in links:
+            component[a] = component[b] = min(component[a], component[b])
+        if component == before:
+            break
+    return [(i, len(sets[i]), component[i]) for i in sorted(sets)]
+
+
+def test_jaccard_members_of_a_large_group_meet_few_others(spark, monkeypatch):
+    """Open pairs stay near the group's size, although its smallest ids, the first pivots, are far out."""
+    pairs, real = [], jaccard_join.spill
+
+    def spill(df, label, *more):
+        table = real(df, label, *more)
+        if label == "jaccard-pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard_join, "spill", spill)
+    rows = near_group(3, 260)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=80, k=5).collect())
+    assert got == brute_group(rows, 80, 5)
+    assert pairs and max(pairs) < 3 * len(rows)  # 1021 pairs before
