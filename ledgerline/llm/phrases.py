@@ -64,17 +64,25 @@ class _Scan:
         return mix(grams ^ self.lang_hash[self.lang[self.row[at]]]), at
 
 
+#: Columns of `_mine`: single words, longer phrases.
+MINED = ["lang", "shard", "part", "key", "n"], ["part", "key", "n"]
+
+
 def _mine(k: int, known: Callable[[np.ndarray], np.ndarray] | None):
-    """Counts by (lang, shard, key) of phrases of ``k`` words whose sub-phrases are ``known``."""
+    """Counts by (part, key) of phrases of ``k`` words whose sub-phrases are ``known``; of single words also by lang and shard.
+
+    ``part`` is a hash of lang and shard, so that the many rows of longer phrases are numbers alone.
+    """
 
     def count(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, shard), parts in held.items():
+        for (lang, shard, code), parts in held.items():
             keys, n = np.unique(np.concatenate(parts), return_counts=True)
             for i in range(0, len(keys), 1 << 18):
-                part = keys[i : i + (1 << 18)]
+                some = keys[i : i + (1 << 18)]
+                names = [pa.repeat(pa.scalar(lang, pa.string()), len(some)), pa.repeat(pa.scalar(shard, pa.int32()), len(some))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(lang, pa.string()), len(part)), pa.repeat(pa.scalar(shard, pa.int32()), len(part)),
-                     pa.array(part.view(np.int64)), pa.array(n[i : i + (1 << 18)].astype(np.int64))], ["lang", "shard", "key", "n"])
+                    [*(names if k == 1 else []), pa.repeat(pa.scalar(code, pa.int64()), len(some)), pa.array(some.view(np.int64)),
+                     pa.array(n[i : i + (1 << 18)].astype(np.int64))], MINED[k > 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
@@ -91,7 +99,9 @@ def _mine(k: int, known: Callable[[np.ndarray], np.ndarray] | None):
             shard = b.column(b.schema.get_field_index("shard")).to_numpy(zero_copy_only=False)
             group = scan.lang[row].astype(np.int64) * (int(shard.max()) + 1) + shard[row]
             for g in np.unique(group):
-                of = (scan.langs[int(g) // (int(shard.max()) + 1)].as_py(), int(g) % (int(shard.max()) + 1))
+                lang, at_shard = divmod(int(g), int(shard.max()) + 1)
+                code = mix(scan.lang_hash[lang : lang + 1] ^ np.uint64(at_shard + 1)).view(np.int64)
+                of = (scan.langs[lang].as_py(), at_shard, int(code[0]))
                 held.setdefault(of, []).append(keys[group == g])
             size += len(keys)
             if size > HELD:
@@ -161,16 +171,18 @@ def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = 3, shard
     filters: list[Callable[[np.ndarray], np.ndarray]] = []
     least = totals = None
     for k in range(1, longest + 1):
-        mined = rows.mapInArrow(_mine(k, filters[-1] if filters else None), "lang string, shard int, key long, n long")
-        local = mined.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+        names = "lang string, shard int, " if k == 1 else ""
+        mined = rows.mapInArrow(_mine(k, filters[-1] if filters else None), names + "part long, key long, n long")
+        local = mined.groupBy(*MINED[k > 1][:-1]).agg(F.sum("n").alias("n"))
         if least is None:  # the counts of single words give the shards' shares
             local = spill(local, "phrases-words")
-            shares = spill(local.groupBy("lang", "shard").agg(F.sum("n").alias("words")), "phrases-shares")
+            shares = spill(local.groupBy("lang", "shard", "part").agg(F.sum("n").alias("words")), "phrases-shares")
             totals = shares.groupBy("lang").agg(F.sum("words").alias("n"))
             # ceil(support * words / n): if no shard reaches its own, the sum stays below support
             ceiling = F.expr(f"(cast({support} as decimal(10,0)) * cast(words as decimal(19,0)) + n - 1) div n")
-            least = spill(shares.join(totals, "lang").select("lang", "shard", ceiling.alias("least")), "phrases-least")
-        found = spill(local.join(least, ["lang", "shard"]).where("n >= least").select("key"), "phrases-local")
+            least = shares.join(totals, "lang").groupBy("part").agg(F.min(ceiling).alias("least"))
+            least = spill(least, "phrases-least")
+        found = spill(local.join(least, "part").where("n >= least").select("key"), "phrases-local")
         bits = (16 * found.count()).bit_length()  # 16 bits a key or more, up to the bound
         filters.append(sketch.bit_filter(found, "key", min(max(bits, FILTER_BITS[0]), FILTER_BITS[1])))
         drop(found, local)

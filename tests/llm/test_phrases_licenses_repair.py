@@ -222,3 +222,22 @@ def test_damage_and_conversations_without_turns(spark):
     gone = repair.repair_all(df.limit(0), df).collect()
     assert len(gone) == 21 and {tuple(r)[1:] for r in gone} == {(0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest(), 0)}
     assert repair.repair_conversations(df.limit(0)).count() == 0
+
+
+def test_mined_rows_of_longer_phrases_are_numbers():
+    """Language and shard are one number there; both still keep their counts apart."""
+    import pyarrow as pa
+
+    from ledgerline.llm import phrases
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en", "de", "en", "en"]), pa.array([0, 0, 1, 0], pa.int32()), pa.array(["a b a b", "a b", "a b", "A B. c"])], ["lang", "shard", "text"])
+    words = pa.Table.from_batches(phrases._mine(1, None)([batch]))
+    assert words.column_names == ["lang", "shard", "part", "key", "n"]
+    named = {r["part"]: (r["lang"], r["shard"]) for r in words.to_pylist()}
+    assert sorted(named.values()) == [("de", 0), ("en", 0), ("en", 1)]
+    pairs = pa.Table.from_batches(phrases._mine(2, None)([batch]))
+    assert pairs.schema.types == [pa.int64()] * 3
+    counts = {}
+    for r in pairs.to_pylist():
+        counts.setdefault(named[r["part"]], []).append(r["n"])
+    assert {k: sorted(v) for k, v in counts.items()} == {("en", 0): [1, 3], ("de", 0): [1], ("en", 1): [1]}
