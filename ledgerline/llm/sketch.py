@@ -41,9 +41,9 @@ def _merge(how: str):
     return run
 
 
-def collect_sketch(rows: DataFrame, bits: int, how: str = "sum") -> np.ndarray:
-    """Join the tasks' sketches ("sum" or "max"); the result has exactly 2^bits counters."""
-    out = np.zeros(1 << bits, dtype=np.uint32)
+def collect_sketch(rows: DataFrame, bits: int, how: str = "sum", dtype: type = np.uint32) -> np.ndarray:
+    """Join the tasks' sketches ("sum" or "max"); the result has exactly 2^bits counters of ``dtype``, which must hold them."""
+    out = np.zeros(1 << bits, dtype=dtype)
     for r in rows.groupBy("chunk").applyInArrow(_merge(how), SCHEMA).collect():
         part = np.frombuffer(zlib.decompress(r["counts"]), dtype="<u4")
         at = r["chunk"] * CHUNK

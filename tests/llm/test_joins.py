@@ -223,3 +223,25 @@ def test_jaccard_members_of_a_large_group_meet_few_others(spark, monkeypatch):
     got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=80, k=5).collect())
     assert got == brute_group(rows, 80, 5)
     assert pairs and max(pairs) < 3 * len(rows)  # 1021 pairs before
+
+
+def test_jaccard_plans_few_joins_and_holds_no_sketch_on_the_driver(spark, monkeypatch):
+    """What several branches read is a table, not a plan in each; the sketch of common shingles leaves the driver at once."""
+    import sys
+
+    import numpy as np
+    joins, held, real = [], [], jaccard_join.spill
+
+    def spill(df, label, *more):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        if label not in ("jaccard-prefixes", "links"):
+            held.append(sum(x.nbytes for x in sys._getframe(1).f_locals.values() if isinstance(x, np.ndarray)))
+        return real(df, label, *more)
+
+    monkeypatch.setattr(jaccard_join, "spill", spill)
+    rows = near_group(3, 260)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=80, k=5).collect())
+    assert got == brute_group(rows, 80, 5)
+    assert sum(joins) <= 90  # 163 before
+    assert max(held) == 0  # 67108864 before, to the end of the join
