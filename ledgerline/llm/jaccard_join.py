@@ -154,7 +154,7 @@ def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str], percent: int, f
     Only the sets of pairs still in question move: once to their pair, and the
     others' to the result.  ``finish`` of these rows is spilled as ``label``.
     Four branches read the sized pairs: as a table, not as a plan in each of
-    them, they leave the driver a third of the joins to plan, compile and hold.
+    them, they leave the driver half the joins to plan, compile and hold.
     """
     size = sets.select("id", "n")
     sized = pairs.join(size, "id").join(size.select(F.col("id").alias("other"), F.col("n").alias("m")), "other")
