@@ -161,9 +161,10 @@ def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str], percent: int, f
     sized = spill(sized.select("id", "n", "other", "m", *keep), "jaccard-sized")
     open_pair = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     asked = sized.where(open_pair).select("id", "n", "other", "m", *keep)
-    held = lambda c: sets.join(asked.select(F.col(c).alias("id")).distinct(), "id", "left_semi")
-    a = held("id").select("id", "n", F.col("grams").alias("_ga"))
-    b = held("other").select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("grams").alias("_gb"))
+    # by the columns of the joins below: the sets are dealt out once for both sides
+    held = lambda *c: sets.join(asked.select(F.col(c[0]).alias("id"), F.col(c[1]).alias("n")).distinct(), ["id", "n"], "left_semi")
+    a = held("id", "n").select("id", "n", F.col("grams").alias("_ga"))
+    b = held("other", "m").select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("grams").alias("_gb"))
     told = asked.join(a, ["id", "n"]).join(b, ["other", "m"])
     both = F.size(F.array_intersect("_ga", "_gb")).cast("long").alias("both")
     told = told.select("id", "other", *keep, "n", "m", both).unionByName(
@@ -181,9 +182,9 @@ def _distance():
     return 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
 
 
-def _typical(held: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, typical): how many of the ``held`` documents have a shingle of this one, on average; highest in the middle of a group."""
-    tokens = sets.join(held.select("id").distinct(), "id", "left_semi").select("id", F.explode("grams").alias("token"))
+def _typical(sets: DataFrame) -> DataFrame:
+    """(id, typical): how many of the sets have a shingle of this document, on average; highest in the middle of a group."""
+    tokens = sets.select("id", F.explode("grams").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     return tokens.join(shared, "token").groupBy("id").agg(F.avg("k").alias("typical"))
 
@@ -212,7 +213,9 @@ def _rare_first(held: DataFrame, homes: DataFrame, sets: DataFrame) -> DataFrame
     """
     ids = held.select("id").distinct()
     middles = homes.join(ids, "id", "left_semi").select(F.col("home").alias("id")).distinct()
-    counted_sets = sets.join(ids.union(middles).distinct(), "id", "left_semi").withColumn("set", F.xxhash64("id", "grams"))
+    # id and grams are all that any branch reads: the sets are dealt out once for all of them
+    counted_sets = sets.select("id", "grams").join(ids.union(middles).distinct(), "id", "left_semi")
+    counted_sets = counted_sets.select("*", F.xxhash64("id", "grams").alias("set"), F.size("grams").cast("long").alias("n"))
     tokens = counted_sets.select("id", "set", "n", F.explode("grams").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     inside = tokens.join(middles, "id", "left_semi").select(F.col("id").alias("home"), "token", F.lit(True).alias("_in"))
@@ -320,7 +323,14 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
         if level:  # the first is in ``seen``
             drop(state)
         if typical is None:
-            typical = spill(_typical(held, sets), "jaccard-typical")
+            # the levels read the sets of open documents and of pivots that these were measured against: the others stay behind before any shuffle
+            is_open = sketch.bit_filter(held.select("id").distinct(), "id", 25)
+            is_pivot = sketch.bit_filter(state.join(held.select("id").distinct(), "id", "left_semi").select("region").distinct(), "region", 25)
+            sets = spill(sets.mapInArrow(_only(lambda v: is_open(v) | is_pivot(v), 0), "id long, n long, grams array<long>"), "jaccard-open-sets")
+            drop(whole)
+            whole = sets
+            settle(spark)
+            typical = spill(_typical(sets.mapInArrow(_only(is_open, 0), "id long, n long, grams array<long>")), "jaccard-typical")
         if level < levels:
             middle = F.when(~F.col("near") | F.lit(level == 0), F.struct("typical", F.xxhash64("id")))
             pivots = spill(held.join(typical, "id").groupBy("region").agg(F.max_by("id", middle).alias("pivot")).where("pivot is not null"), "jaccard-middles")

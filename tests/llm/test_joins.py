@@ -245,3 +245,28 @@ def test_jaccard_plans_few_joins_and_holds_no_sketch_on_the_driver(spark, monkey
     assert got == brute_group(rows, 80, 5)
     assert sum(joins) <= 90  # 163 before
     assert max(held) == 0  # 67108864 before, to the end of the join
+
+
+def test_jaccard_levels_read_the_sets_of_open_documents_only(spark, monkeypatch):
+    """Sets of documents whose regions are decided leave the disk before the levels."""
+    import os
+    sets, gone, real = {}, [], jaccard_join.spill
+
+    def spill(df, label, *more):
+        table = real(df, label, *more)
+        if label in ("jaccard-sets", "jaccard-open-sets"):
+            sets[label] = {r.id for r in table.select("id").collect()}, table.spilled_to
+        if label == "jaccard-typical":
+            gone.append(not os.path.exists(sets["jaccard-sets"][1].removeprefix("file:")))
+        return table
+
+    monkeypatch.setattr(jaccard_join, "spill", spill)
+    rows = near_group(3, 120)
+    for family in range(20):  # one word differs: linked at once
+        words = [f"f{family}w{i}" for i in range(60)]
+        rows += [(1000 + 2 * family, " ".join(words)), (1001 + 2 * family, " ".join([*words, "more"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(docs, percent=80, k=5).collect())
+    assert got == brute_group(rows, 80, 5)
+    assert max(sets["jaccard-sets"][0]) >= 1000 > max(sets["jaccard-open-sets"][0])  # all sets to the end of the join before
+    assert gone == [True]
