@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import sketch
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.tables import drop, settle, spill
-from ledgerline.llm.textscan import mix, pieces, span_hashes, utf8
+from ledgerline.llm.textscan import mix, pieces, running_sums, sum_hashes, utf8
 
 #: (least code points, edits) by ascending length: the tolerance of a pair is its shorter line's.
 Classes = tuple[tuple[int, int], ...]
@@ -65,10 +65,12 @@ def _keys(classes: Classes, probe: bool):
             # parity of the count of each letter class, one bit a class
             odd = np.bincount(np.repeat(np.arange(n) * 64, length) + letter_class[data], minlength=64 * n).reshape(-1, 64) & 1
             parity = (odd.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+            sums = running_sums(data)  # once for the segments of all classes, lengths and shifts
             out: list[list[np.ndarray]] = [[], [], [], []]
 
             def emit(rows, start, size, other, i, less):
-                h = span_hashes(data, begin[rows] + start, begin[rows] + start + size)  # noqa: B023
+                at = begin[rows] + start  # noqa: B023
+                h = sum_hashes(sums, at, at + size)  # noqa: B023
                 key = mix(h ^ mix((other * 64 + i).astype(np.uint64)))
                 for column, v in zip(out, (key.view(np.int64), ids[rows], parity[rows].view(np.int64), np.full(len(rows), less, dtype=np.int32)), strict=True):  # noqa: B023
                     column.append(v)

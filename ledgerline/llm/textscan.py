@@ -47,14 +47,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one running polynomial sum."""
-    up, down = _powers(len(data) + 1)
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """The polynomial sum of ``data`` before each place and at its end."""
+    up, _ = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return sums
+
+
+def sum_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """`span_hashes` from the `running_sums`, which any number of calls can share."""
+    _, down = _powers(len(sums))
     return mix((sums[end] - sums[start]) * down[start])
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span, from one running polynomial sum."""
+    return sum_hashes(running_sums(data), start, end)
+
+
 class Words:
     """Words of consecutive texts: ``start``/``end`` bytes and ``first`` word of each text."""
 

@@ -228,3 +228,37 @@ def test_line_dedup_frees_its_lines(spark, monkeypatch):
     got = {r.doc_id: (r.n_lines, r.n_exact, r.n_near) for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {1: (1, 0, 0), 2: (1, 0, 1), 3: (2, 1, 0), 4: (0, 0, 0)}
     assert not os.path.exists(paths["lines"].removeprefix("file:"))
+
+
+def test_line_keys_sum_a_batch_once(monkeypatch):
+    """All segments and shifts of a batch of lines share one running sum (one each before); the keys are those of the spans alone."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ledgerline.llm import textscan
+    real, sums = textscan.running_sums, []
+
+    def running_sums(data):
+        sums.append(len(data))
+        return real(data)
+
+    for module in (textscan, line_dedup):
+        monkeypatch.setattr(module, "running_sums", running_sums, raising=False)
+    rnd = random.Random(8)
+    lines = ["".join(rnd.choice("abcé ") for _ in range(rnd.randint(1, 40))) for _ in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), pa.array(lines)], ["id", "line"])
+    classes = (*line_dedup.SHORTER, (24, 2))
+    for probe in (False, True):
+        sums.clear()
+        assert sum(b.num_rows for b in line_dedup._keys(classes, probe)(iter([batch])))
+        assert sums == [sum(map(len, lines))]
+    index = next(line_dedup._keys(classes, False)(iter([batch]))).to_pydict()
+    for line_id, line in enumerate(lines):
+        edits = 2 if len(line) >= 24 else 1
+        want = []
+        for i in range(edits + 1 if len(line) >= 8 else 0):
+            start, size = line_dedup.segments(np.array([len(line)]), edits, i)
+            points = np.frombuffer(line.encode("utf-32-le"), dtype="<u4")
+            h = textscan.span_hashes(points, start, start + size)
+            want.append(int(textscan.mix(h ^ textscan.mix(np.array([len(line) * 64 + i], dtype=np.uint64))).view(np.int64)[0]))
+        assert sorted(want) == sorted(k for k, own in zip(index["key"], index["id"], strict=True) if own == line_id)
