@@ -15,6 +15,13 @@ pivot lacks, or where what they share with it is enough for a link: members of
 a large group differ by few such shingles, and each meets few others.  Nothing
 is estimated: links are decided by exact set intersections.
 
+The larger the corpus, the more unrelated documents share a rare shingle by
+chance.  Each document therefore has a profile, how many of its shingles fall
+into each of some buckets, a sixtieth of its set.  What two profiles have in
+common bounds from above what the sets share: only documents that may be within
+the threshold of another one of a region stay members, and only the sets of
+pairs that may link move.
+
 Why not plain nearest-pivot cells: unrelated texts lie at distance 1 from every
 pivot, so windows around globally chosen pivots would copy each document into
 each cell.  Electing pivots per rare shingle keeps the regions to documents
@@ -40,6 +47,10 @@ from ledgerline.llm.textscan import NOT_SPACE, Words, list_column, mix, pieces,
 COUNTED_BITS = 2
 #: Buckets (one byte each, 16 MB) that tell how common a counted shingle is.
 LEVEL_BITS = 24
+#: Shingles of a set for each byte of its profile at most; half of it at least.
+PROFILE_SHINGLES = 8
+#: Regions of so many documents at most have all their pairs of profiles compared; the levels open larger ones.
+SMALL_REGION = 128
 
 
 def _sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -93,7 +104,53 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from sketch.to_rows(levels)
 
 
-PREFIX_SCHEMA = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
+def _profile(s: np.ndarray) -> bytes:
+    """How many shingles of the set fall into each of 2^b equal ranges of the hashes; empty if a byte cannot hold one."""
+    bits = max(3, int(np.ceil(np.log2(max(len(s), 1) / PROFILE_SHINGLES))))
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() <= 255 else b""
+
+
+def _most_shared(a: pa.Array, b: pa.Array, unknown: np.ndarray) -> np.ndarray:
+    """The most shingles that the sets behind each pair of profiles can share; ``unknown`` where a profile is empty."""
+    sides = []
+    for c in (a, b):
+        c = c.cast(pa.large_binary())
+        at = np.frombuffer(c.buffers()[1], dtype=np.int64)[c.offset : c.offset + len(c) + 1]
+        sides.append((np.frombuffer(c.buffers()[2] or b"", dtype=np.uint8), at[:-1], np.diff(at)))
+    (data_a, at_a, long_a), (data_b, at_b, long_b) = sides
+    out = unknown.copy()
+    for x, y in {(int(x), int(y)) for x, y in zip(long_a, long_b, strict=True) if x and y}:
+        rows = np.flatnonzero((long_a == x) & (long_b == y))
+        m, step = min(x, y), max(1, (1 << 20) // max(x, y))
+        for r in (rows[i : i + step] for i in range(0, len(rows), step)):
+            # the longer one's ranges are joined to those of the shorter one
+            one = data_a[at_a[r][:, None] + np.arange(x)].reshape(len(r), m, x // m).sum(axis=2, dtype=np.int64)
+            two = data_b[at_b[r][:, None] + np.arange(y)].reshape(len(r), m, y // m).sum(axis=2, dtype=np.int64)
+            out[r] = np.minimum(one, two).sum(axis=1)
+    return out
+
+
+def _judge(percent: int):
+    """Rows of (..., n, m, profile, other's profile) with ``may`` for the profiles: whether the sets can be within the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n, m = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
+            both = np.minimum(_most_shared(b.column("_pa"), b.column("_pb"), np.minimum(n, m)), np.minimum(n, m))
+            keep = [c for c in b.schema.names if c not in ("_pa", "_pb")]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(100 * both >= percent * (n + m - both))], [*keep, "may"])
+
+    return run
+
+
+def _judged(pairs: DataFrame, percent: int) -> DataFrame:
+    schema = ", ".join(f"{c} long" for c in pairs.columns if c not in ("_pa", "_pb"))
+    return pairs.mapInArrow(_judge(percent), f"{schema}, may boolean")
+
+
+PREFIX_SCHEMA = "doc_id long, n long, s1 long, s2 long, prefix array<long>, profile binary"
 
 
 def _only(wanted, at: int):
@@ -122,8 +179,9 @@ def _prefixes(shared, k: int, percent: int):
             flat = np.concatenate(heads) if heads else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in signs], pa.int64()),
-                 pa.array([y for _, y in signs], pa.int64()), list_column(flat.view(np.int64), bounds, pa.int64())],
-                ["doc_id", "n", "s1", "s2", "prefix"])
+                 pa.array([y for _, y in signs], pa.int64()), list_column(flat.view(np.int64), bounds, pa.int64()),
+                 pa.array([_profile(s) for s in sets], pa.binary())],
+                ["doc_id", "n", "s1", "s2", "prefix", "profile"])
 
     return run
 
@@ -148,19 +206,19 @@ def _full_sets(wanted, k: int):
     return run
 
 
-def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str], percent: int, finish: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
-    """Add the exact overlap of ``id`` and ``other`` and both sizes; null where the sizes alone rule a link out.
+def _measure(pairs: DataFrame, sets: DataFrame, profiles: DataFrame, keep: list[str], percent: int, finish: Callable[[DataFrame], DataFrame],
+             label: str) -> DataFrame:
+    """Add the exact overlap of ``id`` and ``other`` and both sizes; null where the profiles rule a link out.
 
     Only the sets of pairs still in question move: once to their pair, and the
     others' to the result.  ``finish`` of these rows is spilled as ``label``.
     Four branches read the sized pairs: as a table, not as a plan in each of
     them, they leave the driver half the joins to plan, compile and hold.
     """
-    size = sets.select("id", "n")
-    sized = pairs.join(size, "id").join(size.select(F.col("id").alias("other"), F.col("n").alias("m")), "other")
-    sized = spill(sized.select("id", "n", "other", "m", *keep), "jaccard-sized")
-    open_pair = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    asked = sized.where(open_pair).select("id", "n", "other", "m", *keep)
+    sized = pairs.join(profiles.select("id", "n", F.col("profile").alias("_pa")), "id")
+    sized = sized.join(profiles.select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("profile").alias("_pb")), "other")
+    sized = spill(_judged(sized.select("id", "n", "other", "m", *keep, "_pa", "_pb"), percent), "jaccard-sized")
+    asked = sized.where("may").select("id", "n", "other", "m", *keep)
     # by the columns of the joins below: the sets are dealt out once for both sides
     held = lambda *c: sets.join(asked.select(F.col(c[0]).alias("id"), F.col(c[1]).alias("n")).distinct(), ["id", "n"], "left_semi")
     a = held("id", "n").select("id", "n", F.col("grams").alias("_ga"))
@@ -168,12 +226,35 @@ def _measure(pairs: DataFrame, sets: DataFrame, keep: list[str], percent: int, f
     told = asked.join(a, ["id", "n"]).join(b, ["other", "m"])
     both = F.size(F.array_intersect("_ga", "_gb")).cast("long").alias("both")
     told = told.select("id", "other", *keep, "n", "m", both).unionByName(
-        sized.where(~open_pair).select("id", "other", *keep, "n", "m", F.lit(None).cast("long").alias("both")))
+        sized.where("not may").select("id", "other", *keep, "n", "m", F.lit(None).cast("long").alias("both")))
     told = spill(finish(told), label)
     drop(sized)
     return told
 
 
+def _near_members(members: DataFrame, profiles: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of ``members(region, id)`` those that may be within the threshold of another document of the region, and (id) all that these may be near to.
+
+    Any link between two documents of a region keeps both.  Members of regions
+    of over SMALL_REGION documents all stay: their pairs are not listed here.
+    """
+    everyone = members.union(members.select("region", F.col("region").alias("id")).distinct())
+    sizes = spill(members.groupBy("region").agg(F.count(F.lit(1)).alias("k")).select("region", (F.col("k") < SMALL_REGION).alias("small")), "jaccard-sizes")
+    placed = everyone.join(sizes.where("small"), "region", "left_semi").join(profiles, "id")
+    placed = spill(placed.select("region", "id", "n", "profile"), "jaccard-placed")
+    a = placed.select("region", "id", "n", F.col("profile").alias("_pa"))
+    b = placed.select("region", F.col("id").alias("other"), F.col("n").alias("m"), F.col("profile").alias("_pb"))
+    pairs = a.join(b, "region").where((F.col("id") < F.col("other")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    may = _judged(pairs.select("region", "id", "n", "other", "m", "_pa", "_pb"), percent).where("may")
+    # either end of a pair
+    ends = may.select("region", F.explode(F.array("id", "other")).alias("id")).distinct()
+    large = members.join(sizes.where("not small"), "region", "left_semi")
+    whole = large.union(large.select("region", F.col("region").alias("id")).distinct())
+    kept = spill(ends.select("region", "id").union(whole), "jaccard-near")
+    drop(placed, sizes)
+    return kept.where("region != id"), kept.select("id").distinct()
+
+
 def _linked(percent: int):
     return F.coalesce(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both")), F.lit(False))
 
@@ -275,11 +356,15 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
     shared = spark.sparkContext.broadcast(sketch.collect_sketch(shared_tokens.mapInArrow(_levels, sketch.SCHEMA), LEVEL_BITS, "max", np.uint8))
     headed = spill(docs.mapInArrow(_prefixes(shared, k, percent), PREFIX_SCHEMA), "jaccard-prefixes")
     shared.destroy()
-    signed = spill(headed.drop("prefix"), "jaccard-documents")
+    signed = spill(headed.drop("prefix", "profile"), "jaccard-documents")
     classes = spill(signed.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("id")).where("id is not null"), "jaccard-classes")
     settle(spark)
-    heads = headed.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["s1", "s2", "doc_id"], "left_semi")
-    tokens = heads.select(F.col("doc_id").alias("id"), F.explode("prefix").alias("token"))
+    # each set of an id once
+    heads = headed.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["s1", "s2", "doc_id"], "left_semi").dropDuplicates(["s1", "s2", "doc_id"])
+    heads = spill(heads.select(F.col("doc_id").alias("id"), "n", "prefix", "profile"), "jaccard-prefixes")
+    drop(headed)
+    settle(spark)
+    tokens = heads.select("id", F.explode("prefix").alias("token"))
     elected = spill(tokens.groupBy("token").agg(F.min("id").alias("region"), F.max("id").alias("last"))
                     .where("last > region").drop("last"), "jaccard-pivots")
     settle(spark)
@@ -287,9 +372,12 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
     shared_token = sketch.bit_filter(elected, "token", 26)
     tokens = tokens.mapInArrow(_only(shared_token, 1), "id long, token long")
     members = spill(tokens.join(elected, "token").where("id != region").select("region", "id").distinct(), "jaccard-regions")
-    drop(headed, elected)
+    profiles = spill(heads.select("id", "n", "profile"), "jaccard-profiles")
+    drop(heads, elected)
+    settle(spark)
+    everyone, (members, nodes) = members, _near_members(members, profiles, percent)
+    drop(everyone)
     settle(spark)
-    nodes = members.select("id").union(members.select("region")).distinct()
     sets = docs.mapInArrow(_full_sets(sketch.bit_filter(nodes, "id", 26), k), SET_SCHEMA)
     sets = spill(sets.join(classes, ["s1", "s2", "id"], "left_semi"), "jaccard-sets")
     several = sets.groupBy("id", "s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -302,7 +390,7 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
     settle(spark)
 
     wide = (100 - percent) / 100 + 1e-9
-    state = _measure(members.withColumnRenamed("region", "other"), sets, [], percent, lambda told: told.select(
+    state = _measure(members.withColumnRenamed("region", "other"), sets, profiles, [], percent, lambda told: told.select(
         F.col("other").alias("region"), "id", "n", "both", _linked(percent).alias("near"), F.array(_distance()).alias("d")), "jaccard-level")
     seen = [state.select("id", F.col("region").alias("pivot"), "both")]
     state = state.drop("both")
@@ -335,7 +423,7 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
             middle = F.when(~F.col("near") | F.lit(level == 0), F.struct("typical", F.xxhash64("id")))
             pivots = spill(held.join(typical, "id").groupBy("region").agg(F.max_by("id", middle).alias("pivot")).where("pivot is not null"), "jaccard-middles")
             asked = held.join(pivots, "region").where("id != pivot").select("region", "id", F.col("pivot").alias("other"))
-            told = _measure(asked, sets, ["region"], percent, lambda told: told.select(
+            told = _measure(asked, sets, profiles, ["region"], percent, lambda told: told.select(
                 "region", "id", F.col("other").alias("pivot"), "both", _linked(percent).alias("hit"), _distance().alias("x")), "jaccard-level")
             seen.append(told.select("id", "pivot", "both"))
             links, found = _extend(links, found, told.where("hit").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
@@ -362,9 +450,9 @@ def _join(docs: DataFrame, percent: int, k: int, levels: int, id_col: str, text_
         pairs = pairs.join(of("id", "pa"), "id").join(of("other", "pb"), "other").where((F.size(both) > 0) & in_window).select("id", "other")
         pairs = spill(pairs, "jaccard-pairs")
         settle(spark)
-        fresh = _measure(pairs, sets, [], percent, lambda told: told.where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
+        fresh = _measure(pairs, sets, profiles, [], percent, lambda told: told.where(_linked(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "jaccard-links")
         links, found = _extend(links, found, fresh)
-    drop(whole)
+    drop(whole, profiles)
     settle(spark)
     return signed, classes, links, found
 

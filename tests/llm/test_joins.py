@@ -270,3 +270,55 @@ def test_jaccard_levels_read_the_sets_of_open_documents_only(spark, monkeypatch)
     assert got == brute_group(rows, 80, 5)
     assert max(sets["jaccard-sets"][0]) >= 1000 > max(sets["jaccard-open-sets"][0])  # all sets to the end of the join before
     assert gone == [True]
+
+
+def test_profiles_bound_what_sets_share():
+    import numpy as np
+    import pyarrow as pa
+    rnd = np.random.default_rng(3)
+    a, b, exact = [], [], []
+    for n in (1, 2, 9, 60, 61, 130, 700, 5000, 40_000):
+        for m in (n, max(1, n * 9 // 10), n // 3 + 1, 7):
+            for share in (0, min(n, m) // 2, min(n, m)):
+                h = rnd.integers(0, 2**64, n + m - share, dtype=np.uint64)
+                a.append(np.unique(h[:n]))
+                b.append(np.unique(h[n - share:]))
+                exact.append(len(np.intersect1d(a[-1], b[-1])))
+    profiles = [pa.array([jaccard_join._profile(s) for s in x], pa.binary()) for x in (a, b)]
+    most = jaccard_join._most_shared(*profiles, np.full(len(a), -1))
+    assert (most >= exact).all() and (most <= [min(len(x), len(y)) for x, y in zip(a, b, strict=True)]).all()
+    assert max(len(jaccard_join._profile(s)) / len(s) for s in a if len(s) > 60) <= 0.25
+    # a range of over 255 shingles has no byte: nothing is known
+    dense = jaccard_join._profile(np.arange(300, dtype=np.uint64))
+    assert dense == b"" and list(jaccard_join._most_shared(pa.array([dense], pa.binary()), profiles[0][:1], np.array([99]))) == [99]
+
+
+def test_jaccard_unrelated_documents_that_share_a_shingle_have_no_sets(spark, monkeypatch):
+    """Chance meetings over a rare shingle are decided by profiles: no set is written for them, in small regions."""
+    rnd = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(24)]
+    rows = [(i, " ".join(rnd.choice(vocabulary) for _ in range(70))) for i in range(200)]
+    near = {}
+    for i in range(0, 200, 10):
+        words = rows[i][1].split()
+        words[rnd.choice([0, 69])] = "other"
+        near[1000 + i] = " ".join(words)
+    near[1005] = " ".join([*rows[0][1].split()[:-2], "two", "others"])
+    rows += sorted(near.items()) + [(1000, near[1010]), (None, rows[3][1]), rows[20]]  # an id with two texts, a copy without an id, a repeated row
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted({r for r in brute_components(rows)})
+    real, seen = jaccard_join.spill, {}
+
+    def spill(df, label, *more):
+        table = real(df, label, *more)
+        if label in ("jaccard-sets", "jaccard-sized"):
+            seen[label] = table.count()
+        return table
+
+    monkeypatch.setattr(jaccard_join, "spill", spill)
+    for most, small in ((128, True), (3, False)):
+        monkeypatch.setattr(jaccard_join, "SMALL_REGION", most)
+        seen.clear()
+        got = jaccard_join.jaccard_components(docs).collect()
+        assert sorted({tuple(r) for r in got if r.doc_id is not None}) == want and len(got) == len(rows)
+        assert not small or seen["jaccard-sets"] < 70  # 98 before, of documents that meet others by chance
