@@ -81,6 +81,16 @@ def _grams(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys, F.substring("s", F.col("_at"), ORDERS).alias("g"))
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that deals out both, whatever size is estimated.
+
+    Spark takes a table's size from its compressed files, and counts rows per
+    character as rows per URL: a broadcast would bring a table that grows with
+    the corpus, many times the session's limit, to the driver.
+    """
+    return df.hint("merge")
+
+
 def train(urls: DataFrame, discount: float = 0.75) -> DataFrame:
     """(g, ratio): the log-ratio of each longest gram in ``urls(s, accepted, times)``.
 
@@ -107,7 +117,7 @@ def train(urls: DataFrame, discount: float = 0.75) -> DataFrame:
             c = c.crossJoin(F.broadcast(totals))  # one row
             c = c.withColumn("pa0", uniform).withColumn("pr0", uniform).withColumn("r0", F.lit(0.0))
         else:
-            c = c.join(c.groupBy("context").agg(*totals), "context").join(below, "tail")
+            c = c.join(_dealt(c.groupBy("context").agg(*totals)), "context").join(_dealt(below), "tail")
         for a in ("a", "r"):
             n, t, d = F.col(f"n{a}"), F.col(f"t{a}"), F.col(f"d{a}")
             smoothed = (F.greatest(n - discount, F.lit(0.0)) + discount * d * F.col(f"p{a}0")) / F.greatest(t, F.lit(1))
@@ -123,7 +133,7 @@ def score(urls: DataFrame, ratios: DataFrame, key: str) -> DataFrame:
 
     ``ratios`` grows with the corpus, so characters are joined to it by gram.
     """
-    grams = _grams(urls, [key]).join(ratios, "g")
+    grams = _grams(urls, [key]).join(_dealt(ratios), "g")
     # whole numbers add up alike in any order, so reruns agree
     return grams.groupBy(key).agg((F.sum(F.round(F.col("ratio") * 1e9).cast("long")) / F.count(F.lit(1)) / 1e9).alias("score"))
 
@@ -146,8 +156,8 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str
     each = df.where("url is not null").groupBy("url", "rule_verdict").agg(F.count(F.lit(1)).alias("times"))
     each = spill(each.withColumn("_u", F.monotonically_increasing_id()), "url-each")
     rows = each.select("_u", "times", symbols(F.col("url")).alias("s"), F.when(~held, F.col("rule_verdict") == "allow").alias("accepted"))
-    scores = each.select("_u", "url").join(score(rows, train(rows), "_u"), "_u").select("url", "score")
-    scored = spill(df.join(scores, "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "url-scores")
+    scores = each.select("_u", "url").join(_dealt(score(rows, train(rows), "_u")), "_u").select("url", "score")
+    scored = spill(df.join(_dealt(scores), "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "url-scores")
     held_out = scored.where("rule_verdict is not null and url is not null").where(held)
     v = F.col("score")
     stats = {r["rule_verdict"]: r for r in held_out.groupBy("rule_verdict").agg(

@@ -82,3 +82,18 @@ def test_scores_and_threshold_equal_brute_force(spark):
 def test_scores_with_one_class_or_none(spark):
     check(spark, [f"http://h{i}.org/fr/{i}" for i in range(12)] + ["http://a.info/1"])
     check(spark, ["http://a.info/1", "b", "", None])
+
+
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
+    """Only the one row of totals goes through the driver, however small the files look: characters are many times the URLs' rows."""
+    plans, real = {}, url_model.spill
+
+    def spill(df, label, *more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label, *more)
+
+    monkeypatch.setattr(url_model, "spill", spill)
+    urls = [f"http://h{i % 7}.org/fr/{i}" for i in range(150)] + [f"http://g{i % 5}.net/{i}" for i in range(150)] + [None, "", "http://a.info/1"]
+    check(spark, urls)
+    assert "SortMergeJoin" in plans["url-scores"]
+    assert [label for label, plan in plans.items() if "BroadcastHashJoin" in plan] == []
